@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports are batch queries over a run date; no source of the original
+system is a stream and no report keeps state between runs.  A scheduled
+batch run (``careledger.reports.run_reports``) is the whole lifecycle.
+"""
