@@ -71,6 +71,16 @@ def with_branch_by_code(df: DataFrame, dim: DataFrame, code: str = "branch_code"
     return df.join(d, d["_dim_code"] == norm_key(F.col(code)), "left").drop("_dim_code")
 
 
+def order_bounded(df: DataFrame, *cols) -> DataFrame:
+    """ORDER BY for a result bounded by the branch dimension (one row per
+    bucket or per bucket x code class: dozens of rows, never fact-sized).
+
+    A global ``orderBy`` range-partitions, which costs a sampling job; here
+    the aggregate still runs on all shuffle partitions and only its tiny
+    result moves to one partition to be sorted."""
+    return df.repartition(1).sortWithinPartitions(*cols)
+
+
 def window_cols(start: dt.date, end: dt.date) -> list[Column]:
     """P3 ``@StartDate AS window_start, @EndDate AS window_end``."""
     return [lit_date(start).alias("window_start"), lit_date(end).alias("window_end")]
@@ -88,9 +98,9 @@ def by_bucket(df: DataFrame, aggs: list[Column], consts: list[Column] | None = N
     bucket = fill(F.col("bucket"), UNMAPPED).alias("bucket") if label else F.col("bucket")
     out = g.select(bucket, "bucket_sort", *(consts or []), *names)
     if order == "rank":
-        out = out.orderBy("bucket_sort", "bucket")
+        out = order_bounded(out, "bucket_sort", "bucket")
     elif order == "bucket":
-        out = out.orderBy("bucket")
+        out = order_bounded(out, "bucket")
     return out
 
 
@@ -110,4 +120,4 @@ def by_branch_code(df: DataFrame, dim: DataFrame, aggs: list[Column], consts: li
                               F.lit("(no branch)")))
     return (g.select(bucket.alias("bucket"), bucket_rank(F.col("service_line")).alias("bucket_sort"),
                      "branch_code", *consts, *names)
-            .orderBy("bucket_sort", "branch_code"))
+            .transform(lambda d: order_bounded(d, "bucket_sort", "branch_code")))

@@ -31,7 +31,7 @@ from careledger.functions.predicates import (
     open_period, overlaps_window, overlaps_window_by_date,
 )
 from careledger.operators.branching import (
-    UNMAPPED, by_branch_code, by_bucket, window_cols, with_bucket,
+    UNMAPPED, by_branch_code, by_bucket, order_bounded, window_cols, with_bucket,
 )
 from careledger.operators.census import daily_census_rows
 from careledger.params import (
@@ -69,7 +69,7 @@ def k01_admissions_by_branch(cat: Catalog, p: RunParams) -> DataFrame:
                                 F.count(F.lit(1)).alias("admission_count"))
     return (g.select(fill(C("bucket"), UNMAPPED).alias("service_line"), "service_line_id",
                      *window_cols(p.start, p.end), "admission_count")
-            .orderBy("service_line", "service_line_id"))
+            .transform(lambda d: order_bounded(d, "service_line", "service_line_id")))
 
 
 def k02_admissions_by_care_type(cat: Catalog, p: RunParams) -> DataFrame:
@@ -87,7 +87,7 @@ def k02_admissions_by_care_type(cat: Catalog, p: RunParams) -> DataFrame:
         F.min("bucket_sort").alias("service_line_id"), F.count(F.lit(1)).alias("admission_count"))
     return (g.select(C("bucket").alias("service_line"), "service_line_id", "care_type",
                      *window_cols(p.start, p.end), "admission_count")
-            .orderBy("care_type"))
+            .transform(lambda d: order_bounded(d, "care_type")))
 
 
 def k03_days_to_admit(cat: Catalog, p: RunParams) -> DataFrame:
@@ -107,7 +107,7 @@ def k03_days_to_admit(cat: Catalog, p: RunParams) -> DataFrame:
     return (g.select(fill(C("bucket"), UNMAPPED).alias("branch"), "service_line",
                      *window_cols(p.start, p.end), "admissions", "avg_days_to_admit",
                      "pct_within_2_days")
-            .orderBy("service_line", "branch"))
+            .transform(lambda d: order_bounded(d, "service_line", "branch")))
 
 
 # ------------------------------------------------------------------------ billing
@@ -173,7 +173,7 @@ def k27_revenue_per_patient_day(cat: Catalog, p: RunParams) -> DataFrame:
         pdays.alias("patient_days"),
         F.when(pdays > 0, (revenue * _one() / C("d.patient_days")).cast("decimal(18,2)"))
         .alias("revenue_per_patient_day"))
-        .orderBy("bucket_sort", "bucket"))
+        .transform(lambda d: order_bounded(d, "bucket_sort", "bucket")))
 
 
 def _open_invoices(cat: Catalog) -> DataFrame:
@@ -290,7 +290,7 @@ def k07_discharges_by_class(cat: Catalog, p: RunParams) -> DataFrame:
         F.countDistinct(F.rtrim("epi_DcCode")).alias("distinct_dc_codes"))
     return (g.select(fill(C("bucket"), UNMAPPED).alias("bucket"), "bucket_sort", "dc_class",
                      "discharges", "distinct_dc_codes")
-            .orderBy("bucket_sort", "dc_class"))
+            .transform(lambda d: order_bounded(d, "bucket_sort", "dc_class")))
 
 
 def k08_live_discharge_summary(cat: Catalog, p: RunParams) -> DataFrame:
@@ -322,7 +322,7 @@ def k12_los_discharged(cat: Catalog, p: RunParams) -> DataFrame:
     ]
     out = by_bucket(e, aggs, window_cols(p.start, p.end), order=None)
     return (out.withColumn("median_los_benchmark", F.lit(MEDIAN_LOS_BENCHMARK))
-            .orderBy("bucket_sort", "bucket"))
+            .transform(lambda d: order_bounded(d, "bucket_sort", "bucket")))
 
 
 def k13_los_active(cat: Catalog, p: RunParams) -> DataFrame:
@@ -436,7 +436,7 @@ def k18_patient_days(cat: Catalog, p: RunParams) -> DataFrame:
     out = by_bucket(_patient_day_rows(cat, p), aggs, window_cols(p.start, p.end), order=None)
     return (out.select("bucket", "bucket_sort", "window_start", "window_end", "patient_days",
                        F.lit(days).alias("days_in_window"), "implied_adc")
-            .orderBy("bucket_sort", "bucket"))
+            .transform(lambda d: order_bounded(d, "bucket_sort", "bucket")))
 
 
 # ---------------------------------------------------------------------- QA / recert
@@ -553,7 +553,7 @@ def _nonadmit_reasons(cat: Catalog, p: RunParams, dedup: bool) -> DataFrame:
                      *window_cols(p.start, p.end), C("epi_NonAdmitCode").alias("nonadmit_code"),
                      fill(C("nac_desc"), "(unknown reason)").alias("nonadmit_reason"),
                      C("nac_refusalofservice").alias("refusal_of_service"), "non_admit_count")
-            .orderBy(C("bucket_sort"), C("non_admit_count").desc()))
+            .transform(lambda d: order_bounded(d, C("bucket_sort"), C("non_admit_count").desc())))
 
 
 def k23_nonadmit_reasons_dedup(cat: Catalog, p: RunParams) -> DataFrame:
