@@ -23,8 +23,11 @@ def script_folder(spark: SparkSession, folder: str) -> DataFrame:
     sorted by file name; a missing folder gives an empty frame."""
     empty = spark.createDataFrame([], "name string, text string, sourceFile string")
     try:
+        # _metadata.file_name is URI-encoded (a blank is %20); '+' is protected
+        # from form decoding first.
+        name = F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), "\\+", "%2B"))
         raw = spark.read.text(folder, wholetext=True).select(
-            F.col("value").alias("text"), F.col("_metadata.file_name").alias("file_name"),
+            F.col("value").alias("text"), name.alias("file_name"),
             F.col("_metadata.file_path").alias("sourceFile"))
     except AnalysisException:
         return empty
