@@ -9,6 +9,7 @@ office); it is broadcast only when its row count is bounded (see
 from __future__ import annotations
 
 import datetime as dt
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,22 +18,36 @@ from careledger.functions.columns import bucket_rank, fill, lit_date, norm_key
 
 UNMAPPED = "(unmapped)"
 
-# A dimension is broadcast only below this many rows; above it the join is
-# left to the planner (sort-merge, or broadcast by AQE from runtime sizes).
-DIM_BROADCAST_MAX_ROWS = 100_000
+# Row bounds under which a code table / dimension is broadcast.  Above the
+# bound the join is left to the planner (sort-merge, or a broadcast chosen
+# by AQE from runtime sizes), so a dimension that grows is never shipped
+# whole to every executor.
+BRANCH_DIM_MAX_ROWS = 10_000
+CODE_TABLE_MAX_ROWS = 100_000
 
+_SIZE_CHECKS: "WeakKeyDictionary[DataFrame, bool]" = WeakKeyDictionary()
 
-def bounded_broadcast(dim: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``dim`` when its declared row bound is known and small.
 
-    The bound comes from the source (a literal table, or a table whose size
-    is fixed by definition), never from a guess about the data."""
-    if max_rows is not None and max_rows <= DIM_BROADCAST_MAX_ROWS:
-        return F.broadcast(dim)
-    return dim
+def within_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows.
 
+    Reads at most ``max_rows + 1`` rows, once per DataFrame object (a
+    catalog's dimension is checked once per run, not once per report)."""
+    ok = _SIZE_CHECKS.get(df)
+    if ok is None:
+        ok = df.limit(max_rows + 1).count() <= max_rows
+        _SIZE_CHECKS[df] = ok
+    return ok
 
-def branch_dim(dim: DataFrame, max_rows: int | None = 1_000) -> DataFrame:
+
+def bounded_broadcast(source: DataFrame, max_rows: int, projected: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``projected`` (default ``source``) if ``source`` is within
+    ``max_rows`` rows; otherwise return it unhinted."""
+    out = source if projected is None else projected
+    return F.broadcast(out) if within_rows(source, max_rows) else out
+
+
+def branch_dim(dim: DataFrame, max_rows: int = BRANCH_DIM_MAX_ROWS) -> DataFrame:
     """The dimension with a normalised join key and the rank column."""
     d = dim.select(
         F.col("epi_slid").alias("_dim_slid"),
@@ -40,7 +55,7 @@ def branch_dim(dim: DataFrame, max_rows: int | None = 1_000) -> DataFrame:
         F.col("branch_name").alias("bucket"),
         F.col("service_line").alias("_dim_service_line"),
     )
-    return bounded_broadcast(d, max_rows)
+    return bounded_broadcast(dim, max_rows, d)
 
 
 def with_bucket(df: DataFrame, dim: DataFrame, slid: str = "epi_slid",

@@ -52,5 +52,5 @@ def daily_census_rows_nested(spark: SparkSession, episodes: DataFrame, start: dt
     The spine has ``days_in_window`` rows (a literal sequence), so the
     broadcast side is bounded by the run parameters; kept for the plan
     comparison test.  ``daily_census_rows`` is the one reports use."""
-    spine = F.broadcast(date_spine(spark, start, end))
+    spine = F.broadcast(date_spine(spark, start, end))    # days_in_window rows, from the run parameters
     return spine.join(episodes, active_on(F.col(soc), F.col(dc), F.col("CensusDate")), "inner")

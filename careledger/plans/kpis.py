@@ -31,7 +31,8 @@ from careledger.functions.predicates import (
     open_period, overlaps_window, overlaps_window_by_date,
 )
 from careledger.operators.branching import (
-    UNMAPPED, by_branch_code, by_bucket, order_bounded, window_cols, with_bucket,
+    CODE_TABLE_MAX_ROWS, UNMAPPED, bounded_broadcast, by_branch_code, by_bucket, order_bounded,
+    window_cols, with_bucket,
 )
 from careledger.operators.census import daily_census_rows
 from careledger.params import (
@@ -74,12 +75,13 @@ def k01_admissions_by_branch(cat: Catalog, p: RunParams) -> DataFrame:
 
 def k02_admissions_by_care_type(cat: Catalog, p: RunParams) -> DataFrame:
     e = _new_admissions(cat.episodes).filter(in_window_by_date(C("epi_SocDate"), p.start, p.end))
-    lines = F.broadcast(cat.service_lines.select(C("sl_id")))
+    lines = bounded_broadcast(cat.service_lines, CODE_TABLE_MAX_ROWS, cat.service_lines.select(C("sl_id")))
     e = e.join(lines, lines["sl_id"] == e["epi_slid"], "inner").drop("sl_id")
     e = (with_bucket(e, cat.dim_branch, wildcard=True, hospice_rank=False, keep_service_line=True)
          .filter(C("_dim_service_line") == HOME_HEALTH))
     primary = cat.episode_care_types.filter(C("cect_primary") == "Y").select("cect_epiid", "cect_ctypeid")
-    types = F.broadcast(cat.care_types.select("ctype_id", "ctype_description"))
+    types = bounded_broadcast(cat.care_types, CODE_TABLE_MAX_ROWS,
+                              cat.care_types.select("ctype_id", "ctype_description"))
     j = (e.join(primary, primary["cect_epiid"] == e["epi_id"], "left")
          .join(types, types["ctype_id"] == C("cect_ctypeid"), "left"))
     care_type = fill(C("ctype_description"), "(no primary care type)")
@@ -216,8 +218,9 @@ def k30_unbilled(cat: Catalog, p: RunParams) -> DataFrame:
 def k05_daily_census(cat: Catalog, p: RunParams) -> DataFrame:
     e = cat.episodes.filter(C("epi_status") == "CURRENT")
     rows = daily_census_rows(e, p.start, p.end)           # (CensusDate, episode columns)
-    lines = F.broadcast(cat.service_lines)
-    branches = F.broadcast(cat.branches.select(F.rtrim("branch_code").alias("_b_code"), "branch_name"))
+    lines = bounded_broadcast(cat.service_lines, CODE_TABLE_MAX_ROWS)
+    branches = bounded_broadcast(cat.branches, CODE_TABLE_MAX_ROWS,
+                                 cat.branches.select(F.rtrim("branch_code").alias("_b_code"), "branch_name"))
     j = (rows.join(lines, lines["sl_id"] == rows["epi_slid"], "inner")
          .join(branches, branches["_b_code"] == F.rtrim(C("epi_branchcode")), "inner"))
     return j.groupBy("CensusDate", "sl_desc", "branch_name").agg(
@@ -273,6 +276,7 @@ def _discharges(cat: Catalog, p: RunParams, discharged: bool) -> DataFrame:
 
 
 def _with_dc_class(cat: Catalog, df: DataFrame) -> DataFrame:
+    # A literal 9-row code map: its size is known at planning time.
     m = F.broadcast(cat.dc_class.select(F.rtrim("dr_code").alias("_dr_code"), C("dc_class").alias("_cls")))
     j = df.join(m, m["_dr_code"] == F.rtrim(C("epi_DcCode")), "left")
     return j.withColumn("dc_class", fill(C("_cls"), "Other")).drop("_dr_code", "_cls")
@@ -380,7 +384,7 @@ def period_visit_counts(cat: Catalog, periods: DataFrame) -> DataFrame:
 def k15_lupa_by_threshold(cat: Catalog, p: RunParams) -> DataFrame:
     periods = _ended_periods(cat, p)
     counts = period_visit_counts(cat, periods).withColumnRenamed("pp_id", "_pv_id")
-    hipps = F.broadcast(cat.pdgm_hipps.select("ph_hipps", "ph_lupaThreshold"))
+    hipps = bounded_broadcast(cat.pdgm_hipps, CODE_TABLE_MAX_ROWS, cat.pdgm_hipps.select("ph_hipps", "ph_lupaThreshold"))
     per = (_periods_with_bucket(cat, periods)
            .join(counts, C("_pv_id") == C("pp_id"), "left")
            .join(hipps, hipps["ph_hipps"] == F.trim(C("pp_currentHipps")), "left"))
@@ -544,8 +548,8 @@ def _nonadmit_reasons(cat: Catalog, p: RunParams, dedup: bool) -> DataFrame:
                             & in_window_by_date(C("epi_NonAdmitDate"), p.start, p.end))
     e = with_bucket(e, cat.dim_branch_17 if dedup else cat.dim_branch, wildcard=not dedup)
     reasons = dedup_reasons(cat.nonadmit_reasons) if dedup else cat.nonadmit_reasons
-    # Reason codes are a small code table (tens of rows): broadcast.
-    r = F.broadcast(reasons.select("nac_code", "nac_desc", "nac_refusalofservice"))
+    r = bounded_broadcast(cat.nonadmit_reasons, CODE_TABLE_MAX_ROWS,
+                          reasons.select("nac_code", "nac_desc", "nac_refusalofservice"))
     j = e.join(r, r["nac_code"] == e["epi_NonAdmitCode"], "left")
     g = j.groupBy("bucket", "epi_NonAdmitCode", "nac_desc", "nac_refusalofservice").agg(
         F.min("bucket_sort").alias("bucket_sort"), F.count(F.lit(1)).alias("non_admit_count"))

@@ -25,7 +25,9 @@ from careledger.functions.predicates import (
     active_on, claimable, in_window_by_date, in_window_half_open, in_window_raw, on_hold, open_period,
     overlaps_window, overlaps_window_by_date,
 )
-from careledger.operators.branching import UNMAPPED, with_branch_by_code, with_bucket
+from careledger.operators.branching import (
+    CODE_TABLE_MAX_ROWS, UNMAPPED, bounded_broadcast, with_branch_by_code, with_bucket,
+)
 from careledger.operators.census import daily_census_rows, date_spine
 from careledger.operators import scripts as T
 from careledger.params import RunParams, test_params
@@ -82,11 +84,11 @@ FROM pdgm_period pp LEFT JOIN lupa_codes l ON l.code = trim(pp.pp_reimbursementT
 GROUP BY 1, 2
 """, ["episodes", "dc_class", "pdgm_period", "lupa_codes"])
 def _s3(cat, p):
-    m = F.broadcast(cat.dc_class)
+    m = F.broadcast(cat.dc_class)          # literal 9-row map
     e = cat.episodes.join(m, F.rtrim(m["dr_code"]) == F.rtrim(C("epi_DcCode")), "left")
     a = e.groupBy(F.rtrim("epi_DcCode").alias("dc_code"), fill(C("dc_class"), "Other").alias("dc_class")) \
         .agg(N().alias("episodes"))
-    lc = F.broadcast(cat.lupa_codes)
+    lc = F.broadcast(cat.lupa_codes)       # literal 2-row map
     pp = cat.pdgm_period.join(lc, lc["code"] == F.trim("pp_reimbursementType"), "left")
     b = pp.groupBy(F.trim("pp_reimbursementType").alias("dc_code"),
                    F.when(C("code").isNull(), "not LUPA").otherwise("LUPA").alias("dc_class")) \
@@ -101,7 +103,7 @@ FROM dates LEFT JOIN episodes e ON CAST(e.epi_SocDate AS DATE) = d
 GROUP BY d
 """, ["episodes"])
 def _s4(cat, p):
-    spine = F.broadcast(date_spine(cat.spark, p.start, p.end))
+    spine = F.broadcast(date_spine(cat.spark, p.start, p.end))   # days_in_window rows
     e = cat.episodes.filter(in_window_by_date(C("epi_SocDate"), p.start, p.end)) \
         .select("epi_id", F.to_date("epi_SocDate").alias("_d"))
     return spine.join(e, C("_d") == C("CensusDate"), "left").groupBy("CensusDate") \
@@ -377,7 +379,8 @@ SELECT b.branch_name, COUNT(*) AS episodes FROM episodes e JOIN branches b ON rt
 GROUP BY b.branch_name
 """, ["episodes", "branches"])
 def _j4(cat, p):
-    b = F.broadcast(cat.branches.select(F.rtrim("branch_code").alias("_code"), "branch_name"))
+    b = bounded_broadcast(cat.branches, CODE_TABLE_MAX_ROWS,
+                          cat.branches.select(F.rtrim("branch_code").alias("_code"), "branch_name"))
     return cat.episodes.join(b, b["_code"] == F.rtrim("epi_branchcode"), "inner").groupBy("branch_name") \
         .agg(N().alias("episodes"))
 
@@ -400,7 +403,7 @@ JOIN service_lines sl ON sl.sl_id = e.epi_slid GROUP BY 1, 2
 def _j6(cat, p):
     fs = cat.episode_fs
     e = cat.episodes.select("epi_id", "epi_status", "epi_slid")
-    sl = F.broadcast(cat.service_lines)
+    sl = bounded_broadcast(cat.service_lines, CODE_TABLE_MAX_ROWS)
     j = (cat.pdgm_period.join(fs, fs["cefs_id"] == C("pp_cefsId"), "inner")
          .join(e, e["epi_id"] == C("cefs_epiid"), "inner").join(sl, sl["sl_id"] == C("epi_slid"), "inner"))
     return j.groupBy("epi_status", "sl_desc").agg(N().alias("periods"))
@@ -656,7 +659,7 @@ FROM episode_care_types cect LEFT JOIN care_types ct ON ct.ctype_id = cect.cect_
 WHERE cect.cect_primary = 'Y' GROUP BY 1
 """, ["episode_care_types", "care_types"])
 def _a14(cat, p):
-    ct = F.broadcast(cat.care_types)
+    ct = bounded_broadcast(cat.care_types, CODE_TABLE_MAX_ROWS)
     j = cat.episode_care_types.filter(C("cect_primary") == "Y").join(ct, ct["ctype_id"] == C("cect_ctypeid"), "left")
     return j.groupBy(fill(C("ctype_description"), "(no primary care type)").alias("care_type")).agg(N().alias("n"))
 
@@ -744,6 +747,7 @@ def _w1(cat, p):
     d = with_bucket(cat.episodes.filter(C("epi_DischargeDate").isNotNull()), cat.dim_branch) \
         .withColumn("los", days_between("epi_SocDate", "epi_DischargeDate"))
     med = d.groupBy("bucket").agg(F.percentile("los", 0.5).alias("m"))
+    # One row per bucket: bounded by the branch dimension (+ the NULL bucket).
     rows = d.join(F.broadcast(med), d["bucket"].eqNullSafe(med["bucket"]), "inner").drop(med["bucket"])
     return rows.groupBy("bucket", "m").agg(N().alias("rows_with_median")) \
         .select("bucket", C("m").cast("decimal(10,1)").alias("median_los"), "rows_with_median")
