@@ -1295,4 +1295,13 @@ def OPERATOR_ORACLES() -> dict[str, str]:
         tables = [t for t in tables if not t.endswith("_view")]
         out[name] = _subst(with_tables(body, *tables) if tables else body.strip())
     out["r2_run_query"] = kpi_oracle_sql("k18_patient_days")
+    # K06 is the first non-empty result set, so its columns are the header.
+    k06, k07, k08 = (kpi_oracle_sql(n) for n in ("k06_discharges_total", "k07_discharges_by_class",
+                                                  "k08_live_discharge_summary"))
+    out["r3_stack_results"] = f"""
+SELECT 0 AS result_set, bucket, bucket_sort, window_start, window_end, total_discharges FROM ({k06}) a
+UNION ALL
+SELECT 1, bucket, bucket_sort, NULL, NULL, NULL FROM ({k07}) b
+UNION ALL
+SELECT 2, bucket, bucket_sort, window_start, window_end, NULL FROM ({k08}) c"""
     return out
