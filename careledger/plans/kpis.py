@@ -419,8 +419,10 @@ def k17_bp1_detail(cat: Catalog, p: RunParams) -> DataFrame:
     r = _bp1_rows(cat, p)
     status = (F.when(C("bp1_date").isNull(), "No BP1")
               .when(C("hours_to_bp1") <= BP1_HOURS, "Compliant").otherwise("Late"))
+    # ORDER BY epi_SocDate; epi_id breaks ties (unordered in the script) so a
+    # hot start time still splits across range partitions.
     return (r.select("epi_id", "epi_SocDate", "bp1_date", "hours_to_bp1", status.alias("bp1_status"))
-            .orderBy("epi_SocDate"))
+            .orderBy("epi_SocDate", "epi_id"))
 
 
 # -------------------------------------------------------------------- patient days
