@@ -33,7 +33,8 @@ def _words(*alternatives: str) -> str:
 # The runner's patterns and messages.
 BLOCK_COMMENT = r"/\*[\s\S]*?\*/"
 LINE_COMMENT = "--" + JS_NOT_LINE_END + "*"
-STATEMENT_SPLIT = "(?i);|" + _words("GO")
+# ";" or the word GO (any case); the look-behind runs only where GO matched.
+STATEMENT_SPLIT = ";|[Gg][Oo](?<![A-Za-z0-9_][Gg][Oo])(?![A-Za-z0-9_])"
 DYNAMIC_SQL = "(?i)" + _words("EXEC", "sp_executesql", "xp_", "sp_")
 WRITE_SQL = "(?i)" + _words("INSERT", "UPDATE", "DELETE", "DROP", "ALTER", "TRUNCATE", "MERGE", "CREATE")
 EXTERNAL_ROWSET = "(?i)" + _words("OPENROWSET", "OPENQUERY")
@@ -57,8 +58,18 @@ SHEET_DEFAULT = "Sheet1"
 SHEET_MAX_CHARS = 31
 
 
+# The same JavaScript whitespace set as characters, for ``btrim``.
+JS_WS_CHARS = ("\t\n\x0b\x0c\r \u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+               + "\u2028\u2029\u202f\u205f\u3000\ufeff")
+
+
+ASCII_WS_CHARS = "\t\n\x0b\x0c\r "
+EXOTIC_WS_CHARS = "".join(ch for ch in JS_WS_CHARS if ch not in ASCII_WS_CHARS)
+
+
 def js_trim(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{JS_WS}+|{JS_WS}+$", "")
+    """JavaScript ``String.prototype.trim`` (no regex: a character-set trim)."""
+    return F.btrim(c, F.lit(JS_WS_CHARS))
 
 
 def collapse_ws(c: Column) -> Column:
@@ -66,6 +77,13 @@ def collapse_ws(c: Column) -> Column:
     return js_trim(F.regexp_replace(c, f"{JS_WS}+", " "))
 
 
+def _ascii_blanks(c: Column) -> Column:
+    """Map the non-ASCII JavaScript blanks to a space (a character map, no
+    regex).  Applied after comment stripping (U+2028/2029 end a ``--``
+    comment); afterwards Java's ASCII ``\\s`` is exactly JavaScript's ``\\s``."""
+    return F.translate(c, EXOTIC_WS_CHARS, " " * len(EXOTIC_WS_CHARS))
+
+
 def strip_comments(text: Column, cr: str) -> Column:
     """Drop ``/*...*/`` and ``--...`` comments; ``\\r`` becomes ``cr``; trim."""
     c = F.regexp_replace(text, BLOCK_COMMENT, " ")
@@ -75,42 +93,77 @@ def strip_comments(text: Column, cr: str) -> Column:
 
 def statements(text: Column, cr: str = "") -> Column:
     """T1 core: the array of normalised, non-empty statements of a script."""
-    parts = F.split(strip_comments(text, cr), STATEMENT_SPLIT, -1)
-    trimmed = F.filter(F.transform(parts, js_trim), lambda s: s != "")
-    return F.transform(trimmed, collapse_ws)
+    parts = F.split(_ascii_blanks(strip_comments(text, cr)), STATEMENT_SPLIT, -1)
+    ascii_trim = lambda x: F.btrim(x, F.lit(ASCII_WS_CHARS))
+    trimmed = F.filter(F.transform(parts, ascii_trim), lambda s: s != "")
+    return F.transform(trimmed, lambda x: ascii_trim(F.regexp_replace(x, "\\s+", " ")))
+
+
+def spread(scripts: DataFrame) -> DataFrame:
+    """Spread an under-split corpus over the cluster.
+
+    The text jobs are narrow (no shuffle), so their parallelism is the
+    number of input splits.  A corpus read as fewer splits than the
+    cluster's default parallelism (one small file, one row group) is
+    repartitioned round-robin once; a corpus already split into enough
+    partitions is left alone, so large inputs are never shuffled."""
+    want = scripts.sparkSession.sparkContext.defaultParallelism
+    if scripts.rdd.getNumPartitions() < want:
+        return scripts.repartition(want)
+    return scripts
 
 
 def split_statements(scripts: DataFrame, id_col: str = "script_id", text_col: str = "text") -> DataFrame:
     """One row per statement: (script_id, stmt_no, statement)."""
-    return scripts.select(F.col(id_col).alias("script_id"),
-                          F.posexplode(statements(F.col(text_col))).alias("stmt_no", "statement"))
+    return spread(scripts).select(F.col(id_col).alias("script_id"),
+                                  F.posexplode(statements(F.col(text_col))).alias("stmt_no", "statement"))
+
+
+# Lower-case literals one of which every match of the keyword patterns
+# contains: a cheap substring test decides most statements without a regex.
+DYNAMIC_HINTS = ["exec", "xp_", "sp_"]
+WRITE_HINTS = ["insert", "update", "delete", "drop", "alter", "truncate", "merge", "create"]
+EXTERNAL_HINTS = ["openrowset", "openquery"]
+
+
+def _gated(s: Column, low: Column, pattern: str, hints: list[str]) -> Column:
+    hit = None
+    for h in hints:
+        c = low.contains(h)
+        hit = c if hit is None else hit | c
+    return F.when(hit, s.rlike(pattern)).otherwise(F.lit(False))
 
 
 def _first_word(s: Column) -> Column:
     return F.upper(F.split(s, " ", 2)[0])
 
 
-def _statement_kind(s: Column) -> Column:
-    """Classify one normalised statement: an error text prefixed ``E:``,
-    ``skip`` (USE/SET/DECLARE), ``Q`` (WITH/SELECT) or ``P`` ((SELECT)."""
+def _with_lower(s: Column) -> Column:
+    return F.struct(s.alias("s"), F.lower(s).alias("low"))
+
+
+def _statement_kind(x: Column) -> Column:
+    """Classify one normalised statement ``struct(s, low)``: an error text
+    prefixed ``E:``, ``skip`` (USE/SET/DECLARE), ``Q`` (WITH/SELECT) or
+    ``P`` ((SELECT)."""
+    s, low = x["s"], x["low"]
     fw = _first_word(s)
     return (F.when(fw == "GO", F.lit("skip"))
-            .when(s.rlike(DYNAMIC_SQL), F.lit("E:" + ERR_DYNAMIC))
-            .when(s.rlike(WRITE_SQL), F.lit("E:" + ERR_ONLY_SELECT))
-            .when(s.rlike(EXTERNAL_ROWSET), F.lit("E:" + ERR_EXTERNAL))
+            .when(_gated(s, low, DYNAMIC_SQL, DYNAMIC_HINTS), F.lit("E:" + ERR_DYNAMIC))
+            .when(_gated(s, low, WRITE_SQL, WRITE_HINTS), F.lit("E:" + ERR_ONLY_SELECT))
+            .when(_gated(s, low, EXTERNAL_ROWSET, EXTERNAL_HINTS), F.lit("E:" + ERR_EXTERNAL))
             .when(fw.isin("USE", "SET") | s.rlike(DECLARE_HEAD), F.lit("skip"))
             .when(s.rlike(QUERY_HEAD), F.lit("Q"))
             .when(s.rlike(PAREN_SELECT_HEAD), F.lit("P"))
             .otherwise(F.lit("E:" + ERR_ONLY_SELECT)))
 
 
-def _audit_fold(stmts: Column) -> Column:
-    """Walk the statements in order: the first failing one decides; a second
-    WITH/SELECT fails; ``(SELECT`` only counts.  Returns struct(n, err)."""
+def _audit_fold(kinds: Column) -> Column:
+    """Walk the statement kinds in order: the first failing one decides; a
+    second WITH/SELECT fails; ``(SELECT`` only counts.  Returns struct(n, err)."""
     init = F.struct(F.lit(0).alias("n"), F.lit(None).cast("string").alias("err"))
 
-    def step(acc, s):
-        k = _statement_kind(s)
+    def step(acc, k):
         n1 = acc["n"] + 1
         return (F.when(acc["err"].isNotNull(), acc)
                 .when(k.startswith("E:"), F.struct(acc["n"].alias("n"), F.substring(k, 3, 1000).alias("err")))
@@ -119,37 +172,57 @@ def _audit_fold(stmts: Column) -> Column:
                 .when(k == "P", F.struct(n1.alias("n"), F.lit(None).cast("string").alias("err")))
                 .otherwise(acc))
 
-    return F.aggregate(stmts, init, step)
+    return F.aggregate(kinds, init, step)
+
+
+def audit_scripts(scripts: DataFrame, id_col: str = "script_id", text_col: str = "text") -> DataFrame:
+    """(script_id, valid, error) per script.
+
+    Each stage is its own column, so every regex runs once per statement
+    (an expression referenced twice inside a lambda would run twice)."""
+    df = spread(scripts).select(F.col(id_col).alias("script_id"), F.col(text_col).alias("_text"))
+    df = df.withColumn("_stmts", F.transform(statements(F.col("_text"), cr=" "), _with_lower))
+    df = df.withColumn("_kinds", F.transform("_stmts", _statement_kind))
+    df = df.withColumn("_fold", _audit_fold(F.col("_kinds")))
+    err = F.coalesce(F.col("_fold.err"), F.when(F.col("_fold.n") != 1, F.lit(ERR_ONLY_SELECT)))
+    blank = F.col("_text").isNull() | (js_trim(F.col("_text")) == "")
+    df = df.withColumn("_err", F.when(blank, F.lit(ERR_EMPTY)).otherwise(err))
+    return df.select("script_id", F.col("_err").isNull().alias("valid"), F.col("_err").alias("error"))
 
 
 def audit_text(text: Column) -> Column:
-    """T2 on one text: struct(valid boolean, error string)."""
-    fold = _audit_fold(statements(text, cr=" "))
+    """T2 on one text as a single expression: struct(valid, error).
+
+    For a handful of strings (validating a run's queries); corpora go
+    through ``audit_scripts``."""
+    fold = _audit_fold(F.transform(F.transform(statements(text, cr=" "), _with_lower), _statement_kind))
     err = F.coalesce(fold["err"], F.when(fold["n"] != 1, F.lit(ERR_ONLY_SELECT)))
     blank = text.isNull() | (js_trim(text) == "")
     return (F.when(blank, F.struct(F.lit(False).alias("valid"), F.lit(ERR_EMPTY).alias("error")))
             .otherwise(F.struct(err.isNull().alias("valid"), err.alias("error"))))
 
 
-def audit_scripts(scripts: DataFrame, id_col: str = "script_id", text_col: str = "text") -> DataFrame:
-    """(script_id, valid, error) per script."""
-    a = audit_text(F.col(text_col))
-    return scripts.select(F.col(id_col).alias("script_id"), a["valid"].alias("valid"), a["error"].alias("error"))
-
-
-def _query_parts(s: Column) -> Column:
-    """Split one statement at its first WITH/SELECT word: struct(setup, query).
-
-    ``query`` is NULL when the statement holds no such word; ``setup`` is
-    the text kept for later queries (USE / SET / DECLARE prefix) or NULL."""
-    idx = F.regexp_instr(s, F.lit(QUERY_WORD))          # 1-based, 0 when absent
+def _split_at_query(x: Column) -> Column:
+    """struct(s, idx) -> struct(head, query): cut at the first WITH/SELECT word."""
+    s, idx = x["s"], x["idx"]
     has_q = idx > 0
-    head = F.when(has_q, js_trim(F.substring(s, F.lit(1), idx - 1))).otherwise(s)
     query = F.when(has_q, js_trim(F.substring(s, idx, F.length(s))))
-    keep = (head != "") & (_first_word(head).isin("USE", "SET") | head.rlike(DECLARE_HEAD))
-    query_ok = query.isNotNull() & ~query.rlike(DYNAMIC_SQL) & ~query.rlike(WRITE_SQL) \
-        & ~query.rlike(EXTERNAL_ROWSET) & (query.rlike(QUERY_HEAD) | query.rlike(PAREN_SELECT_HEAD))
-    return F.struct(F.when(keep, head).alias("setup"), F.when(query_ok, query).alias("query"))
+    return F.struct(F.when(has_q, js_trim(F.substring(s, F.lit(1), idx - 1))).otherwise(s).alias("head"),
+                    query.alias("query"), F.lower(query).alias("low"))
+
+
+def _setup_and_query(x: Column) -> Column:
+    """struct(head, query) -> struct(setup, query): the setup text kept for
+    later queries (USE / SET / DECLARE prefix, DECLARE commented out) and
+    the query when the audit accepts it (else NULL)."""
+    head, query, low = x["head"], x["query"], x["low"]
+    is_declare = head.rlike(DECLARE_HEAD)
+    keep = (head != "") & (_first_word(head).isin("USE", "SET") | is_declare)
+    ok = (query.isNotNull() & ~_gated(query, low, DYNAMIC_SQL, DYNAMIC_HINTS)
+          & ~_gated(query, low, WRITE_SQL, WRITE_HINTS) & ~_gated(query, low, EXTERNAL_ROWSET, EXTERNAL_HINTS)
+          & (query.rlike(QUERY_HEAD) | query.rlike(PAREN_SELECT_HEAD)))
+    setup = F.when(keep, F.when(is_declare, F.concat(F.lit("-- "), head)).otherwise(head))
+    return F.struct(setup.alias("setup"), F.when(ok, query).alias("query"))
 
 
 def extract_queries(scripts: DataFrame, id_col: str = "script_id", text_col: str = "text") -> DataFrame:
@@ -158,16 +231,20 @@ def extract_queries(scripts: DataFrame, id_col: str = "script_id", text_col: str
     ``setup`` is the USE/SET/DECLARE text met so far in the script
     (DECLARE lines commented out); ``query`` is the text the runner would
     send: setup lines, the parameter defaults when the query needs them,
-    then the query."""
-    parts = F.transform(statements(F.col(text_col)), _query_parts)
-    setup_line = lambda x: F.when(x.rlike(DECLARE_HEAD), F.concat(F.lit("-- "), x)).otherwise(x)
+    then the query.  Stages are separate columns so that each regex runs
+    once per statement."""
+    df = spread(scripts).select(F.col(id_col).alias("script_id"), statements(F.col(text_col)).alias("_stmts"))
+    df = df.withColumn("_cut", F.transform("_stmts", lambda s: F.struct(
+        s.alias("s"), F.regexp_instr(s, F.lit(QUERY_WORD)).alias("idx"))))
+    df = df.withColumn("_cut", F.transform("_cut", _split_at_query))
+    df = df.withColumn("_parts", F.transform("_cut", _setup_and_query))
+    parts = F.col("_parts")
     with_setup = F.transform(parts, lambda p, i: F.struct(
         p["query"].alias("query"),
         F.transform(F.filter(F.slice(parts, 1, i + 1), lambda q: q["setup"].isNotNull()),
-                    lambda q: setup_line(q["setup"])).alias("setup")))
-    accepted = F.filter(with_setup, lambda x: x["query"].isNotNull())
-    rows = scripts.select(F.col(id_col).alias("script_id"),
-                          F.posexplode(accepted).alias("query_no", "q"))
+                    lambda q: q["setup"]).alias("setup")))
+    df = df.withColumn("_acc", F.filter(with_setup, lambda x: x["query"].isNotNull()))
+    rows = df.select("script_id", F.posexplode("_acc").alias("query_no", "q"))
     q = F.col("q.query")
     defaults = F.when(q.rlike(PARAM_AFTER_WORD), F.array(*[F.lit(d) for d in DEFAULT_DECLARES])) \
         .otherwise(F.array().cast("array<string>"))

@@ -78,3 +78,12 @@ def test_word_boundaries_are_ascii(spark):
     # sp_who is not the bare token sp_, so it is not dynamic SQL
     df2 = spark.createDataFrame([("s", "SELECT sp_who FROM t")], "script_id string, text string")
     assert T.audit_scripts(df2).first()["valid"]
+
+
+def test_javascript_whitespace_and_line_terminators(spark):
+    # U+2028 ends a -- comment (a JavaScript line terminator); NBSP and
+    # U+3000 are whitespace for \s and trim().
+    text = "SELECT 1 -- note FROM t ;　SELECT 2 "
+    df = spark.createDataFrame([("s", text)], "script_id string, text string")
+    rows = [r["statement"] for r in T.split_statements(df).orderBy("stmt_no").collect()]
+    assert rows == ["SELECT 1 FROM t", "SELECT 2"]
