@@ -83,7 +83,7 @@ def test_word_boundaries_are_ascii(spark):
 def test_javascript_whitespace_and_line_terminators(spark):
     # U+2028 ends a -- comment (a JavaScript line terminator); NBSP and
     # U+3000 are whitespace for \s and trim().
-    text = "SELECT 1 -- note FROM t ;　SELECT 2 "
+    text = "SELECT\u00a01 -- note\u2028FROM t ;\u3000SELECT 2\u00a0"
     df = spark.createDataFrame([("s", text)], "script_id string, text string")
     rows = [r["statement"] for r in T.split_statements(df).orderBy("stmt_no").collect()]
     assert rows == ["SELECT 1 FROM t", "SELECT 2"]
