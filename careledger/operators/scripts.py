@@ -107,10 +107,12 @@ def spread(scripts: DataFrame) -> DataFrame:
     cluster's default parallelism (one small file, one row group) is
     repartitioned round-robin once; a corpus already split into enough
     partitions is left alone, so large inputs are never shuffled."""
-    want = scripts.sparkSession.sparkContext.defaultParallelism
-    if scripts.rdd.getNumPartitions() < want:
-        return scripts.repartition(want)
-    return scripts
+    try:
+        want = scripts.sparkSession.sparkContext.defaultParallelism
+        have = scripts.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as read
+        return scripts
+    return scripts.repartition(want) if have < want else scripts
 
 
 def split_statements(scripts: DataFrame, id_col: str = "script_id", text_col: str = "text") -> DataFrame:

@@ -921,14 +921,6 @@ def _f14(cat, p):
         F.date_add(d, 3).alias("plus_3"), F.date_add(d, -14).alias("minus_14")).agg(N().alias("n"))
 
 
-@op("f15_default_run_date", """
-SELECT coalesce(CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END, {A}) AS run_date, COUNT(*) AS n
-FROM orders GROUP BY 1
-""", [])
-def _f15(cat, p):
-    raise NotImplementedError  # replaced by a raw entry below (reads orders directly)
-
-
 @op("f16_interval_clip", """
 WITH o AS (SELECT date_diff('day',
              CASE WHEN epi_SocDate > {S} THEN epi_SocDate ELSE CAST({S} AS TIMESTAMP) END,
@@ -969,12 +961,9 @@ def _f18(cat, p):
     return g.select("bucket", F.when(C("pct") >= 80, kpis.BP1_MEETS).otherwise(kpis.BP1_BELOW).alias("kpi_status"))
 
 
-def kpis_rank_sql():  # pragma: no cover - kept for the o1 oracle text below
-    return "CASE WHEN db.service_line = 'HOME HEALTH' THEN 1 WHEN db.service_line = 'HOSPICE' THEN 2 ELSE 99 END"
-
-
+_RANK_SQL = "CASE WHEN db.service_line = 'HOME HEALTH' THEN 1 WHEN db.service_line = 'HOSPICE' THEN 2 ELSE 99 END"
 _SQL["o1_multi_key_sort"] = (f"""
-SELECT coalesce(db.branch_name, '(unmapped)') AS bucket, MIN({kpis_rank_sql()}) AS bucket_sort, COUNT(*) AS n
+SELECT coalesce(db.branch_name, '(unmapped)') AS bucket, MIN({_RANK_SQL}) AS bucket_sort, COUNT(*) AS n
 FROM episodes e {_DIM} GROUP BY db.branch_name ORDER BY bucket_sort, bucket
 """, ["episodes", "dim_branch"])
 
@@ -989,10 +978,10 @@ def _raw(name: str, sql: str | None = None, tables: list[str] | None = None):
     return deco
 
 
-del _SPARK["f15_default_run_date"]
-
-
-@_raw("f15_default_run_date")
+@_raw("f15_default_run_date", """
+SELECT coalesce(CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END, {A}) AS run_date, COUNT(*) AS n
+FROM orders GROUP BY 1
+""", [])
 def _f15_raw(spark, sf_dir):
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     run = F.when(C("o_orderkey") % 7 != 0, F.to_date("o_orderdate"))
