@@ -364,29 +364,33 @@ def k14_lupa_by_reimbursement(cat: Catalog, p: RunParams) -> DataFrame:
     return by_bucket(per, _lupa_aggs(), window_cols(p.start, p.end))
 
 
-def period_visit_counts(cat: Catalog, periods: DataFrame) -> DataFrame:
+def period_visit_counts(cat: Catalog, periods: DataFrame, with_zero: bool = True) -> DataFrame:
     """J8 + J9: billable, undeleted visits of the episode inside each period.
 
     Written as an inner equi-join on the episode with the date range as a
-    residual, aggregated per period, then attached with a left join: the
-    same counts as the script's outer join, with a zero for periods without
-    visits, while the planner may choose either side as the hash build side."""
+    residual, aggregated per period (map-side first): the same counts as the
+    script's outer join, while the planner may choose either side as the
+    hash build side.  ``with_zero`` attaches the periods without visits
+    (count 0); a caller that left-joins the counts itself skips that join."""
     v = cat.visits_all.filter((C("cev_deleted") == 0) & (C("cev_billable") == 1)).select(
         "cev_id", "cev_epiid", F.to_date("cev_visitdate").alias("_vdate"))
     keys = periods.select("pp_id", "cefs_epiid", "pp_startDate", "pp_endDate")
     hits = keys.join(v, (v["cev_epiid"] == keys["cefs_epiid"])
                      & v["_vdate"].between(keys["pp_startDate"], keys["pp_endDate"]), "inner")
-    counts = hits.groupBy("pp_id").agg(F.count("cev_id").alias("_vc"))
+    counts = hits.groupBy("pp_id").agg(F.count("cev_id").alias("visit_count"))
+    if not with_zero:
+        return counts
     return (periods.select("pp_id").join(counts, "pp_id", "left")
-            .select("pp_id", F.coalesce(C("_vc"), F.lit(0)).alias("visit_count")))
+            .select("pp_id", F.coalesce(C("visit_count"), F.lit(0)).alias("visit_count")))
 
 
 def k15_lupa_by_threshold(cat: Catalog, p: RunParams) -> DataFrame:
     periods = _ended_periods(cat, p)
-    counts = period_visit_counts(cat, periods).withColumnRenamed("pp_id", "_pv_id")
+    counts = period_visit_counts(cat, periods, with_zero=False).withColumnRenamed("pp_id", "_pv_id")
     hipps = bounded_broadcast(cat.pdgm_hipps, CODE_TABLE_MAX_ROWS, cat.pdgm_hipps.select("ph_hipps", "ph_lupaThreshold"))
     per = (_periods_with_bucket(cat, periods)
            .join(counts, C("_pv_id") == C("pp_id"), "left")
+           .withColumn("visit_count", F.coalesce(C("visit_count"), F.lit(0)))
            .join(hipps, hipps["ph_hipps"] == F.trim(C("pp_currentHipps")), "left"))
     per = per.withColumn("is_lupa", as_flag(C("ph_lupaThreshold").isNotNull()
                                             & (C("visit_count") < C("ph_lupaThreshold"))))

@@ -216,3 +216,17 @@ def test_run_params_defaults():
     assert RunParams.build().end == dt.date.today()
     with pytest.raises(ValueError):
         RunParams.build(start=dt.date(2024, 3, 2), end=dt.date(2024, 3, 1))
+
+
+def test_duplicate_reason_code_fans_out_unless_deduplicated(make_catalog):
+    eps = [_episode(1, "1998-06-02 00:00:00", nonadmit="1998-06-03 00:00:00", nonadmit_code="N1"),
+           _episode(2, "1998-06-02 00:00:00", nonadmit="1998-06-04 00:00:00", nonadmit_code="N9")]
+    reasons = [("N1", "Not homebound", False), ("N1", "Does not meet criteria", True)]
+    cat = make_catalog(episodes=eps, nonadmit_reasons=reasons, dim_branch=_dim_rows(), dim_branch_17=_dim_rows())
+    raw = sorted((r["nonadmit_code"], r["nonadmit_reason"], r["refusal_of_service"], r["non_admit_count"])
+                 for r in kpis.k25_nonadmit_reasons_raw(cat, P).collect())
+    assert raw == [("N1", "Does not meet criteria", True, 1), ("N1", "Not homebound", False, 1),
+                   ("N9", "(unknown reason)", None, 1)]
+    dedup = sorted((r["nonadmit_code"], r["nonadmit_reason"], r["refusal_of_service"], r["non_admit_count"])
+                   for r in kpis.k23_nonadmit_reasons_dedup(cat, P).collect())
+    assert dedup == [("N1", "Does not meet criteria", True, 1), ("N9", "(unknown reason)", None, 1)]
