@@ -63,11 +63,13 @@ def stack_results(results: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _placeholder(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(NO_DATA_VALUE,)], f"`{NO_DATA_COLUMN}` string")
+
+
 def placeholder_if_empty(df: DataFrame) -> DataFrame:
     """An empty result becomes one row ``No data = 'No rows returned'``."""
-    if df.isEmpty():
-        return df.sparkSession.createDataFrame([(NO_DATA_VALUE,)], f"`{NO_DATA_COLUMN}` string")
-    return df
+    return _placeholder(df.sparkSession) if df.isEmpty() else df
 
 
 def output_root(spark: SparkSession) -> str:
@@ -88,26 +90,79 @@ def stamp_for(spark: SparkSession, run_date: dt.date, prefix: str = "KPIReport")
     return spark.range(1).select(report_stamp(prefix, F.lit(run_date).cast("date")).alias("s")).first()["s"]
 
 
+def _write_all(frames: dict[str, DataFrame], paths: dict[str, str], fmt: str, threads: int) -> None:
+    """Write each frame once, as concurrent Spark jobs (overwrite: idempotent re-runs)."""
+    def write(name):
+        frames[name].write.mode("overwrite").format(fmt).save(paths[name])
+        return name
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(frames)))) as pool:
+        list(pool.map(write, list(frames)))
+
+
 def write_reports(reports: dict[str, DataFrame], out_dir: str, stamp: str, fmt: str = "parquet",
                   threads: int = 4) -> dict[str, str]:
     """One output per report under ``out_dir/stamp/<sheet name>``.
 
-    Each write is a separate Spark job; the writes are submitted
-    concurrently.  Overwrite mode makes a re-run after a lost executor or a
-    failed job idempotent."""
+    Each report is computed once: it is written, and only an output that
+    turns out empty (checked on the written files) is replaced by the R4
+    placeholder.  The writes are submitted concurrently; overwrite mode
+    makes a re-run after a lost executor or a failed job idempotent."""
     if not reports:
         return {}
     spark = next(iter(reports.values())).sparkSession
     names = list(reports)
     paths = {n: f"{out_dir.rstrip('/')}/{stamp}/{s}" for n, s in zip(names, sheet_names(spark, names))}
+    _write_all(reports, paths, fmt, threads)
+    for n in names:
+        if spark.read.format(fmt).load(paths[n]).isEmpty():
+            _placeholder(spark).write.mode("overwrite").format(fmt).save(paths[n])
+    return paths
 
-    def write(name):
-        placeholder_if_empty(reports[name]).write.mode("overwrite").format(fmt).save(paths[name])
-        return name
 
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(names)))) as pool:
-        list(pool.map(write, names))
-    return paths
+# Report name -> its result sets, stacked in this order (one output each).
+KPI_CATALOGUE = {
+    "Admissions": ["k01_admissions_by_branch", "k02_admissions_by_care_type"],
+    "Days to Admit": ["k03_days_to_admit"],
+    "Billing Holds": ["k04_billing_holds_sla"],
+    "Daily Census": ["k05_daily_census"],
+    "Discharges": ["k06_discharges_total", "k07_discharges_by_class", "k08_live_discharge_summary"],
+    "Census Equivalent": ["k09_hce_by_branch", "k10_hce_combined", "k11_hce_total"],
+    "Length of Stay": ["k12_los_discharged", "k13_los_active"],
+    "LUPA": ["k14_lupa_by_reimbursement", "k15_lupa_by_threshold"],
+    "BP1 Visits": ["k16_bp1_summary", "k17_bp1_detail"],
+    "Patient Days": ["k18_patient_days"],
+    "QA Compliance": ["k19_qa_compliance"],
+    "Recertifications": ["k20_recert_rate", "k21_recert_share_of_episodes"],
+    "Referral Conversion (strict)": ["k22_referral_conversion_strict", "k23_nonadmit_reasons_dedup"],
+    "Referral Conversion": ["k24_referral_conversion", "k25_nonadmit_reasons_raw"],
+    "Revenue": ["k26_revenue_by_branch", "k27_revenue_per_patient_day"],
+    "Receivables and Unbilled": ["k28_ar_aging", "k29_ar_over_90", "k30_unbilled"],
+}
+
+
+def run_kpi_reports(cat, params: RunParams, out_dir: str | None = None, prefix: str = "KPIReport",
+                    catalogue: dict[str, list[str]] | None = None) -> dict[str, str]:
+    """The scheduled run: every report of the catalogue for one run date,
+    its result sets stacked (R3), one output per report (R5).
+
+    Every result set is computed exactly once: all of them are first written
+    (concurrently) under ``<stamp>/_parts`` in the shared folder, which also
+    cuts their lineage; stacking then probes emptiness and unions the small
+    written outputs instead of re-running the reports."""
+    from careledger.plans.kpis import KPI_REPORTS
+    spark = cat.spark
+    catalogue = catalogue or KPI_CATALOGUE
+    out_dir = out_dir or output_root(spark)
+    stamp = stamp_for(spark, params.end, prefix)
+    parts = {i: KPI_REPORTS[i](cat, params) for ids in catalogue.values() for i in ids}
+    part_paths = {i: f"{out_dir.rstrip('/')}/{stamp}/_parts/{i}" for i in parts}
+    _write_all(parts, part_paths, "parquet", threads=8)
+    results = {}
+    for name, ids in catalogue.items():
+        frames = [spark.read.parquet(part_paths[i]) for i in ids]
+        results[name] = frames[0] if len(frames) == 1 else stack_results(frames)
+    return write_reports(results, out_dir, stamp)
 
 
 def load_definitions(spark: SparkSession, definitions_path: str | None, folder: str | None) -> list[dict]:

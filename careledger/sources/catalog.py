@@ -54,6 +54,15 @@ class Catalog:
         self.dc_class.createOrReplaceTempView("dc_class")
         self.lupa_codes.createOrReplaceTempView("lupa_codes")
 
+    @classmethod
+    def from_parquet(cls, spark: SparkSession, root: str, dim_branch: DataFrame,
+                     dim_branch_17: DataFrame | None = None) -> "Catalog":
+        """Bind to one parquet folder per table under ``root`` (``root/episodes``, ...)."""
+        names = [f.name for f in fields(cls) if f.name not in ("spark", "dim_branch", "dim_branch_17")]
+        kw = {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
+        return cls(spark=spark, dim_branch=dim_branch,
+                   dim_branch_17=dim_branch_17 if dim_branch_17 is not None else dim_branch, **kw)
+
     @classmethod
     def from_tables(cls, spark: SparkSession, names: dict[str, str],
                     dim_branch: DataFrame, dim_branch_17: DataFrame | None = None) -> "Catalog":

@@ -77,3 +77,29 @@ def test_write_reports_placeholder_and_names(spark, fixture_catalog, tmp_path):
     rows = spark.read.parquet(paths["Empty: detail?"]).collect()
     assert [tuple(r) for r in rows] == [("No rows returned",)]
     assert spark.read.parquet(paths["Days"]).count() == kpis.k18_patient_days(fixture_catalog, P).count()
+
+
+def test_run_kpi_reports_catalogue(spark, fixture_catalog, tmp_path):
+    from careledger.reports import KPI_CATALOGUE, run_kpi_reports
+    assert sorted(i for ids in KPI_CATALOGUE.values() for i in ids) == sorted(kpis.KPI_REPORTS)
+    paths = run_kpi_reports(fixture_catalog, P, out_dir=str(tmp_path))
+    assert len(paths) == 16
+    disch = spark.read.parquet(paths["Discharges"])
+    assert disch.columns[0] == "result_set"
+    assert sorted(r[0] for r in disch.select("result_set").distinct().collect()) == [0, 1, 2]
+    days = spark.read.parquet(paths["Patient Days"])
+    assert days.count() == kpis.k18_patient_days(fixture_catalog, P).count()
+
+
+def test_catalog_from_parquet_folders(spark, fixture_catalog, tmp_path):
+    from dataclasses import fields
+    from careledger.sources.catalog import Catalog
+    for f in fields(fixture_catalog):
+        if f.name not in ("spark", "dim_branch", "dim_branch_17"):
+            getattr(fixture_catalog, f.name).write.parquet(str(tmp_path / f.name))
+    cat = Catalog.from_parquet(spark, str(tmp_path), fixture_catalog.dim_branch, fixture_catalog.dim_branch_17)
+    key = lambda t: tuple((v is not None, str(v)) for v in t)
+    for name in ("k18_patient_days", "k04_billing_holds_sla"):
+        a = sorted(map(tuple, kpis.KPI_REPORTS[name](cat, P).collect()), key=key)
+        b = sorted(map(tuple, kpis.KPI_REPORTS[name](fixture_catalog, P).collect()), key=key)
+        assert a == b
