@@ -1293,4 +1293,36 @@ UNION ALL
 SELECT 1, bucket, bucket_sort, NULL, NULL, NULL FROM ({k07}) b
 UNION ALL
 SELECT 2, bucket, bucket_sort, window_start, window_end, NULL FROM ({k08}) c"""
+    # Three reports written and read back; the empty one holds the placeholder row.
+    k18 = kpi_oracle_sql("k18_patient_days")
+    out["r5_write_reports"] = f"""
+SELECT 'Discharges/Total' AS report, 'Discharges_Total' AS output, COUNT(*) AS rows FROM ({k06}) a
+UNION ALL SELECT 'Patient Days', 'Patient Days', COUNT(*) FROM ({k18}) b
+UNION ALL SELECT 'Empty BP1 [future]', 'Empty BP1 _future_', 1"""
+    # The fixture scripts' queries, written out for DuckDB.
+    q = {k: _subst(with_tables(v, *_FIXTURE_TABLES[k])) for k, v in _FIXTURE_QUERIES.items()}
+    out["s5_script_folder_scan"] = f"""
+SELECT 'Admissions' AS name, 0 AS query_no, COUNT(*) AS rows FROM ({q['adm0']}) a
+UNION ALL SELECT 'Admissions', 1, COUNT(*) FROM ({q['adm1']}) b
+UNION ALL SELECT 'Billing Holds', 0, COUNT(*) FROM ({q['holds']}) c"""
+    out["r6_run_reports"] = f"""
+SELECT 'Admissions' AS report, (SELECT COUNT(*) FROM ({q['adm0']}) a) + (SELECT COUNT(*) FROM ({q['adm1']}) b) AS rows
+UNION ALL SELECT 'Billing Holds', (SELECT COUNT(*) FROM ({q['holds']}) c)"""
     return out
+
+
+# The queries of tests/fixtures/sql, as DuckDB SQL over the binding.
+_FIXTURE_QUERIES = {
+    "adm0": """SELECT epi_slid, COUNT(*) AS admission_count FROM episodes
+WHERE epi_status = 'CURRENT' AND epi_NonAdmitDate IS NULL AND CAST(epi_SocDate AS DATE) BETWEEN {S} AND {E}
+GROUP BY epi_slid""",
+    "adm1": """SELECT epi_AdmitType, COUNT(*) AS admissions_all_types FROM episodes
+WHERE CAST(epi_SocDate AS DATE) BETWEEN {S} AND {E} GROUP BY epi_AdmitType""",
+    "holds": """WITH holds AS (
+  SELECT li.li_slid, li.li_calculatedamount FROM line_items li LEFT JOIN invoices i ON i.i_id = li.li_iid
+  WHERE li.li_deleted = 0 AND li.li_void = 0 AND li.li_includeonclaim = 1
+    AND CAST(li.li_servicedate AS DATE) BETWEEN {S} AND {E}
+    AND (li.li_ediexportdate IS NULL OR i.i_status IN ('HOLD', 'HELD')))
+SELECT li_slid, COUNT(*) AS total_holds, SUM(li_calculatedamount) AS total_hold_amount FROM holds GROUP BY li_slid""",
+}
+_FIXTURE_TABLES = {"adm0": ["episodes"], "adm1": ["episodes"], "holds": ["line_items", "invoices"]}
