@@ -79,14 +79,19 @@ def k02_admissions_by_care_type(cat: Catalog, p: RunParams) -> DataFrame:
     e = e.join(lines, lines["sl_id"] == e["epi_slid"], "inner").drop("sl_id")
     e = (with_bucket(e, cat.dim_branch, wildcard=True, hospice_rank=False, keep_service_line=True)
          .filter(C("_dim_service_line") == HOME_HEALTH))
-    primary = cat.episode_care_types.filter(C("cect_primary") == "Y").select("cect_epiid", "cect_ctypeid")
+    # One-to-many: an episode counts once per primary care-type row.  The
+    # rows are first counted per (episode, type) (map-side, so a hot episode
+    # never lands whole in one join task) and carried as a weight.
+    primary = (cat.episode_care_types.filter(C("cect_primary") == "Y")
+               .groupBy("cect_epiid", "cect_ctypeid").agg(F.count(F.lit(1)).alias("_w")))
     types = bounded_broadcast(cat.care_types, CODE_TABLE_MAX_ROWS,
                               cat.care_types.select("ctype_id", "ctype_description"))
     j = (e.join(primary, primary["cect_epiid"] == e["epi_id"], "left")
          .join(types, types["ctype_id"] == C("cect_ctypeid"), "left"))
     care_type = fill(C("ctype_description"), "(no primary care type)")
     g = j.groupBy(C("bucket"), care_type.alias("care_type")).agg(
-        F.min("bucket_sort").alias("service_line_id"), F.count(F.lit(1)).alias("admission_count"))
+        F.min("bucket_sort").alias("service_line_id"),
+        F.sum(F.coalesce(C("_w"), F.lit(1))).alias("admission_count"))
     return (g.select(C("bucket").alias("service_line"), "service_line_id", "care_type",
                      *window_cols(p.start, p.end), "admission_count")
             .transform(lambda d: order_bounded(d, "care_type")))

@@ -103,11 +103,13 @@ FROM dates LEFT JOIN episodes e ON CAST(e.epi_SocDate AS DATE) = d
 GROUP BY d
 """, ["episodes"])
 def _s4(cat, p):
-    spine = F.broadcast(date_spine(cat.spark, p.start, p.end))   # days_in_window rows
-    e = cat.episodes.filter(in_window_by_date(C("epi_SocDate"), p.start, p.end)) \
-        .select("epi_id", F.to_date("epi_SocDate").alias("_d"))
-    return spine.join(e, C("_d") == C("CensusDate"), "left").groupBy("CensusDate") \
-        .agg(F.count("epi_id").alias("admissions"))
+    spine = date_spine(cat.spark, p.start, p.end)   # days_in_window rows
+    # Count per day first (map-side), so a hot day never sits whole in one join task.
+    per_day = cat.episodes.filter(in_window_by_date(C("epi_SocDate"), p.start, p.end)) \
+        .groupBy(F.to_date("epi_SocDate").alias("_d")).agg(F.count("epi_id").alias("_n"))
+    # per_day holds at most days_in_window rows (grouped by a date inside the window).
+    return spine.join(F.broadcast(per_day), C("_d") == C("CensusDate"), "left") \
+        .select("CensusDate", F.coalesce(C("_n"), F.lit(0)).alias("admissions"))
 
 
 @op("s6_definition_file_scan", """
@@ -456,10 +458,13 @@ FROM episodes e {_DIM} LEFT JOIN facetoface f ON f.ceftf_f2fappliestoepiid = e.e
 WHERE CAST(e.epi_SocDate AS DATE) BETWEEN {{S}} AND {{E}} GROUP BY db.branch_name
 """, ["episodes", "dim_branch", "facetoface"])
 def _j10(cat, p):
+    """COUNT(*) over the one-to-many left join, from per-episode row counts:
+    an episode with n matching rows stands for max(n, 1) joined rows."""
     e = with_bucket(cat.episodes.filter(in_window_by_date(C("epi_SocDate"), p.start, p.end)), cat.dim_branch)
-    f = cat.facetoface
-    j = e.join(f, f["ceftf_f2fappliestoepiid"] == e["epi_id"], "left")
-    return j.groupBy("bucket").agg(N().alias("joined_rows"), F.countDistinct("epi_id").alias("episodes"))
+    f = cat.facetoface.groupBy(C("ceftf_f2fappliestoepiid").alias("_f_id")).agg(N().alias("_n"))
+    j = e.join(f, f["_f_id"] == e["epi_id"], "left")
+    return j.groupBy("bucket").agg(F.sum(F.greatest(F.coalesce(C("_n"), F.lit(0)), F.lit(1))).alias("joined_rows"),
+                                   F.countDistinct("epi_id").alias("episodes"))
 
 
 @op("j11_full_outer_join", f"""
