@@ -8,6 +8,32 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for the 100 TB target (1000 executors).  The run date window keeps
+# the fact side of most joins small, so runtime filters and AQE's runtime
+# broadcast matter more than static sizing; shuffles start wide and AQE
+# coalesces them to ~256 MB partitions and splits skewed ones.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.sources.bucketing.enabled": "true",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply ``CLUSTER_CONF`` (runtime SQL settings) to a cluster session."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+
+
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                 app: str = "careledger") -> SparkSession:
     builder = (
