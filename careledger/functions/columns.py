@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 __all__ = [
     "lit_date", "fill", "label_or_code", "blank_to_null", "norm_key", "flag_in",
     "days_between", "hour_boundaries", "ratio_pct", "avg_dec", "bucket_rank",
-    "clip_start", "clip_end", "zero_floor", "as_flag", "RECERT_YES",
+    "clip_start", "clip_end", "zero_floor", "as_flag", "aging_sums", "RECERT_YES", "AGING_BUCKETS",
 ]
 
+# Receivables aging buckets (days, inclusive bounds; None = open end).
+AGING_BUCKETS = [("ar_0_30", None, 30), ("ar_31_60", 31, 60), ("ar_61_90", 61, 90), ("ar_over_90", 91, None)]
+
 # Recert flag spellings that mean "yes" (compared upper-cased and trimmed).
 RECERT_YES = ["Y", "1", "R", "RECERT", "TRUE"]
 
@@ -84,8 +87,12 @@ def ratio_pct(num: Column, den: Column, dtype: str, guard: str = "nullif") -> Co
 
 
 def avg_dec(c: Column, dtype: str) -> Column:
-    """A9 ``CAST(AVG(x * 1.0) AS decimal(p,s))``: exact decimal mean, half up."""
-    return (F.sum(c).cast("decimal(38,0)") / F.count(c)).cast(dtype)
+    """A9 ``CAST(AVG(x * 1.0) AS decimal(p,s))``: decimal mean, half up.
+
+    The sum is taken as decimal(20,0) so the quotient keeps 18 decimal
+    places (decimal(38,0) would leave 6, and a mean within 5e-7 of a tie could
+    round twice once counts reach the millions)."""
+    return (F.sum(c).cast("decimal(20,0)") / F.count(c)).cast(dtype)
 
 
 def bucket_rank(service_line: Column, hospice_rank: bool = True) -> Column:
@@ -117,5 +124,15 @@ def zero_floor(c: Column) -> Column:
     return F.when(c > 0, c).otherwise(F.lit(0))
 
 
+def aging_sums(age: Column, amount: Column, total: str = "ar_total") -> list[Column]:
+    """A8 aging pivot: one conditional sum per bucket plus the total, in one
+    aggregation (``SUM(CASE WHEN age BETWEEN lo AND hi THEN amount ELSE 0 END)``)."""
+    out = []
+    for name, lo, hi in AGING_BUCKETS:
+        cond = (age >= lo) if hi is None else (age <= hi) if lo is None else age.between(lo, hi)
+        out.append(F.sum(F.when(cond, amount).otherwise(F.lit(0))).alias(name))
+    return out + [F.sum(amount).alias(total)]
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from careledger.functions.columns import (
-    as_flag, avg_dec, bucket_rank, days_between, fill, flag_in, hour_boundaries, lit_date,
+    aging_sums, as_flag, avg_dec, bucket_rank, days_between, fill, flag_in, hour_boundaries, lit_date,
     ratio_pct, clip_end, clip_start, zero_floor,
 )
 from careledger.functions.predicates import (
@@ -192,15 +192,8 @@ def k28_ar_aging(cat: Catalog, p: RunParams) -> DataFrame:
     ar = (_open_invoices(cat)
           .filter(C("i_postdate").isNotNull() & (C("i_postdate") <= asof.cast("timestamp_ntz")))
           .withColumn("age_days", F.datediff(asof, C("i_postdate"))))
-    bal, age, zero = C("i_balance"), C("age_days"), F.lit(0)
-    aggs = [
-        F.sum(F.when(age <= 30, bal).otherwise(zero)).alias("ar_0_30"),
-        F.sum(F.when(age.between(31, 60), bal).otherwise(zero)).alias("ar_31_60"),
-        F.sum(F.when(age.between(61, 90), bal).otherwise(zero)).alias("ar_61_90"),
-        F.sum(F.when(age > 90, bal).otherwise(zero)).alias("ar_over_90"),
-        F.sum(bal).alias("ar_total"),
-    ]
-    return by_branch_code(ar, cat.dim_branch, aggs, window_cols(p.start, p.end))
+    return by_branch_code(ar, cat.dim_branch, aging_sums(C("age_days"), C("i_balance")),
+                          window_cols(p.start, p.end))
 
 
 def k29_ar_over_90(cat: Catalog, p: RunParams) -> DataFrame:

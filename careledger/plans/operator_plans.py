@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from careledger.functions.columns import (
-    as_flag, avg_dec, bucket_rank, blank_to_null, clip_end, clip_start, days_between, fill, flag_in,
+    aging_sums, as_flag, avg_dec, bucket_rank, blank_to_null, clip_end, clip_start, days_between, fill, flag_in,
     hour_boundaries, label_or_code, lit_date, ratio_pct, zero_floor,
 )
 from careledger.functions.predicates import (
@@ -585,12 +585,7 @@ def _a8(cat, p):
     a = cat.invoices.filter((C("i_balance") > 0) & C("i_postdate").isNotNull()
                             & (C("i_postdate") <= asof.cast("timestamp_ntz"))) \
         .withColumn("age", F.datediff(asof, C("i_postdate")))
-    bal, age, z = C("i_balance"), C("age"), F.lit(0)
-    return a.groupBy("i_status").agg(
-        F.sum(F.when(age <= 30, bal).otherwise(z)).alias("ar_0_30"),
-        F.sum(F.when(age.between(31, 60), bal).otherwise(z)).alias("ar_31_60"),
-        F.sum(F.when(age.between(61, 90), bal).otherwise(z)).alias("ar_61_90"),
-        F.sum(F.when(age > 90, bal).otherwise(z)).alias("ar_over_90"), F.sum(bal).alias("ar_total"))
+    return a.groupBy("i_status").agg(*aging_sums(C("age"), C("i_balance")))
 
 
 @op("a9_avg_decimal", """
