@@ -34,11 +34,11 @@ def main() -> None:
     layout = os.environ.get("BENCH_LAYOUT", "bound")
     if layout == "bucketed":
         # Nightly layout refresh (not timed): episode-keyed tables bucketed alike.
-        import tempfile
+        import uuid
 
         from careledger.session import ensure_checkpoint_dir
         from careledger.sources.layout import materialize_bucketed
-        root = tempfile.mkdtemp(prefix="bench-layout-", dir=ensure_checkpoint_dir(spark))
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-layout-{uuid.uuid4().hex}"
         cat = materialize_bucketed(cat, root, database="careledger_bench", buckets=max(8, cpus))
     names = list(KPI_REPORTS)
     only = [a for a in sys.argv[1:]]
