@@ -43,3 +43,19 @@ def test_window_filters_are_pushed_to_parquet(spark, fixture_catalog, tmp_path):
 def test_census_is_an_expansion_not_a_range_join(fixture_catalog):
     plan = _plan(KPI_REPORTS["k05_daily_census"](fixture_catalog, P))
     assert "Generate" in plan and "NestedLoop" not in plan
+
+
+_WRITERS = {"s5_script_folder_scan", "s6_definition_file_scan", "r5_write_reports", "r6_run_reports"}
+
+
+def _registered():
+    import __spark_entry__ as entry
+    return entry.queries()
+
+
+@pytest.mark.parametrize("name", sorted(n for n in _registered() if n not in _WRITERS and not n.startswith("k")))
+def test_operator_plan_shape(spark, name):
+    from tests.conftest import SF_SMALL
+    plan = _plan(_registered()[name](spark, SF_SMALL))
+    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, f"{name}: {bad}"
