@@ -7,7 +7,8 @@ caller acts on the result.  Shapes at scale:
 * facts are filtered on the run window before any join, and the window
   predicates are written so parquet receives them as pushed filters;
 * one-to-many sides are aggregated per episode before they meet the
-  episode rows (K15, K16, K19), so no join emits all pairs of a group;
+  episode rows (K02, K15, K16, K19), so no join emits all pairs of a group
+  and a hot episode never sits whole in one join task;
 * the census spine is expanded per episode over at most the window's days
   (K05) instead of a nested-loop range join;
 * hot groups (one bucket may hold a third of all rows) are only ever
@@ -48,6 +49,7 @@ def _one():
     """``1.0`` as DECIMAL(2,1), as in ``x * 1.0`` of the scripts (not a double)."""
     return F.lit(Decimal("1.0"))
 
+
 # BP1 status texts.
 BP1_MEETS = "✅ Meets KPI (>=80%)"
 BP1_BELOW = "❌ Below KPI"
