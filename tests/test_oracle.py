@@ -45,10 +45,8 @@ def test_matches_oracle(spark, con, name):
     assert digest(scols, srows)[0] == digest(ocols, orows)[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_runs_without_oracle(spark, name):
-    df = QUERIES[name](spark, SF_SMALL)
-    assert df.count() >= 1
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_smoke(spark):
