@@ -1302,12 +1302,12 @@ UNION ALL SELECT 'Empty BP1 [future]', 'Empty BP1 _future_', 1"""
     # The fixture scripts' queries, written out for DuckDB.
     q = {k: _subst(with_tables(v, *_FIXTURE_TABLES[k])) for k, v in _FIXTURE_QUERIES.items()}
     out["s5_script_folder_scan"] = f"""
-SELECT 'Admissions' AS name, 0 AS query_no, COUNT(*) AS rows FROM ({q['adm0']}) a
-UNION ALL SELECT 'Admissions', 1, COUNT(*) FROM ({q['adm1']}) b
-UNION ALL SELECT 'Billing Holds', 0, COUNT(*) FROM ({q['holds']}) c"""
+SELECT 'window_admissions' AS name, 0 AS query_no, COUNT(*) AS rows FROM ({q['adm0']}) a
+UNION ALL SELECT 'window_admissions', 1, COUNT(*) FROM ({q['adm1']}) b
+UNION ALL SELECT 'hold lines', 0, COUNT(*) FROM ({q['holds']}) c"""
     out["r6_run_reports"] = f"""
-SELECT 'Admissions' AS report, (SELECT COUNT(*) FROM ({q['adm0']}) a) + (SELECT COUNT(*) FROM ({q['adm1']}) b) AS rows
-UNION ALL SELECT 'Billing Holds', (SELECT COUNT(*) FROM ({q['holds']}) c)"""
+SELECT 'window_admissions' AS report, (SELECT COUNT(*) FROM ({q['adm0']}) a) + (SELECT COUNT(*) FROM ({q['adm1']}) b) AS rows
+UNION ALL SELECT 'hold lines', (SELECT COUNT(*) FROM ({q['holds']}) c)"""
     return out
 
 

@@ -44,7 +44,7 @@ def test_sanitizes_names_and_builds_file_names(spark):
 def test_builds_definitions_from_a_folder(spark, tmp_path):
     defs = definitions_from_folder(spark, FIXTURE_SQL).collect()
     names = [r["name"] for r in defs]
-    assert names == sorted(names) and "Admissions" in names and "Billing Holds" in names
+    assert names == sorted(names) and "window_admissions" in names and "hold lines" in names
     assert "cleanup" not in names                        # only a DELETE: no query extracted
     scanned = [r["name"] for r in script_folder(spark, FIXTURE_SQL).collect()]
     assert "cleanup" in scanned and "notes" not in scanned  # *.SQL in any case; .txt ignored

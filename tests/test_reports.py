@@ -53,7 +53,7 @@ def test_run_reports_from_definitions_and_folder(spark, fixture_catalog, tmp_pat
     bad = tmp_path / "bad.json"
     bad.write_text("[")
     paths = run_reports(spark, P, out_dir=str(out), definitions_path=str(bad), folder=FIXTURE_SQL)
-    assert sorted(paths) == ["Admissions", "Billing Holds"]
+    assert sorted(paths) == ["hold lines", "window_admissions"]
 
 
 def test_run_reports_errors(spark, fixture_catalog, tmp_path):
