@@ -1,4 +1,4 @@
-"""The reference runner's own five tests, re-stated against the Spark jobs
+"""The original runner's five tests, re-stated against the Spark jobs
 (T2 audit, T4 names, T5 stamps, S5 folder scan, T3 extraction)."""
 
 import datetime as dt
