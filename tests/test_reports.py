@@ -103,3 +103,15 @@ def test_catalog_from_parquet_folders(spark, fixture_catalog, tmp_path):
         a = sorted(map(tuple, kpis.KPI_REPORTS[name](cat, P).collect()), key=key)
         b = sorted(map(tuple, kpis.KPI_REPORTS[name](fixture_catalog, P).collect()), key=key)
         assert a == b
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    from careledger.__main__ import main
+    from tests.conftest import SF_SMALL
+    assert main(["--fixture", SF_SMALL, "--as-of", "1998-06-15", "--out", str(tmp_path)]) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert len(lines) == 16 and all("KPIReport_19980615" in ln for ln in lines)
+    assert main(["--fixture", SF_SMALL, "--as-of", "1998-06-15", "--out", str(tmp_path / "f"),
+                 "--folder", FIXTURE_SQL]) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert sorted(ln.split("\t")[0] for ln in lines) == ["hold lines", "window_admissions"]
