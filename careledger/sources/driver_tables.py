@@ -8,6 +8,13 @@ customer key), and its filters run inside the same stage as the scan.
 The only shuffle the binding adds is orders x customer for the nation key
 (and orders for the invoice / visit bindings); both are hash joins on a
 key, never a product.
+
+Choices the fixture rules leave open, made here and in the oracle alike:
+visits with line number > 2 carry SOC flag ``'N'``; ``branches`` codes carry
+one trailing blank; certification primary flag is ``'N'`` when not ``'Y'``;
+the non-admit reason texts are invented (codes N1 and N3 twice, N6 missing);
+line amounts are computed in decimal (price and discount as decimal(15,2))
+so that Spark and DuckDB round the same way.
 """
 
 from __future__ import annotations
