@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +38,19 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, where the cluster has not installed it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    context = spark.sparkContext
+    on_path = root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root
+    if on_path or getattr(context, "_careledger_shipped", False):
+        return
+    with tempfile.TemporaryDirectory() as folder:           # on the driver; Spark serves the file to the executors
+        archive = shutil.make_archive(f"{folder}/careledger-code", "zip", root, "careledger")
+        context.addPyFile(archive)
+    context._careledger_shipped = True
+
+
 def id_key(col: str | Column) -> Column:
     """A join key that is never null, so rows without an id keep their decisions."""
     return F.coalesce(F.col(col).cast("string") if isinstance(col, str) else col.cast("string"), F.lit("null"))
@@ -54,7 +72,16 @@ def attach_group(rows: DataFrame, keys: list[str], salt_on: list[str], aggs: dic
     parts = salted.groupBy(*keys, "_part").agg(*[a.alias(n) for n, (_, a) in aggs.items()])
     groups = parts.groupBy(*keys).agg(*[getattr(F, how)(n).alias(n) for n, (how, _) in aggs.items()])
     heads = parts.select(*keys, "_part").join(groups, keys)
-    return salted.join(heads, [*keys, "_part"])
+    return salted.join(heads, [*keys, "_part"]).drop("_part")
+
+
+def salted_lookup(rows: DataFrame, keys: list[str], salt_on: list[str], table: DataFrame, how: str = "inner",
+                  salts: int = 64) -> DataFrame:
+    """``rows`` joined with ``table`` (one row a key) by way of (key, part) rows, so that no task sees a
+    whole hot key.  Keys must not be null."""
+    salted = rows.withColumn("_part", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
+    heads = salted.select(*keys, "_part").distinct().join(table, keys)
+    return salted.join(heads, [*keys, "_part"], how).drop("_part")
 
 
 class WordHasher(dict):
@@ -94,13 +121,14 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def text_slices(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``most`` characters (one row at least): bounds a task's memory."""
+def length_slices(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most`` bytes (one row at least): bounds a task's memory."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
     start, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
+    for i, n in enumerate(sizes):
+        if size and size + n > most:
             yield start, i
             start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        size += int(n)
+    if start < len(sizes):
+        yield start, len(sizes)

@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careledger.llm import exact_dedup, secrets, sharding
-from careledger.llm.common import read_table
+from careledger.llm import (bpe, decontamination, exact_dedup, jaccard_join, language_id, secrets, sharding, toxicity,
+                            warc)
+from careledger.llm.common import read_table, ship_code
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return warc.archive_report(read_table(spark, sf_dir, "pages"))
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), width=5, least=75)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +28,29 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    found = language_id.identify(language_id.document_rows(read_table(spark, sf_dir, "documents")))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def llm_page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator on web pages, with markup, address suffix and host as evidence."""
+    ship_code(spark)
+    found = language_id.identify(language_id.page_rows(read_table(spark, sf_dir, "pages")))
+    return found.withColumnRenamed("id", "page_id")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return toxicity.toxicity_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return decontamination.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=40, overhead=16)
 
@@ -24,13 +59,38 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(read_table(spark, sf_dir, "documents"))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.bpe_encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                           decoded_col="decoded")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_language_id": op4_language_id,
+    "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
     "op9_secret_scan": op9_secret_scan,
+    "op10_bpe": op10_bpe,
+    "llm_page_language_id": llm_page_language_id,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+     q AS (SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest,
+                  min(page_id) OVER (PARTITION BY body) AS head FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> head THEN head END AS refers_to
+FROM q""",
     "op3_exact_dedup": r"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
