@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careledger.llm import (bpe, decontamination, exact_dedup, jaccard_join, language_id, secrets, sharding, toxicity,
-                            warc)
+from careledger.llm import (bpe, decontamination, exact_dedup, jaccard_join, language_id, secrets, sharding,
+                            suffix_dedup, toxicity, warc)
 from careledger.llm.common import read_table, ship_code
 
 
@@ -41,6 +41,12 @@ def llm_page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "page_id")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), width=50)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_code(spark)
     return toxicity.toxicity_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,

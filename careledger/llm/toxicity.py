@@ -1,11 +1,13 @@
 """Operator 6, toxicity by maximum-scoring segment search.
 
-1. Words of all documents are counted in hash buckets (a fixed number, so the
-   model has a proven size), over all rows and over labelled rows by class.
-2. A word's score is the log-odds ratio of the two classes under an informative
-   Dirichlet prior whose base measure is the whole corpus; ratios that could be
-   chance (|z| below ``z_least``) count as zero; a drift is taken off, so that
-   ordinary text scores below zero on average.
+1. Words and word beginnings (stems of inflected words) of all documents are
+   counted in hash buckets (a fixed number, so the model has a proven size),
+   over all rows and over labelled rows by class.
+2. The log-odds ratio of the two classes is taken for each bucket under an
+   informative Dirichlet prior whose base measure is the whole corpus.  A word
+   scores the ratio of its most certain bucket (largest |z|), or zero where that
+   could be chance (|z| below ``z_least``); a drift is taken off, so that ordinary
+   text scores below zero on average.
 3. A linear-time scan finds every maximal scoring segment of a text.  Lambda of
    the extreme-value law of segment scores solves sum p(w) exp(lambda s(w)) = 1,
    K is fitted on the clean labelled rows, and a segment of score S in a text of
@@ -26,26 +28,60 @@ usable labels every score is 0.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import WordHasher, length_slices
+from careledger.llm.common import length_slices
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 19
 MAX_LABELLED = 200_000
+STEMS = (4, 5, 6, 7, 8)     # lengths of the word beginnings that count
 
 
 def _normal(word: str) -> str:
     return word.strip(".,;:!?\"'()[]{}<>|*#%&$-_/\\").casefold()
 
 
-def _buckets(hasher: WordHasher, text: str | None) -> np.ndarray:
-    return (hasher.hashes((text or "").split()) & np.uint64(BUCKETS - 1)).astype(np.int64)
+class _Features(dict):
+    """Word -> buckets of the word and of its beginnings, remembered for up to ``limit`` words."""
+
+    def __init__(self, limit: int = 200_000):
+        super().__init__()
+        self.limit = limit
+
+    def __missing__(self, word: str) -> list[int]:
+        if len(self) >= self.limit:
+            self.clear()
+        norm = _normal(word)
+        parts = [norm, *("^" + norm[:k] for k in STEMS if len(norm) > k)] if norm else []
+        self[word] = value = [xxhash.xxh3_64_intdigest(x.encode("utf-8")) % BUCKETS for x in parts]
+        return value
+
+
+class _Scores(dict):
+    """Word -> score under a model, remembered for up to ``limit`` words."""
+
+    def __init__(self, model: "Model", limit: int = 200_000):
+        super().__init__()
+        self.model, self.limit, self.features = model, limit, _Features(0)
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= self.limit:
+            self.clear()
+        parts = _Features.__missing__(self.features, word)
+        self.features.clear()
+        best = max(parts, key=lambda b: abs(self.model.certainty[b]), default=None)
+        sure = best is not None and abs(self.model.certainty[best]) >= self.model.z_least
+        self[word] = value = (float(self.model.ratios[best]) if sure else 0.0) - self.model.drift
+        return value
 
 
 def labelled(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
@@ -59,36 +95,50 @@ def labelled(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
 def word_counts(rows: DataFrame) -> DataFrame:
     """(bucket, n_all, n_toxic, n_clean) of ``rows`` (text, toxic or null)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, counts = WordHasher(normalise=_normal), np.zeros((3, BUCKETS), np.int64)
+        features, counts = _Features(), np.zeros((3, BUCKETS), np.int64)
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
+                seen = [Counter(), Counter(), Counter()]        # toxic, clean, without label
                 for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    seen = np.bincount(_buckets(hasher, text), minlength=0)
-                    counts[0, :len(seen)] += seen
-                    if toxic is not None:
-                        counts[2 - int(toxic > 0), :len(seen)] += seen
+                    seen[2 if toxic is None else 1 - int(toxic > 0)].update((text or "").split())
+                for kind, words in enumerate(seen):
+                    buckets = [features[w] for w in words]
+                    sizes = np.fromiter(map(len, buckets), np.int64, len(buckets))
+                    flat = np.fromiter(chain.from_iterable(buckets), np.int64, int(sizes.sum()))
+                    n = np.repeat(np.fromiter(words.values(), np.int64, len(buckets)), sizes)
+                    total = np.bincount(flat, n, BUCKETS).astype(np.int64)
+                    counts[0] += total
+                    if kind < 2:
+                        counts[1 + kind] += total
         used = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(c[used]) for c in counts)],
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(c[used]) for c in counts)],
                                          names=["bucket", "n_all", "n_toxic", "n_clean"])
 
-    parts = rows.select("text", "toxic").mapInArrow(run, "bucket long, n_all long, n_toxic long, n_clean long")
+    parts = rows.select("text", "toxic").mapInArrow(run, "bucket int, n_all long, n_toxic long, n_clean long")
     return parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_clean")])
 
 
 @dataclass
 class Model:
-    scores: np.ndarray           # of a word's bucket, drift taken off
+    ratios: np.ndarray           # log-odds ratio of each bucket
+    certainty: np.ndarray        # its z
+    z_least: float = 3.0
+    drift: float = 0.7
     rate: float = 1.0            # lambda of the extreme-value law
     size: float = 0.1            # its K
     weights: tuple = (-20.0, 0.0, 0.0, 0.0)
 
+    @property
+    def bucket_scores(self) -> np.ndarray:
+        return np.where(np.abs(self.certainty) >= self.z_least, self.ratios, 0.0) - self.drift
 
-def word_scores(counts: np.ndarray, prior: float = 0.05, z_least: float = 4.0, drift: float = 0.7) -> np.ndarray:
-    """Log-odds of each bucket from its (all, toxic, clean) counts; ``prior``: pseudo-counts, as a share of the labelled words."""
+
+def log_odds(counts: np.ndarray, prior: float = 0.2) -> tuple[np.ndarray, np.ndarray]:
+    """(ratio, z) of each bucket from its (all, toxic, clean) counts; ``prior``: pseudo-counts, as a share of the labelled ones."""
     everything, toxic, clean = counts.astype(float)
     if not toxic.sum() or not clean.sum():
-        return np.full(BUCKETS, -drift)
+        return np.zeros(BUCKETS), np.zeros(BUCKETS)
     strength = prior * (toxic.sum() + clean.sum())
     alpha = strength * (everything + 0.01) / (everything + 0.01).sum()
 
@@ -97,7 +147,7 @@ def word_scores(counts: np.ndarray, prior: float = 0.05, z_least: float = 4.0, d
 
     ratio = odds(toxic) - odds(clean)
     z = ratio / np.sqrt(1 / (toxic + alpha) + 1 / (clean + alpha))
-    return np.where(np.abs(z) >= z_least, ratio, 0.0) - drift
+    return ratio.astype(np.float32), z.astype(np.float32)
 
 
 def decay_rate(scores: np.ndarray, weight: np.ndarray) -> float:
@@ -145,10 +195,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     counts = np.zeros((3, BUCKETS), np.int64)
     got = word_counts(rows).toPandas()
     counts[:, got["bucket"].to_numpy()] = got[["n_all", "n_toxic", "n_clean"]].to_numpy().T
-    model = Model(word_scores(counts))
-    if not (model.scores > 0).any():
+    model = Model(*log_odds(counts))
+    if not (model.bucket_scores > 0).any():
         return model
-    model.rate = decay_rate(model.scores, counts[0])
+    model.rate = decay_rate(model.bucket_scores, counts[0])
     known = docs.join(sample, docs.doc_id == sample.id).select("text", "toxic")
     scored = _segments(known, model, ["toxic"]).selectExpr(
         "toxic", "n_words", "array_max(transform(passages, x -> x.score)) best").toPandas()
@@ -178,16 +228,15 @@ _PASSAGES = "n_words int, passages array<struct<start:int,end:int,score:double>>
 
 def _segments(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` columns, number of words and all maximal segments (word offsets) of each row."""
-    scores = model.scores
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(normalise=_normal)
+        scores = _Scores(model)
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
                 sizes, found = [], []
                 for text in part.column(0).to_pylist():
-                    values = scores[_buckets(hasher, text)]
+                    words = (text or "").split()
+                    values = np.fromiter(map(scores.__getitem__, words), float, len(words))
                     sizes.append(len(values))
                     found.append([{"start": s, "end": e, "score": x} for s, e, x in maximal_segments(values)])
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
