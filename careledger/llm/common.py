@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,24 +84,6 @@ def salted_lookup(rows: DataFrame, keys: list[str], salt_on: list[str], table: D
     return salted.join(heads, [*keys, "_part"], how).drop("_part")
 
 
-class WordHasher(dict):
-    """Word -> 64-bit hash, remembered for up to ``limit`` words (then forgotten, never wrong)."""
-
-    def __init__(self, limit: int = 300_000, normalise=None):
-        super().__init__()
-        self.limit, self.normalise = limit, normalise
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        norm = self.normalise(word) if self.normalise else word
-        self[word] = value = xxhash.xxh3_64_intdigest(norm.encode("utf-8", "surrogatepass"))
-        return value
-
-    def hashes(self, words: Iterable[str], count: int = -1) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, count)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix (the finaliser of MurmurHash3)."""
     x = x ^ (x >> np.uint64(33))
@@ -111,14 +93,95 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+#: Byte classes: blanks of the contracts end a word.
+_BLANKS = np.zeros(256, bool)
+_BLANKS[list(b" \t\n\x0b\x0c\r")] = True
+_ODD = 0x9E3779B97F4A7C15
+_BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64))
+_WORD_BYTES = 1 << 20
+
+
+@functools.lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd constant and of its inverse modulo 2 ** 64."""
+    def powers(base: int) -> np.ndarray:
+        out = np.full(n, base, np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
+
+    return powers(_ODD), powers(pow(_ODD, -1, 1 << 64))
+
+
+def _word_hashes(x: np.ndarray, stems: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, stem hashes) of every word of a buffer that ends in a blank: a polynomial over the word's
+    bytes, by differences of one running sum, then mixed with the length.  Stems are the first bytes of longer
+    words; 0 where a word is not longer."""
+    blank = _BLANKS[x]
+    up, down = _powers(max(1 << (len(x) - 1).bit_length(), 2 * _WORD_BYTES))
+    sums = np.cumsum(np.where(blank, np.uint64(0), _BYTE_VALUES[x]) * up[:len(x)], dtype=np.uint64)
+    before = np.concatenate([[True], blank[:-1]])
+    starts, ends = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
+    low = np.where(starts > 0, sums[starts - 1], np.uint64(0))
+    sizes = (ends - starts).astype(np.uint64)
+    beginnings = np.zeros((len(starts), len(stems)), np.uint64)
+    for k, n in enumerate(stems):
+        long = np.flatnonzero(sizes > n)
+        at = starts[long]
+        beginnings[long, k] = mixed((sums[at + n - 1] - low[long]) * down[at] + np.uint64(n << 32))
+    return mixed((sums[ends - 1] - low) * down[starts] + sizes), starts, beginnings
+
+
+def word_hashes(parts: list[bytes], stems: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of all parts one after the other, how many words each part has, and stem hashes.
+
+    Long parts are cut at blanks, so memory does not grow with a text beyond its hashes."""
+    counts = np.zeros(len(parts), np.int64)
+    out, beginnings = [np.empty(0, np.uint64)], [np.empty((0, len(stems)), np.uint64)]
+    some, owners, size = [], [], 0
+
+    def flush() -> None:
+        nonlocal some, owners, size
+        if some:
+            h, starts, first = _word_hashes(np.frombuffer(b"\n".join([*some, b""]), np.uint8), stems)
+            ends = np.cumsum([len(p) + 1 for p in some])
+            np.add.at(counts, np.array(owners), np.diff(np.concatenate([[0], np.searchsorted(starts, ends)])))
+            out.append(h)
+            beginnings.append(first)
+        some, owners, size = [], [], 0
+
+    for k, part in enumerate(parts):
+        at = 0
+        while at < len(part):
+            end = at + _WORD_BYTES
+            while end < len(part) and not _BLANKS[part[end]]:
+                end += 1
+            some.append(part[at:end])
+            owners.append(k)
+            size += end - at
+            at = end
+            if size >= _WORD_BYTES:
+                flush()
+    flush()
+    return np.concatenate(out), counts, np.concatenate(beginnings)
+
+
+#: ASCII punctuation and control characters.
+_PUNCTUATION = bytes(c for c in range(128) if not chr(c).isalnum() and c not in b" \t\n\x0b\x0c\r")
+
+
+def plain_bytes(text: str | None) -> bytes:
+    """The text without case and ASCII punctuation."""
+    return (text or "").casefold().encode("utf-8").translate(None, _PUNCTUATION)
+
+
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of ``n`` consecutive word hashes (order matters)."""
     if len(words) < n:
         return np.empty(0, np.uint64)
     out = np.zeros(len(words) - n + 1, np.uint64)
     for i in range(n):
-        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + words[i:len(words) - n + 1 + i])
-    return out
+        out = out * np.uint64(0xD1342543DE82EF95) + words[i:len(words) - n + 1 + i]
+    return mixed(out + np.uint64(n))
 
 
 def length_slices(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, int]]:

@@ -31,31 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import WordHasher, id_key, length_slices, ngram_hashes
+from careledger.llm.common import id_key, length_slices, ngram_hashes, plain_bytes, word_hashes
 
 SEED_BLOCK = 2_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
-def _normal(word: str) -> str:
-    return "".join(c for c in word.casefold() if c.isalnum())
-
-
-class _Words(WordHasher):
-    """Words without case and punctuation; words of punctuation alone vanish (0)."""
-
-    def __init__(self):
-        super().__init__(normalise=_normal)
-
-    def __missing__(self, word: str) -> int:
-        if not _normal(word):
-            self[word] = 0
-            return 0
-        return super().__missing__(word)
-
-    def of(self, text: str | None) -> np.ndarray:
-        found = self.hashes((text or "").split())
-        return found[found != 0]
+def words_of(texts: list[str | None]) -> list[np.ndarray]:
+    """Word hashes of each text, without case and punctuation; words of punctuation alone vanish."""
+    words, counts, _ = word_hashes([plain_bytes(t) for t in texts])
+    return np.split(words, np.cumsum(counts)[:-1]) if len(texts) else []
 
 
 def _seeds(words: np.ndarray, n: int) -> np.ndarray:
@@ -64,21 +49,21 @@ def _seeds(words: np.ndarray, n: int) -> np.ndarray:
 
 def item_seeds(benchmark: DataFrame, n: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """(item_id, word hashes, seed hashes) of the benchmark, the bounded side."""
-    words = _Words()
     rows = benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text").toLocalIterator()
-    found = ((r.item_id, words.of(r.text)) for r in rows)
+    found = ((r.item_id, words_of([r.text])[0]) for r in rows)
     return [(i, w, _seeds(w, n)) for i, w in found if len(w)]
 
 
 def seed_frequencies(texts: DataFrame, seeds: np.ndarray, widths: list[int]) -> np.ndarray:
     """In how many documents each of the (sorted) seeds occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = _Words(), np.zeros(len(seeds), np.int64)
+        counts, maybe = np.zeros(len(seeds), np.int64), _maybe(seeds)
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
-                for text in batch.column(0).slice(a, b - a).to_pylist():
-                    at, _ = _hits(words.of(text), seeds, widths)
-                    counts[np.unique(at)] += 1
+                which, where, ends = _hits(words_of(batch.column(0).slice(a, b - a).to_pylist()), seeds, maybe, widths)
+                rows = np.searchsorted(ends, where, side="right")
+                for seed in np.unique(np.stack([rows, which]), axis=1)[1]:
+                    counts[seed] += 1
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["seed", "n"])
 
@@ -88,19 +73,28 @@ def seed_frequencies(texts: DataFrame, seeds: np.ndarray, widths: list[int]) ->
     return out
 
 
-def _hits(words: np.ndarray, seeds: np.ndarray, widths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the seed, position in the text) of every seed that occurs."""
-    which, where = [], []
+def _maybe(seeds: np.ndarray) -> np.ndarray:
+    """A bitmap that answers for most n-grams that they are no seed."""
+    out = np.zeros(1 << 22, bool)
+    out[(seeds & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+    return out
+
+
+def _hits(texts: list[np.ndarray], seeds: np.ndarray, maybe: np.ndarray, widths: list[int]) -> tuple:
+    """(index of the seed, position in all words of the texts, end of each text) of every seed that occurs."""
+    words = np.concatenate(texts)
+    ends = np.cumsum([len(t) for t in texts])
+    which, where = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for n in widths:
         grams = ngram_hashes(words, n)
-        if len(grams) and len(seeds):
-            at = np.minimum(np.searchsorted(seeds, grams), len(seeds) - 1)
-            hit = np.flatnonzero(seeds[at] == grams)
-            which.append(at[hit])
-            where.append(hit)
-    if not which:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(which), np.concatenate(where)
+        look = np.flatnonzero(maybe[(grams & np.uint64((1 << 22) - 1)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(seeds, grams[look]), len(seeds) - 1)
+        hit = seeds[at] == grams[look]
+        at, look = at[hit], look[hit]
+        inside = look + n <= ends[np.searchsorted(ends, look, side="right")]
+        which.append(at[inside])
+        where.append(look[inside])
+    return np.concatenate(which), np.concatenate(where), ends
 
 
 def align(a: np.ndarray, b: np.ndarray) -> int:
@@ -123,17 +117,21 @@ def passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[tuple[int, in
              lengths: dict[int, int], keep: list[str]) -> DataFrame:
     """(keep..., item_id, words): the passages of each document that rare seeds of an item point at."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
+        maybe = _maybe(seeds)
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
                 rows, items, cut = [], [], []
-                for k, text in enumerate(part.column(0).to_pylist()):
-                    found = words.of(text)
-                    by_item: dict[int, list[int]] = {}
-                    for seed, at in zip(*(x.tolist() for x in _hits(found, seeds, widths)), strict=True):
-                        for item, place in owners[seed]:
-                            by_item.setdefault(item, []).append(at - place)
+                texts = words_of(part.column(0).to_pylist())
+                which, where, ends = _hits(texts, seeds, maybe, widths)
+                owner = np.searchsorted(ends, where, side="right")
+                begins = ends - [len(t) for t in texts]
+                by_text: dict[int, dict[int, list[int]]] = {}
+                for seed, at, k in zip(which.tolist(), (where - begins[owner]).tolist(), owner.tolist(), strict=True):
+                    for item, place in owners[seed]:
+                        by_text.setdefault(k, {}).setdefault(item, []).append(at - place)
+                for k, by_item in by_text.items():
+                    found = texts[k]
                     for item, starts in by_item.items():
                         slack = lengths[item] // 2 + 4
                         starts.sort()
