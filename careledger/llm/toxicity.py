@@ -28,60 +28,28 @@ usable labels every score is 0.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import length_slices
+from careledger.llm.common import length_slices, plain_bytes, stored, word_hashes
 
 BUCKETS = 1 << 19
 MAX_LABELLED = 200_000
-STEMS = (4, 5, 6, 7, 8)     # lengths of the word beginnings that count
+STEMS = (4, 5, 6, 7, 8, 9)  # bytes of the word beginnings that count
 
 
-def _normal(word: str) -> str:
-    return word.strip(".,;:!?\"'()[]{}<>|*#%&$-_/\\").casefold()
+def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of every word and its beginnings (-1 where a word has none), and how many words each text has.
 
-
-class _Features(dict):
-    """Word -> buckets of the word and of its beginnings, remembered for up to ``limit`` words."""
-
-    def __init__(self, limit: int = 200_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) >= self.limit:
-            self.clear()
-        norm = _normal(word)
-        parts = [norm, *("^" + norm[:k] for k in STEMS if len(norm) > k)] if norm else []
-        self[word] = value = [xxhash.xxh3_64_intdigest(x.encode("utf-8")) % BUCKETS for x in parts]
-        return value
-
-
-class _Scores(dict):
-    """Word -> score under a model, remembered for up to ``limit`` words."""
-
-    def __init__(self, model: "Model", limit: int = 200_000):
-        super().__init__()
-        self.model, self.limit, self.features = model, limit, _Features(0)
-
-    def __missing__(self, word: str) -> float:
-        if len(self) >= self.limit:
-            self.clear()
-        parts = _Features.__missing__(self.features, word)
-        self.features.clear()
-        best = max(parts, key=lambda b: abs(self.model.certainty[b]), default=None)
-        sure = best is not None and abs(self.model.certainty[best]) >= self.model.z_least
-        self[word] = value = (float(self.model.ratios[best]) if sure else 0.0) - self.model.drift
-        return value
+    Words are taken without case and punctuation; words of punctuation alone vanish."""
+    words, counts, stems = word_hashes([plain_bytes(t) for t in texts], STEMS)
+    hashes = np.column_stack([words, stems])
+    return np.where(hashes == 0, -1, (hashes >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)), counts
 
 
 def labelled(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
@@ -95,22 +63,18 @@ def labelled(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
 def word_counts(rows: DataFrame) -> DataFrame:
     """(bucket, n_all, n_toxic, n_clean) of ``rows`` (text, toxic or null)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, counts = _Features(), np.zeros((3, BUCKETS), np.int64)
+        counts = np.zeros((3, BUCKETS), np.int64)
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
-                seen = [Counter(), Counter(), Counter()]        # toxic, clean, without label
-                for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    seen[2 if toxic is None else 1 - int(toxic > 0)].update((text or "").split())
-                for kind, words in enumerate(seen):
-                    buckets = [features[w] for w in words]
-                    sizes = np.fromiter(map(len, buckets), np.int64, len(buckets))
-                    flat = np.fromiter(chain.from_iterable(buckets), np.int64, int(sizes.sum()))
-                    n = np.repeat(np.fromiter(words.values(), np.int64, len(buckets)), sizes)
-                    total = np.bincount(flat, n, BUCKETS).astype(np.int64)
-                    counts[0] += total
-                    if kind < 2:
-                        counts[1 + kind] += total
+                buckets, sizes = features(part.column(0).to_pylist())
+                label = np.array([-1 if x is None else int(x > 0) for x in part.column(1).to_pylist()])
+                label = np.repeat(np.repeat(label, sizes), buckets.shape[1])
+                flat = buckets.ravel()
+                label, flat = label[flat >= 0], flat[flat >= 0]
+                counts[0] += np.bincount(flat, minlength=BUCKETS)
+                counts[1] += np.bincount(flat[label == 1], minlength=BUCKETS)
+                counts[2] += np.bincount(flat[label == 0], minlength=BUCKETS)
         used = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(c[used]) for c in counts)],
                                          names=["bucket", "n_all", "n_toxic", "n_clean"])
@@ -129,6 +93,13 @@ class Model:
     size: float = 0.1            # its K
     weights: tuple = (-20.0, 0.0, 0.0, 0.0)
 
+    def word_scores(self, buckets: np.ndarray) -> np.ndarray:
+        """The score of each word, by the most certain of its buckets."""
+        z = np.where(buckets >= 0, np.abs(self.certainty[buckets]), 0)
+        best = z.argmax(1)
+        rows = np.arange(len(best))
+        return np.where(z[rows, best] >= self.z_least, self.ratios[buckets[rows, best]], 0.0) - self.drift
+
     @property
     def bucket_scores(self) -> np.ndarray:
         return np.where(np.abs(self.certainty) >= self.z_least, self.ratios, 0.0) - self.drift
@@ -200,12 +171,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return model
     model.rate = decay_rate(model.bucket_scores, counts[0])
     known = docs.join(sample, docs.doc_id == sample.id).select("text", "toxic")
-    scored = _segments(known, model, ["toxic"]).selectExpr(
-        "toxic", "n_words", "array_max(transform(passages, x -> x.score)) best").toPandas()
+    known = stored(_segments(known, model, ["toxic"]), "toxicity-labelled")
+    scored = known.selectExpr("toxic", "n_words", "array_max(transform(passages, x -> x.score)) best").toPandas()
     clean = scored[(scored.toxic == 0) & (scored.n_words > 0)]
     tail = (clean.n_words * np.exp(-model.rate * clean.best.fillna(0.0))).sum()
     model.size = float(max(len(clean) / tail, 1e-6)) if tail else model.size
-    sets = _features(known, model).toPandas()
+    sets = _with_evidence(known, model).select("toxic", *_feature_columns()).toPandas()
     model.weights = _logistic(np.log1p(sets[["a", "b", "c"]].to_numpy(float)), (sets.toxic > 0).to_numpy(float))
     return model
 
@@ -229,16 +200,13 @@ _PASSAGES = "n_words int, passages array<struct<start:int,end:int,score:double>>
 def _segments(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` columns, number of words and all maximal segments (word offsets) of each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = _Scores(model)
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
-                sizes, found = [], []
-                for text in part.column(0).to_pylist():
-                    words = (text or "").split()
-                    values = np.fromiter(map(scores.__getitem__, words), float, len(words))
-                    sizes.append(len(values))
-                    found.append([{"start": s, "end": e, "score": x} for s, e, x in maximal_segments(values)])
+                buckets, sizes = features(part.column(0).to_pylist())
+                values, ends = model.word_scores(buckets), np.cumsum(sizes)
+                found = [[{"start": s, "end": e, "score": x} for s, e, x in maximal_segments(values[j - n:j])]
+                         for j, n in zip(ends.tolist(), sizes.tolist())]
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], pa.array(sizes, pa.int32()), pa.array(found, kind)],
@@ -262,10 +230,6 @@ def _feature_columns(passages: str = "passages") -> list:
             F.aggregate(values, F.lit(0.0), lambda s, x: s + x).alias("b"), F.size(passages).cast("double").alias("c")]
 
 
-def _features(known: DataFrame, model: Model) -> DataFrame:
-    return _with_evidence(_segments(known, model, ["toxic"]), model).select("toxic", *_feature_columns())
-
-
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, passages, score) of every row; passages are word ranges with score and evidence."""
     rows = _with_evidence(_segments(docs, model, [id_col], text_col), model)
