@@ -45,30 +45,28 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import (WordHasher, attach_group, id_key, length_slices, ngram_hashes,
-                                   salted_lookup, stored)
+from careledger.llm.common import (attach_group, id_key, length_slices, ngram_hashes, salted_lookup, stored,
+                                   word_hashes)
 from careledger.llm.components import components
 
 BLOCK = 256                 # candidates that one query meets at a time
 SAMPLE = 100_000            # documents that the rarity order samples at most
 FREQUENT = 1 << 20          # frequent shingles that the order knows at most
 LIST_ROWS = 1_000_000       # postings a task holds
-BITS = 512
+SHORT_LIST = 256            # members of a list up to which its pairs are joined before bitmaps are looked at
+LIST_BLOCK = 2_000          # members of a longer list that a block holds on either side
+FEW_IDS = 500_000           # ids (8 bytes each) that are broadcast at most
 
 
-class _Words(WordHasher):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def shingles(self, text: str | None, width: int) -> np.ndarray:
-        """The sorted set of shingle hashes."""
-        words = self.hashes((text or "").encode("utf-8").lower().split())
-        if not len(words):
-            return words
-        return np.unique(ngram_hashes(words, min(width, len(words))))
+def shingles(texts: list[str | None], width: int) -> list[np.ndarray]:
+    """The sorted set of shingle hashes of each text."""
+    words, counts, _ = word_hashes([(t or "").encode("utf-8").lower() for t in texts])
+    grams, out, at = ngram_hashes(words, width), [], 0
+    for n in counts.tolist():
+        own = grams[at:at + n - width + 1] if n >= width else ngram_hashes(words[at:at + n], n) if n else words[:0]
+        out.append(np.unique(own))
+        at += n
+    return out
 
 
 def required(n: int, m: int, least: int) -> int:
@@ -77,29 +75,48 @@ def required(n: int, m: int, least: int) -> int:
 
 
 def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles of a sample of at most about ``SAMPLE`` documents, sorted, and their frequency
+    """Shingles that a sample of at most about ``SAMPLE`` documents repeats, sorted, and how often it does
     (only an order: results do not depend on it)."""
     total = max(1, docs.count())
-    one_in = max(32, -(-total // SAMPLE))
+    one_in = max(16, -(-total // SAMPLE))
     sample = docs.where(F.pmod(F.xxhash64("id"), F.lit(one_in)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
-                sets = [words.shingles(t, width) for t in batch.column(0).slice(a, b - a).to_pylist()]
+                sets = shingles(batch.column(0).slice(a, b - a).to_pylist(), width)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["h"])
 
     often = (sample.select("text").mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-             .where("n >= 3").orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas())
+             .where("n >= 2").orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas())
     h, n = often["h"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64)
     order = np.argsort(h)
     return h[order], n[order]
 
 
-def _parity(shingles: np.ndarray) -> list[int]:
-    odd = np.bincount((shingles & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+def _parity(own: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set, two to four bits for each element; halves folded by XOR give the next smaller one."""
+    bits = max(64, 1 << (2 * len(own) - 1).bit_length())
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+class _Rarity:
+    """How often the sample repeats a shingle; a bitmap answers for most that it does not."""
+
+    def __init__(self, known: np.ndarray, weight: np.ndarray):
+        self.known, self.weight = known, weight
+        self.maybe = np.zeros(1 << 24, bool)
+        self.maybe[(known & np.uint64((1 << 24) - 1)).astype(np.int64)] = True
+
+    def order(self, own: np.ndarray) -> tuple[np.ndarray, int]:
+        """``own`` with its rarest shingles first, and how many of them the sample does not repeat."""
+        look = np.flatnonzero(self.maybe[(own & np.uint64((1 << 24) - 1)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.known, own[look]), len(self.known) - 1)
+        hit = self.known[at] == own[look]
+        look, often = look[hit], self.weight[at[hit]]
+        rare = np.delete(own, look)
+        return np.concatenate([rare, own[look[np.argsort(often, kind="stable")]]]), len(rare)
 
 
 def signatures(docs: DataFrame, width: int, least: int) -> DataFrame:
@@ -109,26 +126,21 @@ def signatures(docs: DataFrame, width: int, least: int) -> DataFrame:
     known, weight = frequent_shingles(docs, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = _Words(), set()
+        rarity, seen = _Rarity(known, weight), set()
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
                 out: dict[str, list] = {"n": [], "fp": [], "rare": [], "often": [], "bits": []}
-                for text, doc in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    own = words.shingles(text, width)
+                sets = shingles(part.column(0).to_pylist(), width)
+                for own, doc in zip(sets, part.column(1).to_pylist(), strict=True):
                     n = len(own)
                     fp = xxhash.xxh3_128_digest(own.tobytes()) if n else None
                     rare = often = bits = None
                     if n and doc is not None and fp not in seen:
                         seen.add(fp)
-                        count = np.zeros(n, np.int64)
-                        if len(known):
-                            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                            count = np.where(known[at] == own, weight[at], 0)
-                        first = np.lexsort((own, count))[:n - -(-least * n // 100) + 1]
-                        cold = int((count[first] == 0).sum())
-                        prefix = own[first].view(np.int64)
-                        rare, often, bits = prefix[:cold], prefix[cold:], _parity(own)
+                        first, cold = rarity.order(own) if len(known) else (own, n)
+                        first = first[:n - -(-least * n // 100) + 1].view(np.int64)
+                        rare, often, bits = first[:cold], first[cold:], _parity(own)
                     for name, value in (("n", n), ("fp", fp), ("rare", rare), ("often", often), ("bits", bits)):
                         out[name].append(value)
                 longs = pa.list_(pa.int64())
@@ -200,11 +212,93 @@ def _bound(a: str, b: str, least: int) -> Column:
 
 
 def _bitmaps_allow(a: str, b: str, least: int) -> Column:
-    apart = sum((F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(BITS // 64)),
-                start=F.lit(0))
+    """Sets differ in at least as many elements as their bitmaps: overlap <= (n + m - differing bits) / 2."""
+    def folded(x: Column, y: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(y), F.zip_with(
+            F.slice(x, 1, half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(x)
+
+    x, y = F.col(f"{a}.bits"), F.col(f"{b}.bits")             # allowed sizes differ by less than two halvings
+    differing = F.aggregate(F.zip_with(folded(x, y), folded(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                            F.lit(0), lambda s, v: s + F.coalesce(v, F.lit(0)))
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    # The sets differ in at least ``apart`` elements: overlap <= (n + m - apart) / 2.
-    return (100 + least) * (n + m - apart) >= 2 * least * (n + m)
+    return (100 + least) * (n + m - differing) >= 2 * least * (n + m)
+
+
+def _allowed_in_block(x: dict, y: dict, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of x, row of y) of one list that sizes, positions, components and bitmaps allow."""
+    found = [], []
+
+    def words(rows: dict, own: np.ndarray, to: int) -> np.ndarray:
+        """Bitmaps of the rows as a matrix, folded to ``to`` words."""
+        out = np.array([rows["bits"][k] for k in own.tolist()])
+        while out.shape[1] > to:
+            out = out[:, :out.shape[1] // 2] ^ out[:, out.shape[1] // 2:]
+        return out
+
+    widths = [np.array([len(b) for b in side["bits"]]) for side in (x, y)]
+    for wx in np.unique(widths[0]):
+        for wy in np.unique(widths[1]):
+            to = min(wx, wy)
+            if max(wx, wy) > 2 * to:                          # sizes that differ so much cannot link
+                continue
+            mine, theirs = np.flatnonzero(widths[0] == wx), np.flatnonzero(widths[1] == wy)
+            b = words(y, theirs, to)
+            m, j = y["n"][theirs], y["pos"][theirs]
+            for a in range(0, len(mine), 64):
+                own = mine[a:a + 64]
+                n, i = x["n"][own][:, None], x["pos"][own][:, None]
+                apart = np.zeros((len(own), len(theirs)), np.int64)
+                mat = words(x, own, to)
+                for k in range(to):
+                    apart += np.bitwise_count(mat[:, k][:, None] ^ b[:, k][None, :])
+                most = np.minimum(np.minimum(i, j) + 1 + np.minimum(n - i - 1, m - j - 1), (n + m - apart) // 2)
+                ok = ((100 + least) * most >= least * (n + m)) & (100 * n >= least * m) & (100 * m >= least * n)
+                ok &= x["root"][own][:, None] != y["root"][theirs]
+                ok &= ~y["minor"][theirs] | (x["id"][own][:, None] < y["id"][theirs])
+                r, c = np.nonzero(ok)
+                found[0].append(own[r])
+                found[1].append(theirs[c])
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *found[0]]), np.concatenate([none, *found[1]])
+
+
+def crossed_in_blocks(lists: DataFrame, least: int) -> DataFrame:
+    """Candidate pairs (q, d) of long lists, the minority against all members, in blocks of ``LIST_BLOCK``
+    by ``LIST_BLOCK`` rows; only pairs that the bitmaps allow leave a block."""
+    spread = lambda n: F.ceil(F.col(n) / LIST_BLOCK).cast("int")
+    spot = lambda n: F.pmod(F.xxhash64("id"), spread(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), spread(n) - 1))
+    is_minor = F.col("root") != F.col("major")
+    columns = ["id", "n", "pos", "root", "bits"]
+    x = lists.where(is_minor).select("h", spot("minor").alias("a"), every("size").alias("b"), F.lit(0).alias("side"),
+                                     F.lit(True).alias("minor"), *columns)
+    y = lists.select("h", every("minor").alias("a"), spot("size").alias("b"), F.lit(1).alias("side"),
+                     is_minor.alias("minor"), *columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sides = None, ([], [])
+
+        def pairs() -> pa.RecordBatch:
+            x, y = ({name: np.array([r[k] for r in side]) for k, name in enumerate(("minor", "id", "n", "pos", "root"))}
+                    | {"bits": [r[5] for r in side]} for side in sides)
+            r, c = _allowed_in_block(x, y, least)
+            ids = np.unique(np.sort(np.stack([x["id"][r], y["id"][c]]), axis=0), axis=1) if len(r) else np.empty((2, 0), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(ids[0]), pa.array(ids[1])], names=["q", "d"])
+
+        for batch in batches:
+            plain = [batch.column(k).to_pylist() for k in range(9)]
+            for *place, side, minor, doc, n, pos, root, own in zip(*plain, batch.column(9), strict=True):
+                if place != key:
+                    if sides[0] and sides[1]:
+                        yield pairs()
+                    key, sides = place, ([], [])
+                sides[side].append((minor, doc, n, pos, root, np.asarray(own.values).view(np.uint64)))
+        if sides[0] and sides[1]:
+            yield pairs()
+
+    return (x.unionByName(y).repartition("h", "a", "b").sortWithinPartitions("h", "a", "b", "side")
+            .mapInArrow(run, "q long, d long"))
 
 
 def verify(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
@@ -248,13 +342,14 @@ def verify(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
 def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(id, shingles): the whole sets of the wanted ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
-                sets = [words.shingles(t, width).tobytes() for t in part.column(0).to_pylist()]
+                sets = [own.tobytes() for own in shingles(part.column(0).to_pylist(), width)]
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
+    # Few ids go to the documents; many meet them by shuffle.
+    wanted = F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted
     return docs.select("text", "id").join(wanted, "id", "left_semi").select("text", "id").mapInArrow(
         run, "id long, shingles binary").where(F.octet_length("shingles") > 0)
 
@@ -267,18 +362,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, least: int = 75, id_col:
     rows = stored(signatures(every, width, least), "jaccard-signatures")
     signed = rows.where(F.col("id").isNotNull())
     classes = stored(attach_group(signed.where("n > 0").select("id", "n", "fp"), ["fp"], ["id"],
-                                  {"rep": ("min", F.min("id"))}).select("id", "n", "rep"), "jaccard-classes")
+                                  {"rep": ("min", F.min("id"))}).select("id", "n", "fp", "rep"), "jaccard-classes")
     size = signed.agg(F.sum(F.size("rare"))).first()[0] or 0
     rare = shared_postings(signed.select(F.explode("rare").alias("h"), "id"), size)
     lists = rare.unionByName(signed.select(F.explode("often").alias("h"), "id"))
     place = signed.where(F.col("bits").isNotNull()).select("id", "n", F.concat("rare", "often").alias("prefix"))
     lists = (lists.join(place, "id").select("h", "id", (F.array_position("prefix", F.col("h")) - 1).alias("pos"), "n")
-             .join(classes.select("id", "rep").distinct(), "id")
+             .where("pos >= 0").join(classes.select("id", "rep").distinct(), "id")
              .groupBy("h", F.col("rep").alias("id")).agg(F.min("pos").alias("pos"), F.min("n").alias("n")))
     lists = stored(lists, "jaccard-lists")
     leaders = lists.groupBy("h").agg(F.min(F.struct("id", "n", "pos")).alias("y"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    bits = signed.where(F.col("bits").isNotNull()).join(classes.where("id = rep").select("id").distinct(), "id") \
-        .select("id", "n", "bits").dropDuplicates(["id", "n"])
+    # One bitmap a class, under the class's id (any member's task may have written it).
+    bits = stored(signed.where(F.col("bits").isNotNull()).dropDuplicates(["fp"]).select("fp", "n", "bits")
+                  .join(classes.select("fp", F.col("rep").alias("id")).distinct(), "fp").drop("fp"), "jaccard-bitmaps")
 
     def allowed(pairs: DataFrame) -> DataFrame:
         x = bits.select(F.col("id").alias("q"), F.struct("n", "bits").alias("x"))
@@ -291,23 +387,31 @@ def jaccard_components(docs: DataFrame, width: int = 5, least: int = 75, id_col:
            .groupBy("d", F.col("y.id").alias("q")).agg(F.count(F.lit(1)).alias("c"))
            .groupBy("d").agg(F.min(F.struct((-F.col("c")).alias("c"), "q")).alias("top")).select(F.col("top.q").alias("q"), "d"))
     stars = stored(allowed(met), "jaccard-stars")
-    several = leaders.select("h")
-    sets = stored(shingle_sets(named, lists.join(several, "h", "left_semi").select("id").distinct(), width), "jaccard-sets")
-    links = stored(verify(stars, sets, least), "jaccard-links")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        ids = stored(pairs.select("q").union(pairs.select("d")).distinct().toDF("id"), "jaccard-ids")
+        return stored(verify(pairs, stored(shingle_sets(named, ids, width), "jaccard-sets"), least), "jaccard-links")
+
+    links = linked(stars)
     near = components(links)
     # Second step: lists that still hold several components, their minority against the rest.
     placed = lists.join(near.select(F.col("node").alias("id"), "root"), "id", "left") \
         .withColumn("root", F.coalesce("root", "id"))
     mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
     open_ = stored(placed.join(mixed, "h", "left_semi"), "jaccard-open")
-    major = (open_.groupBy("h", "root").agg(F.count(F.lit(1)).alias("c"))
-             .groupBy("h").agg(F.max(F.struct("c", "root")).alias("top")).select("h", F.col("top.root").alias("major")))
-    x = open_.join(major, "h").where("root <> major").select("h", F.struct("id", "n", "pos", "root", "major").alias("x"))
+    major = stored(open_.groupBy("h", "root").agg(F.count(F.lit(1)).alias("c"))
+                   .groupBy("h").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("size"))
+                   .select("h", F.col("top.root").alias("major"), "size", (F.col("size") - F.col("top.c")).alias("minor")),
+                   "jaccard-major")
+    short = major.where(F.col("size") <= SHORT_LIST)
+    x = open_.join(short, "h").where("root <> major").select("h", F.struct("id", "n", "pos", "root", "major").alias("x"))
     y = open_.select("h", F.struct("id", "n", "pos", "root").alias("y"))
     crossed = (x.join(y, "h").where((F.col("x.root") != F.col("y.root")) & _bound("x", "y", least)
                                     & ((F.col("y.root") == F.col("x.major")) | (F.col("x.id") < F.col("y.id"))))
                .select(F.least("x.id", "y.id").alias("q"), F.greatest("x.id", "y.id").alias("d")).distinct())
-    more = stored(verify(stored(allowed(crossed), "jaccard-crossed"), sets, least), "jaccard-links")
+    long = open_.join(major.where(F.col("size") > SHORT_LIST), "h").join(bits, ["id", "n"])
+    crossed = allowed(crossed).unionByName(crossed_in_blocks(long, least)).distinct()
+    more = linked(stored(crossed, "jaccard-crossed"))
     roots = components(links.unionByName(more))
     # Rows of one id (repeated ids) and of one class share a root.
     ties = classes.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
