@@ -8,8 +8,10 @@ a document with a smaller id.
    so equal windows have equal anchors.  Anchor hashes are counted by shuffle;
    those that occur once anywhere are of no use.  What occurs more often is kept
    as a bitmap of at most ``MOST_BITS`` bits (false hits only cost work).
-2. The surroundings of each anchor that may repeat go to the anchor's shard.
-3. A shard concatenates its different surroundings and sorts all their suffixes
+2. A stretch is a run of windows with one anchor.  Stretches whose anchor may
+   repeat go to the anchor's shard.
+3. Stretches of an anchor that are all the same repeat as a whole.  Where they
+   differ, a shard concatenates the different ones and sorts all their suffixes
    by external induced sorting (``induced_sort``), whose queues wait on disk once
    a shard outgrows memory.  Suffixes that share ``width`` bytes stand together,
    their common prefixes say where such a group ends, and the smallest id of a
@@ -39,11 +41,12 @@ from careledger.llm.common import id_key, length_slices, mixed, stored
 from careledger.llm.induced_sort import sorted_suffixes
 
 GRAM = 16
-PIECE = 1 << 20             # bytes whose anchors are searched at a time
-SHARD_BYTES = 4 << 20       # input bytes a shard stands for
+PIECE = 1 << 16             # bytes whose anchors are searched at a time
+SLICE = 1 << 20             # bytes of text that a task unpacks at a time
+SHARD_BYTES = 2 << 20       # input bytes a shard stands for
 MOST_BITS = 30
 REMEMBERED = 200_000        # digests of whole texts that a task remembers
-HELD = 4 << 20              # bytes of surroundings, and anchors, that a task holds before it writes them
+HELD = 16 << 20             # bytes of stretches, and of anchors, that a task holds before it writes them
 
 
 def _pieces(text: bytes, width: int) -> Iterator[tuple[int, bytes]]:
@@ -61,29 +64,35 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[:len(x) - (width - span)], x[width - span:]) if width > span else x
 
 
-def anchors(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position in the concatenated parts, hash) of every window's anchor; windows stay inside a part."""
+def _gram_hashes(whole: bytes) -> np.ndarray:
+    x = np.ndarray((len(whole) - 7,), np.dtype("<u8"), whole, 0, (1,))    # the eight bytes from every position on
+    mix = x * np.uint64(0x9E3779B97F4A7C15)
+    mix = (mix[:-8] ^ (mix[8:] >> np.uint64(29))) * np.uint64(0xD1342543DE82EF95) + mix[8:]
+    return ((mix ^ (mix >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)) | np.uint64(1)
+
+
+def stretches(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, number of windows, anchor) of every run of windows with one anchor.
+
+    Window starts count through the concatenated parts; windows stay inside a part."""
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    if sizes.sum() < width:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    x = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
-    x = x[:-1] | x[1:] << np.uint64(8)
-    x = x[:-2] | x[2:] << np.uint64(16)
-    x = x[:-4] | x[4:] << np.uint64(32)
-    h = mixed(x[:-8] * np.uint64(0x9E3779B97F4A7C15) + mixed(x[8:])) | np.uint64(1)
-    grams = width - GRAM + 1
-    low = _slide(h, grams, np.minimum)
-    ends = np.cumsum(sizes)
-    starts = np.arange(len(low))
-    low[starts + width > np.repeat(ends, sizes)[:len(low)]] = 0
-    padding = np.zeros(grams - 1, np.uint64)
-    most = _slide(np.concatenate([padding, low, padding]), grams, np.maximum)
-    at = np.flatnonzero(most[:len(h)] == h)
-    return at, h[at]
+    whole = b"".join(parts)
+    if len(whole) < width:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    low = _slide(_gram_hashes(whole), width - GRAM + 1, np.minimum)
+    starts = np.cumsum(sizes) - sizes
+    for start in starts[1:].tolist():                         # windows across the end of a part do not count
+        low[max(0, start - width + 1):start] = 0
+    new = np.concatenate([[True], low[1:] != low[:-1]])
+    new[starts[starts < len(low)]] = True
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(low)))
+    there = low[first] > 0
+    return first[there], count[there], mixed(low[first[there]])
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    for a, b in length_slices(batch.column(column), PIECE):
+    for a, b in length_slices(batch.column(column), SLICE):
         yield batch.slice(a, b - a)
 
 
@@ -107,17 +116,18 @@ def repeated_anchors(texts: DataFrame, width: int, shards: int, bits: int) -> np
 
         def write() -> pa.RecordBatch:
             h, n = np.unique(np.concatenate(held), return_counts=True)
-            rows = list(_grouped((h >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else np.zeros(len(h), np.int64), h, n))
+            rest = (h >> np.uint64(32 - shard_bits)).astype(np.uint32).view(np.int32)      # 32 bits after the shard's
+            rows = list(_grouped(_shard_of(h, shard_bits), rest, n))
             return pa.RecordBatch.from_arrays([
                 pa.array([r[0] for r in rows], pa.int32()),
-                pa.array([r[1][r[2] == 1].view(np.int64) for r in rows], pa.list_(pa.int64())),
-                pa.array([r[1][r[2] > 1].view(np.int64) for r in rows], pa.list_(pa.int64()))], names=["shard", "once", "more"])
+                pa.array([r[1][r[2] == 1] for r in rows], pa.list_(pa.int32())),
+                pa.array([r[1][r[2] > 1] for r in rows], pa.list_(pa.int32()))], names=["shard", "once", "more"])
 
         for batch in batches:
             for part in _slices(batch, 0):
                 pieces = [p for t in part.column(0).to_pylist() for _, p in _pieces((t or "").encode("utf-8"), width)]
                 for some in _bounded(pieces):
-                    held.append(anchors(some, width)[1])
+                    held.append(stretches(some, width)[2])
                     count += len(held[-1])
                     if count >= HELD // 8:
                         yield write()
@@ -130,18 +140,18 @@ def repeated_anchors(texts: DataFrame, width: int, shards: int, bits: int) -> np
         more: dict[int, list] = {}
         for batch in batches:
             for shard, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                once.setdefault(shard, []).append(np.asarray(a.values).view(np.uint64))
-                more.setdefault(shard, []).append(np.asarray(b.values).view(np.uint64))
+                once.setdefault(shard, []).append(np.asarray(a.values).view(np.uint32))
+                more.setdefault(shard, []).append(np.asarray(b.values).view(np.uint32))
         for shard in once:
             h, n = np.unique(np.concatenate(once[shard]), return_counts=True)
             again = np.concatenate([h[n > 1], *more[shard]])
-            spot = ((again >> np.uint64(64 - bits)) & np.uint64(size * 8 - 1)).astype(np.int64)
+            spot = (again >> np.uint32(32 + shard_bits - bits)).astype(np.int64)
             flags = np.zeros(size * 8, bool)
             flags[spot] = True
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()),
                                               pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["shard", "bits"])
 
-    counted = (texts.mapInArrow(gather, "shard int, once array<bigint>, more array<bigint>")
+    counted = (texts.mapInArrow(gather, "shard int, once array<int>, more array<int>")
                .repartition(shards, "shard").mapInArrow(count, "shard int, bits binary"))
     out = np.zeros(size * shards, np.uint8)
     for r in counted.toLocalIterator():                       # 2 ** bits / 8 bytes in all
@@ -161,11 +171,15 @@ def _bounded(pieces: list[bytes]) -> Iterator[list[bytes]]:
         yield some
 
 
-_SURROUNDINGS = "shard int, id array<bigint>, fp array<bigint>, at array<int>, size array<int>, text binary"
+def _shard_of(h: np.ndarray, shard_bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else np.zeros(len(h), np.int64)
+
+
+_STRETCHES = "shard int, id array<bigint>, fp array<bigint>, at array<int>, size array<int>, text binary"
 
 
-def surroundings(docs: DataFrame, bitmap, width: int, shards: int, bits: int) -> DataFrame:
-    """Per shard: id, fp, offset, size and bytes around every anchor that may repeat.
+def repeated_stretches(docs: DataFrame, bitmap, width: int, shards: int, bits: int) -> DataFrame:
+    """Per shard: id, fp, offset, size and (compressed) bytes of every stretch whose anchor may repeat.
 
     Texts that equal one of a smaller id in the same task repeat as a whole: they become an entry of
     size -1 (at: number of bytes) without bytes of their own."""
@@ -178,15 +192,11 @@ def surroundings(docs: DataFrame, bitmap, width: int, shards: int, bits: int) ->
         held = 0
 
         def write() -> pa.RecordBatch:
-            columns = [[], [], [], [], []]
-            for entries in out.values():
-                for k in range(4):
-                    columns[k].append([e[k] for e in entries])
-                columns[4].append(b"".join(e[4] for e in entries))
-            longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+            columns = [[*zip(*entries)] for entries in out.values()]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
             return pa.RecordBatch.from_arrays([
-                pa.array(list(out), pa.int32()), pa.array(columns[0], longs), pa.array(columns[1], longs),
-                pa.array(columns[2], ints), pa.array(columns[3], ints), pa.array(columns[4], pa.binary())],
+                pa.array(list(out), pa.int32()), *(pa.array([c[k] for c in columns], pa.list_(x)) for k, x in enumerate(kinds)),
+                pa.array([pa.compress(b"".join(c[4]), "zstd", asbytes=True) for c in columns], pa.binary())],
                 names=["shard", "id", "fp", "at", "size", "text"])
 
         for batch in batches:
@@ -198,7 +208,7 @@ def surroundings(docs: DataFrame, bitmap, width: int, shards: int, bits: int) ->
                         continue
                     digest = hashlib.sha256(raw).digest()
                     if digest in first and first[digest] < doc:
-                        out.setdefault(fp % shards, []).append((doc, fp, len(raw), -1, b""))
+                        out.setdefault(doc % shards, []).append((doc, fp, len(raw), -1, b""))
                         held += 64
                         continue
                     if len(first) >= REMEMBERED:              # forgotten copies only cost work
@@ -210,19 +220,18 @@ def surroundings(docs: DataFrame, bitmap, width: int, shards: int, bits: int) ->
                         pieces.append(piece)
                 done = 0
                 for some in _bounded(pieces):
-                    at, h = anchors(some, width)
+                    at, count, h = stretches(some, width)
                     spot = h >> np.uint64(64 - bits)
                     hit = (known[(spot >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (spot & np.uint64(7))).astype(np.uint8)) & 1
-                    at, h = at[hit > 0], h[hit > 0]
+                    at, count, h = at[hit > 0], count[hit > 0], h[hit > 0]
                     begins = np.concatenate([[0], np.cumsum([len(p) for p in some])])
                     which = np.searchsorted(begins, at, side="right") - 1
-                    shard = (h >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else np.zeros(len(h), np.int64)
-                    for k, p, s in zip(which.tolist(), (at - begins[which]).tolist(), shard.tolist(), strict=True):
+                    for k, a, n, s in zip(which.tolist(), (at - begins[which]).tolist(), (count + width - 1).tolist(),
+                                          _shard_of(h, shard_bits).tolist(), strict=True):
                         doc, fp, t, offset = owners[done + k]
-                        a = max(0, offset + p - (width - GRAM))
-                        b = min(len(texts[t]), offset + p + width)
-                        out.setdefault(s, []).append((doc, fp, a, b - a, texts[t][a:b]))
-                        held += b - a
+                        a += offset
+                        out.setdefault(s, []).append((doc, fp, a, n, texts[t][a:a + n]))
+                        held += n
                     done += len(some)
                     if held >= HELD:
                         yield write()
@@ -230,7 +239,7 @@ def surroundings(docs: DataFrame, bitmap, width: int, shards: int, bits: int) ->
         if out:
             yield write()
 
-    return docs.select("text", "id", "fp").mapInArrow(run, _SURROUNDINGS)
+    return docs.select("text", "id", "fp").mapInArrow(run, _STRETCHES)
 
 
 def _covered(strings: list[bytes], low: np.ndarray, width: int, folder: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -280,58 +289,106 @@ def _covered(strings: list[bytes], low: np.ndarray, width: int, folder: str | No
     return least, begins
 
 
-def repeated_ranges(around: DataFrame, width: int, shards: int) -> DataFrame:
+def repeated_ranges(found: DataFrame, width: int, shards: int) -> DataFrame:
     """(id, fp, start, stop): byte ranges that repeat, not yet united."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number: dict[bytes, int] = {}
-        columns: list[list[np.ndarray]] = [[], [], [], []]      # of all members: id, fp, offset, string
+        shard = None
         for batch in batches:
-            for _, ids, fps, ats, sizes, blob in zip(*batch.columns, strict=True):
-                ids, fps, ats, sizes = (np.asarray(c.values) for c in (ids, fps, ats, sizes))
-                whole = sizes < 0
-                if whole.any():
-                    yield _ranges(ids[whole], fps[whole], np.zeros(int(whole.sum()), np.int64), ats[whole])
-                raw, ends = blob.as_py(), np.cumsum(sizes[~whole])
-                names = [number.setdefault(raw[b - n:b], len(number)) for b, n in zip(ends.tolist(), sizes[~whole].tolist())]
-                for column, values in zip(columns, (ids[~whole], fps[~whole], ats[~whole], np.array(names, np.int64)), strict=True):
-                    column.append(values)
-        if not number:
+            for row in zip(*batch.columns, strict=True):
+                if shard is None or row[0].as_py() != shard.number:
+                    if shard is not None:
+                        yield from shard.ranges()
+                    shard = _Shard(row[0].as_py(), width)
+                whole = shard.add(*row[1:])
+                if whole is not None:
+                    yield whole
+        if shard is not None:
+            yield from shard.ranges()
+
+    return (found.repartition(shards, "shard").sortWithinPartitions("shard")
+            .mapInArrow(run, "id long, fp long, start long, stop long"))
+
+
+class _Shard:
+    """The stretches of one shard: members (id, fp, offset, string) and the different strings."""
+
+    def __init__(self, number: int, width: int):
+        self.number, self.width = number, width
+        self.strings: dict[bytes, int] = {}
+        self.members: list[list[np.ndarray]] = [[], [], [], []]
+
+    def add(self, *row) -> pa.RecordBatch | None:
+        """Take a row of stretches; returns the ranges of its texts that repeat as a whole."""
+        ids, fps, ats, sizes = (np.asarray(c.values) for c in row[:4])
+        part = sizes >= 0
+        ends = np.cumsum(sizes[part])
+        if len(ends):
+            raw = pa.decompress(row[4].as_buffer(), int(ends[-1]), "zstd", asbytes=True)
+            names = [self.strings.setdefault(raw[b - n:b], len(self.strings)) for b, n in zip(
+                ends.tolist(), sizes[part].tolist(), strict=True)]
+            for column, values in zip(self.members, (ids[part], fps[part], ats[part], np.array(names, np.int64)), strict=True):
+                column.append(values)
+        if part.all():
+            return None
+        return _ranges(ids[~part], fps[~part], np.zeros(int((~part).sum()), np.int64), ats[~part])
+
+    def ranges(self) -> Iterator[pa.RecordBatch]:
+        if not self.strings:
             return
-        ids, fps, ats, which = (np.concatenate(c) for c in columns)
-        low = np.full(len(number), np.iinfo(np.int64).max)
+        ids, fps, ats, which = (np.concatenate(c) for c in self.members)
+        strings = list(self.strings)
+        sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        low = np.full(len(strings), np.iinfo(np.int64).max)
         np.minimum.at(low, which, ids)
-        strings = list(number)
-        number.clear()
-        least, begins = _covered(strings, low, width, None)
-        windows = np.fromiter(map(len, strings), np.int64, len(strings)) - width + 1
-        for a in range(0, len(ids), 100_000):
-            part = slice(a, a + 100_000)
-            many = np.maximum(windows[which[part]], 0)
-            step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-            member = np.repeat(np.arange(len(many)), many)
-            hit = least[begins[which[part]][member] + step] < ids[part][member]
-            member, step = member[hit], step[hit]
-            if not len(member):
-                continue
-            fresh = np.concatenate([[True], (member[1:] != member[:-1]) | (step[1:] != step[:-1] + 1)])
-            first, last = np.flatnonzero(fresh), np.append(np.flatnonzero(fresh)[1:], len(fresh)) - 1
-            yield _ranges(ids[part][member[first]], fps[part][member[first]], ats[part][member[first]] + step[first],
-                          ats[part][member[last]] + step[last] + width)
-
-    return around.repartition(shards, "shard").mapInArrow(run, "id long, fp long, start long, stop long")
+        # Strings of one anchor (the smallest of their grams); alone with it a string repeats as a whole or not at all.
+        begins = np.cumsum(sizes) - sizes
+        grams = np.append(_gram_hashes(b"".join(strings)), np.zeros(GRAM - 1, np.uint64))
+        grams[(begins[1:, None] - np.arange(1, GRAM)).ravel()] = np.iinfo(np.uint64).max
+        grams[-(GRAM - 1):] = np.iinfo(np.uint64).max
+        _, anchor, count = np.unique(np.minimum.reduceat(grams, begins), return_inverse=True, return_counts=True)
+        alone = count[anchor] == 1
+        # Runs of windows of a string with one smallest id: (string, first window, end, id).
+        run = np.flatnonzero(alone)
+        runs = [(run, np.zeros(len(run), np.int64), sizes[run] - self.width + 1, low[run])]
+        several = np.flatnonzero(~alone)
+        if len(several):
+            runs.append(self._runs(several, [strings[k] for k in several.tolist()], sizes[several], low[several]))
+        owner, first, end, least = (np.concatenate(c) for c in zip(*runs, strict=True))
+        order = np.lexsort((first, owner))
+        owner, first, end, least = owner[order], first[order], end[order], least[order]
+        cuts = np.searchsorted(owner, np.arange(len(strings) + 1))
+        many = np.diff(cuts)[which]
+        member = np.repeat(np.arange(len(which)), many)
+        at = np.repeat(cuts[which] - (np.cumsum(many) - many), many) + np.arange(len(member))
+        hit = least[at] < ids[member]
+        member, at = member[hit], at[hit]
+        if len(member):
+            yield _ranges(ids[member], fps[member], ats[member] + first[at], ats[member] + end[at] + self.width - 1)
+
+    def _runs(self, names: np.ndarray, strings: list[bytes], sizes: np.ndarray, low: np.ndarray) -> tuple:
+        least, begins = _covered(strings, low, self.width, None)
+        many = sizes - self.width + 1
+        owner = np.repeat(np.arange(len(names)), many)
+        step = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+        value = least[begins[owner] + step]
+        new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])]))
+        last = np.append(new[1:], len(owner)) - 1
+        return names[owner[new]], step[new], step[last] + 1, value[new]
 
 
 def _ranges(ids, fps, starts, stops) -> pa.RecordBatch:
     """Ranges of one row united where they touch, as far as this call sees them."""
     order = np.lexsort((starts, fps, ids))
     ids, fps, starts, stops = ids[order], fps[order], starts[order].astype(np.int64), stops[order].astype(np.int64)
-    out: list[list[int]] = []
-    for i, f, a, b in zip(ids.tolist(), fps.tolist(), starts.tolist(), stops.tolist(), strict=True):
-        if out and out[-1][0] == i and out[-1][1] == f and a <= out[-1][3]:
-            out[-1][3] = max(out[-1][3], b)
-        else:
-            out.append([i, f, a, b])
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["id", "fp", "start", "stop"])
+    row = np.cumsum(np.concatenate([[0], (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1])]))
+    # The furthest stop so far within a row, by one running maximum over (row, stop).
+    span = int(stops.max()) + 1
+    reach = np.maximum.accumulate(row * span + stops) - row * span
+    fresh = np.concatenate([[True], (row[1:] != row[:-1]) | (starts[1:] > reach[:-1])])
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(fresh)) - 1
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[first], fps[first], starts[first], reach[last])],
+                                      names=["id", "fp", "start", "stop"])
 
 
 def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -339,14 +396,17 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     if width < GRAM:
         raise ValueError(f"strings of {GRAM} bytes at least")
     spark = docs.sparkSession
-    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"),
-                       F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("fp"))
+    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"))
+    # Only where an id has several texts must its rows be told apart by a fingerprint.
+    fp = F.xxhash64(F.coalesce("text", F.lit("")))
+    again = rows.groupBy("id").agg(F.min(fp).alias("a"), F.max(fp).alias("b")).where("a <> b")
+    rows = rows.withColumn("fp", F.lit(0).cast("long") if again.isEmpty() else fp)
     named = rows.where(F.col("id").isNotNull() & F.col("text").isNotNull())
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 << max(0, math.ceil(math.log2(max(1, size / SHARD_BYTES))))
-    bits = min(MOST_BITS, max(16, shards.bit_length() + 2, math.ceil(math.log2(max(1, size)) - 1)))
+    bits = min(MOST_BITS, max(16, shards.bit_length() + 2, math.ceil(math.log2(max(1, size)) - 2)))
     bitmap = spark.sparkContext.broadcast(repeated_anchors(named.select("text"), width, shards, bits))
-    ranges = repeated_ranges(surroundings(named, bitmap, width, shards, bits), width, shards)
+    ranges = repeated_ranges(repeated_stretches(named, bitmap, width, shards, bits), width, shards)
     spans = stored(ranges, "suffix-ranges").groupBy("id", "fp").agg(
         F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("ranges"))
     keyed = rows.withColumn("key", id_key("id"))
