@@ -38,8 +38,16 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that Spark hands to a Python worker at a time: texts may be long, and executors hold several workers.
+ARROW_ROWS = 1000
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, where the cluster has not installed it."""
+    """Make this package importable in the Python workers, where the cluster has not installed it, and keep
+    the batches that go to them small (a smaller setting of the session stays)."""
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if rows <= 0 or rows > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     context = spark.sparkContext
     on_path = root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root
