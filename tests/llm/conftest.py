@@ -24,7 +24,7 @@ def make_docs(spark):
 def words():
     """words(seed, n): n invented words."""
     def make(seed, n):
-        rng = random.Random(seed)
+        rng = random.Random(str(seed))
         return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
     return make
 

@@ -1,0 +1,73 @@
+import random
+
+import numpy as np
+import pytest
+
+from careledger.llm import decontamination as dec
+
+
+def brute_align(a, b):
+    h = np.zeros((len(a) + 1, len(b) + 1), int)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            h[i, j] = max(0, h[i - 1, j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
+    return int(h.max())
+
+
+def test_alignment_matches_the_full_table():
+    rng = np.random.default_rng(2)
+    for _ in range(100):
+        a, b = rng.integers(0, 5, rng.integers(0, 20)), rng.integers(0, 5, rng.integers(0, 30))
+        assert dec.align(a, b) == brute_align(a, b)
+
+
+@pytest.fixture(scope="module")
+def bench(words):
+    return [(i, words(("item", i), 30)) for i in range(12)] + [(50, None), (51, ""), (52, "two words"), (None, words("n", 30))]
+
+
+def test_finds_copies_and_edits(make_docs, spark, words, bench):
+    rng = random.Random(5)
+    edit = bench[3][1].split()
+    for k in (4, 11, 19, 26):
+        edit[k] = "changed"
+    dropped = [w for k, w in enumerate(bench[4][1].split()) if k not in (7, 15, 22)]
+    shuffled = bench[5][1].split()
+    rng.shuffle(shuffled)
+    own = [words(("own", i), 120) for i in range(12)]
+    rows = [
+        (1, own[0] + " " + bench[0][1] + " " + own[1]), (2, own[2]), (3, f"{own[3]}\n{bench[1][1].upper().replace(' ', ', ')}!"),
+        (4, " ".join(edit)), (5, own[4] + " " + " ".join(dropped)), (6, " ".join(shuffled)), (7, None), (8, ""), (9, " ".join(bench[6][1].split()[:10])),
+        (10, bench[7][1] + " " + bench[8][1]), (10, bench[7][1] + " " + bench[8][1]), (None, bench[9][1]), (11, own[5] * 200 + " " + bench[2][1]),
+    ]
+    got = dec.decontaminate(make_docs(rows), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    assert {d for d, r in by_id.items() if r.contaminated} == {1, 3, 4, 5, 10, None, 11}
+    assert [by_id[d].item_id for d in (1, 3, 4, 5, 10, None, 11)] == [0, 1, 3, 4, 7, 9, 2]
+    assert by_id[1].similarity == by_id[3].similarity == 1.0 and 0.6 <= by_id[4].similarity < 1 and by_id[10].n_items == 2
+    assert by_id[2].similarity == 0 and by_id[7].similarity == 0
+    kept = dec.drop_contaminated(make_docs(rows), spark.createDataFrame(bench, "item_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 6, 7, 8, 9]
+
+
+def test_every_item_keeps_seeds_when_its_words_are_common(make_docs, spark, words):
+    """An item that most documents hold has no rare seed; its rarest ones are used."""
+    item = words("common", 25)
+    rows = [(i, words(i, 20) + " " + item) for i in range(60)] + [(100, words(999, 50))]
+    got = dec.decontaminate(make_docs(rows), spark.createDataFrame([(1, item)], "item_id long, text string"), common=0.0)
+    assert {r.doc_id for r in got.collect() if r.contaminated} == set(range(60))
+
+
+def test_benchmark_in_blocks(make_docs, spark, words, bench, monkeypatch):
+    rows = [(i, words(i, 40) + " " + t) for i, t in bench[:12]]
+    monkeypatch.setattr(dec, "SEED_BLOCK", 50)
+    got = dec.decontaminate(make_docs(rows), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(12)}
+
+
+def test_empty_tables(make_docs, spark, bench):
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    assert dec.decontaminate(make_docs([]), table).count() == 0
+    got = dec.decontaminate(make_docs([(1, "a b c")]), table.limit(0)).collect()
+    assert [(r.doc_id, r.contaminated, r.similarity, r.item_id, r.n_items) for r in got] == [(1, False, 0.0, None, 0)]

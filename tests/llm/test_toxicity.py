@@ -1,0 +1,110 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from careledger.llm import toxicity
+
+BAD = ["idiot", "scum", "moron"]
+
+
+def brute_segments(scores):
+    """Maximal segments by their definition: the best segment, then those of what is left on both sides."""
+    if not len(scores):
+        return []
+    sums = np.concatenate([[0.0], np.cumsum(scores)])
+    best, at = 0.0, None
+    for i in range(len(scores)):
+        for j in range(i + 1, len(scores) + 1):
+            if sums[j] - sums[i] > best + 1e-12:
+                best, at = sums[j] - sums[i], (i, j)
+    if at is None:
+        return []
+    i, j = at
+    return brute_segments(scores[:i]) + [(i, j)] + [(a + j, b + j) for a, b in brute_segments(scores[j:])]
+
+
+def test_segments_are_the_maximal_ones():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        scores = rng.normal(-0.2, 1.0, rng.integers(0, 40))
+        got = toxicity.maximal_segments(scores)
+        assert [(a, b) for a, b, _ in got] == brute_segments(scores)
+        assert all(abs(s - scores[a:b].sum()) < 1e-9 for a, b, s in got)
+
+
+def test_long_scan_is_linear():
+    scores = np.tile([1.0, -1.1], 100_000)
+    assert len(toxicity.maximal_segments(scores)) == 100_000
+
+
+def test_decay_rate_solves_its_equation():
+    scores, weight = np.array([2.0, -1.0, -0.5]), np.array([1, 6, 3])
+    rate = toxicity.decay_rate(scores, weight)
+    assert abs((weight / 10 * np.exp(rate * scores)).sum() - 1) < 1e-6
+
+
+def corpus(n=900):
+    rng = random.Random(1)
+    vocab = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(400)]
+    docs, labels = [], []
+    for i in range(n):
+        words = [rng.choice(vocab) for _ in range(rng.randint(20, 120))]
+        toxic = int(rng.random() < 0.25)
+        if toxic:
+            for _ in range(rng.randint(3, 8)):
+                words.insert(rng.randrange(len(words)), rng.choice(BAD) if rng.random() < 0.7 else "schlech" + rng.choice(vocab))
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    return docs, labels
+
+
+def test_held_out_accuracy_and_folds(make_docs, spark):
+    docs, labels = corpus()
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity_report(make_docs(docs), table).collect()}
+    assert len(got) == len(docs)
+    held = [(got[i].score, y, got[i].predicted) for i, _, y in labels if got[i].held_out]
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, _ in docs)
+    pos, neg = [s for s, y, _ in held if y], [s for s, y, _ in held if not y]
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg])
+    assert auc > 0.95 and np.mean([p == y for _, y, p in held]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got.values())
+    # Labels of the held-out fold are not read: turning them over changes nothing.
+    turned = [(i, q, 1 - y if zlib.crc32(str(i).encode()) % 3 == 1 else y) for i, q, y in labels]
+    other = toxicity.toxicity_report(make_docs(docs), spark.createDataFrame(turned, "doc_id long, quality int, toxic int"))
+    assert all(abs(got[r.doc_id].score - r.score) < 1e-9 for r in other.collect())
+
+
+def test_passages_point_at_the_words(make_docs, spark):
+    docs, labels = corpus(600)
+    model = toxicity.fit(make_docs(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    clean = " ".join(["aaaa"] * 40)
+    row = toxicity.score_toxicity(make_docs([(1, f"{clean} idiot scum moron {clean}")]), model).first()
+    assert row.n_words == 83 and [(p.start, p.end) for p in row.passages] == [(40, 43)]
+
+
+def test_edge_rows_and_missing_labels(make_docs, spark, edge_rows):
+    docs, labels = corpus(300)
+    table = spark.createDataFrame([*labels, (None, 1, 1), (5, None, None), (6, 1, 1), (6, 0, 0)], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity_report(make_docs([*edge_rows, *[(d + 1000, t) for d, t in docs]]), table).collect()
+    assert len(got) == len(edge_rows) + len(docs)
+    assert all(r.score is not None and r.held_out is not None for r in got)
+    empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.predicted for r in toxicity.toxicity_report(make_docs(edge_rows), empty).collect()} == {0}
+    assert toxicity.toxicity_report(make_docs([]), table).count() == 0
+    assert toxicity.toxicity_report(make_docs([]), empty).count() == 0
+
+
+def test_features_forget_case_and_punctuation():
+    a, n = toxicity.features(["Trash, TRASH!! -- trash"])
+    assert n.tolist() == [3] and (a[0] == a[1]).all() and (a[1] == a[2]).all()
+    b, _ = toxicity.features(["schlechabc schlechxyz"])
+    assert b[0][0] != b[1][0] and b[0][toxicity.STEMS.index(6) + 1] == b[1][toxicity.STEMS.index(6) + 1]
+
+
+@pytest.mark.parametrize("text", [None, "", "...", " \n"])
+def test_no_words(text):
+    buckets, n = toxicity.features([text])
+    assert n.tolist() == [0] and len(buckets) == 0
