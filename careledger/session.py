@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,12 +54,17 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset in local mode (tests).
+
+    On a cluster every executor would write to a disk of its own, so an unset folder is an error there."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is unset: master {master} needs a folder that all executors share")
     path = tempfile.mkdtemp(prefix="careledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
