@@ -99,26 +99,10 @@ def statements(text: Column, cr: str = "") -> Column:
     return F.transform(trimmed, lambda x: ascii_trim(F.regexp_replace(x, "\\s+", " ")))
 
 
-def spread(scripts: DataFrame) -> DataFrame:
-    """Spread an under-split corpus over the cluster.
-
-    The text jobs are narrow (no shuffle), so their parallelism is the
-    number of input splits.  A corpus read as fewer splits than the
-    cluster's default parallelism (one small file, one row group) is
-    repartitioned round-robin once; a corpus already split into enough
-    partitions is left alone, so large inputs are never shuffled."""
-    try:
-        want = scripts.sparkSession.sparkContext.defaultParallelism
-        have = scripts.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as read
-        return scripts
-    return scripts.repartition(want) if have < want else scripts
-
-
 def split_statements(scripts: DataFrame, id_col: str = "script_id", text_col: str = "text") -> DataFrame:
     """One row per statement: (script_id, stmt_no, statement)."""
-    return spread(scripts).select(F.col(id_col).alias("script_id"),
-                                  F.posexplode(statements(F.col(text_col))).alias("stmt_no", "statement"))
+    return scripts.select(F.col(id_col).alias("script_id"),
+                          F.posexplode(statements(F.col(text_col))).alias("stmt_no", "statement"))
 
 
 # Lower-case literals one of which every match of the keyword patterns
@@ -168,7 +152,7 @@ def _audit_fold(kinds: Column) -> Column:
     def step(acc, k):
         n1 = acc["n"] + 1
         return (F.when(acc["err"].isNotNull(), acc)
-                .when(k.startswith("E:"), F.struct(acc["n"].alias("n"), F.substring(k, 3, 1000).alias("err")))
+                .when(k.startswith("E:"), F.struct(acc["n"].alias("n"), F.substring(k, F.lit(3), F.length(k)).alias("err")))
                 .when(k == "Q", F.struct(n1.alias("n"),
                                          F.when(n1 > 1, F.lit(ERR_SINGLE)).alias("err")))
                 .when(k == "P", F.struct(n1.alias("n"), F.lit(None).cast("string").alias("err")))
@@ -182,7 +166,7 @@ def audit_scripts(scripts: DataFrame, id_col: str = "script_id", text_col: str =
 
     Each stage is its own column, so every regex runs once per statement
     (an expression referenced twice inside a lambda would run twice)."""
-    df = spread(scripts).select(F.col(id_col).alias("script_id"), F.col(text_col).alias("_text"))
+    df = scripts.select(F.col(id_col).alias("script_id"), F.col(text_col).alias("_text"))
     df = df.withColumn("_stmts", F.transform(statements(F.col("_text"), cr=" "), _with_lower))
     df = df.withColumn("_kinds", F.transform("_stmts", _statement_kind))
     df = df.withColumn("_fold", _audit_fold(F.col("_kinds")))
@@ -205,11 +189,12 @@ def audit_text(text: Column) -> Column:
 
 
 def _split_at_query(x: Column) -> Column:
-    """struct(s, idx) -> struct(head, query): cut at the first WITH/SELECT word."""
-    s, idx = x["s"], x["idx"]
-    has_q = idx > 0
-    query = F.when(has_q, js_trim(F.substring(s, idx, F.length(s))))
-    return F.struct(F.when(has_q, js_trim(F.substring(s, F.lit(1), idx - 1))).otherwise(s).alias("head"),
+    """struct(s, rest) -> struct(head, query): cut at the first WITH/SELECT word, where ``rest`` begins."""
+    s, rest = x["s"], x["rest"]
+    has_q = rest != ""
+    query = F.when(has_q, js_trim(rest))
+    head = F.substring(s, F.lit(1), F.length(s) - F.length(rest))
+    return F.struct(F.when(has_q, js_trim(head)).otherwise(s).alias("head"),
                     query.alias("query"), F.lower(query).alias("low"))
 
 
@@ -235,18 +220,19 @@ def extract_queries(scripts: DataFrame, id_col: str = "script_id", text_col: str
     send: setup lines, the parameter defaults when the query needs them,
     then the query.  Stages are separate columns so that each regex runs
     once per statement."""
-    df = spread(scripts).select(F.col(id_col).alias("script_id"), statements(F.col(text_col)).alias("_stmts"))
+    df = scripts.select(F.col(id_col).alias("script_id"), statements(F.col(text_col)).alias("_stmts"))
     df = df.withColumn("_cut", F.transform("_stmts", lambda s: F.struct(
-        s.alias("s"), F.regexp_instr(s, F.lit(QUERY_WORD)).alias("idx"))))
+        s.alias("s"), F.regexp_extract(s, f"(?s){QUERY_WORD}.*", 0).alias("rest"))))
     df = df.withColumn("_cut", F.transform("_cut", _split_at_query))
     df = df.withColumn("_parts", F.transform("_cut", _setup_and_query))
-    parts = F.col("_parts")
-    with_setup = F.transform(parts, lambda p, i: F.struct(
-        p["query"].alias("query"),
-        F.transform(F.filter(F.slice(parts, 1, i + 1), lambda q: q["setup"].isNotNull()),
-                    lambda q: q["setup"]).alias("setup")))
-    df = df.withColumn("_acc", F.filter(with_setup, lambda x: x["query"].isNotNull()))
-    rows = df.select("script_id", F.posexplode("_acc").alias("query_no", "q"))
+    # Setups and queries apart, each with its statement number: a query then sees only the setups, not all statements.
+    numbered = F.transform("_parts", lambda p, i: F.struct(i.alias("no"), p["setup"].alias("setup"), p["query"].alias("query")))
+    df = df.withColumn("_all", numbered)
+    df = df.select("script_id", F.filter("_all", lambda p: p["setup"].isNotNull()).alias("_setups"),
+                   F.filter("_all", lambda p: p["query"].isNotNull()).alias("_queries"))
+    rows = df.select("script_id", "_setups", F.posexplode("_queries").alias("query_no", "_q"))
+    rows = rows.select("script_id", "query_no", F.struct(F.col("_q.query").alias("query"), F.transform(
+        F.filter("_setups", lambda s: s["no"] <= F.col("_q.no")), lambda s: s["setup"]).alias("setup")).alias("q"))
     q = F.col("q.query")
     defaults = F.when(q.rlike(PARAM_AFTER_WORD), F.array(*[F.lit(d) for d in DEFAULT_DECLARES])) \
         .otherwise(F.array().cast("array<string>"))
@@ -258,13 +244,18 @@ def extract_queries(scripts: DataFrame, id_col: str = "script_id", text_col: str
 
 def sanitize_name(name: Column) -> Column:
     """T4 worksheet / output name: blank -> Sheet1; ``\\ / ? * [ ] :`` -> ``_``;
-    collapse blanks, then underscores; trim; first 31 characters."""
+    collapse blanks, then underscores; trim; first 31 UTF-16 units (a pair of
+    surrogates at the cut is dropped whole)."""
     base = F.coalesce(F.nullif(js_trim(F.coalesce(name.cast("string"), F.lit(""))), F.lit("")),
                       F.lit(SHEET_DEFAULT))
     s = F.regexp_replace(base, SHEET_FORBIDDEN, "_")
     s = F.regexp_replace(s, f"{JS_WS}+", " ")
     s = js_trim(F.regexp_replace(s, "_+", "_"))
-    return F.substring(s, 1, SHEET_MAX_CHARS)
+    units = F.encode(s, "UTF-16BE")
+    cut = F.substring(units, 1, 2 * SHEET_MAX_CHARS)
+    last = F.hex(F.substring(cut, 2 * SHEET_MAX_CHARS - 1, 1))          # D8..DB: the first half of a pair
+    whole = F.when(last.between("D8", "DB"), F.substring(cut, 1, 2 * SHEET_MAX_CHARS - 2)).otherwise(cut)
+    return F.when(F.octet_length(units) <= 2 * SHEET_MAX_CHARS, s).otherwise(F.decode(whole, "UTF-16BE"))
 
 
 def report_stamp(prefix: Column | str, date: Column, ext: str = "") -> Column:

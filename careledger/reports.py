@@ -11,14 +11,17 @@ as concurrent Spark jobs from a small driver thread pool.
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from careledger.operators.scripts import audit_text, report_stamp, sanitize_name
+from careledger.operators.scripts import audit_text, report_stamp, sanitize_name, statements
 from careledger.params import RunParams
-from careledger.sources.scripts import definitions_file, definitions_from_folder
+from careledger.sources.scripts import definitions_file, definitions_from_folder, sibling_folder
 
 NO_DATA_COLUMN = "No data"
 NO_DATA_VALUE = "No rows returned"
@@ -30,32 +33,68 @@ def run_params(as_of=None, start=None, end=None, **kw) -> RunParams:
     return RunParams.build(as_of=as_of, start=start, end=end, **kw)
 
 
-def run_params_columns(as_of: F.Column) -> list[F.Column]:
-    """R1 for many run dates at once (one row per date): the same defaults as
-    ``RunParams.build`` written as columns."""
-    from careledger.params import HCE_FACTOR, SLA_DAYS_AFTER_END, WINDOW_DAYS_BACK
-    return [as_of.alias("as_of"), F.date_sub(as_of, WINDOW_DAYS_BACK).alias("start"), as_of.alias("end"),
-            F.date_add(as_of, SLA_DAYS_AFTER_END).alias("sla_cutoff"),
-            F.lit(HCE_FACTOR).cast("decimal(5,3)").alias("hce_factor")]
-
-
-def run_query(spark: SparkSession, sql: str, params: RunParams) -> DataFrame:
-    """R2: ``spark.sql`` with named markers ``:start :end :as_of :sla_cutoff :hce_factor``."""
-    return spark.sql(sql, args=params.sql_args())
+def run_query(spark: SparkSession, sql: str, params: RunParams, **extra) -> DataFrame:
+    """R2: one query with named markers ``:start :end :as_of :sla_cutoff :hce_factor`` and those of ``extra``.
+
+    A batch may set things up before its query (T2 accepts ``USE``, ``SET`` and
+    ``DECLARE`` lines): ``USE`` names the current database while the query is
+    resolved; ``SET`` and ``DECLARE`` have no meaning here, since parameters are
+    bound by name."""
+    lines = sql_statements(spark, sql)
+    setup = [s for s in lines if re.match(r"(?i)(use|set|declare|go)\b", s)]
+    if not setup:
+        return spark.sql(sql, args={**params.sql_args(), **extra})
+    rest = [s for s in lines if s not in setup]
+    if len(rest) != 1:
+        raise ValueError("A batch with setup lines needs one query.")
+    before = spark.catalog.currentDatabase()
+    try:
+        for line in setup:
+            if line[:3].upper() == "USE":
+                spark.catalog.setCurrentDatabase(line[3:].strip().strip("`[]\""))
+        return spark.sql(rest[0], args={**params.sql_args(), **extra})
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def sql_statements(spark: SparkSession, sql: str) -> list[str]:
+    """T1 for one batch of a run."""
+    row = spark.createDataFrame([(sql,)], "t string").select(statements(F.col("t"), cr=" ").alias("s")).first()
+    return row["s"] or []
+
+
+def common_type(types: list[T.DataType]) -> T.DataType:
+    """A type that holds every value of all ``types``; text where no other does."""
+    kinds = [t for t in types if not isinstance(t, T.NullType)]
+    if not kinds:
+        return types[0]
+    if all(t == kinds[0] for t in kinds):
+        return kinds[0]
+    whole = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    if all(type(t) in whole for t in kinds):
+        return max(kinds, key=lambda t: whole[type(t)])
+    if all(type(t) in whole or isinstance(t, T.DecimalType) for t in kinds):
+        scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in kinds)
+        digits = max(t.precision - t.scale if isinstance(t, T.DecimalType) else whole[type(t)] for t in kinds)
+        return T.DecimalType(digits + scale, scale) if digits + scale <= 38 else T.StringType()
+    if all(isinstance(t, (T.FloatType, T.DoubleType)) for t in kinds):
+        return T.DoubleType()
+    return T.StringType()
 
 
 def stack_results(results: list[DataFrame]) -> DataFrame:
     """Result sets of one report, in order, under the columns of the
     first non-empty one.  Other columns are dropped, missing ones are NULL;
-    ``result_set`` keeps the order of the result sets."""
+    a column takes a type that holds the values of all its result sets, so no
+    value is lost; ``result_set`` keeps the order of the result sets."""
     if not results:
         raise ValueError("no result sets")
     header = next((df for df in results if not df.isEmpty()), results[0])
-    fields = [(f.name, f.dataType) for f in header.schema.fields]
+    types = {n: common_type([df.schema[n].dataType for df in results if n in df.columns]) for n in header.columns}
     aligned = []
     for i, df in enumerate(results):
         have = set(df.columns)
-        cols = [(F.col(n).try_cast(t) if n in have else F.lit(None).cast(t)).alias(n) for n, t in fields]
+        cols = [(F.col(f"`{n}`") if n in have else F.lit(None)).cast(t).alias(n) for n, t in types.items()]
         aligned.append(df.select(F.lit(i).alias(RESULT_SET_COLUMN), *cols))
     out = aligned[0]
     for df in aligned[1:]:
@@ -90,6 +129,17 @@ def stamp_for(spark: SparkSession, run_date: dt.date, prefix: str = "KPIReport")
     return spark.range(1).select(report_stamp(prefix, F.lit(run_date).cast("date")).alias("s")).first()["s"]
 
 
+def refuse_clashes(spark: SparkSession, names: list[str]) -> list[str]:
+    """Output names of the reports; two reports that would share one (also but for case) are an error."""
+    sheets = sheet_names(spark, names)
+    seen: dict[str, str] = {}
+    for name, sheet in zip(names, sheets, strict=True):
+        if sheet.casefold() in seen:
+            raise ValueError(f"Reports {seen[sheet.casefold()]!r} and {name!r} would both be written as {sheet!r}.")
+        seen[sheet.casefold()] = name
+    return sheets
+
+
 def _write_all(frames: dict[str, DataFrame], paths: dict[str, str], fmt: str, threads: int) -> None:
     """Write each frame once, as concurrent Spark jobs (overwrite: idempotent re-runs)."""
     def write(name):
@@ -104,7 +154,8 @@ def write_reports(reports: dict[str, DataFrame], out_dir: str, stamp: str, fmt:
                   threads: int = 4) -> dict[str, str]:
     """One output per report under ``out_dir/stamp/<sheet name>``.
 
-    Each report is computed once: it is written, and only an output that
+    Names that clash after cleaning and cutting raise before anything is
+    written.  Each report is computed once: it is written, and only an output that
     turns out empty (checked on the written files) is replaced by the R4
     placeholder.  The writes are submitted concurrently; overwrite mode
     makes a re-run after a lost executor or a failed job idempotent."""
@@ -112,7 +163,7 @@ def write_reports(reports: dict[str, DataFrame], out_dir: str, stamp: str, fmt:
         return {}
     spark = next(iter(reports.values())).sparkSession
     names = list(reports)
-    paths = {n: f"{out_dir.rstrip('/')}/{stamp}/{s}" for n, s in zip(names, sheet_names(spark, names))}
+    paths = {n: f"{out_dir.rstrip('/')}/{stamp}/{s}" for n, s in zip(names, refuse_clashes(spark, names))}
     _write_all(reports, paths, fmt, threads)
     for n in names:
         if spark.read.format(fmt).load(paths[n]).isEmpty():
@@ -147,29 +198,42 @@ def run_kpi_reports(cat, params: RunParams, out_dir: str | None = None, prefix:
     its result sets stacked (R3), one output per report (R5).
 
     Every result set is computed exactly once: all of them are first written
-    (concurrently) under ``<stamp>/_parts`` in the shared folder, which also
-    cuts their lineage; stacking then probes emptiness and unions the small
+    (concurrently) to a new folder beside the reports, which also cuts their
+    lineage; stacking then probes emptiness and unions the small
     written outputs instead of re-running the reports."""
     from careledger.plans.kpis import KPI_REPORTS
     spark = cat.spark
     catalogue = catalogue or KPI_CATALOGUE
     out_dir = out_dir or output_root(spark)
     stamp = stamp_for(spark, params.end, prefix)
+    refuse_clashes(spark, list(catalogue))
     parts = {i: KPI_REPORTS[i](cat, params) for ids in catalogue.values() for i in ids}
-    part_paths = {i: f"{out_dir.rstrip('/')}/{stamp}/_parts/{i}" for i in parts}
-    _write_all(parts, part_paths, "parquet", threads=8)
-    results = {}
-    for name, ids in catalogue.items():
-        frames = [spark.read.parquet(part_paths[i]) for i in ids]
-        results[name] = frames[0] if len(frames) == 1 else stack_results(frames)
-    return write_reports(results, out_dir, stamp)
+    written = _written_parts(parts, out_dir)
+    return write_reports({name: _stacked([written[i] for i in ids]) for name, ids in catalogue.items()}, out_dir, stamp)
+
+
+def _written_parts(parts: dict, out_dir: str) -> dict:
+    """Every result set computed once: written under a new folder and read back."""
+    if not parts:
+        return {}
+    spark = next(iter(parts.values())).sparkSession
+    root = f"{out_dir.rstrip('/')}/_parts-{uuid.uuid4().hex}"
+    paths = {k: f"{root}/{n}" for n, k in enumerate(parts)}
+    _write_all(parts, paths, "parquet", threads=8)
+    return {k: spark.read.schema(parts[k].schema).parquet(p) for k, p in paths.items()}
+
+
+def _stacked(frames: list[DataFrame]) -> DataFrame:
+    return frames[0] if len(frames) == 1 else stack_results(frames)
 
 
 def load_definitions(spark: SparkSession, definitions_path: str | None, folder: str | None) -> list[dict]:
-    """R6 catalog: definitions when the file yields any, else the script folder."""
+    """R6 catalog: definitions when the file yields any, else the script folder
+    (by default the folder ``SQL`` beside the definitions file)."""
     defs = []
     if definitions_path:
         defs = [r.asDict() for r in definitions_file(spark, definitions_path).collect()]
+    folder = folder or (sibling_folder(definitions_path) if definitions_path else None)
     if not defs and folder:
         defs = [r.asDict() for r in definitions_from_folder(spark, folder).collect()]
     if not defs:
@@ -191,14 +255,16 @@ def validate_queries(spark: SparkSession, name: str, queries: list[str] | None)
 
 def run_reports(spark: SparkSession, params: RunParams, out_dir: str | None = None,
                 definitions_path: str | None = None, folder: str | None = None,
-                prefix: str = "KPIReport") -> dict[str, str]:
+                prefix: str = "KPIReport", extra: dict | None = None) -> dict[str, str]:
     """Load the definitions, validate, run each report's queries with the
-    run parameters, stack its result sets and write one output per report."""
+    run parameters (and the named ``extra`` ones), stack its result sets and
+    write one output per report.  Reports that share a name are an error."""
     defs = load_definitions(spark, definitions_path, folder)
-    results = {}
+    refuse_clashes(spark, [d["name"] for d in defs])
     for d in defs:
         validate_queries(spark, d["name"], d["query"])
-        frames = [run_query(spark, q, params) for q in d["query"]]
-        results[d["name"]] = frames[0] if len(frames) == 1 else stack_results(frames)
-    stamp = stamp_for(spark, params.end, prefix)
-    return write_reports(results, out_dir or output_root(spark), stamp)
+    out_dir = out_dir or output_root(spark)
+    parts = {(d["name"], i): run_query(spark, q, params, **(extra or {})) for d in defs for i, q in enumerate(d["query"])}
+    written = _written_parts(parts, out_dir)
+    results = {d["name"]: _stacked([written[d["name"], i] for i in range(len(d["query"]))]) for d in defs}
+    return write_reports(results, out_dir, stamp_for(spark, params.end, prefix))

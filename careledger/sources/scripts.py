@@ -8,45 +8,86 @@ short list of report definitions ever reaches the driver (R6).
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from careledger.operators.scripts import extract_queries
+from careledger.operators.scripts import extract_queries, js_trim
 
 DEFINITION_SCHEMA = "name string, query array<string>, sourceFile string"
 _RAW_ENTRY = "struct<name: string, query: string, sourceFile: string>"
 
 
+def _hidden_scripts(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(file_name, text, sourceFile) of scripts whose names begin with ``_`` or ``.``.
+
+    Spark's file sources pass such names over, so the tasks open these few
+    files themselves, from the folder's own file system."""
+    folder = folder if "://" in folder else os.path.abspath(folder)
+    fs, root = pafs.FileSystem.from_uri(folder)
+    if fs.get_file_info(root).type != pafs.FileType.Directory:
+        return None
+    names = [i.path for i in fs.get_file_info(pafs.FileSelector(root)) if i.type == pafs.FileType.File
+             and i.base_name[:1] in "_." and i.base_name.lower().endswith(".sql")]
+    if not names:
+        return None
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, _ = pafs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with own.open_input_stream(path) as stream:
+                    text = stream.read().decode("utf-8", "replace")
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (path.rsplit("/", 1)[-1], text, path)],
+                                                 names=["file_name", "text", "sourceFile"])
+
+    return (spark.createDataFrame([(n,) for n in names], "path string").repartition(len(names))
+            .mapInArrow(read, "file_name string, text string, sourceFile string"))
+
+
 def script_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """Every ``*.sql`` file (any case) of ``folder`` as (name, text, sourceFile),
-    sorted by file name; a missing folder gives an empty frame."""
-    empty = spark.createDataFrame([], "name string, text string, sourceFile string")
+    """Every ``*.sql`` file (any case, also names that begin with ``_`` or
+    ``.``) of ``folder`` as (name, text, sourceFile), in the order of the whole
+    file names; a missing folder gives an empty frame."""
+    found = None
     try:
         # _metadata.file_name is URI-encoded (a blank is %20); '+' is protected
         # from form decoding first.
         name = F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), "\\+", "%2B"))
-        raw = spark.read.text(folder, wholetext=True).select(
-            F.col("value").alias("text"), name.alias("file_name"),
-            F.col("_metadata.file_path").alias("sourceFile"))
+        found = spark.read.text(folder, wholetext=True).select(
+            name.alias("file_name"), F.col("value").alias("text"), F.col("_metadata.file_path").alias("sourceFile"))
     except AnalysisException:
-        return empty
-    return (raw.filter(F.lower("file_name").endswith(".sql"))
-            .select(F.regexp_replace("file_name", "(?i)\\.sql$", "").alias("name"), "text", "sourceFile")
-            .orderBy("name"))
+        pass                                                  # no folder, or nothing in it that Spark lists
+    hidden = _hidden_scripts(spark, folder)
+    if hidden is not None:
+        found = hidden if found is None else found.unionByName(hidden)
+    if found is None:
+        return spark.createDataFrame([], "name string, text string, sourceFile string")
+    return (found.filter(F.lower("file_name").endswith(".sql")).orderBy("file_name")
+            .select(F.regexp_replace("file_name", "(?i)\\.sql$", "").alias("name"), "text", "sourceFile"))
 
 
 def definitions_from_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """S5 + T3: one definition per script that yields at least one query."""
+    """S5 + T3: one definition per script that yields at least one query, in file-name order.
+
+    Scripts are told apart by their file (``m.sql`` and ``m.SQL`` are two)."""
     scripts = script_folder(spark, folder)
-    q = extract_queries(scripts.withColumnRenamed("name", "script_id"))
-    agg = q.groupBy("script_id").agg(
+    q = extract_queries(scripts, id_col="sourceFile")
+    agg = q.groupBy(F.col("script_id").alias("sourceFile")).agg(
         F.sort_array(F.collect_list(F.struct("query_no", "query"))).alias("_qs"))
-    src = scripts.select(F.col("name").alias("script_id"), "sourceFile")
-    return (agg.join(src, "script_id")
-            .select(F.col("script_id").alias("name"), F.transform("_qs", lambda x: x["query"]).alias("query"),
-                    "sourceFile")
-            .orderBy("name"))
+    file_name = F.element_at(F.split("sourceFile", "/"), -1)
+    return (agg.join(scripts.select("name", "sourceFile"), "sourceFile").orderBy(file_name)
+            .select("name", F.transform("_qs", lambda x: x["query"]).alias("query"), "sourceFile"))
+
+
+def sibling_folder(path: str, name: str = "SQL") -> str:
+    """The folder ``name`` beside a definitions file (the default script folder)."""
+    return f"{path.rsplit('/', 1)[0] if '/' in path else '.'}/{name}"
 
 
 def definitions_file(spark: SparkSession, path: str) -> DataFrame:
@@ -63,9 +104,9 @@ def definitions_file(spark: SparkSession, path: str) -> DataFrame:
     as_array = F.from_json("value", f"array<{_RAW_ENTRY}>")
     as_object = F.from_json("value", f"struct<reports: array<{_RAW_ENTRY}>>")["reports"]
     # from_json would wrap a lone object into a one-element array: choose by the first character.
-    is_array = F.ltrim(F.col("value")).startswith("[")
+    is_array = js_trim(F.col("value")).startswith("[")
     entries = raw.select(F.explode(F.when(is_array, as_array).otherwise(as_object)).alias("d"))
     q = F.col("d.query")
-    query = F.when(F.ltrim(q).startswith("["), F.from_json(q, "array<string>")).otherwise(F.array(q))
+    query = F.when(js_trim(q).startswith("["), F.from_json(q, "array<string>")).otherwise(F.array(q))
     return entries.select(F.col("d.name").alias("name"), query.alias("query"),
                           F.col("d.sourceFile").alias("sourceFile"))
