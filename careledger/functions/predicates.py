@@ -13,10 +13,26 @@ from pyspark.sql import functions as F
 __all__ = [
     "in_window_by_date", "in_window_raw", "in_window_half_open", "active_on",
     "overlaps_window", "overlaps_window_by_date", "claimable", "open_period",
-    "on_hold", "ts",
+    "on_hold", "ts", "same", "differs",
 ]
 
 
+def same(x: Column, *values: str) -> Column:
+    """T-SQL ``x = value`` (or ``IN``), which ignores trailing blanks.
+
+    The prefix test loses nothing and reaches the scan as a pushed filter;
+    the right-trimmed comparison decides."""
+    prefix = x.startswith(values[0])
+    for v in values[1:]:
+        prefix = prefix | x.startswith(v)
+    return prefix & F.rtrim(x).isin(*values)
+
+
+def differs(x: Column, value: str) -> Column:
+    """T-SQL ``x <> value``, which ignores trailing blanks."""
+    return F.rtrim(x) != value
+
+
 def ts(d: dt.date) -> Column:
     """A run date as a midnight TIMESTAMP_NTZ literal."""
     return F.lit(d).cast("timestamp_ntz")
@@ -72,4 +88,4 @@ def open_period() -> Column:
 
 def on_hold(export_date: Column, invoice_status: Column) -> Column:
     """P15 ``export IS NULL OR status IN ('HOLD','HELD')``."""
-    return export_date.isNull() | invoice_status.isin("HOLD", "HELD")
+    return export_date.isNull() | same(invoice_status, "HOLD", "HELD")

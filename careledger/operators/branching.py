@@ -14,7 +14,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careledger.functions.columns import bucket_rank, fill, lit_date, norm_key
+from careledger.functions.columns import bucket_rank, fill, label_or_code, lit_date, norm_key
 
 UNMAPPED = "(unmapped)"
 
@@ -25,19 +25,19 @@ UNMAPPED = "(unmapped)"
 BRANCH_DIM_MAX_ROWS = 10_000
 CODE_TABLE_MAX_ROWS = 100_000
 
-_SIZE_CHECKS: "WeakKeyDictionary[DataFrame, bool]" = WeakKeyDictionary()
+_SIZE_CHECKS: "WeakKeyDictionary[DataFrame, dict[int, bool]]" = WeakKeyDictionary()
 
 
 def within_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows, once per DataFrame object (a
-    catalog's dimension is checked once per run, not once per report)."""
-    ok = _SIZE_CHECKS.get(df)
-    if ok is None:
-        ok = df.limit(max_rows + 1).count() <= max_rows
-        _SIZE_CHECKS[df] = ok
-    return ok
+    Reads at most ``max_rows + 1`` rows, once per DataFrame object and bound
+    (a catalog's dimension is checked once per run, not once per report).
+    The answer only picks the join strategy, never the result."""
+    checks = _SIZE_CHECKS.setdefault(df, {})
+    if max_rows not in checks:
+        checks[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return checks[max_rows]
 
 
 def bounded_broadcast(source: DataFrame, max_rows: int, projected: DataFrame | None = None) -> DataFrame:
@@ -49,13 +49,39 @@ def bounded_broadcast(source: DataFrame, max_rows: int, projected: DataFrame | N
 
 def branch_dim(dim: DataFrame, max_rows: int = BRANCH_DIM_MAX_ROWS) -> DataFrame:
     """The dimension with a normalised join key and the rank column."""
-    d = dim.select(
+    return bounded_broadcast(dim, max_rows, _dim_rows(dim))
+
+
+def _dim_rows(dim: DataFrame) -> DataFrame:
+    return dim.select(
         F.col("epi_slid").alias("_dim_slid"),
         norm_key(F.col("epi_branchcode")).alias("_dim_code"),
         F.col("branch_name").alias("bucket"),
-        F.col("service_line").alias("_dim_service_line"),
+        F.rtrim("service_line").alias("_dim_service_line"),
     )
-    return bounded_broadcast(dim, max_rows, d)
+
+
+def _join_wildcard(df: DataFrame, dim: DataFrame, slid: str, code: str) -> DataFrame:
+    """The left join on ``line = line AND (dim.code IS NULL OR dim.code = code)`` as two equi-joins.
+
+    Branches with a code meet the facts on (line, code), so above the
+    broadcast bound they hash on both; branches without one are one row per
+    line, joined on the line.  The matches of both are the row's branches."""
+    branch = F.struct("bucket", "_dim_service_line")
+    rows = _dim_rows(dim)
+    coded = rows.where(F.col("_dim_code").isNotNull()).groupBy("_dim_slid", "_dim_code").agg(
+        F.collect_list(branch).alias("_coded"))
+    whole = rows.where(F.col("_dim_code").isNull()).groupBy(F.col("_dim_slid").alias("_line_slid")).agg(
+        F.collect_list(branch).alias("_whole"))
+    coded = bounded_broadcast(dim, BRANCH_DIM_MAX_ROWS, coded)
+    whole = bounded_broadcast(dim, BRANCH_DIM_MAX_ROWS, whole)
+    out = df.join(coded, (coded["_dim_slid"] == F.col(slid)) & (coded["_dim_code"] == norm_key(F.col(code))), "left")
+    out = out.join(whole, whole["_line_slid"] == F.col(slid), "left")
+    none = F.array().cast("array<struct<bucket:string,_dim_service_line:string>>")
+    found = F.concat(F.coalesce("_coded", none), F.coalesce("_whole", none))
+    return (out.withColumn("_branch", F.explode_outer(found))
+            .withColumns({"bucket": F.col("_branch.bucket"), "_dim_service_line": F.col("_branch._dim_service_line")})
+            .drop("_branch", "_coded", "_whole", "_line_slid"))
 
 
 def with_bucket(df: DataFrame, dim: DataFrame, slid: str = "epi_slid",
@@ -64,15 +90,13 @@ def with_bucket(df: DataFrame, dim: DataFrame, slid: str = "epi_slid",
     """Left join on service line + branch code, add ``bucket`` and ``bucket_sort``.
 
     ``wildcard`` gives the ``(map.code IS NULL OR map.code = e.code)`` form:
-    a dimension row without a code matches every branch of its line.  The
-    planner still hashes on the service-line key and keeps the OR as a
-    residual condition."""
-    d = branch_dim(dim)
-    key = norm_key(F.col(code))
-    cond = d["_dim_slid"] == F.col(slid)
-    cond = cond & ((d["_dim_code"].isNull() | (d["_dim_code"] == key)) if wildcard
-                   else (d["_dim_code"] == key))
-    out = df.join(d, cond, "left").withColumn(
+    a dimension row without a code matches every branch of its line."""
+    if wildcard:
+        out = _join_wildcard(df, dim, slid, code)
+    else:
+        d = branch_dim(dim)
+        out = df.join(d, (d["_dim_slid"] == F.col(slid)) & (d["_dim_code"] == norm_key(F.col(code))), "left")
+    out = out.withColumn(
         "bucket_sort", bucket_rank(F.col("_dim_service_line"), hospice_rank))
     drop = ["_dim_slid", "_dim_code"] + ([] if keep_service_line else ["_dim_service_line"])
     return out.drop(*drop)
@@ -130,9 +154,9 @@ def by_branch_code(df: DataFrame, dim: DataFrame, aggs: list[Column], consts: li
     j = with_branch_by_code(df.withColumn("branch_code", norm_key(F.col("branch_code"))), dim)
     g = j.groupBy("branch_code", "branch_name", "service_line").agg(*aggs)
     names = [c for c in g.columns if c not in ("branch_code", "branch_name", "service_line")]
-    bucket = (F.coalesce(F.col("branch_name"), F.lit(default_label)) if default_label is not None
-              else F.coalesce(F.col("branch_name"), F.nullif(F.trim(F.col("branch_code")), F.lit("")),
-                              F.lit("(no branch)")))
+    bucket = (fill(F.col("branch_name"), default_label) if default_label is not None
+              else label_or_code(F.col("branch_name"), F.col("branch_code")))
+    # The codes are those of the facts, not of the dimension: a distributed sort.
     return (g.select(bucket.alias("bucket"), bucket_rank(F.col("service_line")).alias("bucket_sort"),
                      "branch_code", *consts, *names)
-            .transform(lambda d: order_bounded(d, "bucket_sort", "branch_code")))
+            .orderBy("bucket_sort", "branch_code"))

@@ -29,7 +29,7 @@ from careledger.functions.columns import (
 )
 from careledger.functions.predicates import (
     active_on, claimable, in_window_by_date, in_window_half_open, in_window_raw, on_hold,
-    open_period, overlaps_window, overlaps_window_by_date,
+    differs, open_period, overlaps_window, overlaps_window_by_date, same, ts,
 )
 from careledger.operators.branching import (
     CODE_TABLE_MAX_ROWS, UNMAPPED, bounded_broadcast, by_branch_code, by_bucket, order_bounded,
@@ -56,12 +56,21 @@ BP1_BELOW = "❌ Below KPI"
 
 
 def _not_deleted_admitted(e: DataFrame) -> DataFrame:
-    return e.filter((C("epi_status") != "DELETED") & C("epi_NonAdmitDate").isNull())
+    return e.filter(differs(C("epi_status"), "DELETED") & C("epi_NonAdmitDate").isNull())
 
 
 def _new_admissions(e: DataFrame) -> DataFrame:
-    return e.filter((C("epi_status") == "CURRENT") & C("epi_NonAdmitDate").isNull()
-                    & (C("epi_AdmitType") == "NEW ADMISSION"))
+    return e.filter(same(C("epi_status"), "CURRENT") & C("epi_NonAdmitDate").isNull()
+                    & same(C("epi_AdmitType"), "NEW ADMISSION"))
+
+
+def only_of(history: DataFrame, key: str, rows: DataFrame, row_key: str) -> DataFrame:
+    """The rows of a history table whose key occurs among the window's ``rows``.
+
+    A semi-join below the aggregate or the wide join: the window's few keys
+    (broadcast by the planner when they are small) reduce the history before
+    it is grouped or shuffled."""
+    return history.join(rows.select(C(row_key).alias("_wanted")), C("_wanted") == C(key), "left_semi")
 
 
 # --------------------------------------------------------------------- admissions
@@ -84,7 +93,7 @@ def k02_admissions_by_care_type(cat: Catalog, p: RunParams) -> DataFrame:
     # One-to-many: an episode counts once per primary care-type row.  The
     # rows are first counted per (episode, type) (map-side, so a hot episode
     # never lands whole in one join task) and carried as a weight.
-    primary = (cat.episode_care_types.filter(C("cect_primary") == "Y")
+    primary = (only_of(cat.episode_care_types.filter(same(C("cect_primary"), "Y")), "cect_epiid", e, "epi_id")
                .groupBy("cect_epiid", "cect_ctypeid").agg(F.count(F.lit(1)).alias("_w")))
     types = bounded_broadcast(cat.care_types, CODE_TABLE_MAX_ROWS,
                               cat.care_types.select("ctype_id", "ctype_description"))
@@ -96,7 +105,7 @@ def k02_admissions_by_care_type(cat: Catalog, p: RunParams) -> DataFrame:
         F.sum(F.coalesce(C("_w"), F.lit(1))).alias("admission_count"))
     return (g.select(C("bucket").alias("service_line"), "service_line_id", "care_type",
                      *window_cols(p.start, p.end), "admission_count")
-            .transform(lambda d: order_bounded(d, "care_type")))
+            .orderBy("care_type"))
 
 
 def k03_days_to_admit(cat: Catalog, p: RunParams) -> DataFrame:
@@ -120,12 +129,15 @@ def k03_days_to_admit(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ billing
-def _lines_with_branch(cat: Catalog, lines: DataFrame, with_invoice: bool) -> DataFrame:
-    """Branch code from the invoice, else from the episode (two left joins)."""
-    epi = cat.episodes.select(C("epi_id"), C("epi_branchcode"))
+def _lines_with_branch(cat: Catalog, lines: DataFrame, with_invoice: bool, windowed: bool = False) -> DataFrame:
+    """Branch code from the invoice, else from the episode (two left joins).
+
+    ``windowed`` lines are few: their keys reduce both histories first."""
+    epi, inv = cat.episodes.select(C("epi_id"), C("epi_branchcode")), cat.invoices.select("i_id", "i_branchcode", "i_status")
+    if windowed:
+        epi, inv = only_of(epi, "epi_id", lines, "li_epiid"), only_of(inv, "i_id", lines, "li_iid")
     out = lines
     if with_invoice:
-        inv = cat.invoices.select("i_id", "i_branchcode", "i_status")
         out = out.join(inv, inv["i_id"] == out["li_iid"], "left")
     out = out.join(epi, epi["epi_id"] == out["li_epiid"], "left")
     code = F.coalesce(C("i_branchcode"), C("epi_branchcode")) if with_invoice else C("epi_branchcode")
@@ -134,7 +146,7 @@ def _lines_with_branch(cat: Catalog, lines: DataFrame, with_invoice: bool) -> Da
 
 def k04_billing_holds_sla(cat: Catalog, p: RunParams) -> DataFrame:
     li = cat.line_items.filter(claimable() & in_window_by_date(C("li_servicedate"), p.start, p.end))
-    bh = _lines_with_branch(cat, li, with_invoice=True).filter(
+    bh = _lines_with_branch(cat, li, with_invoice=True, windowed=True).filter(
         on_hold(C("li_ediexportdate"), C("i_status")))
     cleared = as_flag(C("li_ediexportdate").isNotNull()
                       & (F.to_date("li_ediexportdate") <= lit_date(p.sla_cutoff)))
@@ -160,7 +172,8 @@ def k26_revenue_by_branch(cat: Catalog, p: RunParams) -> DataFrame:
 def _revenue_lines(cat: Catalog, p: RunParams) -> DataFrame:
     li = cat.line_items.filter(claimable() & in_window_raw(C("li_servicedate"), p.start, p.end))
     # The status test sits in ON, so a deleted episode leaves a NULL branch.
-    epi = cat.episodes.filter(C("epi_status") != "DELETED").select("epi_id", "epi_branchcode")
+    epi = only_of(cat.episodes.filter(differs(C("epi_status"), "DELETED")).select("epi_id", "epi_branchcode"),
+                  "epi_id", li, "li_epiid")
     j = li.join(epi, epi["epi_id"] == li["li_epiid"], "left")
     return with_bucket(j, cat.dim_branch, slid="li_slid", code="epi_branchcode")
 
@@ -199,7 +212,8 @@ def k28_ar_aging(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 def k29_ar_over_90(cat: Catalog, p: RunParams) -> DataFrame:
-    ar = _open_invoices(cat).filter(F.datediff(lit_date(p.as_of), C("i_postdate")) > 90)
+    # DATEDIFF(day, i_postdate, as_of) > 90, as a range on the raw column that the scan can use.
+    ar = _open_invoices(cat).filter(C("i_postdate") < ts(p.as_of - dt.timedelta(days=90)))
     aggs = [F.count(F.lit(1)).alias("invoices_over_90"), F.sum("i_balance").alias("ar_over_90")]
     return by_branch_code(ar, cat.dim_branch, aggs, window_cols(p.start, p.end), default_label=UNMAPPED)
 
@@ -216,19 +230,21 @@ def k30_unbilled(cat: Catalog, p: RunParams) -> DataFrame:
 
 # ------------------------------------------------------------------------- census
 def k05_daily_census(cat: Catalog, p: RunParams) -> DataFrame:
-    e = cat.episodes.filter(C("epi_status") == "CURRENT")
-    rows = daily_census_rows(e, p.start, p.end)           # (CensusDate, episode columns)
+    # Inner code joins and trimming first, then one row per day: the explode multiplies what is left.
+    e = cat.episodes.filter(same(C("epi_status"), "CURRENT")
+                            & overlaps_window(C("epi_SocDate"), C("epi_DischargeDate"), p.start, p.end))
     lines = bounded_broadcast(cat.service_lines, CODE_TABLE_MAX_ROWS)
     branches = bounded_broadcast(cat.branches, CODE_TABLE_MAX_ROWS,
                                  cat.branches.select(F.rtrim("branch_code").alias("_b_code"), "branch_name"))
-    j = (rows.join(lines, lines["sl_id"] == rows["epi_slid"], "inner")
-         .join(branches, branches["_b_code"] == F.rtrim(C("epi_branchcode")), "inner"))
-    return j.groupBy("CensusDate", "sl_desc", "branch_name").agg(
+    j = (e.join(lines, lines["sl_id"] == e["epi_slid"], "inner")
+         .join(branches, branches["_b_code"] == F.rtrim(C("epi_branchcode")), "inner")
+         .select("epi_SocDate", "epi_DischargeDate", "epi_paid", "sl_desc", "branch_name"))
+    return daily_census_rows(j, p.start, p.end).groupBy("CensusDate", "sl_desc", "branch_name").agg(
         F.countDistinct("epi_paid").alias("DailyCensus"))
 
 
 def _hce_census(cat: Catalog, p: RunParams) -> DataFrame:
-    e = cat.episodes.filter((C("epi_status") != "CURRENT") & C("epi_NonAdmitDate").isNull()
+    e = cat.episodes.filter(differs(C("epi_status"), "CURRENT") & C("epi_NonAdmitDate").isNull()
                             & active_on(C("epi_SocDate"), C("epi_DischargeDate"), p.as_of))
     e = with_bucket(e, cat.dim_branch, keep_service_line=True)
     return (e.groupBy(C("_dim_service_line").alias("service_line"), C("bucket").alias("branch_name"))
@@ -270,7 +286,7 @@ def k11_hce_total(cat: Catalog, p: RunParams) -> DataFrame:
 
 # ------------------------------------------------------------------- discharges
 def _discharges(cat: Catalog, p: RunParams, discharged: bool) -> DataFrame:
-    status = (C("epi_status") == "DISCHARGED") if discharged else (C("epi_status") != "DISCHARGED")
+    status = same(C("epi_status"), "DISCHARGED") if discharged else differs(C("epi_status"), "DISCHARGED")
     e = cat.episodes.filter(status & in_window_half_open(C("epi_DischargeDate"), p.start, p.end))
     return with_bucket(e, cat.dim_branch)
 
@@ -348,7 +364,8 @@ def _ended_periods(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 def _periods_with_bucket(cat: Catalog, periods: DataFrame) -> DataFrame:
-    e = cat.episodes.filter(C("epi_status") != "DELETED").select("epi_id", "epi_slid", "epi_branchcode")
+    e = only_of(cat.episodes.filter(differs(C("epi_status"), "DELETED")).select("epi_id", "epi_slid", "epi_branchcode"),
+                "epi_id", periods, "cefs_epiid")
     j = periods.join(e, e["epi_id"] == periods["cefs_epiid"], "inner")
     return with_bucket(j, cat.dim_branch)
 
@@ -364,15 +381,22 @@ def k14_lupa_by_reimbursement(cat: Catalog, p: RunParams) -> DataFrame:
     return by_bucket(per, _lupa_aggs(), window_cols(p.start, p.end))
 
 
-def period_visit_counts(cat: Catalog, periods: DataFrame, with_zero: bool = True) -> DataFrame:
-    """J8 + J9: billable, undeleted visits of the episode inside each period.
+def period_visit_counts(cat: Catalog, periods: DataFrame, end: dt.date, with_zero: bool = True) -> DataFrame:
+    """J8 + J9: billable, undeleted visits of the episode inside each period (none ends after ``end``).
+
+    The visit scan gets both bounds of the periods (``end`` as a literal, the
+    least start as a scalar subquery) and only visits of the periods' episodes
+    are shuffled.
 
     Written as an inner equi-join on the episode with the date range as a
     residual, aggregated per period (map-side first): the same counts as the
     script's outer join, while the planner may choose either side as the
     hash build side.  ``with_zero`` attaches the periods without visits
     (count 0); a caller that left-joins the counts itself skips that join."""
-    v = cat.visits_all.filter((C("cev_deleted") == 0) & (C("cev_billable") == 1)).select(
+    least = periods.agg(F.min("pp_startDate").cast("timestamp_ntz").alias("least")).scalar()
+    v = cat.visits_all.filter((C("cev_deleted") == 0) & (C("cev_billable") == 1)
+                              & (C("cev_visitdate") < ts(end + dt.timedelta(days=1))) & (C("cev_visitdate") >= least))
+    v = only_of(v, "cev_epiid", periods, "cefs_epiid").select(
         "cev_id", "cev_epiid", F.to_date("cev_visitdate").alias("_vdate"))
     keys = periods.select("pp_id", "cefs_epiid", "pp_startDate", "pp_endDate")
     hits = keys.join(v, (v["cev_epiid"] == keys["cefs_epiid"])
@@ -386,8 +410,9 @@ def period_visit_counts(cat: Catalog, periods: DataFrame, with_zero: bool = True
 
 def k15_lupa_by_threshold(cat: Catalog, p: RunParams) -> DataFrame:
     periods = _ended_periods(cat, p)
-    counts = period_visit_counts(cat, periods, with_zero=False).withColumnRenamed("pp_id", "_pv_id")
-    hipps = bounded_broadcast(cat.pdgm_hipps, CODE_TABLE_MAX_ROWS, cat.pdgm_hipps.select("ph_hipps", "ph_lupaThreshold"))
+    counts = period_visit_counts(cat, periods, p.end, with_zero=False).withColumnRenamed("pp_id", "_pv_id")
+    hipps = bounded_broadcast(cat.pdgm_hipps, CODE_TABLE_MAX_ROWS,
+                              cat.pdgm_hipps.select(F.rtrim("ph_hipps").alias("ph_hipps"), "ph_lupaThreshold"))
     per = (_periods_with_bucket(cat, periods)
            .join(counts, C("_pv_id") == C("pp_id"), "left")
            .withColumn("visit_count", F.coalesce(C("visit_count"), F.lit(0)))
@@ -401,7 +426,7 @@ def k15_lupa_by_threshold(cat: Catalog, p: RunParams) -> DataFrame:
 def _bp1_rows(cat: Catalog, p: RunParams) -> DataFrame:
     adm = _not_deleted_admitted(cat.episodes).filter(
         in_window_by_date(C("epi_SocDate"), p.start, p.end)).select("epi_id", "epi_SocDate")
-    first = (cat.visits.filter(C("cev_setsocdateflag") == "Y")
+    first = (only_of(cat.visits.filter(same(C("cev_setsocdateflag"), "Y")), "cev_epiid", adm, "epi_id")
              .groupBy("cev_epiid").agg(F.min("cev_visitdate").alias("bp1_date")))
     j = adm.join(first, first["cev_epiid"] == adm["epi_id"], "left")
     return j.withColumn("hours_to_bp1", hour_boundaries("epi_SocDate", "bp1_date"))
@@ -460,10 +485,10 @@ def k19_qa_compliance(cat: Catalog, p: RunParams) -> DataFrame:
     joined rows."""
     e = _not_deleted_admitted(cat.episodes).filter(in_window_by_date(C("epi_SocDate"), p.start, p.end))
     e = with_bucket(e.select("epi_id", "epi_slid", "epi_branchcode", "epi_RecertFlag"), cat.dim_branch)
-    f2f = cat.facetoface.groupBy(C("ceftf_f2fappliestoepiid").alias("_f_id")).agg(
+    f2f = only_of(cat.facetoface, "ceftf_f2fappliestoepiid", e, "epi_id").groupBy(C("ceftf_f2fappliestoepiid").alias("_f_id")).agg(
         F.count(F.lit(1)).alias("_nf"), F.sum(as_flag(C("ceftf_active") == 1)).alias("_nfa"))
-    cert = cat.admission_types.groupBy(C("ceat_epiid").alias("_c_id")).agg(F.count(F.lit(1)).alias("_nc"))
-    rec = cat.recert_history.groupBy(C("cerh_epiid").alias("_r_id")).agg(F.count(F.lit(1)).alias("_nr"))
+    cert = only_of(cat.admission_types, "ceat_epiid", e, "epi_id").groupBy(C("ceat_epiid").alias("_c_id")).agg(F.count(F.lit(1)).alias("_nc"))
+    rec = only_of(cat.recert_history, "cerh_epiid", e, "epi_id").groupBy(C("cerh_epiid").alias("_r_id")).agg(F.count(F.lit(1)).alias("_nr"))
     j = (e.join(f2f, C("_f_id") == C("epi_id"), "left")
          .join(cert, C("_c_id") == C("epi_id"), "left")
          .join(rec, C("_r_id") == C("epi_id"), "left"))
@@ -493,7 +518,7 @@ def k19_qa_compliance(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 def k20_recert_rate(cat: Catalog, p: RunParams) -> DataFrame:
-    e = cat.episodes.filter((C("epi_status") != "RECERTIFIED") & C("epi_NonAdmitDate").isNull()
+    e = cat.episodes.filter(differs(C("epi_status"), "RECERTIFIED") & C("epi_NonAdmitDate").isNull()
                             & in_window_by_date(C("epi_SocDate"), p.start, p.end))
     e = with_bucket(e, cat.dim_branch).withColumn("is_recert", as_flag(flag_in(C("epi_RecertFlag"))))
     aggs = [F.sum("is_recert").alias("recert_count"), F.count(F.lit(1)).alias("total_cert_count"),
@@ -504,7 +529,7 @@ def k20_recert_rate(cat: Catalog, p: RunParams) -> DataFrame:
 
 def k21_recert_share_of_episodes(cat: Catalog, p: RunParams) -> DataFrame:
     e = cat.episodes.filter(
-        (C("epi_status") != "RECERTIFIED") & C("epi_NonAdmitDate").isNull()
+        differs(C("epi_status"), "RECERTIFIED") & C("epi_NonAdmitDate").isNull()
         & overlaps_window_by_date(C("epi_SocDate"), C("epi_DischargeDate"), p.start, p.end))
     flag = as_flag(flag_in(C("epi_RecertFlag")) & in_window_by_date(C("epi_SocDate"), p.start, p.end))
     e = with_bucket(e, cat.dim_branch).withColumn("is_recert_in_window", flag)
@@ -517,7 +542,7 @@ def k21_recert_share_of_episodes(cat: Catalog, p: RunParams) -> DataFrame:
 
 # ------------------------------------------------------------------ referrals / NTUC
 def _referral_conversion(cat: Catalog, p: RunParams, strict: bool) -> DataFrame:
-    e = cat.episodes.filter(C("epi_status") != "DELETED")
+    e = cat.episodes.filter(differs(C("epi_status"), "DELETED"))
     is_ref = in_window_by_date(C("epi_DateOfReferral"), p.start, p.end)
     is_adm = in_window_by_date(C("epi_SocDate"), p.start, p.end) & C("epi_NonAdmitDate").isNull()
     is_na = C("epi_NonAdmitDate").isNotNull() & in_window_by_date(C("epi_NonAdmitDate"), p.start, p.end)
@@ -543,19 +568,20 @@ def k24_referral_conversion(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 def dedup_reasons(reasons: DataFrame) -> DataFrame:
-    """One row per reason code: smallest text, any refusal flag."""
-    return reasons.groupBy("nac_code").agg(
+    """One row per reason code (codes compare without trailing blanks): smallest text, any refusal flag."""
+    return reasons.groupBy(F.rtrim("nac_code").alias("nac_code")).agg(
         F.min("nac_desc").alias("nac_desc"),
         F.bool_or("nac_refusalofservice").alias("nac_refusalofservice"))
 
 
 def _nonadmit_reasons(cat: Catalog, p: RunParams, dedup: bool) -> DataFrame:
-    e = cat.episodes.filter((C("epi_status") != "DELETED") & C("epi_NonAdmitDate").isNotNull()
+    e = cat.episodes.filter(differs(C("epi_status"), "DELETED") & C("epi_NonAdmitDate").isNotNull()
                             & in_window_by_date(C("epi_NonAdmitDate"), p.start, p.end))
+    e = e.withColumn("epi_NonAdmitCode", F.rtrim("epi_NonAdmitCode"))
     e = with_bucket(e, cat.dim_branch_17 if dedup else cat.dim_branch, wildcard=not dedup)
     reasons = dedup_reasons(cat.nonadmit_reasons) if dedup else cat.nonadmit_reasons
     r = bounded_broadcast(cat.nonadmit_reasons, CODE_TABLE_MAX_ROWS,
-                          reasons.select("nac_code", "nac_desc", "nac_refusalofservice"))
+                          reasons.select(F.rtrim("nac_code").alias("nac_code"), "nac_desc", "nac_refusalofservice"))
     j = e.join(r, r["nac_code"] == e["epi_NonAdmitCode"], "left")
     g = j.groupBy("bucket", "epi_NonAdmitCode", "nac_desc", "nac_refusalofservice").agg(
         F.min("bucket_sort").alias("bucket_sort"), F.count(F.lit(1)).alias("non_admit_count"))
@@ -563,7 +589,7 @@ def _nonadmit_reasons(cat: Catalog, p: RunParams, dedup: bool) -> DataFrame:
                      *window_cols(p.start, p.end), C("epi_NonAdmitCode").alias("nonadmit_code"),
                      fill(C("nac_desc"), "(unknown reason)").alias("nonadmit_reason"),
                      C("nac_refusalofservice").alias("refusal_of_service"), "non_admit_count")
-            .transform(lambda d: order_bounded(d, C("bucket_sort"), C("non_admit_count").desc())))
+            .orderBy(C("bucket_sort"), C("non_admit_count").desc()))
 
 
 def k23_nonadmit_reasons_dedup(cat: Catalog, p: RunParams) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -23,7 +24,7 @@ from careledger.functions.columns import (
 )
 from careledger.functions.predicates import (
     active_on, claimable, in_window_by_date, in_window_half_open, in_window_raw, on_hold, open_period,
-    overlaps_window, overlaps_window_by_date,
+    differs, overlaps_window, overlaps_window_by_date, same,
 )
 from careledger.operators.branching import (
     CODE_TABLE_MAX_ROWS, UNMAPPED, bounded_broadcast, with_branch_by_code, with_bucket,
@@ -136,8 +137,8 @@ def _s6(cat, p):
     # One small JSON document: the definitions of a site's branches (bounded by the dimension).
     doc = defs.agg(F.concat(F.lit('{"reports": ['), F.array_join(F.sort_array(F.collect_list("j")), ","),
                             F.lit("]}")).alias("value"))
-    path = ensure_checkpoint_dir(cat.spark).rstrip("/") + f"/definitions-{os.getpid()}-{id(defs)}"
-    doc.coalesce(1).write.mode("overwrite").text(path)
+    path = ensure_checkpoint_dir(cat.spark).rstrip("/") + f"/definitions-{uuid.uuid4().hex}"
+    doc.coalesce(1).write.text(path)
     d = definitions_file(cat.spark, path)
     return d.select("name", F.posexplode("query").alias("query_no", "query"))
 
@@ -183,14 +184,14 @@ def _p3(cat, p):
 
 
 @op("p4_eq_neq_filter", """
-SELECT 'current_new' AS test, COUNT(*) AS n FROM episodes WHERE epi_status = 'CURRENT' AND epi_AdmitType <> 'READMISSION'
-UNION ALL SELECT 'flag_not_n', COUNT(*) FROM episodes WHERE epi_RecertFlag <> 'N'
-UNION ALL SELECT 'not_recertified', COUNT(*) FROM episodes WHERE epi_status <> 'RECERTIFIED'
+SELECT 'current_new' AS test, COUNT(*) AS n FROM episodes WHERE rtrim(epi_status) = 'CURRENT' AND rtrim(epi_AdmitType) <> 'READMISSION'
+UNION ALL SELECT 'flag_not_n', COUNT(*) FROM episodes WHERE rtrim(epi_RecertFlag) <> 'N'
+UNION ALL SELECT 'not_recertified', COUNT(*) FROM episodes WHERE rtrim(epi_status) <> 'RECERTIFIED'
 """, ["episodes"])
 def _p4(cat, p):
     e = cat.episodes
-    parts = [("current_new", (C("epi_status") == "CURRENT") & (C("epi_AdmitType") != "READMISSION")),
-             ("flag_not_n", C("epi_RecertFlag") != "N"), ("not_recertified", C("epi_status") != "RECERTIFIED")]
+    parts = [("current_new", same(C("epi_status"), "CURRENT") & differs(C("epi_AdmitType"), "READMISSION")),
+             ("flag_not_n", differs(C("epi_RecertFlag"), "N")), ("not_recertified", differs(C("epi_status"), "RECERTIFIED"))]
     return _count_tests(e, parts)
 
 
@@ -218,13 +219,13 @@ def _p5(cat, p):
 @op("p6_in_list", """
 SELECT 'recert_yes' AS test, COUNT(*) AS n FROM episodes WHERE upper(trim(epi_RecertFlag)) IN ('Y','1','R','RECERT','TRUE')
 UNION ALL SELECT 'recert_not_yes', COUNT(*) FROM episodes WHERE upper(trim(epi_RecertFlag)) NOT IN ('Y','1','R','RECERT','TRUE')
-UNION ALL SELECT 'hold_invoices', COUNT(*) FROM invoices WHERE i_status IN ('HOLD', 'HELD')
+UNION ALL SELECT 'hold_invoices', COUNT(*) FROM invoices WHERE rtrim(i_status) IN ('HOLD', 'HELD')
 """, ["episodes", "invoices"])
 def _p6(cat, p):
     key = F.upper(F.trim("epi_RecertFlag"))
     a = _count_tests(cat.episodes, [("recert_yes", flag_in(C("epi_RecertFlag"))),
                                     ("recert_not_yes", ~key.isin(["Y", "1", "R", "RECERT", "TRUE"]))])
-    b = _count_tests(cat.invoices, [("hold_invoices", C("i_status").isin("HOLD", "HELD"))])
+    b = _count_tests(cat.invoices, [("hold_invoices", same(C("i_status"), "HOLD", "HELD"))])
     return a.unionByName(b)
 
 
@@ -321,7 +322,7 @@ def _p14(cat, p):
 
 @op("p15_hold_predicate", """
 SELECT li.li_slid, COUNT(*) AS holds FROM line_items li LEFT JOIN invoices i ON i.i_id = li.li_iid
-WHERE li.li_ediexportdate IS NULL OR i.i_status IN ('HOLD', 'HELD') GROUP BY li.li_slid
+WHERE li.li_ediexportdate IS NULL OR rtrim(i.i_status) IN ('HOLD', 'HELD') GROUP BY li.li_slid
 """, ["line_items", "invoices"])
 def _p15(cat, p):
     inv = cat.invoices.select("i_id", "i_status")
@@ -434,7 +435,7 @@ SELECT visit_count, COUNT(*) AS periods FROM per GROUP BY visit_count
 def _j8(cat, p):
     pp = cat.pdgm_period.filter(C("pp_endDate").between(lit_date(p.start), lit_date(p.end)))
     per = pp.join(cat.episode_fs, C("cefs_id") == C("pp_cefsId"), "inner")
-    return kpis.period_visit_counts(cat, per).groupBy("visit_count").agg(N().alias("periods"))
+    return kpis.period_visit_counts(cat, per, p.end).groupBy("visit_count").agg(N().alias("periods"))
 
 
 @op("j9_preaggregated_left_join", """
@@ -445,7 +446,7 @@ FROM a LEFT JOIN f ON f.cev_epiid = a.epi_id GROUP BY 1
 """, ["episodes", "visits"])
 def _j9(cat, p):
     a = cat.episodes.filter(in_window_by_date(C("epi_SocDate"), p.start, p.end)).select("epi_id")
-    f = cat.visits.filter(C("cev_setsocdateflag") == "Y").groupBy("cev_epiid").agg(
+    f = kpis.only_of(cat.visits.filter(same(C("cev_setsocdateflag"), "Y")), "cev_epiid", a, "epi_id").groupBy("cev_epiid").agg(
         F.min("cev_visitdate").alias("first_visit"), N().alias("n"))
     j = a.join(f, f["cev_epiid"] == a["epi_id"], "left")
     return j.groupBy(C("cev_epiid").isNotNull().alias("has_visit")).agg(N().alias("admissions"),
@@ -461,7 +462,8 @@ def _j10(cat, p):
     """COUNT(*) over the one-to-many left join, from per-episode row counts:
     an episode with n matching rows stands for max(n, 1) joined rows."""
     e = with_bucket(cat.episodes.filter(in_window_by_date(C("epi_SocDate"), p.start, p.end)), cat.dim_branch)
-    f = cat.facetoface.groupBy(C("ceftf_f2fappliestoepiid").alias("_f_id")).agg(N().alias("_n"))
+    f = kpis.only_of(cat.facetoface, "ceftf_f2fappliestoepiid", e, "epi_id") \
+        .groupBy(C("ceftf_f2fappliestoepiid").alias("_f_id")).agg(N().alias("_n"))
     j = e.join(f, f["_f_id"] == e["epi_id"], "left")
     return j.groupBy("bucket").agg(F.sum(F.greatest(F.coalesce(C("_n"), F.lit(0)), F.lit(1))).alias("joined_rows"),
                                    F.countDistinct("epi_id").alias("episodes"))
@@ -478,10 +480,10 @@ SELECT coalesce(a.bucket, b.bucket) AS bucket, coalesce(a.episodes, 0) AS episod
 FROM a FULL OUTER JOIN b ON a.bucket = b.bucket
 """, ["episodes", "line_items", "dim_branch"])
 def _j11(cat, p):
-    a = with_bucket(cat.episodes.filter(C("epi_status") == "CURRENT"), cat.dim_branch) \
+    a = with_bucket(cat.episodes.filter(same(C("epi_status"), "CURRENT")), cat.dim_branch) \
         .groupBy("bucket").agg(N().alias("episodes")).alias("a")
     li = cat.line_items.filter(in_window_raw(C("li_servicedate"), p.start, p.end))
-    e = cat.episodes.select("epi_id", "epi_branchcode")
+    e = kpis.only_of(cat.episodes.select("epi_id", "epi_branchcode"), "epi_id", li, "li_epiid")
     b = with_bucket(li.join(e, e["epi_id"] == li["li_epiid"], "left"), cat.dim_branch, slid="li_slid") \
         .groupBy("bucket").agg(N().alias("lines")).alias("b")
     j = a.join(b, C("a.bucket") == C("b.bucket"), "full_outer")
@@ -748,8 +750,8 @@ def _w1(cat, p):
     d = with_bucket(cat.episodes.filter(C("epi_DischargeDate").isNotNull()), cat.dim_branch) \
         .withColumn("los", days_between("epi_SocDate", "epi_DischargeDate"))
     med = d.groupBy("bucket").agg(F.percentile("los", 0.5).alias("m"))
-    # One row per bucket: bounded by the branch dimension (+ the NULL bucket).
-    rows = d.join(F.broadcast(med), d["bucket"].eqNullSafe(med["bucket"]), "inner").drop(med["bucket"])
+    # One row per bucket: the planner sees its size at run time and picks the join.
+    rows = d.join(med, d["bucket"].eqNullSafe(med["bucket"]), "inner").drop(med["bucket"])
     return rows.groupBy("bucket", "m").agg(N().alias("rows_with_median")) \
         .select("bucket", C("m").cast("decimal(10,1)").alias("median_los"), "rows_with_median")
 
@@ -980,13 +982,16 @@ def _raw(name: str, sql: str | None = None, tables: list[str] | None = None):
 
 
 @_raw("f15_default_run_date", """
-SELECT coalesce(CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END, {A}) AS run_date, COUNT(*) AS n
-FROM orders GROUP BY 1
+SELECT CAST(o_orderdate AS DATE) <= current_date AS before_end,
+       CAST(o_orderdate AS DATE) >= current_date - 14 AS after_start, COUNT(*) AS n
+FROM orders GROUP BY ALL
 """, [])
 def _f15_raw(spark, sf_dir):
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    run = F.when(C("o_orderkey") % 7 != 0, F.to_date("o_orderdate"))
-    return o.groupBy(F.coalesce(run, lit_date(test_params().as_of)).alias("run_date")).agg(N().alias("n"))
+    """No run date given: ``RunParams.build`` takes today as the end and as-of day, 14 days back as the start."""
+    p = RunParams.build()
+    day = F.to_date("o_orderdate")
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy(
+        (day <= lit_date(p.end)).alias("before_end"), (day >= lit_date(p.start)).alias("after_start")).agg(N().alias("n"))
 
 
 @_raw("r1_run_params", """
@@ -995,42 +1000,31 @@ SELECT as_of, as_of - 14 AS start, as_of AS "end", as_of + 3 AS sla_cutoff, CAST
 FROM d
 """, [])
 def _r1(spark, sf_dir):
-    from careledger.reports import run_params_columns
-    d = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_date("o_orderdate").alias("as_of")).distinct()
-    return d.select(*run_params_columns(C("as_of")))
+    """The parameters of a run on each day that has orders: a bounded calendar, ``RunParams.build`` for each."""
+    days = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_date("o_orderdate").alias("d")).distinct()
+    runs = [RunParams.build(as_of=r["d"]) for r in days.collect()]
+    return spark.createDataFrame([(r.as_of, r.start, r.end, r.sla_cutoff, r.hce_factor) for r in runs],
+                                 "as_of date, start date, end date, sla_cutoff date, hce_factor decimal(5,3)")
 
 
 _R2_SQL = """
-WITH ep AS (
-  SELECT e.epi_SocDate, e.epi_DischargeDate, db.branch_name AS bucket,
-         CASE WHEN db.service_line = 'HOME HEALTH' THEN 1 WHEN db.service_line = 'HOSPICE' THEN 2 ELSE 99 END AS bucket_sort
-  FROM episodes e LEFT JOIN dim_branch db
-    ON db.epi_slid = e.epi_slid AND rtrim(db.epi_branchcode) = rtrim(e.epi_branchcode)
-  WHERE e.epi_status <> 'DELETED' AND e.epi_NonAdmitDate IS NULL),
-overlap AS (
-  SELECT bucket, bucket_sort,
-         datediff(CASE WHEN epi_DischargeDate IS NULL OR epi_DischargeDate > CAST(:end AS TIMESTAMP_NTZ)
-                       THEN CAST(date_add(:end, 1) AS TIMESTAMP_NTZ) ELSE epi_DischargeDate END,
-                  CASE WHEN epi_SocDate > CAST(:start AS TIMESTAMP_NTZ) THEN epi_SocDate
-                       ELSE CAST(:start AS TIMESTAMP_NTZ) END) AS patient_days
-  FROM ep
-  WHERE epi_SocDate <= CAST(:end AS TIMESTAMP_NTZ)
-    AND (epi_DischargeDate IS NULL OR epi_DischargeDate > CAST(:start AS TIMESTAMP_NTZ)))
-SELECT coalesce(bucket, '(unmapped)') AS bucket, MIN(bucket_sort) AS bucket_sort,
-       :start AS window_start, :end AS window_end,
-       SUM(CASE WHEN patient_days > 0 THEN patient_days ELSE 0 END) AS patient_days,
-       datediff(:end, :start) + 1 AS days_in_window,
-       CAST(SUM(CASE WHEN patient_days > 0 THEN patient_days ELSE 0 END) * 1.0
-            / (datediff(:end, :start) + 1) AS DECIMAL(10,2)) AS implied_adc
-FROM overlap GROUP BY bucket ORDER BY bucket_sort, bucket
+USE default;
+SELECT epi_slid, rtrim(epi_status) AS status, count(*) AS admissions, :site AS site
+FROM episodes
+WHERE epi_SocDate >= CAST(:start AS TIMESTAMP_NTZ) AND epi_SocDate < CAST(date_add(:end, 1) AS TIMESTAMP_NTZ)
+GROUP BY ALL
 """
 
 
-@_raw("r2_run_query")
+@_raw("r2_run_query", """
+SELECT epi_slid, rtrim(epi_status) AS status, count(*) AS admissions, 'north' AS site
+FROM episodes WHERE CAST(epi_SocDate AS DATE) BETWEEN {S} AND {E} GROUP BY ALL
+""", ["episodes"])
 def _r2(spark, sf_dir):
+    """A batch with a setup line, the run's own parameters and one extra named parameter."""
     from careledger.reports import run_query
     bind_driver_tables(spark, sf_dir).register_views()
-    return run_query(spark, _R2_SQL, test_params())
+    return run_query(spark, _R2_SQL, test_params(), site="north")
 
 
 @_raw("r3_stack_results")
@@ -1051,36 +1045,47 @@ def _r4(spark, sf_dir):
     return placeholder_if_empty(kpis.k17_bp1_detail(bind_driver_tables(spark, sf_dir), FUTURE))
 
 
+def _flat(spark: SparkSession, paths: dict[str, str], keep: dict[str, list[str]]) -> DataFrame:
+    """Written reports read back: (report, output, row) with the row's kept columns as text."""
+    out = None
+    for name, path in paths.items():
+        row = F.concat_ws("|", *[F.coalesce(C(f"`{c}`").cast("string"), F.lit("-")) for c in keep[name]])
+        d = spark.read.parquet(path).select(F.lit(name).alias("report"), F.lit(path.rsplit("/", 1)[-1]).alias("output"),
+                                            row.alias("row"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+_R5_KEEP = {"Discharges/Total": ["bucket", "bucket_sort", "total_discharges"],
+            "Patient Days": ["bucket", "patient_days", "implied_adc"], "Empty BP1 [future]": ["No data"]}
+
+
 @_raw("r5_write_reports")
 def _r5(spark, sf_dir):
     from careledger.reports import output_root, stamp_for, write_reports
     cat, p = bind_driver_tables(spark, sf_dir), test_params()
     reports = {"Discharges/Total": kpis.k06_discharges_total(cat, p), "Patient Days": kpis.k18_patient_days(cat, p),
                "Empty BP1 [future]": kpis.k17_bp1_detail(cat, FUTURE)}
-    paths = write_reports(reports, output_root(spark) + f"/r5-{os.getpid()}", stamp_for(spark, p.end))
-    out = None
-    for name, path in paths.items():
-        d = spark.read.parquet(path).agg(N().alias("rows")).select(
-            F.lit(name).alias("report"), F.lit(path.rsplit("/", 1)[-1]).alias("output"), "rows")
-        out = d if out is None else out.unionByName(d)
-    return out
+    paths = write_reports(reports, f"{output_root(spark)}/r5-{uuid.uuid4().hex}", stamp_for(spark, p.end))
+    return _flat(spark, paths, _R5_KEEP)
+
+
+_R6_KEEP = {"window_admissions": ["result_set", "epi_slid", "admission_count"],
+            "hold lines": ["li_slid", "lines_on_hold", "least", "most"]}
 
 
 @_raw("r6_run_reports")
 def _r6(spark, sf_dir):
     from careledger.reports import output_root, run_reports
     bind_driver_tables(spark, sf_dir).register_views()
-    paths = run_reports(spark, test_params(), out_dir=output_root(spark) + f"/r6-{os.getpid()}",
+    paths = run_reports(spark, test_params(), out_dir=f"{output_root(spark)}/r6-{uuid.uuid4().hex}",
                         definitions_path=None, folder=FIXTURE_SQL_DIR)
-    out = None
-    for name, path in sorted(paths.items()):
-        d = spark.read.parquet(path).agg(N().alias("rows")).select(F.lit(name).alias("report"), "rows")
-        out = d if out is None else out.unionByName(d)
-    return out
+    return _flat(spark, paths, _R6_KEEP).drop("output")
 
 
 @_raw("s5_script_folder_scan")
 def _s5(spark, sf_dir):
+    """Every script's extracted queries, and how many rows each returns on the tables."""
     from careledger.sources.scripts import definitions_from_folder
     bind_driver_tables(spark, sf_dir).register_views()
     defs = definitions_from_folder(spark, FIXTURE_SQL_DIR).collect()   # the catalog: a few names
@@ -1088,7 +1093,7 @@ def _s5(spark, sf_dir):
     for d in defs:
         for i, q in enumerate(d["query"]):
             r = spark.sql(q, args=test_params().sql_args()).agg(N().alias("rows")).select(
-                F.lit(d["name"]).alias("name"), F.lit(i).alias("query_no"), "rows")
+                F.lit(d["name"]).alias("name"), F.lit(i).alias("query_no"), F.lit(q).alias("query"), "rows")
             out = r if out is None else out.unionByName(r)
     return out
 
@@ -1107,6 +1112,8 @@ SCRIPT_CASES = [
     ("case-external", "SELECT * FROM OPENROWSET('x')"),
     ("case-blank", "  \n "),
     ("case-with", "with a as (select 1 x) select * from a"),
+    ("case-astral", "USE \U0001F600\U0001F600 SELECT 1 AS a"),
+    ("case-many-setups", "USE a; SET b 1; SELECT 1; USE c SELECT 2; DECLARE @d int; SELECT 3; SELECT 4"),
 ]
 
 _SCRIPTS_SQL = """
@@ -1284,7 +1291,6 @@ def OPERATOR_ORACLES() -> dict[str, str]:
     for name, (body, tables) in _SQL.items():
         tables = [t for t in tables if not t.endswith("_view")]
         out[name] = _subst(with_tables(body, *tables) if tables else body.strip())
-    out["r2_run_query"] = kpi_oracle_sql("k18_patient_days")
     # K06 is the first non-empty result set, so its columns are the header.
     k06, k07, k08 = (kpi_oracle_sql(n) for n in ("k06_discharges_total", "k07_discharges_by_class",
                                                   "k08_live_discharge_summary"))
@@ -1296,34 +1302,49 @@ UNION ALL
 SELECT 2, bucket, bucket_sort, window_start, window_end, NULL FROM ({k08}) c"""
     # Three reports written and read back; the empty one holds the placeholder row.
     k18 = kpi_oracle_sql("k18_patient_days")
-    out["r5_write_reports"] = f"""
-SELECT 'Discharges/Total' AS report, 'Discharges_Total' AS output, COUNT(*) AS rows FROM ({k06}) a
-UNION ALL SELECT 'Patient Days', 'Patient Days', COUNT(*) FROM ({k18}) b
-UNION ALL SELECT 'Empty BP1 [future]', 'Empty BP1 _future_', 1"""
+
+    def flat(report, output, columns, source):
+        row = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+        return f"SELECT '{report}' AS report, '{output}' AS output, concat_ws('|', {row}) AS row FROM ({source})"
+
+    out["r5_write_reports"] = " UNION ALL ".join([
+        flat("Discharges/Total", "Discharges_Total", _R5_KEEP["Discharges/Total"], k06),
+        flat("Patient Days", "Patient Days", _R5_KEEP["Patient Days"], k18),
+        "SELECT 'Empty BP1 [future]', 'Empty BP1 _future_', 'No rows returned'"])
     # The fixture scripts' queries, written out for DuckDB.
     q = {k: _subst(with_tables(v, *_FIXTURE_TABLES[k])) for k, v in _FIXTURE_QUERIES.items()}
-    out["s5_script_folder_scan"] = f"""
-SELECT 'window_admissions' AS name, 0 AS query_no, COUNT(*) AS rows FROM ({q['adm0']}) a
-UNION ALL SELECT 'window_admissions', 1, COUNT(*) FROM ({q['adm1']}) b
-UNION ALL SELECT 'hold lines', 0, COUNT(*) FROM ({q['holds']}) c"""
-    out["r6_run_reports"] = f"""
-SELECT 'window_admissions' AS report, (SELECT COUNT(*) FROM ({q['adm0']}) a) + (SELECT COUNT(*) FROM ({q['adm1']}) b) AS rows
-UNION ALL SELECT 'hold lines', (SELECT COUNT(*) FROM ({q['holds']}) c)"""
+    out["s5_script_folder_scan"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS name, {no} AS query_no, '{text.replace(chr(39), chr(39) * 2)}' AS query, "
+        f"(SELECT count(*) FROM ({q[k]})) AS rows" for k, (name, no, text) in _FIXTURE_TEXTS.items())
+    first = f"SELECT 0 AS result_set, epi_slid, admission_count FROM ({q['adm0']}) UNION ALL " \
+            f"SELECT 1, NULL, NULL FROM ({q['adm1']})"
+    out["r6_run_reports"] = " UNION ALL ".join(
+        f"SELECT report, row FROM ({flat(name, '', _R6_KEEP[name], source)})"
+        for name, source in (("window_admissions", first), ("hold lines", q["holds"])))
     return out
 
 
-# The queries of tests/fixtures/sql, as DuckDB SQL over the binding.
+# The queries of tests/fixtures/sql: as the extraction returns them, and as DuckDB SQL over the binding.
+_FIXTURE_TEXTS = {
+    "adm0": ("window_admissions", 0,
+             "-- DECLARE @StartDate date = DATEADD(DAY, -14, GETDATE())\n-- DECLARE @EndDate date = GETDATE()\n"
+             "SELECT epi_slid, COUNT(*) AS admission_count FROM episodes WHERE epi_status = 'CURRENT' AND epi_NonAdmitDate IS NULL "
+             "AND CAST(epi_SocDate AS DATE) BETWEEN :start AND :end GROUP BY epi_slid"),
+    "adm1": ("window_admissions", 1,
+             "-- DECLARE @StartDate date = DATEADD(DAY, -14, GETDATE())\n-- DECLARE @EndDate date = GETDATE()\n"
+             "SELECT epi_AdmitType, COUNT(*) AS admissions_all_types FROM episodes "
+             "WHERE CAST(epi_SocDate AS DATE) BETWEEN :start AND :end GROUP BY epi_AdmitType"),
+    "holds": ("hold lines", 0,
+              "SELECT li_slid, count(*) AS lines_on_hold, min(li_servicedate) AS least, max(li_servicedate) AS most FROM line_items "
+              "WHERE li_ediexportdate IS NULL AND li_servicedate >= :start AND li_servicedate <= :end GROUP BY li_slid"),
+}
 _FIXTURE_QUERIES = {
     "adm0": """SELECT epi_slid, COUNT(*) AS admission_count FROM episodes
 WHERE epi_status = 'CURRENT' AND epi_NonAdmitDate IS NULL AND CAST(epi_SocDate AS DATE) BETWEEN {S} AND {E}
 GROUP BY epi_slid""",
     "adm1": """SELECT epi_AdmitType, COUNT(*) AS admissions_all_types FROM episodes
 WHERE CAST(epi_SocDate AS DATE) BETWEEN {S} AND {E} GROUP BY epi_AdmitType""",
-    "holds": """WITH holds AS (
-  SELECT li.li_slid, li.li_calculatedamount FROM line_items li LEFT JOIN invoices i ON i.i_id = li.li_iid
-  WHERE li.li_deleted = 0 AND li.li_void = 0 AND li.li_includeonclaim = 1
-    AND CAST(li.li_servicedate AS DATE) BETWEEN {S} AND {E}
-    AND (li.li_ediexportdate IS NULL OR i.i_status IN ('HOLD', 'HELD')))
-SELECT li_slid, COUNT(*) AS total_holds, SUM(li_calculatedamount) AS total_hold_amount FROM holds GROUP BY li_slid""",
+    "holds": """SELECT li_slid, count(*) AS lines_on_hold, min(li_servicedate) AS least, max(li_servicedate) AS most
+FROM line_items WHERE li_ediexportdate IS NULL AND li_servicedate BETWEEN {S} AND {E} GROUP BY li_slid""",
 }
-_FIXTURE_TABLES = {"adm0": ["episodes"], "adm1": ["episodes"], "holds": ["line_items", "invoices"]}
+_FIXTURE_TABLES = {"adm0": ["episodes"], "adm1": ["episodes"], "holds": ["line_items"]}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from careledger.params import test_params, test_params_90
 from careledger.plans.kpis import KPI_REPORTS, WIDE_WINDOW
+from careledger.plans.operator_plans import OPERATOR_ORACLES, OPERATOR_QUERIES
 from careledger.plans.oracle_kpis import kpi_oracle_sql
 from careledger.sources.driver_tables import bind_driver_tables
 
@@ -25,19 +26,11 @@ def _kpi_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _kpi_query(name) for name in KPI_REPORTS}
-    try:
-        from careledger.plans.operator_plans import OPERATOR_QUERIES
-        out.update(OPERATOR_QUERIES)
-    except ImportError:
-        pass
+    out.update(OPERATOR_QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out = {name: kpi_oracle_sql(name) for name in KPI_REPORTS}
-    try:
-        from careledger.plans.operator_plans import OPERATOR_ORACLES
-        out.update(OPERATOR_ORACLES())
-    except ImportError:
-        pass
+    out.update(OPERATOR_ORACLES())
     return out

@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from careledger.plans import registry
 from tests.conftest import SF_SMALL
 from tools.check_oracle import TABLES, digest
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
