@@ -32,7 +32,11 @@ def rows(df):
     return sorted((tuple(x.rstrip() if isinstance(x, str) else x for x in r) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(kpis.KPI_REPORTS))
+REPORTS = ["k01_admissions_by_branch", "k04_billing_holds_sla", "k06_discharges_total", "k07_discharges_by_class",
+           "k15_lupa_by_threshold", "k16_bp1_summary", "k23_nonadmit_reasons_dedup", "k25_nonadmit_reasons_raw", "k28_ar_aging"]
+
+
+@pytest.mark.parametrize("name", REPORTS)
 def test_report_is_the_same_on_padded_values(fixture_catalog, padded, name):
     p = wide_params() if name in kpis.WIDE_WINDOW else fixture_params()
     assert rows(kpis.KPI_REPORTS[name](padded, p)) == rows(kpis.KPI_REPORTS[name](fixture_catalog, p))
