@@ -154,19 +154,20 @@ def signatures(docs: DataFrame, width: int, least: int) -> DataFrame:
 
 
 def shared_postings(postings: DataFrame, rows: int) -> DataFrame:
-    """The (h, id) of shingles that at least two rows hold; a task keeps about ``LIST_ROWS`` of them."""
+    """The (h, id, pos) of shingles that at least two rows hold; a task keeps about ``LIST_ROWS`` of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        parts = [tuple(c.to_numpy() for c in b.columns) for b in batches]
         if not parts:
             return
-        h, ids = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(h, kind="stable")
-        h, ids = h[order], ids[order]
+        columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        order = np.argsort(columns[0], kind="stable")
+        h = columns[0][order]
         same = h[1:] == h[:-1]
-        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(ids[keep])], names=["h", "id"])
+        keep = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["h", "id", "pos"])
 
-    return postings.repartition(max(1, -(-rows // LIST_ROWS)), "h").mapInArrow(run, "h long, id long")
+    return (postings.select("h", "id", "pos").repartition(max(1, -(-rows // LIST_ROWS)), "h")
+            .mapInArrow(run, "h long, id long, pos int"))
 
 
 def divide_skip(query: np.ndarray, others: list[np.ndarray], least: int, skip_cost: float = 0.01) -> list[int]:
@@ -364,12 +365,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, least: int = 75, id_col:
     classes = stored(attach_group(signed.where("n > 0").select("id", "n", "fp"), ["fp"], ["id"],
                                   {"rep": ("min", F.min("id"))}).select("id", "n", "fp", "rep"), "jaccard-classes")
     size = signed.agg(F.sum(F.size("rare"))).first()[0] or 0
-    rare = shared_postings(signed.select(F.explode("rare").alias("h"), "id"), size)
-    lists = rare.unionByName(signed.select(F.explode("often").alias("h"), "id"))
-    place = signed.where(F.col("bits").isNotNull()).select("id", "n", F.concat("rare", "often").alias("prefix"))
-    lists = (lists.join(place, "id").select("h", "id", (F.array_position("prefix", F.col("h")) - 1).alias("pos"), "n")
-             .where("pos >= 0").join(classes.select("id", "rep").distinct(), "id")
-             .groupBy("h", F.col("rep").alias("id")).agg(F.min("pos").alias("pos"), F.min("n").alias("n")))
+    rare = shared_postings(signed.select(F.posexplode("rare").alias("pos", "h"), "id"), size)
+    often = signed.select(F.posexplode("often").alias("pos", "h"), "id", F.size("rare").alias("k"))
+    lists = rare.unionByName(often.select("h", "id", (F.col("pos") + F.col("k")).alias("pos")))
+    lists = (lists.join(classes.select("id", "n", "rep").distinct(), "id")
+             .groupBy("h", F.col("rep").alias("id"), "n").agg(F.min("pos").alias("pos")))
     lists = stored(lists, "jaccard-lists")
     leaders = lists.groupBy("h").agg(F.min(F.struct("id", "n", "pos")).alias("y"), F.count(F.lit(1)).alias("c")).where("c > 1")
     # One bitmap a class, under the class's id (any member's task may have written it).
