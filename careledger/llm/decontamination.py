@@ -1,23 +1,21 @@
-"""Operator 7, benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. Every run of ``n`` words of a test item is a seed.  Seeds are counted over all
-   documents (in how many documents each occurs); an item keeps its rare seeds,
-   those in at most ``common`` of all documents, and at least its ``fewest``
-   rarest ones, so that no item goes without.
-2. Documents are searched for the rare seeds.  Hits of one item whose diagonals
-   lie together make a passage: the document words that the item could span
-   around them, cut out of the whole text.
-3. Passages join the test items, and a Smith-Waterman local alignment over words
-   (match 2, mismatch -1, gap -1) scores each passage; the share of the item's
-   perfect score is the similarity, so edits, dropped and inserted words cost
-   little and paraphrased or edited copies are found.
+"""Operator 7, benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+1. Every run of ``n`` words of a test item is a seed, however many documents hold it.
+2. Documents are searched for the seeds.  Hits of one item whose diagonals lie
+   together make a passage: the document words that the item could span around
+   them, cut out of the whole text.
+3. A Smith-Waterman local alignment over words (match 2, mismatch -1, gap -1)
+   scores each passage against its item, many passages at a time; the share of the
+   item's perfect score is the similarity, so edits, dropped and inserted words
+   cost little and paraphrased or edited copies are found.
 
 The benchmark is the bounded side: its seeds are broadcast in blocks of at most
 ``SEED_BLOCK`` hashes, and a larger benchmark takes several passes.
 
 Defined results: words are compared without case and punctuation.  A null or
 empty text has no match (similarity 0); items of fewer than ``n`` words are one
-seed, null or empty items none.  Of equal similarities the smallest item_id is
+seed, null or empty items none; a copy that shares no run of ``n`` words with its
+item has no seed and is not aligned.  Of equal similarities the smallest item_id is
 reported.  Repeated rows are judged one by one; empty tables give an empty
 result or no match; other columns are not looked at.
 """
@@ -34,6 +32,8 @@ from pyspark.sql import functions as F
 from careledger.llm.common import id_key, length_slices, ngram_hashes, plain_bytes, word_hashes
 
 SEED_BLOCK = 2_000_000
+MOST_HITS = 1 << 20         # hits that are put together at a time (those of one text at least)
+CELLS = 1 << 15             # cells in a row of the tables that are aligned at a time
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 
@@ -54,25 +54,6 @@ def item_seeds(benchmark: DataFrame, n: int) -> list[tuple[int, np.ndarray, np.n
     return [(i, w, _seeds(w, n)) for i, w in found if len(w)]
 
 
-def seed_frequencies(texts: DataFrame, seeds: np.ndarray, widths: list[int]) -> np.ndarray:
-    """In how many documents each of the (sorted) seeds occurs."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, maybe = np.zeros(len(seeds), np.int64), _maybe(seeds)
-        for batch in batches:
-            for a, b in length_slices(batch.column(0)):
-                which, where, ends = _hits(words_of(batch.column(0).slice(a, b - a).to_pylist()), seeds, maybe, widths)
-                rows = np.searchsorted(ends, where, side="right")
-                for seed in np.unique(np.stack([rows, which]), axis=1)[1]:
-                    counts[seed] += 1
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["seed", "n"])
-
-    out = np.zeros(len(seeds), np.int64)
-    got = texts.mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
-    out[got["seed"].to_numpy()] = got["n"].to_numpy()
-    return out
-
-
 def _maybe(seeds: np.ndarray) -> np.ndarray:
     """A bitmap that answers for most n-grams that they are no seed."""
     out = np.zeros(1 << 22, bool)
@@ -113,70 +94,113 @@ def align(a: np.ndarray, b: np.ndarray) -> int:
     return best
 
 
-def passages(docs: DataFrame, seeds: np.ndarray, owners: list[list[tuple[int, int]]], widths: list[int],
-             lengths: dict[int, int], keep: list[str]) -> DataFrame:
-    """(keep..., item_id, words): the passages of each document that rare seeds of an item point at."""
+def align_many(text: np.ndarray, low: np.ndarray, high: np.ndarray, pool: np.ndarray, begin: np.ndarray,
+               length: np.ndarray) -> np.ndarray:
+    """``align`` of every passage ``text[low:high]`` with its item ``pool[begin:begin + length]``, in blocks of like sizes."""
+    out, width = np.zeros(len(low), np.int64), high - low
+    order = np.lexsort((width, length))
+    done = 0
+    while done < len(order):
+        # As many tables as fit beside each other; their widest row is not known before, so it is looked for by halves.
+        many = min(len(order) - done, CELLS)
+        while many > 1 and many * (int(width[order[done:done + many]].max()) + 1) > CELLS:
+            many = (many + 1) // 2
+        k = order[done:done + many]
+        done += many
+        columns = np.arange(int(width[k].max()))
+        inside = columns < width[k, None]
+        words = text[np.minimum(low[k, None] + columns, len(text) - 1)]
+        steps = -GAP * (columns + 1).astype(np.int32)
+        row, best = np.zeros((len(k), len(columns) + 1), np.int32), np.zeros(len(k), np.int32)
+        for i in range(int(length[k].max())):
+            word = pool[begin[k] + np.minimum(i, length[k] - 1)]
+            same = (words == word[:, None]) & inside & (i < length[k])[:, None]
+            now = np.maximum(row[:, :-1] + np.where(same, np.int32(MATCH), np.int32(MISMATCH)), row[:, 1:] + np.int32(GAP))
+            now = np.maximum(now, 0)
+            now = np.maximum.accumulate(now + steps, axis=1) - steps
+            best = np.maximum(best, now.max(1))
+            row[:, 1:] = now
+        out[k] = best
+    return out
+
+
+class _Items:
+    """Items of a block of the benchmark: their words, and which seeds stand where in which item."""
+
+    def __init__(self, block: list[tuple[int, np.ndarray, np.ndarray]]):
+        self.ids = np.array([i for i, _, _ in block], np.int64)
+        self.length = np.array([len(w) for _, w, _ in block], np.int64)
+        self.pool = np.concatenate([w for _, w, _ in block])
+        self.begin = np.cumsum(self.length) - self.length
+        self.slack = self.length // 2 + 4
+        many = [len(s) for _, _, s in block]
+        self.seeds, seed = np.unique(np.concatenate([s for _, _, s in block]), return_inverse=True)
+        order = np.argsort(seed, kind="stable")
+        self.item = np.repeat(np.arange(len(block)), many)[order]
+        self.place = np.concatenate([np.arange(m) for m in many])[order]
+        self.owners = np.bincount(seed, minlength=len(self.seeds))
+        self.first = np.cumsum(self.owners) - self.owners
+
+    def passages(self, which: np.ndarray, where: np.ndarray, row: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple:
+        """(row, item, low, high) of the passages that hits point at, by row and item."""
+        many = self.owners[which]
+        hit = np.repeat(np.arange(len(which)), many)
+        at = np.repeat(self.first[which] - (np.cumsum(many) - many), many) + np.arange(len(hit))
+        row, item, start = row[hit], self.item[at], where[hit] - self.place[at]
+        order = np.lexsort((start, item, row))
+        row, item, start = row[order], item[order], start[order]
+        apart = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > self.slack[item[1:]])
+        first = np.flatnonzero(np.concatenate([[True], apart]))
+        last = np.append(first[1:], len(row)) - 1
+        row, item, low, high = row[first], item[first], start[first], start[last]
+        low = np.maximum(begins[row], low - self.slack[item])
+        return row, item, low, np.minimum(ends[row], high + self.length[item] + self.slack[item])
+
+
+def _similar(docs: DataFrame, items: _Items, widths: list[int], keep: list[str]) -> DataFrame:
+    """(keep..., item_id, similarity): each row with every item that it shares a seed with."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maybe = _maybe(seeds)
+        maybe = _maybe(items.seeds)
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
-                rows, items, cut = [], [], []
                 texts = words_of(part.column(0).to_pylist())
-                which, where, ends = _hits(texts, seeds, maybe, widths)
-                owner = np.searchsorted(ends, where, side="right")
+                words = np.concatenate(texts)
+                which, where, ends = _hits(texts, items.seeds, maybe, widths)
                 begins = ends - [len(t) for t in texts]
-                by_text: dict[int, dict[int, list[int]]] = {}
-                for seed, at, k in zip(which.tolist(), (where - begins[owner]).tolist(), owner.tolist(), strict=True):
-                    for item, place in owners[seed]:
-                        by_text.setdefault(k, {}).setdefault(item, []).append(at - place)
-                for k, by_item in by_text.items():
-                    found = texts[k]
-                    for item, starts in by_item.items():
-                        slack = lengths[item] // 2 + 4
-                        starts.sort()
-                        first = last = starts[0]
-                        for s in [*starts[1:], None]:
-                            if s is not None and s - last <= slack:
-                                last = s
-                                continue
-                            rows.append(k)
-                            items.append(item)
-                            cut.append(found[max(0, first - slack):last + lengths[item] + slack].astype(np.int64))
-                            first = last = s
-                if rows:
-                    ends = np.concatenate([[0], np.cumsum([len(c) for c in cut])])
-                    took = part.take(pa.array(rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [*took.columns[1:], pa.array(items, pa.int64()),
-                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(cut)))],
-                        names=[*keep, "item_id", "words"])
+                order = np.argsort(where, kind="stable")
+                which, where = which[order], where[order]
+                row = np.searchsorted(ends, where, side="right")
+                # Hits of whole texts, MOST_HITS (item, place) pairs at a time.
+                load = np.concatenate([[0], np.cumsum(items.owners[which])])
+                done = 0
+                while done < len(which):
+                    stop = int(np.searchsorted(load, load[done] + MOST_HITS, side="right")) - 1
+                    if stop < len(which):
+                        stop = int(np.searchsorted(row, row[stop]))
+                    if stop <= done:
+                        stop = int(np.searchsorted(row, row[done], side="right"))
+                    some = slice(done, stop)
+                    done = stop
+                    at, item, low, high = items.passages(which[some], where[some], row[some], begins, ends)
+                    score = align_many(words, low, high, items.pool, items.begin[item], items.length[item])
+                    first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (item[1:] != item[:-1])]))
+                    best = np.maximum.reduceat(score, first) / (MATCH * items.length[item[first]])
+                    took = part.take(pa.array(at[first]))
+                    yield pa.RecordBatch.from_arrays([*took.columns[1:], pa.array(items.ids[item[first]]), pa.array(best)],
+                                                     names=[*keep, "item_id", "similarity"])
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    return docs.select("text", *keep).mapInArrow(run, kinds + "item_id long, words array<bigint>")
-
-
-def align_passages(found: DataFrame, words: dict[int, np.ndarray], keep: list[str]) -> DataFrame:
-    """(keep..., item_id, similarity): passages against their items."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = []
-            for item, passage in zip(batch.column(len(keep)).to_pylist(), batch.column(len(keep) + 1), strict=True):
-                item_words = words[item].astype(np.int64)
-                score.append(align(item_words, np.asarray(passage.values)) / (MATCH * len(item_words)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score, pa.float64())],
-                                             names=[*keep, "item_id", "similarity"])
+    return docs.select("text", *keep).mapInArrow(run, kinds + "item_id long, similarity double")
 
-    kinds = "".join(f"`{c}` {found.schema[c].dataType.simpleString()}, " for c in keep)
-    return found.mapInArrow(run, kinds + "item_id long, similarity double")
 
-
-def matches(docs: DataFrame, benchmark: DataFrame, n: int = 3, common: float = 0.001, fewest: int = 8,
+def matches(docs: DataFrame, benchmark: DataFrame, n: int = 3, common: float | None = None,
             keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """(keep..., item_id, similarity) of every passage that a rare seed found."""
+    """(keep..., item_id, similarity) of every row and item that share a seed.
+
+    ``common`` is only taken for callers that still name it: no seed is too common."""
     keep = list(keep)
     items = item_seeds(benchmark, n)
-    total = docs.count()
     widths = sorted({min(n, len(w)) for _, w, _ in items})
     out = None
     block: list = []
@@ -184,19 +208,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, n: int = 3, common: float = 0
         block.append(item)
         if k + 1 < len(items) and sum(len(s) for _, _, s in block) < SEED_BLOCK:
             continue
-        seeds = np.unique(np.concatenate([s for _, _, s in block]))
-        often = seed_frequencies(docs.select("text"), seeds, widths)
-        most = max(5.0, common * total)
-        chosen: dict[int, list[tuple[int, int]]] = {}
-        for item_id, _, own in block:
-            at = np.searchsorted(seeds, own)
-            rare = np.argsort(often[at], kind="stable")
-            few = set(rare[:fewest].tolist()) | set(np.flatnonzero(often[at] <= most).tolist())
-            for place in few:
-                chosen.setdefault(int(at[place]), []).append((item_id, place))
-        order = sorted(chosen)
-        found = passages(docs, seeds[order], [chosen[s] for s in order], widths, {i: len(w) for i, w, _ in block}, keep)
-        part = align_passages(found, {i: w for i, w, _ in block}, keep)
+        part = _similar(docs, _Items(block), widths, keep)
         out = part if out is None else out.unionByName(part)
         block = []
     if out is None:

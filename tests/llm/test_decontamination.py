@@ -59,6 +59,34 @@ def test_every_item_keeps_seeds_when_its_words_are_common(make_docs, spark, word
     assert {r.doc_id for r in got.collect() if r.contaminated} == set(range(60))
 
 
+def test_many_alignments_match_single_ones():
+    rng = np.random.default_rng(3)
+    text, pool = rng.integers(0, 4, 400), rng.integers(0, 4, 60)
+    low = rng.integers(0, 300, 80)
+    high, begin = low + rng.integers(1, 90, 80), rng.integers(0, 40, 80)
+    length = rng.integers(1, 20, 80)
+    want = [dec.align(pool[b:b + n], text[x:y]) for x, y, b, n in zip(low, high, begin, length)]
+    assert dec.align_many(text, low, high, pool, begin, length).tolist() == want
+
+
+def test_cut_copies_of_a_common_item(make_docs, spark, words):
+    """Seeds that only the cut copy lacks are the rarest ones; it is found by the common ones."""
+    item = words("held by many", 30)
+    cut = " ".join(item.split()[10:])
+    rows = [(i, words(i, 20) + " " + item) for i in range(12)] + [(50, words("a", 20) + " " + cut)] + [
+        (100 + i, words(("clean", i), 40)) for i in range(20)]
+    got = dec.decontaminate(make_docs(rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id for r in got if r.contaminated} == {*range(12), 50}
+    assert abs(next(r.similarity for r in got if r.doc_id == 50) - 2 / 3) < 1e-9
+
+
+def test_hits_in_portions(make_docs, spark, words, bench, monkeypatch):
+    rows = [(i, words(i, 40) + " " + t) for i, t in bench[:12]]
+    monkeypatch.setattr(dec, "MOST_HITS", 3)
+    got = dec.decontaminate(make_docs(rows), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.similarity) for r in got} == {(i, i, 1.0) for i in range(12)}
+
+
 def test_benchmark_in_blocks(make_docs, spark, words, bench, monkeypatch):
     rows = [(i, words(i, 40) + " " + t) for i, t in bench[:12]]
     monkeypatch.setattr(dec, "SEED_BLOCK", 50)
