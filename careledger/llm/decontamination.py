@@ -216,20 +216,30 @@ def matches(docs: DataFrame, benchmark: DataFrame, n: int = 3, common: float | N
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, **how) -> DataFrame:
-    """One row per document id: doc_id, contaminated, similarity, item_id, n_items."""
-    found = matches(docs, benchmark, **how)
-    best = (found.groupBy(id_key("doc_id").alias("_key")).agg(
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with _key and _digest, which rows share only where they have one verdict: same id, same text."""
+    return docs.withColumns({"_key": id_key("doc_id"), "_digest": F.sha2(F.coalesce("text", F.lit("")), 256)})
+
+
+def _verdicts(keyed: DataFrame, benchmark: DataFrame, least: float, **how) -> DataFrame:
+    """(_key, _digest, similarity, item_id, n_items) of the rows that share a seed with an item."""
+    return matches(keyed, benchmark, keep=("_key", "_digest"), **how).groupBy("_key", "_digest").agg(
         F.max("similarity").alias("similarity"),
         F.max_by("item_id", F.struct("similarity", -F.col("item_id"))).alias("item_id"),
-        F.count_distinct(F.when(F.col("similarity") >= least, F.col("item_id"))).alias("n_items")))
-    rows = docs.select("doc_id", id_key("doc_id").alias("_key")).join(best, "_key", "left")
+        F.count_distinct(F.when(F.col("similarity") >= least, F.col("item_id"))).alias("n_items"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, **how) -> DataFrame:
+    """One row per row of ``docs``: doc_id, contaminated, similarity, item_id, n_items."""
+    keyed = _keyed(docs.select("doc_id", "text"))
+    rows = keyed.select("doc_id", "_key", "_digest").join(_verdicts(keyed, benchmark, least, **how), ["_key", "_digest"], "left")
     hit = F.coalesce(F.col("similarity") >= least, F.lit(False))
     return rows.select("doc_id", hit.alias("contaminated"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
                        F.when(hit, F.col("item_id")).alias("item_id"), F.coalesce("n_items", F.lit(0)).alias("n_items"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, **how) -> DataFrame:
     """The documents without a benchmark passage, with their columns as they are."""
-    bad = decontaminate(docs, benchmark, **how).where("contaminated").select(id_key("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", id_key("doc_id")).join(bad, "_key", "left_anti").select(*docs.columns)
+    keyed = _keyed(docs)
+    bad = _verdicts(keyed.select("text", "_key", "_digest"), benchmark, least, **how).where(F.col("similarity") >= least)
+    return keyed.join(bad.select("_key", "_digest"), ["_key", "_digest"], "left_anti").select(*docs.columns)

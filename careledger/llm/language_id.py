@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import id_key, length_slices, stored
+from careledger.llm.common import length_slices, stored
 
 BUCKETS = 1 << 15
 MOST_LANGUAGES = 200
@@ -192,7 +192,8 @@ def page_rows(pages: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is found, with their columns as they are."""
-    judged = identify(document_rows(docs)).where("kept")
-    # Rows that repeat an id are told apart by their text length in grams only here: an id stays if one of its rows does.
-    kept = judged.select(id_key("id").alias("_key")).distinct()
-    return docs.withColumn("_key", id_key("doc_id")).join(kept, "_key", "left_semi").select(*docs.columns)
+    # Rows are judged one by one: only those that agree in all that a verdict is made of share a key.
+    keyed = docs.withColumn("_key", F.sha2(F.to_json(F.struct("doc_id", "text", "lang", "source")), 256))
+    judged = identify(document_rows(keyed.withColumn("doc_id", F.col("_key"))))
+    kept = judged.where("kept").select(F.col("id").alias("_key")).distinct()
+    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)

@@ -87,6 +87,16 @@ def test_hits_in_portions(make_docs, spark, words, bench, monkeypatch):
     assert {(r.doc_id, r.item_id, r.similarity) for r in got} == {(i, i, 1.0) for i in range(12)}
 
 
+def test_rows_without_or_with_one_id_are_judged_apart(make_docs, spark, words, bench):
+    rows = [(None, words("clean", 40)), (None, bench[0][1]), (7, words("other", 40)), (7, bench[1][1]), (7, bench[1][1])]
+    docs, table = make_docs(rows), spark.createDataFrame(bench, "item_id long, text string")
+    got = dec.decontaminate(docs, table).collect()
+    assert sorted(((r.doc_id, r.contaminated) for r in got), key=str) == [
+        (7, False), (7, True), (7, True), (None, False), (None, True)]
+    kept = dec.drop_contaminated(docs, table).collect()
+    assert sorted(r.text for r in kept) == sorted([rows[0][1], rows[2][1]])
+
+
 def test_benchmark_in_blocks(make_docs, spark, words, bench, monkeypatch):
     rows = [(i, words(i, 40) + " " + t) for i, t in bench[:12]]
     monkeypatch.setattr(dec, "SEED_BLOCK", 50)

@@ -124,3 +124,13 @@ def test_keep_identified(make_docs):
     kept = lid.keep_identified(docs)
     assert kept.columns == docs.columns
     assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([*range(30), None], key=str)
+
+
+def test_keep_identified_tells_rows_of_one_id_apart(make_docs):
+    rng = random.Random(6)
+    fine = [text(rng, "en") for _ in range(34)]
+    docs = make_docs([*[(i, t, "en", "s") for i, t in enumerate(fine[:30])], (None, fine[30], "en", "s"), (None, "!!", "en", "s"),
+                      (None, None, "en", "s"), (50, fine[31], "en", "s"), (50, "", "en", "s"), (51, fine[32], "en", "s"),
+                      (51, fine[32], "en", "s")])
+    kept = [(r.doc_id, r.text) for r in lid.keep_identified(docs).collect()]
+    assert sorted(kept, key=str) == sorted([*enumerate(fine[:30]), (None, fine[30]), (50, fine[31]), (51, fine[32]), (51, fine[32])], key=str)
