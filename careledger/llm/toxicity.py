@@ -1,13 +1,14 @@
 """Operator 6, toxicity by maximum-scoring segment search.
 
 1. Words and word beginnings (stems of inflected words) of all documents are
-   counted in hash buckets (a fixed number, so the model has a proven size),
-   over all rows and over labelled rows by class.
-2. The log-odds ratio of the two classes is taken for each bucket under an
-   informative Dirichlet prior whose base measure is the whole corpus.  A word
-   scores the ratio of its most certain bucket (largest |z|), or zero where that
-   could be chance (|z| below ``z_least``); a drift is taken off, so that ordinary
-   text scores below zero on average.
+   features, known by their 64-bit hash and counted by it over all rows and over
+   labelled rows by class.
+2. The log-odds ratio of the two classes is taken for each feature that labelled
+   rows hold under an informative Dirichlet prior whose base measure is the whole
+   corpus.  A word scores the ratio of its most certain feature (largest |z|), or
+   zero where that could be chance (|z| below ``z_least``) or no labelled row holds
+   any; a drift is taken off, so that ordinary text scores below zero on average.
+   Only the features that are certain enough to count make up the model.
 3. A linear-time scan finds every maximal scoring segment of a text.  Lambda of
    the extreme-value law of segment scores solves sum p(w) exp(lambda s(w)) = 1,
    K is fitted on the clean labelled rows, and a segment of score S in a text of
@@ -33,23 +34,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careledger.llm.common import length_slices, plain_bytes, stored, word_hashes
 
-BUCKETS = 1 << 19
 MAX_LABELLED = 200_000
 STEMS = (4, 5, 6, 7, 8, 9)  # bytes of the word beginnings that count
+HELD = 1 << 18              # different words that a task counts before it writes them
+MAYBE_BITS = 20
+TOTAL = 0                   # no feature: its row holds the sums over all features
 
 
 def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of every word and its beginnings (-1 where a word has none), and how many words each text has.
+    """Hashes of every word and its beginnings (0 where a word has none), and how many words each text has.
 
     Words are taken without case and punctuation; words of punctuation alone vanish."""
     words, counts, stems = word_hashes([plain_bytes(t) for t in texts], STEMS)
-    hashes = np.column_stack([words, stems])
-    return np.where(hashes == 0, -1, (hashes >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)), counts
+    return np.column_stack([words, stems]), counts
 
 
 def labelled(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
@@ -60,65 +62,85 @@ def labelled(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
     return rows.orderBy(F.xxhash64("id"), "id").limit(most)
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """(bucket, n_all, n_toxic, n_clean) of ``rows`` (text, toxic or null)."""
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(different keys, a place of each, sums of their counts [key, 3])."""
+    keys, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    return keys, first, np.column_stack([np.bincount(which, c, len(keys)) for c in counts.T]).astype(np.int64)
+
+
+def feature_counts(rows: DataFrame) -> DataFrame:
+    """(feature, n_all, n_toxic, n_clean) of ``rows`` (text, toxic or null), and a row ``TOTAL`` of the sums."""
+    names = ["feature", "n_all", "n_toxic", "n_clean"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((3, BUCKETS), np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []       # features of different words, how often those occur
+        size = 0
+
+        def write() -> pa.RecordBatch:
+            hashes, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first, counts = _summed(hashes[:, 0], counts)
+            flat = hashes[first].ravel()
+            there = flat != 0
+            keys, _, sums = _summed(flat[there], np.repeat(counts, hashes.shape[1], axis=0)[there])
+            sums = np.vstack([sums, sums.sum(0)])
+            return pa.RecordBatch.from_arrays([pa.array(np.append(keys, np.uint64(TOTAL)).view(np.int64)),
+                                               *(pa.array(c) for c in sums.T.copy())], names=names)
+
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
-                buckets, sizes = features(part.column(0).to_pylist())
-                label = np.array([-1 if x is None else int(x > 0) for x in part.column(1).to_pylist()])
-                label = np.repeat(np.repeat(label, sizes), buckets.shape[1])
-                flat = buckets.ravel()
-                label, flat = label[flat >= 0], flat[flat >= 0]
-                counts[0] += np.bincount(flat, minlength=BUCKETS)
-                counts[1] += np.bincount(flat[label == 1], minlength=BUCKETS)
-                counts[2] += np.bincount(flat[label == 0], minlength=BUCKETS)
-        used = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *(pa.array(c[used]) for c in counts)],
-                                         names=["bucket", "n_all", "n_toxic", "n_clean"])
-
-    parts = rows.select("text", "toxic").mapInArrow(run, "bucket int, n_all long, n_toxic long, n_clean long")
-    return parts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("n_all", "n_toxic", "n_clean")])
+                hashes, sizes = features(part.column(0).to_pylist())
+                label = np.repeat([-1 if x is None else int(x > 0) for x in part.column(1).to_pylist()], sizes)
+                if not len(hashes):
+                    continue
+                _, first, counts = _summed(hashes[:, 0], np.column_stack([np.ones(len(label)), label == 1, label == 0]))
+                held.append((hashes[first], counts))
+                size += len(first)
+                if size >= HELD:
+                    yield write()
+                    held, size = [], 0
+        if held:
+            yield write()
+
+    parts = rows.select("text", "toxic").mapInArrow(run, "feature long, n_all long, n_toxic long, n_clean long")
+    return parts.groupBy("feature").agg(*[F.sum(c).alias(c) for c in names[1:]])
 
 
 @dataclass
 class Model:
-    ratios: np.ndarray           # log-odds ratio of each bucket
-    certainty: np.ndarray        # its z
-    z_least: float = 3.0
+    features: np.ndarray         # hashes of the features that are certain enough, in order
+    ratios: np.ndarray           # their log-odds ratios
+    certainty: np.ndarray        # their |z|
     drift: float = 0.7
     rate: float = 1.0            # lambda of the extreme-value law
     size: float = 0.1            # its K
     weights: tuple = (-20.0, 0.0, 0.0, 0.0)
 
-    def word_scores(self, buckets: np.ndarray) -> np.ndarray:
-        """The score of each word, by the most certain of its buckets."""
-        z = np.where(buckets >= 0, np.abs(self.certainty[buckets]), 0)
-        best = z.argmax(1)
-        rows = np.arange(len(best))
-        return np.where(z[rows, best] >= self.z_least, self.ratios[buckets[rows, best]], 0.0) - self.drift
+    def __post_init__(self) -> None:
+        """A bitmap answers for most features that they are not in the model."""
+        self.maybe = np.zeros(1 << MAYBE_BITS, bool)
+        self.maybe[self.features >> np.uint64(64 - MAYBE_BITS)] = True
 
-    @property
-    def bucket_scores(self) -> np.ndarray:
-        return np.where(np.abs(self.certainty) >= self.z_least, self.ratios, 0.0) - self.drift
+    def word_scores(self, hashes: np.ndarray) -> np.ndarray:
+        """The score of each word, by the most certain of its features."""
+        z, ratio, flat = np.zeros(hashes.shape), np.zeros(hashes.shape), hashes.ravel()
+        look = np.flatnonzero(self.maybe[flat >> np.uint64(64 - MAYBE_BITS)])
+        at = np.minimum(np.searchsorted(self.features, flat[look]), len(self.features) - 1)
+        hit = self.features[at] == flat[look]
+        z.ravel()[look[hit]], ratio.ravel()[look[hit]] = self.certainty[at[hit]], self.ratios[at[hit]]
+        return ratio[np.arange(len(z)), z.argmax(1)] - self.drift
 
 
-def log_odds(counts: np.ndarray, prior: float = 0.2) -> tuple[np.ndarray, np.ndarray]:
-    """(ratio, z) of each bucket from its (all, toxic, clean) counts; ``prior``: pseudo-counts, as a share of the labelled ones."""
-    everything, toxic, clean = counts.astype(float)
-    if not toxic.sum() or not clean.sum():
-        return np.zeros(BUCKETS), np.zeros(BUCKETS)
-    strength = prior * (toxic.sum() + clean.sum())
-    alpha = strength * (everything + 0.01) / (everything + 0.01).sum()
+def log_odds(counts: DataFrame, everything: int, toxic: int, clean: int, prior: float = 0.2) -> DataFrame:
+    """``counts`` with ratio and z of each feature; ``prior``: pseudo-counts, as a share of the labelled ones."""
+    strength = prior * (toxic + clean)
+    alpha = F.col("n_all") * F.lit(strength / everything)
 
-    def odds(n: np.ndarray) -> np.ndarray:
-        return np.log((n + alpha) / (n.sum() + strength - n - alpha))
+    def odds(n: str, total: int) -> Column:
+        return F.log((F.col(n) + alpha) / (F.lit(total + strength) - F.col(n) - alpha))
 
-    ratio = odds(toxic) - odds(clean)
-    z = ratio / np.sqrt(1 / (toxic + alpha) + 1 / (clean + alpha))
-    return ratio.astype(np.float32), z.astype(np.float32)
+    return counts.withColumn("ratio", odds("n_toxic", toxic) - odds("n_clean", clean)).withColumn(
+        "z", F.col("ratio") / F.sqrt(1 / (F.col("n_toxic") + alpha) + 1 / (F.col("n_clean") + alpha)))
 
 
 def decay_rate(scores: np.ndarray, weight: np.ndarray) -> float:
@@ -158,18 +180,28 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, r - x) for s, e, x, r, _ in kept]
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn word scores, extreme-value law and calibration (collects at most BUCKETS counts and
-    ``MAX_LABELLED`` rows of three numbers)."""
+def fit(docs: DataFrame, labels: DataFrame, z_least: float = 3.0) -> Model:
+    """Learn word scores, extreme-value law and calibration (collects the features of labelled rows with a |z| of
+    ``z_least`` at least, and ``MAX_LABELLED`` rows of three numbers)."""
     sample = F.broadcast(labelled(labels))                    # at most MAX_LABELLED rows of two numbers
     rows = docs.join(sample, docs.doc_id == sample.id, "left").select("text", "toxic")
-    counts = np.zeros((3, BUCKETS), np.int64)
-    got = word_counts(rows).toPandas()
-    counts[:, got["bucket"].to_numpy()] = got[["n_all", "n_toxic", "n_clean"]].to_numpy().T
-    model = Model(*log_odds(counts))
-    if not (model.bucket_scores > 0).any():
+    counts = stored(feature_counts(rows).where((F.col("n_toxic") + F.col("n_clean") > 0) | (F.col("feature") == TOTAL)),
+                    "toxicity-features")
+    none = Model(np.empty(0, np.uint64), np.empty(0), np.empty(0))
+    total = counts.where(F.col("feature") == TOTAL).first()
+    if total is None or not total.n_toxic or not total.n_clean:
+        return none
+    odds = log_odds(counts.where(F.col("feature") != TOTAL), total.n_all, total.n_toxic, total.n_clean)
+    got = odds.where(F.abs("z") >= z_least).select("feature", "n_all", "ratio", F.abs("z").alias("z")).toPandas()
+    hashes = got["feature"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    ratios = got["ratio"].to_numpy(float)[order]
+    model = Model(hashes[order], ratios, got["z"].to_numpy(float)[order])
+    if not (ratios > model.drift).any():
         return model
-    model.rate = decay_rate(model.bucket_scores, counts[0])
+    # All other features score alike.
+    often = got["n_all"].to_numpy(float)[order]
+    model.rate = decay_rate(np.append(ratios, 0.0) - model.drift, np.append(often, total.n_all - often.sum()))
     known = docs.join(sample, docs.doc_id == sample.id).select("text", "toxic")
     known = stored(_segments(known, model, ["toxic"]), "toxicity-labelled")
     scored = known.selectExpr("toxic", "n_words", "array_max(transform(passages, x -> x.score)) best").toPandas()
@@ -203,8 +235,8 @@ def _segments(docs: DataFrame, model: Model, keep: list[str], text_col: str = "t
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
-                buckets, sizes = features(part.column(0).to_pylist())
-                values, ends = model.word_scores(buckets), np.cumsum(sizes)
+                hashes, sizes = features(part.column(0).to_pylist())
+                values, ends = model.word_scores(hashes), np.cumsum(sizes)
                 found = [[{"start": s, "end": e, "score": x} for s, e, x in maximal_segments(values[j - n:j])]
                          for j, n in zip(ends.tolist(), sizes.tolist())]
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))

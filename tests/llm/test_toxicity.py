@@ -108,3 +108,38 @@ def test_features_forget_case_and_punctuation():
 def test_no_words(text):
     buckets, n = toxicity.features([text])
     assert n.tolist() == [0] and len(buckets) == 0
+
+
+def test_words_that_share_the_leading_bits_of_a_hash_are_told_apart(make_docs, spark):
+    docs, labels = corpus(600)
+    rng = random.Random(8)
+    some = ["".join(rng.choice("klmnopqrstuvwxyz") for _ in range(12)) for _ in range(400_000)]
+    bad = {int(h) >> 45: None for h in toxicity.features([" ".join(BAD)])[0][:, 0]}
+    hashes = toxicity.features([" ".join(some)])[0][:, 0]
+    twins = [w for w, h in zip(some, (hashes >> np.uint64(45)).tolist()) if h in bad]
+    assert twins
+    model = toxicity.fit(make_docs(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    clean = " ".join(["aaaa"] * 40)
+    got = {r.doc_id: r for r in toxicity.score_toxicity(make_docs([
+        (1, f"{clean} {' '.join(twins[:1] * 5)} {clean}"), (2, f"{clean} {' '.join(['zzzz'] * 5)} {clean}"),
+        (3, f"{clean} {' '.join(BAD)} {clean}")]), model).collect()}
+    assert not got[1].passages and got[1].score == got[2].score < got[3].score
+
+
+def test_counts_are_exact_and_portions_add_up(make_docs, spark, monkeypatch):
+    docs, labels = corpus(60)
+    rows = make_docs(docs).join(spark.createDataFrame(labels, "doc_id long, quality int, toxic int").where("doc_id < 40"),
+                                "doc_id", "left").select("text", "toxic")
+    want = {}
+    for i, t in docs:
+        hashes, _ = toxicity.features([t])
+        for h in hashes[hashes != 0].tolist():
+            for key in (h, toxicity.TOTAL):
+                n = want.setdefault(key, [0, 0, 0])
+                n[0] += 1
+                if i < 40:
+                    n[1 if labels[i][2] else 2] += 1
+    for held in (toxicity.HELD, 100):
+        monkeypatch.setattr(toxicity, "HELD", held)
+        got = {r.feature % (1 << 64): [r.n_all, r.n_toxic, r.n_clean] for r in toxicity.feature_counts(rows).collect()}
+        assert got == want
