@@ -12,8 +12,9 @@ Four pieces of evidence meet in one posterior per document:
   text posteriors by grouped aggregation, a row's own share taken out.
 
 A row is rejected when ``und`` wins or the winner's posterior stays below
-``least``.  Group sums use salted parts, so one host may hold a third of all
-rows; only the language tables (bounded by languages x buckets) reach the driver.
+``least``.  Every declared value is a language, however many there are.  Group sums
+use salted parts, so one host may hold a third of all rows; only the language tables
+(the trigram buckets that each language has, languages x languages) reach the driver.
 
 Defined results: a text without letters, an empty or a null text is ``und`` and
 rejected, whatever else is declared.  A null declared language is no evidence
@@ -35,7 +36,9 @@ from pyspark.sql import functions as F
 from careledger.llm.common import length_slices, stored
 
 BUCKETS = 1 << 15
-MOST_LANGUAGES = 200
+MOST_COLUMNS = 64           # languages up to which sums are columns; beyond, they are rows
+MOST_BROADCAST = 1000       # languages up to which P(declared | language) is broadcast
+HELD = 1 << 20              # (language, bucket) counts that a task holds before it writes them
 UND = "und"
 
 #: Bytes that are no part of words count as blanks.
@@ -57,79 +60,110 @@ def gram_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
     number = {x: i for i, x in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(number), BUCKETS), np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def write() -> pa.RecordBatch:
+            keys, which = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            n = np.bincount(which, np.concatenate([n for _, n in held])).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(keys // BUCKETS), pa.array(keys % BUCKETS), pa.array(n)],
+                                              names=["language", "bucket", "n"])
+
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
-                for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    if lang in number:
-                        counts[number[lang]] += np.bincount(_grams(text), minlength=BUCKETS)
-        where, bucket = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(bucket), pa.array(counts[where, bucket])],
-                                         names=["language", "bucket", "n"])
+                keys = [_grams(text) + number[lang] * BUCKETS for text, lang in zip(
+                    part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if lang in number]
+                if keys:
+                    held.append(np.unique(np.concatenate(keys), return_counts=True))
+                    size += len(held[-1][0])
+                if size >= HELD:
+                    yield write()
+                    held, size = [], 0
+        if held:
+            yield write()
 
     return (rows.select("text", "declared").mapInArrow(run, "language long, bucket long, n long")
             .groupBy("language", "bucket").agg(F.sum("n").alias("n")))
 
 
-def text_model(rows: DataFrame, languages: list[str], smooth: float = 0.5) -> np.ndarray:
-    """Log-probabilities [bucket, language], the last column for ``und``."""
-    counts = np.zeros((len(languages), BUCKETS))
-    got = gram_counts(rows, languages).toPandas()             # at most languages x BUCKETS rows
-    counts[got["language"].to_numpy(), got["bucket"].to_numpy()] = got["n"].to_numpy()
-    logs = np.log((counts + smooth) / (counts.sum(1, keepdims=True) + smooth * BUCKETS))
-    return np.vstack([logs, np.full(BUCKETS, -np.log(BUCKETS))]).T.astype(np.float64)
+class TextModel:
+    """Log-probabilities of buckets by language, the last one ``und``: what a bucket without counts has, and
+    what the counted ones have more."""
+
+    def __init__(self, got, n: int, smooth: float):
+        bucket, language, count = (got[c].to_numpy(np.int64) for c in ("bucket", "language", "n"))
+        total = np.bincount(language, count, n) + smooth * BUCKETS
+        self.base = np.append(np.log(smooth / total), -np.log(BUCKETS))
+        order = np.argsort(bucket, kind="stable")
+        self.language, self.more = language[order].astype(np.int32), np.log((count[order] + smooth) / smooth)
+        self.many = np.bincount(bucket, minlength=BUCKETS)
+        self.first = np.cumsum(self.many) - self.many
+
+    def likelihood(self, grams: np.ndarray) -> np.ndarray:
+        """Log-likelihood of a text under every language."""
+        grams = grams[self.many[grams] > 0] if len(self.more) else grams[:0]
+        many = self.many[grams]
+        at = np.repeat(self.first[grams] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        return np.bincount(self.language[at], self.more[at], len(self.base))
+
+
+def text_model(rows: DataFrame, languages: list[str], smooth: float = 0.5) -> TextModel:
+    """The model of all rows with a declared language (collects the buckets that each language has)."""
+    return TextModel(gram_counts(rows, languages).toPandas(), len(languages), smooth)
 
 
-def text_evidence(rows: DataFrame, model: np.ndarray, temper: float = 0.33) -> DataFrame:
-    """id, declared, host, suffix, n_grams and the tempered log-likelihoods ``ll`` (neighbouring trigrams
-    share bytes, so their likelihoods do not count in full)."""
+def text_evidence(rows: DataFrame, model: TextModel, temper: float = 0.33) -> DataFrame:
+    """id, declared, host, suffix, n_grams, the tempered log-likelihoods ``ll`` (neighbouring trigrams
+    share bytes, so their likelihoods do not count in full) and the posteriors ``p`` of them alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
                 grams = [_grams(t) for t in part.column(0).to_pylist()]
-                ll = np.stack([model[g].sum(0) * temper for g in grams]).ravel()
-                ends = np.arange(len(grams) + 1) * model.shape[1]
+                ll = np.stack([(model.likelihood(g) + len(g) * model.base) * temper for g in grams])
+                p = np.exp(ll - ll.max(1, keepdims=True))
+                p /= p.sum(1, keepdims=True)
+                ends = pa.array(np.arange(len(grams) + 1) * ll.shape[1], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], pa.array([len(g) for g in grams], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ll))],
-                    names=["id", "declared", "host", "suffix", "n_grams", "ll"])
+                     *(pa.ListArray.from_arrays(ends, pa.array(x.ravel())) for x in (ll, p))],
+                    names=["id", "declared", "host", "suffix", "n_grams", "ll", "p"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.select("text", "id", "declared", "host", "suffix").mapInArrow(
-        run, f"id {kind}, declared string, host string, suffix string, n_grams long, ll array<double>")
+        run, f"id {kind}, declared string, host string, suffix string, n_grams long, ll array<double>, p array<double>")
 
 
-def _softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    raw = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(raw, lambda x: x / F.aggregate(raw, F.lit(0.0), lambda s, y: s + y))
+def _summed(df: DataFrame, keys: list[str], n: int, of: str) -> DataFrame:
+    """(keys..., of): sums of an array column by place."""
+    if n <= MOST_COLUMNS:
+        return df.groupBy(*keys).agg(*[F.sum(F.col(of)[i]).alias(f"_s{i}") for i in range(n)]).select(
+            *keys, F.array(*[F.col(f"_s{i}") for i in range(n)]).alias(of))
+    sums = df.select(*keys, F.posexplode(of).alias("_at", "_x")).groupBy(*keys, "_at").agg(F.sum("_x").alias("_x"))
+    whole = sums.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_at", "_x"))).alias("_all"))
+    return whole.select(*keys, F.transform("_all", lambda x: x["_x"]).alias(of))
 
 
-def _sums(n: int, of: str = "p") -> list[Column]:
-    return [F.sum(F.col(of)[i]).alias(f"s{i}") for i in range(n)]
-
-
-def _sum_array(n: int) -> Column:
-    return F.array(*[F.col(f"s{i}") for i in range(n)])
+def _total(of: str) -> Column:
+    return F.aggregate(of, F.lit(0.0), lambda a, x: a + x)
 
 
 def host_priors(evidence: DataFrame, n: int, strength: float) -> DataFrame:
-    """(host, suffix, s, prior, pull): a host's posterior sums and the smoothed prior of its suffix."""
-    hosts = stored(evidence.groupBy("host", "suffix").agg(*_sums(n)).select(
-        "host", "suffix", _sum_array(n).alias("s")), "language-hosts")
-    whole = hosts.agg(*_sums(n, "s")).first() or [0.0] * n
+    """(host, suffix, s, size, prior): a host's posterior sums, their total and the smoothed prior of its suffix."""
+    hosts = stored(_summed(evidence, ["host", "suffix"], n, "p").withColumnRenamed("p", "s"), "language-hosts")
+    whole = (_summed(hosts, [], n, "s").first() or [None])[0] or [None] * n
     total = sum(x or 0.0 for x in whole)
-    corpus = F.array(*[F.lit(((x or 0.0) + 1.0) / (total + n)) for x in whole])
+    # One literal, as a plan with thousands of them takes long.
+    corpus = F.split(F.lit(" ".join(repr(float(((x or 0.0) + 1.0) / (total + n))) for x in whole)), " ").cast("array<double>")
     # Suffix sums in parts, as one suffix may own most hosts.
-    parts = hosts.withColumn("_part", F.pmod(F.xxhash64("host"), F.lit(64)))
-    heads = parts.groupBy("suffix", "_part").agg(*_sums(n, "s"))
-    suffixes = heads.groupBy("suffix").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(n)])
-    heads = heads.select("suffix", "_part").join(suffixes.select("suffix", _sum_array(n).alias("t")), "suffix")
-    size = F.aggregate("t", F.lit(0.0), lambda a, x: a + x)
-    prior = F.transform(F.zip_with("t", corpus, lambda t, c: t + strength * c), lambda x: x / (size + strength))
-    return parts.join(heads, ["suffix", "_part"]).select("host", "suffix", "s", prior.alias("suffix_prior"))
+    parts = hosts.withColumn("_part", F.pmod(F.xxhash64("host"), F.lit(64))).withColumn("size", _total("s"))
+    heads = _summed(parts, ["suffix", "_part"], n, "s").withColumnRenamed("s", "t")
+    suffixes = _summed(heads, ["suffix"], n, "t").withColumn("_size", _total("t"))
+    # Sizes are columns below a join, so that no lambda sums them up again for each language.
+    heads = heads.select("suffix", "_part").join(suffixes, "suffix")
+    prior = F.transform(F.zip_with("t", corpus, lambda t, c: t + strength * c), lambda x: x / (F.col("_size") + strength))
+    return parts.join(heads, ["suffix", "_part"]).select("host", "suffix", "s", "size", prior.alias("suffix_prior"))
 
 
 def identify(rows: DataFrame, languages: list[str] | None = None, least: float = 0.5, strength: float = 20.0,
@@ -139,39 +173,42 @@ def identify(rows: DataFrame, languages: list[str] | None = None, least: float =
     rows = rows.select("id", "text", F.lower("declared").alias("declared"), host.alias("host"),
                        F.when(F.contains(host, F.lit(".")), F.substring_index(host, ".", -1)).otherwise("").alias("suffix"))
     if languages is None:
-        said = rows.where(F.col("declared").isNotNull()).groupBy("declared").count()
-        languages = [r.declared for r in said.orderBy(F.desc("count"), "declared").limit(MOST_LANGUAGES).collect()]
+        languages = [r.declared for r in rows.where(F.col("declared").isNotNull()).select("declared").distinct().collect()]
     languages = sorted(x for x in languages if x != UND)
     n = len(languages) + 1
-    model = text_model(rows, languages)
-    ev = text_evidence(rows, model).withColumn("p", _softmax(F.col("ll")))
-    ev = stored(ev, "language-evidence")
-    # P(declared | language), smoothed; at most languages x (languages + 1) numbers.
     known = F.when(F.col("declared").isin(languages), F.col("declared")).otherwise("")
+    ev = stored(text_evidence(rows, text_model(rows, languages)).withColumn("known", known), "language-evidence")
+    # P(declared | language), smoothed; at most languages x (languages + 1) numbers.
     table = np.ones((n, n)) * 0.5
     spot = {x: i for i, x in enumerate([*languages, ""])}
-    for r in ev.where("n_grams > 0").groupBy(known.alias("d")).agg(*_sums(n)).collect():
-        table[:, spot[r.d]] += [r[f"s{i}"] for i in range(n)]
+    for r in _summed(ev.where("n_grams > 0"), ["known"], n, "p").collect():
+        table[:, spot[r.known]] += r.p
     table = np.log(table / table.sum(1, keepdims=True))
-    declared = F.create_map(*[x for d, j in spot.items() for x in (
-        F.lit(d), F.array(*[F.lit(float(v)) for v in table[:, j]]))])
+    said = rows.sparkSession.createDataFrame([(d, table[:, j].tolist()) for d, j in spot.items()],
+                                             "known string, said array<double>")
+    ev = ev.join(F.broadcast(said) if n <= MOST_BROADCAST else said, "known")
     # Host priors, a row's own share taken out; the join is salted against a hot host.
     hosts = host_priors(ev, n, strength)
     parts = ev.withColumn("_part", F.pmod(F.xxhash64("id", "n_grams"), F.lit(salts)))
     heads = parts.select("host", "suffix", "_part").distinct().join(hosts, ["host", "suffix"])
     ev = parts.join(heads, ["host", "suffix", "_part"])
-    size = F.aggregate("s", F.lit(0.0), lambda a, x: a + x)
     others = F.zip_with(F.zip_with("s", "p", lambda s, p: F.greatest(s - p, F.lit(0.0))), "suffix_prior",
                         lambda s, t: s + strength * t)
-    prior = F.transform(others, lambda x: F.log(x / (F.greatest(size - 1, F.lit(0.0)) + strength)))
-    logs = F.zip_with(F.zip_with("ll", prior, lambda a, b: a + b), declared[known], lambda a, b: a + b)
-    post = _softmax(logs)
-    best = F.array_position(F.col("post"), F.array_max("post")).cast("int")
+    prior = F.transform(others, lambda x: F.log(x / (F.greatest(F.col("size") - 1, F.lit(0.0)) + strength)))
+    logs = F.zip_with(F.zip_with("ll", prior, lambda a, b: a + b), "said", lambda a, b: a + b)
+    best = F.array_position("logs", F.array_max("logs")).cast("int")
+
+    def add(s: Column, x: Column) -> Column:
+        """The largest so far, and the sum of all in shares of it."""
+        top = F.greatest(s["top"], x)
+        return F.struct(top.alias("top"), (s["sum"] * F.exp(s["top"] - top) + F.exp(x - top)).alias("sum"))
+
+    shares = F.aggregate("logs", F.struct(F.lit(-1e300).alias("top"), F.lit(0.0).alias("sum")), add, lambda s: 1 / s["sum"])
     names = F.array(*[F.lit(x) for x in [*languages, UND]])
     silent = F.col("n_grams") == 0
-    return (ev.withColumn("post", post)
+    return (ev.withColumn("logs", logs)
             .withColumn("lang", F.when(silent, UND).otherwise(F.element_at(names, best)))
-            .withColumn("prob", F.when(silent, 1.0).otherwise(F.array_max("post")))
+            .withColumn("prob", F.when(silent, 1.0).otherwise(shares))
             .withColumn("kept", (F.col("lang") != UND) & (F.col("prob") >= least))
             .select("id", "declared", "host", "n_grams", "lang", "prob", "kept"))
 

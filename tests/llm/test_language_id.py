@@ -134,3 +134,26 @@ def test_keep_identified_tells_rows_of_one_id_apart(make_docs):
                       (51, fine[32], "en", "s")])
     kept = [(r.doc_id, r.text) for r in lid.keep_identified(docs).collect()]
     assert sorted(kept, key=str) == sorted([*enumerate(fine[:30]), (None, fine[30]), (50, fine[31]), (51, fine[32]), (51, fine[32])], key=str)
+
+
+def test_sums_as_rows_are_those_as_columns(spark, monkeypatch):
+    data = rows(60)
+    monkeypatch.setattr(lid, "MOST_COLUMNS", 1)
+    monkeypatch.setattr(lid, "HELD", 100)
+    want = brute(data)
+    for r in lid.identify(frame(spark, data)).collect():
+        assert (r.lang, r.kept) == (want[r.id][0], want[r.id][2]) and abs(r.prob - want[r.id][1]) < 1e-9
+
+
+def test_more_than_two_hundred_languages(spark):
+    """Each of 230 declared values has a model, also those that few rows declare."""
+    rng = random.Random(9)
+    own = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(4)] for _ in range(230)]
+    data = []
+    for k, syllables in enumerate(own):
+        for _ in range(3 if k < 200 else 2):
+            data.append((len(data), " ".join("".join(rng.choice(syllables) for _ in range(2)) for _ in range(60)), f"x{k:03}", f"h{k % 5}.org"))
+    want = brute(data)
+    got = {r.id: r for r in lid.identify(frame(spark, data)).collect()}
+    assert all((got[i].lang, got[i].kept) == (w[0], w[2]) and abs(got[i].prob - w[1]) < 1e-9 for i, w in want.items())
+    assert all(got[i].lang == d for i, _, d, _ in data)
