@@ -37,10 +37,9 @@ class RunParams:
     @classmethod
     def build(cls, as_of=None, start=None, end=None, sla_cutoff=None,
               hce_factor=HCE_FACTOR) -> "RunParams":
-        as_of = _as_date(as_of) or dt.date.today()
-        end = _as_date(end) or as_of
-        start = _as_date(start) or end - dt.timedelta(days=WINDOW_DAYS_BACK)
-        sla_cutoff = _as_date(sla_cutoff) or end + dt.timedelta(days=SLA_DAYS_AFTER_END)
+        as_of, start, end, sla_cutoff = run_days(
+            _as_date(as_of) or dt.date.today(), lambda day, n: day + dt.timedelta(days=n),
+            _as_date(start), _as_date(end), _as_date(sla_cutoff))
         if start > end:
             raise ValueError(f"start {start} is after end {end}")
         return cls(as_of, start, end, sla_cutoff, Decimal(hce_factor))
@@ -55,6 +54,16 @@ class RunParams:
                 "sla_cutoff": self.sla_cutoff, "hce_factor": self.hce_factor}
 
 
+def run_days(as_of, plus, start=None, end=None, sla_cutoff=None):
+    """(as_of, start, end, sla_cutoff) with the defaults of a run on ``as_of``.
+
+    Days are dates or Spark columns; ``plus(day, n)`` adds n days to one."""
+    end = as_of if end is None else end
+    start = plus(end, -WINDOW_DAYS_BACK) if start is None else start
+    sla_cutoff = plus(end, SLA_DAYS_AFTER_END) if sla_cutoff is None else sla_cutoff
+    return as_of, start, end, sla_cutoff
+
+
 def _as_date(value):
     if value is None:
         return None

@@ -31,7 +31,7 @@ from careledger.operators.branching import (
 )
 from careledger.operators.census import daily_census_rows, date_spine
 from careledger.operators import scripts as T
-from careledger.params import RunParams, test_params
+from careledger.params import HCE_FACTOR, RunParams, run_days, test_params
 from careledger.plans import kpis
 from careledger.plans.oracle_kpis import kpi_oracle_sql
 from careledger.plans.oracle_tables import with_tables
@@ -1000,11 +1000,10 @@ SELECT as_of, as_of - 14 AS start, as_of AS "end", as_of + 3 AS sla_cutoff, CAST
 FROM d
 """, [])
 def _r1(spark, sf_dir):
-    """The parameters of a run on each day that has orders: a bounded calendar, ``RunParams.build`` for each."""
-    days = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_date("o_orderdate").alias("d")).distinct()
-    runs = [RunParams.build(as_of=r["d"]) for r in days.collect()]
-    return spark.createDataFrame([(r.as_of, r.start, r.end, r.sla_cutoff, r.hce_factor) for r in runs],
-                                 "as_of date, start date, end date, sla_cutoff date, hce_factor decimal(5,3)")
+    """The parameters of a run on each day that has orders, by the defaults of ``RunParams.build``."""
+    days = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_date("o_orderdate").alias("as_of")).distinct()
+    named = zip(run_days(C("as_of"), F.date_add), ("as_of", "start", "end", "sla_cutoff"), strict=True)
+    return days.select(*[day.alias(name) for day, name in named], F.lit(HCE_FACTOR).cast("decimal(5,3)").alias("hce_factor"))
 
 
 _R2_SQL = """

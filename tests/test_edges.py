@@ -230,3 +230,15 @@ def test_duplicate_reason_code_fans_out_unless_deduplicated(make_catalog):
     dedup = sorted((r["nonadmit_code"], r["nonadmit_reason"], r["refusal_of_service"], r["non_admit_count"])
                    for r in kpis.k23_nonadmit_reasons_dedup(cat, P).collect())
     assert dedup == [("N1", "Does not meet criteria", True, 1), ("N9", "(unknown reason)", None, 1)]
+
+
+def test_run_params_of_all_days_stay_in_spark(spark, tmp_path):
+    """One row a day as ``RunParams.build`` has it, read from the table by the plan; a missing day has no dates."""
+    from careledger.plans.operator_plans import _r1
+    days = [dt.date(2024, 3, 1), dt.date(2024, 3, 1), dt.date(2023, 12, 30), None]
+    spark.createDataFrame([(d,) for d in days], "o_orderdate date").write.parquet(str(tmp_path / "orders.parquet"))
+    out = _r1(spark, str(tmp_path))
+    runs = [RunParams.build(as_of=d) for d in set(days) if d]
+    want = [(r.as_of, r.start, r.end, r.sla_cutoff, r.hce_factor) for r in runs] + [(None, None, None, None, runs[0].hce_factor)]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+    assert out.inputFiles()
