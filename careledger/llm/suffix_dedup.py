@@ -12,8 +12,8 @@ a document with a smaller id.
    repeat go to the anchor's shard.
 3. Stretches of an anchor that are all the same repeat as a whole.  Where they
    differ, a shard concatenates the different ones and sorts all their suffixes
-   by external induced sorting (``induced_sort``), whose queues wait on disk once
-   a shard outgrows memory.  Suffixes that share ``width`` bytes stand together,
+   by external induced sorting (``induced_sort``), whose long queues wait on disk;
+   the shard's text, arrays and members are in memory.  Suffixes that share ``width`` bytes stand together,
    their common prefixes say where such a group ends, and the smallest id of a
    group decides for every member which of its windows repeat.
 4. The covered ranges join their documents, overlapping ranges unite, and the rest
