@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careledger.llm import (bpe, decontamination, exact_dedup, jaccard_join, language_id, secrets, sharding,
-                            suffix_dedup, toxicity, warc)
+from careledger.llm import (bpe, decontamination, exact_dedup, jaccard_join, language_id, lm_scoring, secrets,
+                            sharding, suffix_dedup, toxicity, warc)
 from careledger.llm.common import read_table, ship_code
 
 
@@ -75,6 +75,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return lm_scoring.score_documents(read_table(spark, sf_dir, "documents"),
+                                      public_tokenizers.path("piece_bpe_32k.model"), held_out=0, folds=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_secret_scan": op9_secret_scan,
     "op10_bpe": op10_bpe,
+    "op11_lm_scoring": op11_lm_scoring,
     "llm_page_language_id": llm_page_language_id,
 }
 
