@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careledger.llm import (bpe, decontamination, exact_dedup, jaccard_join, language_id, lm_scoring, secrets,
-                            sharding, suffix_dedup, toxicity, warc)
+from careledger.llm import (alignment, bpe, decontamination, exact_dedup, jaccard_join, language_id, lm_scoring,
+                            prefix_trie, secrets, sharding, suffix_dedup, toxicity, warc)
 from careledger.llm.common import read_table, ship_code
 
 
@@ -81,6 +81,17 @@ def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       public_tokenizers.path("piece_bpe_32k.model"), held_out=0, folds=10)
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    pair = alignment.Pair.read(*map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+    return alignment.alignment_report(read_table(spark, sf_dir, "documents"), pair)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"), family=5, shared=9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -93,6 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_bpe": op10_bpe,
     "op11_lm_scoring": op11_lm_scoring,
+    "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+    "op13_conversation_trie": op13_conversation_trie,
     "llm_page_language_id": llm_page_language_id,
 }
 

@@ -21,7 +21,7 @@ def test_query_equals_its_sql(spark, name):
     assert sorted([tuple(r[c] for c in sorted(names)) for r in got.collect()], key=str) == want
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op13_conversation_trie"}))
 def test_one_row_per_document_or_page(spark, name):
     table = "pages" if name in ("op1_warc", "llm_page_language_id") else "documents"
     key = "page_id" if table == "pages" else "doc_id"
