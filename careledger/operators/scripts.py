@@ -105,6 +105,69 @@ def split_statements(scripts: DataFrame, id_col: str = "script_id", text_col: st
                           F.posexplode(statements(F.col(text_col))).alias("stmt_no", "statement"))
 
 
+# What a batch is made of: comments (also one within another), quoted text, words, single characters.
+_LINE_COMMENT_TOKEN = r"--[^\n\r]*+"
+_BLOCK_COMMENT_TOKEN = r"/\*(?:[^*/]|\*(?!/)|/(?!\*)|/\*(?s:.*?)\*/)*+\*/"
+_QUOTED_TOKEN = "|".join(q + r"[^\\" + q + r"]*+(?:\\(?s:.)[^\\" + q + "]*+)*+" + q for q in "'\"") + "|`[^`]*+`"
+_BATCH_TOKEN = (f"{_LINE_COMMENT_TOKEN}|{_BLOCK_COMMENT_TOKEN}|{_QUOTED_TOKEN}"
+                r"|[A-Za-z0-9_@#$]++|[\s]++|[^A-Za-z0-9_@#$'\"`;()\s/-]++|(?s:.)")
+_BATCH_STATE = ("struct<at:int,depth:int,start:int,rest:int,end:int,phase:int,use:boolean,fresh:boolean,more:boolean,"
+                "setup:array<string>>")
+_BETWEEN, _SETUP, _QUERY, _AFTER = 0, 1, 2, 3
+
+
+def split_batch(text: Column) -> Column:
+    """R2: struct(setup array, query, more) of a batch: its setup lines (``USE``, ``SET``, ``DECLARE``, ``GO``) and
+    the text that follows them, unchanged up to its end.
+
+    A fold over the batch's tokens, so quotes and comments hide what stands in them.  A setup line ends at a ``;``,
+    or where the next line or the query begins (a word outside brackets; after ``USE`` also an opening one).  The query
+    ends at a ``;`` or at a line that is ``GO``; ``more`` tells of anything but comments, ``;`` and ``GO`` after that."""
+    tokens = F.regexp_extract_all(text, F.lit(f"({_BATCH_TOKEN})"), F.lit(1))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("start"), F.lit(0).alias("rest"),
+                     F.lit(None).cast("int").alias("end"), F.lit(_BETWEEN).alias("phase"), F.lit(False).alias("use"),
+                     F.lit(True).alias("fresh"), F.lit(False).alias("more"),
+                     F.array().cast("array<string>").alias("setup")).cast(_BATCH_STATE)
+
+    def step(acc: Column, token: Column) -> Column:
+        word, phase = F.upper(token), acc["phase"]
+        blank = F.regexp_replace(token, r"\s+", "") == ""
+        silent = blank | token.startswith("--") | token.startswith("/*")
+        depth = acc["depth"] + F.when(token == "(", 1).when(token == ")", -1).otherwise(0)
+        top, size = acc["depth"] == 0, F.length(token)
+        opens = top & word.isin("USE", "SET", "DECLARE")
+        go, end = top & (word == "GO"), top & (token == ";")
+        asks = top & (word.isin("WITH", "SELECT") | (acc["use"] & (token == "(")))
+        line = F.trim(F.substring(text, acc["start"] + 1, acc["at"] - acc["start"]))
+        go_line = F.when(go & acc["fresh"], F.substring(text, acc["at"] + size + 1, F.length(text))
+                         .rlike(r"\A[ \t\r]*(\n|--|\z)")).otherwise(F.lit(False))
+        closes = (phase == _QUERY) & (end | go_line)
+        done = (phase == _SETUP) & (opens | go | end | asks)
+        between = (phase == _BETWEEN) | done
+        after = F.when(~between, F.when(closes, F.lit(_AFTER)).otherwise(phase)) \
+            .when(opens, F.lit(_SETUP)).when(go | end | (silent & ~done), F.lit(_BETWEEN)).otherwise(F.lit(_QUERY))
+        rest = F.when(between & (opens | go | end), acc["at"] + size).when(done, acc["at"]).otherwise(acc["rest"])
+        return F.struct(
+            (acc["at"] + size).alias("at"), F.when(depth < 0, 0).otherwise(depth).alias("depth"),
+            F.when(between & opens, acc["at"]).otherwise(acc["start"]).alias("start"), rest.alias("rest"),
+            F.when(closes, acc["at"]).otherwise(acc["end"]).alias("end"), after.alias("phase"),
+            F.when(between, opens & (word == "USE")).otherwise(acc["use"]).alias("use"),
+            F.when(token.contains("\n"), blank).otherwise(acc["fresh"] & blank).alias("fresh"),
+            (acc["more"] | ((phase == _AFTER) & ~(silent | end | go))).alias("more"),
+            F.when(done, F.concat(acc["setup"], F.array(line))).otherwise(acc["setup"]).alias("setup")).cast(_BATCH_STATE)
+
+    def finish(acc: Column) -> Column:
+        unfinished = acc["phase"] == _SETUP
+        line = F.trim(F.substring(text, acc["start"] + 1, F.length(text)))
+        return F.struct(
+            F.when(unfinished, F.concat(acc["setup"], F.array(line))).otherwise(acc["setup"]).alias("setup"),
+            F.when(acc["phase"].isin(_BETWEEN, _SETUP), F.lit("")).otherwise(F.substring(
+                text, acc["rest"] + 1, F.coalesce(acc["end"], F.length(text)) - acc["rest"])).alias("query"),
+            acc["more"].alias("more"))
+
+    return F.aggregate(tokens, start, step, finish)
+
+
 # Lower-case literals one of which every match of the keyword patterns
 # contains: a cheap substring test decides most statements without a regex.
 DYNAMIC_HINTS = ["exec", "xp_", "sp_"]

@@ -9,8 +9,10 @@ caller acts on the result.  Shapes at scale:
 * one-to-many sides are aggregated per episode before they meet the
   episode rows (K02, K15, K16, K19), so no join emits all pairs of a group
   and a hot episode never sits whole in one join task;
-* the census spine is expanded per episode over at most the window's days
-  (K05) instead of a nested-loop range join;
+* the census counts steps up and down by day (K05) instead of a row for each
+  stay and day, or a nested-loop range join;
+* date windows name their partitions (``within``, ``open_or_closed_after``),
+  which prunes files on the clustered layout and changes nothing elsewhere;
 * hot groups (one bucket may hold a third of all rows) are only ever
   reduced by partial (map-side) aggregation, never collected.
 """
@@ -35,11 +37,14 @@ from careledger.operators.branching import (
     CODE_TABLE_MAX_ROWS, UNMAPPED, bounded_broadcast, by_branch_code, by_bucket, order_bounded,
     window_cols, with_bucket,
 )
-from careledger.operators.census import daily_census_rows
+from careledger.operators.census import daily_census, daily_census_rows
+from careledger.operators.ranges import count_in_ranges
 from careledger.params import (
     BP1_HOURS, BP1_TARGET_PCT, FAST_ADMIT_DAYS, MEDIAN_LOS_BENCHMARK, RunParams,
 )
 from careledger.sources.catalog import Catalog
+from careledger.sources.clustered import open_or_closed_after, within
+from careledger.sources.distinct_days import DistinctDays, census_by_stored_days
 from careledger.sources.dims import HOME_HEALTH, HOSPICE, LUPA_CODES
 
 C = F.col
@@ -145,7 +150,8 @@ def _lines_with_branch(cat: Catalog, lines: DataFrame, with_invoice: bool, windo
 
 
 def k04_billing_holds_sla(cat: Catalog, p: RunParams) -> DataFrame:
-    li = cat.line_items.filter(claimable() & in_window_by_date(C("li_servicedate"), p.start, p.end))
+    li = within(cat.line_items, "li_servicedate", p.start, p.end).filter(
+        claimable() & in_window_by_date(C("li_servicedate"), p.start, p.end))
     bh = _lines_with_branch(cat, li, with_invoice=True, windowed=True).filter(
         on_hold(C("li_ediexportdate"), C("i_status")))
     cleared = as_flag(C("li_ediexportdate").isNotNull()
@@ -170,7 +176,8 @@ def k26_revenue_by_branch(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 def _revenue_lines(cat: Catalog, p: RunParams) -> DataFrame:
-    li = cat.line_items.filter(claimable() & in_window_raw(C("li_servicedate"), p.start, p.end))
+    li = within(cat.line_items, "li_servicedate", p.start, p.end).filter(
+        claimable() & in_window_raw(C("li_servicedate"), p.start, p.end))
     # The status test sits in ON, so a deleted episode leaves a NULL branch.
     epi = only_of(cat.episodes.filter(differs(C("epi_status"), "DELETED")).select("epi_id", "epi_branchcode"),
                   "epi_id", li, "li_epiid")
@@ -198,13 +205,14 @@ def k27_revenue_per_patient_day(cat: Catalog, p: RunParams) -> DataFrame:
         .transform(lambda d: order_bounded(d, "bucket_sort", "bucket")))
 
 
-def _open_invoices(cat: Catalog) -> DataFrame:
-    return cat.invoices.filter(C("i_balance") > 0).withColumnRenamed("i_branchcode", "branch_code")
+def _open_invoices(cat: Catalog, last: dt.date) -> DataFrame:
+    """Invoices with a balance that may have been posted by ``last``."""
+    return within(cat.invoices, "i_postdate", None, last).filter(C("i_balance") > 0).withColumnRenamed("i_branchcode", "branch_code")
 
 
 def k28_ar_aging(cat: Catalog, p: RunParams) -> DataFrame:
     asof = lit_date(p.as_of)
-    ar = (_open_invoices(cat)
+    ar = (_open_invoices(cat, p.as_of)
           .filter(C("i_postdate").isNotNull() & (C("i_postdate") <= asof.cast("timestamp_ntz")))
           .withColumn("age_days", F.datediff(asof, C("i_postdate"))))
     return by_branch_code(ar, cat.dim_branch, aging_sums(C("age_days"), C("i_balance")),
@@ -213,7 +221,8 @@ def k28_ar_aging(cat: Catalog, p: RunParams) -> DataFrame:
 
 def k29_ar_over_90(cat: Catalog, p: RunParams) -> DataFrame:
     # DATEDIFF(day, i_postdate, as_of) > 90, as a range on the raw column that the scan can use.
-    ar = _open_invoices(cat).filter(C("i_postdate") < ts(p.as_of - dt.timedelta(days=90)))
+    last = p.as_of - dt.timedelta(days=90)
+    ar = _open_invoices(cat, last).filter(C("i_postdate") < ts(last))
     aggs = [F.count(F.lit(1)).alias("invoices_over_90"), F.sum("i_balance").alias("ar_over_90")]
     return by_branch_code(ar, cat.dim_branch, aggs, window_cols(p.start, p.end), default_label=UNMAPPED)
 
@@ -229,23 +238,33 @@ def k30_unbilled(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 # ------------------------------------------------------------------------- census
-def k05_daily_census(cat: Catalog, p: RunParams) -> DataFrame:
-    # Inner code joins and trimming first, then one row per day: the explode multiplies what is left.
-    e = cat.episodes.filter(same(C("epi_status"), "CURRENT")
-                            & overlaps_window(C("epi_SocDate"), C("epi_DischargeDate"), p.start, p.end))
+def _census_stays(cat: Catalog, start: dt.date, end: dt.date) -> DataFrame:
+    """Current stays that touch the days, with line and branch: (epi_SocDate, epi_DischargeDate, epi_paid, sl_desc, branch_name)."""
+    e = open_or_closed_after(cat.episodes, "epi_DischargeDate", start).filter(
+        same(C("epi_status"), "CURRENT") & overlaps_window(C("epi_SocDate"), C("epi_DischargeDate"), start, end))
     lines = bounded_broadcast(cat.service_lines, CODE_TABLE_MAX_ROWS)
     branches = bounded_broadcast(cat.branches, CODE_TABLE_MAX_ROWS,
                                  cat.branches.select(F.rtrim("branch_code").alias("_b_code"), "branch_name"))
-    j = (e.join(lines, lines["sl_id"] == e["epi_slid"], "inner")
-         .join(branches, branches["_b_code"] == F.rtrim(C("epi_branchcode")), "inner")
-         .select("epi_SocDate", "epi_DischargeDate", "epi_paid", "sl_desc", "branch_name"))
-    return daily_census_rows(j, p.start, p.end).groupBy("CensusDate", "sl_desc", "branch_name").agg(
-        F.countDistinct("epi_paid").alias("DailyCensus"))
+    return (e.join(lines, lines["sl_id"] == e["epi_slid"], "inner")
+            .join(branches, branches["_b_code"] == F.rtrim(C("epi_branchcode")), "inner")
+            .select("epi_SocDate", "epi_DischargeDate", "epi_paid", "sl_desc", "branch_name"))
+
+
+def k05_daily_census(cat: Catalog, p: RunParams) -> DataFrame:
+    return daily_census(_census_stays(cat, p.start, p.end), ["sl_desc", "branch_name"], "epi_paid", p.start, p.end)
+
+
+def stored_daily_census(cat: Catalog, p: RunParams, store: DistinctDays) -> DataFrame:
+    """K05 of a recurring run: days that earlier runs have stored are not counted again."""
+    return census_by_stored_days(
+        store, lambda day: daily_census_rows(_census_stays(cat, day, day), day, day).select("sl_desc", "branch_name", "epi_paid"),
+        p.start, p.end, "epi_paid")
 
 
 def _hce_census(cat: Catalog, p: RunParams) -> DataFrame:
-    e = cat.episodes.filter(differs(C("epi_status"), "CURRENT") & C("epi_NonAdmitDate").isNull()
-                            & active_on(C("epi_SocDate"), C("epi_DischargeDate"), p.as_of))
+    e = open_or_closed_after(cat.episodes, "epi_DischargeDate", p.as_of).filter(
+        differs(C("epi_status"), "CURRENT") & C("epi_NonAdmitDate").isNull() & active_on(
+            C("epi_SocDate"), C("epi_DischargeDate"), p.as_of))
     e = with_bucket(e, cat.dim_branch, keep_service_line=True)
     return (e.groupBy(C("_dim_service_line").alias("service_line"), C("bucket").alias("branch_name"))
             .agg(F.count(F.lit(1)).alias("current_census")))
@@ -287,7 +306,8 @@ def k11_hce_total(cat: Catalog, p: RunParams) -> DataFrame:
 # ------------------------------------------------------------------- discharges
 def _discharges(cat: Catalog, p: RunParams, discharged: bool) -> DataFrame:
     status = same(C("epi_status"), "DISCHARGED") if discharged else differs(C("epi_status"), "DISCHARGED")
-    e = cat.episodes.filter(status & in_window_half_open(C("epi_DischargeDate"), p.start, p.end))
+    e = within(cat.episodes, "epi_DischargeDate", p.start, p.end).filter(
+        status & in_window_half_open(C("epi_DischargeDate"), p.start, p.end))
     return with_bucket(e, cat.dim_branch)
 
 
@@ -329,7 +349,7 @@ def k08_live_discharge_summary(cat: Catalog, p: RunParams) -> DataFrame:
 
 # ------------------------------------------------------------------ length of stay
 def k12_los_discharged(cat: Catalog, p: RunParams) -> DataFrame:
-    e = _not_deleted_admitted(cat.episodes).filter(
+    e = _not_deleted_admitted(within(cat.episodes, "epi_DischargeDate", p.start, p.end)).filter(
         C("epi_DischargeDate").isNotNull() & in_window_by_date(C("epi_DischargeDate"), p.start, p.end))
     e = with_bucket(e, cat.dim_branch).withColumn(
         "los_days", days_between("epi_SocDate", "epi_DischargeDate"))
@@ -346,7 +366,7 @@ def k12_los_discharged(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 def k13_los_active(cat: Catalog, p: RunParams) -> DataFrame:
-    e = _not_deleted_admitted(cat.episodes).filter(
+    e = _not_deleted_admitted(open_or_closed_after(cat.episodes, "epi_DischargeDate", p.as_of)).filter(
         active_on(C("epi_SocDate"), C("epi_DischargeDate"), p.as_of))
     e = with_bucket(e, cat.dim_branch).withColumn(
         "los_days", days_between("epi_SocDate", lit_date(p.as_of)))
@@ -358,7 +378,7 @@ def k13_los_active(cat: Catalog, p: RunParams) -> DataFrame:
 # --------------------------------------------------------------------------- LUPA
 def _ended_periods(cat: Catalog, p: RunParams) -> DataFrame:
     """Periods ended, not deleted, with the end date in the window (P8 on a DATE)."""
-    pp = cat.pdgm_period.filter(open_period() & C("pp_endDate").between(lit_date(p.start), lit_date(p.end)))
+    pp = within(cat.pdgm_period, "pp_endDate", p.start, p.end).filter(open_period() & C("pp_endDate").between(lit_date(p.start), lit_date(p.end)))
     fs = cat.episode_fs.select("cefs_id", "cefs_epiid")
     return pp.join(fs, fs["cefs_id"] == pp["pp_cefsId"], "inner")
 
@@ -386,22 +406,19 @@ def period_visit_counts(cat: Catalog, periods: DataFrame, end: dt.date, with_zer
 
     The visit scan gets both bounds of the periods (``end`` as a literal, the
     least start as a scalar subquery) and only visits of the periods' episodes
-    are shuffled.
-
-    Written as an inner equi-join on the episode with the date range as a
-    residual, aggregated per period (map-side first): the same counts as the
-    script's outer join, while the planner may choose either side as the
-    hash build side.  ``with_zero`` attaches the periods without visits
+    are shuffled, counted by episode and day.  Periods and days then meet by
+    episode and time bin (``count_in_ranges``), so an episode with many visits is
+    spread over its bins.  ``with_zero`` attaches the periods without visits
     (count 0); a caller that left-joins the counts itself skips that join."""
     least = periods.agg(F.min("pp_startDate").cast("timestamp_ntz").alias("least")).scalar()
-    v = cat.visits_all.filter((C("cev_deleted") == 0) & (C("cev_billable") == 1)
-                              & (C("cev_visitdate") < ts(end + dt.timedelta(days=1))) & (C("cev_visitdate") >= least))
-    v = only_of(v, "cev_epiid", periods, "cefs_epiid").select(
-        "cev_id", "cev_epiid", F.to_date("cev_visitdate").alias("_vdate"))
-    keys = periods.select("pp_id", "cefs_epiid", "pp_startDate", "pp_endDate")
-    hits = keys.join(v, (v["cev_epiid"] == keys["cefs_epiid"])
-                     & v["_vdate"].between(keys["pp_startDate"], keys["pp_endDate"]), "inner")
-    counts = hits.groupBy("pp_id").agg(F.count("cev_id").alias("visit_count"))
+    v = within(cat.visits_all, "cev_visitdate", None, end).filter(
+        (C("cev_deleted") == 0) & (C("cev_billable") == 1)
+        & (C("cev_visitdate") < ts(end + dt.timedelta(days=1))) & (C("cev_visitdate") >= least))
+    v = only_of(v, "cev_epiid", periods, "cefs_epiid").where(C("cev_id").isNotNull())
+    counts = count_in_ranges(
+        v.select(C("cev_epiid").alias("key"), F.to_date("cev_visitdate").alias("day")),
+        periods.select(C("pp_id").alias("id"), C("cefs_epiid").alias("key"), C("pp_startDate").alias("first"),
+                       C("pp_endDate").alias("last"))).select(C("id").alias("pp_id"), C("n").alias("visit_count"))
     if not with_zero:
         return counts
     return (periods.select("pp_id").join(counts, "pp_id", "left")
@@ -456,7 +473,7 @@ def k17_bp1_detail(cat: Catalog, p: RunParams) -> DataFrame:
 
 # -------------------------------------------------------------------- patient days
 def _patient_day_rows(cat: Catalog, p: RunParams) -> DataFrame:
-    e = _not_deleted_admitted(cat.episodes).filter(
+    e = _not_deleted_admitted(open_or_closed_after(cat.episodes, "epi_DischargeDate", p.start)).filter(
         overlaps_window(C("epi_SocDate"), C("epi_DischargeDate"), p.start, p.end))
     e = with_bucket(e, cat.dim_branch)
     return e.withColumn("patient_days", days_between(clip_start(C("epi_SocDate"), p.start),
@@ -528,7 +545,7 @@ def k20_recert_rate(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 def k21_recert_share_of_episodes(cat: Catalog, p: RunParams) -> DataFrame:
-    e = cat.episodes.filter(
+    e = open_or_closed_after(cat.episodes, "epi_DischargeDate", p.start).filter(
         differs(C("epi_status"), "RECERTIFIED") & C("epi_NonAdmitDate").isNull()
         & overlaps_window_by_date(C("epi_SocDate"), C("epi_DischargeDate"), p.start, p.end))
     flag = as_flag(flag_in(C("epi_RecertFlag")) & in_window_by_date(C("epi_SocDate"), p.start, p.end))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from careledger.params import test_params, test_params_90
 from careledger.plans.kpis import KPI_REPORTS, WIDE_WINDOW
+from careledger.plans import recurring_plans
 from careledger.plans.operator_plans import OPERATOR_ORACLES, OPERATOR_QUERIES
 from careledger.plans.oracle_kpis import kpi_oracle_sql
 from careledger.sources.driver_tables import bind_driver_tables
@@ -27,10 +28,12 @@ def _kpi_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _kpi_query(name) for name in KPI_REPORTS}
     out.update(OPERATOR_QUERIES)
+    out.update(recurring_plans.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out = {name: kpi_oracle_sql(name) for name in KPI_REPORTS}
     out.update(OPERATOR_ORACLES())
+    out.update(recurring_plans.oracles())
     return out

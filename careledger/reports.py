@@ -2,10 +2,11 @@
 the empty-result placeholder, one output per report, and the catalog loop.
 
 Everything a report computes stays a DataFrame; the driver only sees the
-list of report names (and one ``isEmpty`` probe per result set).  Outputs go
-under a run-stamped folder below the cluster's shared checkpoint/output
-directory and are written by executors; independent reports are submitted
-as concurrent Spark jobs from a small driver thread pool.
+list of report names and a row count per result set, observed while it is
+written.  Outputs go under a run-stamped folder below the cluster's shared
+checkpoint/output directory, are written by executors and published together
+(``runs.py``); independent reports are submitted as concurrent Spark jobs from a
+small driver thread pool.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careledger.operators.scripts import audit_text, report_stamp, sanitize_name, statements
+from careledger.operators.scripts import audit_text, report_stamp, sanitize_name, split_batch
 from careledger.params import RunParams
+from careledger.runs import Run
 from careledger.sources.scripts import definitions_file, definitions_from_folder, sibling_folder
 
 NO_DATA_COLUMN = "No data"
@@ -39,30 +41,23 @@ def run_query(spark: SparkSession, sql: str, params: RunParams, **extra) -> Data
     A batch may set things up before its query (T2 accepts ``USE``, ``SET`` and
     ``DECLARE`` lines): ``USE`` names the current database while the query is
     resolved; ``SET`` and ``DECLARE`` have no meaning here, since parameters are
-    bound by name."""
-    lines = sql_statements(spark, sql)
-    setup = [s for s in lines if re.match(r"(?i)(use|set|declare|go)\b", s)]
-    if not setup:
+    bound by name.  What follows those lines reaches Spark as it is written."""
+    batch = spark.createDataFrame([(sql,)], "t string").select(split_batch(F.col("t")).alias("b")).first()["b"]
+    if not batch["setup"]:
         return spark.sql(sql, args={**params.sql_args(), **extra})
-    rest = [s for s in lines if s not in setup]
-    if len(rest) != 1:
+    if batch["more"] or not batch["query"]:
         raise ValueError("A batch with setup lines needs one query.")
     before = spark.catalog.currentDatabase()
     try:
-        for line in setup:
-            if line[:3].upper() == "USE":
-                spark.catalog.setCurrentDatabase(line[3:].strip().strip("`[]\""))
-        return spark.sql(rest[0], args={**params.sql_args(), **extra})
+        for line in batch["setup"]:
+            name = re.match(r"(?is)use\s+(?:[`\[\"]([^`\]\"]+)|([\w.$]+))", line)
+            if name:
+                spark.catalog.setCurrentDatabase(name[1] or name[2])
+        return spark.sql(batch["query"], args={**params.sql_args(), **extra})
     finally:
         spark.catalog.setCurrentDatabase(before)
 
 
-def sql_statements(spark: SparkSession, sql: str) -> list[str]:
-    """T1 for one batch of a run."""
-    row = spark.createDataFrame([(sql,)], "t string").select(statements(F.col("t"), cr=" ").alias("s")).first()
-    return row["s"] or []
-
-
 def common_type(types: list[T.DataType]) -> T.DataType:
     """A type that holds every value of all ``types``; text where no other does."""
     kinds = [t for t in types if not isinstance(t, T.NullType)]
@@ -82,14 +77,14 @@ def common_type(types: list[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
-def stack_results(results: list[DataFrame]) -> DataFrame:
+def stack_results(results: list[DataFrame], rows: list[int] | None = None) -> DataFrame:
     """Result sets of one report, in order, under the columns of the
-    first non-empty one.  Other columns are dropped, missing ones are NULL;
+    first non-empty one (``rows``: how many rows each has, where that is known).  Other columns are dropped, missing ones are NULL;
     a column takes a type that holds the values of all its result sets, so no
     value is lost; ``result_set`` keeps the order of the result sets."""
     if not results:
         raise ValueError("no result sets")
-    header = next((df for df in results if not df.isEmpty()), results[0])
+    header = next((df for i, df in enumerate(results) if (rows[i] if rows else not df.isEmpty())), results[0])
     types = {n: common_type([df.schema[n].dataType for df in results if n in df.columns]) for n in header.columns}
     aligned = []
     for i, df in enumerate(results):
@@ -140,34 +135,62 @@ def refuse_clashes(spark: SparkSession, names: list[str]) -> list[str]:
     return sheets
 
 
-def _write_all(frames: dict[str, DataFrame], paths: dict[str, str], fmt: str, threads: int) -> None:
-    """Write each frame once, as concurrent Spark jobs (overwrite: idempotent re-runs)."""
-    def write(name):
-        frames[name].write.mode("overwrite").format(fmt).save(paths[name])
-        return name
+def _write_all(frames: dict, paths: dict, fmt: str, threads: int = 8) -> dict:
+    """Write each frame once, as concurrent Spark jobs; returns how many rows each has, counted while writing."""
+    def write(name) -> int:
+        seen = Observation(f"rows-{uuid.uuid4().hex}")
+        frames[name].observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(paths[name])
+        return seen.get["rows"]
 
+    if not frames:
+        return {}
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(frames)))) as pool:
-        list(pool.map(write, list(frames)))
+        return dict(zip(frames, pool.map(write, list(frames)), strict=True))
 
 
 def write_reports(reports: dict[str, DataFrame], out_dir: str, stamp: str, fmt: str = "parquet",
                   threads: int = 4) -> dict[str, str]:
-    """One output per report under ``out_dir/stamp/<sheet name>``.
+    """One output per report, published together as one run under ``out_dir/stamp`` (``runs.py``).
+
+    Names that clash after cleaning and cutting raise before anything is written.
+    Each report is computed once; its rows are counted while they are written, and
+    an empty one is replaced by the R4 placeholder.  If any report fails, nothing is
+    published and the run before stays the current one."""
+    return _publish({n: [df] for n, df in reports.items()}, out_dir, stamp, fmt, threads)
+
+
+def _publish(reports: dict[str, list[DataFrame]], out_dir: str, stamp: str, fmt: str = "parquet",
+             threads: int = 8) -> dict[str, str]:
+    """Reports by their result sets, written as one run.
 
-    Names that clash after cleaning and cutting raise before anything is
-    written.  Each report is computed once: it is written, and only an output that
-    turns out empty (checked on the written files) is replaced by the R4
-    placeholder.  The writes are submitted concurrently; overwrite mode
-    makes a re-run after a lost executor or a failed job idempotent."""
+    The only result set of a report is written as its output; several are written as
+    parts first, so that none is computed twice, and stacked from those."""
     if not reports:
         return {}
-    spark = next(iter(reports.values())).sparkSession
-    names = list(reports)
-    paths = {n: f"{out_dir.rstrip('/')}/{stamp}/{s}" for n, s in zip(names, refuse_clashes(spark, names))}
-    _write_all(reports, paths, fmt, threads)
-    for n in names:
-        if spark.read.format(fmt).load(paths[n]).isEmpty():
-            _placeholder(spark).write.mode("overwrite").format(fmt).save(paths[n])
+    spark = next(iter(reports.values()))[0].sparkSession
+    run = Run(spark, out_dir, stamp)
+    outputs = dict(zip(reports, refuse_clashes(spark, list(reports)), strict=True))
+    paths = {n: run.path(o) for n, o in outputs.items()}
+    try:
+        parts = {(n, i): df for n, dfs in reports.items() if len(dfs) > 1 for i, df in enumerate(dfs)}
+        places = {key: run.part(k) for k, key in enumerate(parts)}
+        single = {n: dfs[0] for n, dfs in reports.items() if len(dfs) == 1}
+        rows = _write_all({**single, **parts}, {**paths, **places}, fmt, threads)
+        stacked = {}
+        for name, dfs in reports.items():
+            if len(dfs) > 1:
+                keys = [(name, i) for i in range(len(dfs))]
+                stacked[name] = stack_results([spark.read.schema(parts[k].schema).format(fmt).load(places[k]) for k in keys],
+                                              [rows[k] for k in keys])
+        rows |= _write_all(stacked, paths, fmt, threads)
+        empty = [n for n in reports if not rows[n]]
+        _write_all({n: _placeholder(spark) for n in empty}, paths, fmt, threads)
+        for name, output in outputs.items():
+            run.add(name, output, rows[name], name in empty)
+        run.publish(fmt)
+    except BaseException:
+        run.discard()
+        raise
     return paths
 
 
@@ -195,36 +218,17 @@ KPI_CATALOGUE = {
 def run_kpi_reports(cat, params: RunParams, out_dir: str | None = None, prefix: str = "KPIReport",
                     catalogue: dict[str, list[str]] | None = None) -> dict[str, str]:
     """The scheduled run: every report of the catalogue for one run date,
-    its result sets stacked (R3), one output per report (R5).
+    its result sets stacked (R3), one output per report (R5), published as one run.
 
-    Every result set is computed exactly once: all of them are first written
-    (concurrently) to a new folder beside the reports, which also cuts their
-    lineage; stacking then probes emptiness and unions the small
-    written outputs instead of re-running the reports."""
+    Every result set is computed exactly once, and its rows are counted while it is
+    written; stacking unions the small written outputs instead of running the reports again."""
     from careledger.plans.kpis import KPI_REPORTS
     spark = cat.spark
     catalogue = catalogue or KPI_CATALOGUE
-    out_dir = out_dir or output_root(spark)
     stamp = stamp_for(spark, params.end, prefix)
     refuse_clashes(spark, list(catalogue))
-    parts = {i: KPI_REPORTS[i](cat, params) for ids in catalogue.values() for i in ids}
-    written = _written_parts(parts, out_dir)
-    return write_reports({name: _stacked([written[i] for i in ids]) for name, ids in catalogue.items()}, out_dir, stamp)
-
-
-def _written_parts(parts: dict, out_dir: str) -> dict:
-    """Every result set computed once: written under a new folder and read back."""
-    if not parts:
-        return {}
-    spark = next(iter(parts.values())).sparkSession
-    root = f"{out_dir.rstrip('/')}/_parts-{uuid.uuid4().hex}"
-    paths = {k: f"{root}/{n}" for n, k in enumerate(parts)}
-    _write_all(parts, paths, "parquet", threads=8)
-    return {k: spark.read.schema(parts[k].schema).parquet(p) for k, p in paths.items()}
-
-
-def _stacked(frames: list[DataFrame]) -> DataFrame:
-    return frames[0] if len(frames) == 1 else stack_results(frames)
+    return _publish({name: [KPI_REPORTS[i](cat, params) for i in ids] for name, ids in catalogue.items()},
+                    out_dir or output_root(spark), stamp)
 
 
 def load_definitions(spark: SparkSession, definitions_path: str | None, folder: str | None) -> list[dict]:
@@ -263,8 +267,5 @@ def run_reports(spark: SparkSession, params: RunParams, out_dir: str | None = No
     refuse_clashes(spark, [d["name"] for d in defs])
     for d in defs:
         validate_queries(spark, d["name"], d["query"])
-    out_dir = out_dir or output_root(spark)
-    parts = {(d["name"], i): run_query(spark, q, params, **(extra or {})) for d in defs for i, q in enumerate(d["query"])}
-    written = _written_parts(parts, out_dir)
-    results = {d["name"]: _stacked([written[d["name"], i] for i in range(len(d["query"]))]) for d in defs}
-    return write_reports(results, out_dir, stamp_for(spark, params.end, prefix))
+    results = {d["name"]: [run_query(spark, q, params, **(extra or {})) for q in d["query"]] for d in defs}
+    return _publish(results, out_dir or output_root(spark), stamp_for(spark, params.end, prefix))

@@ -8,81 +8,88 @@ short list of report definitions ever reaches the driver (R6).
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from careledger.operators.scripts import extract_queries, js_trim
+from careledger.sources.files import names_in
 
 DEFINITION_SCHEMA = "name string, query array<string>, sourceFile string"
 _RAW_ENTRY = "struct<name: string, query: string, sourceFile: string>"
 
 
-def _hidden_scripts(spark: SparkSession, folder: str) -> DataFrame | None:
-    """(file_name, text, sourceFile) of scripts whose names begin with ``_`` or ``.``.
+def _hidden_scripts(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
+    """(file_name, text) of scripts whose names begin with ``_`` or ``.``.
 
     Spark's file sources pass such names over, so the tasks open these few
     files themselves, from the folder's own file system."""
     folder = folder if "://" in folder else os.path.abspath(folder)
-    fs, root = pafs.FileSystem.from_uri(folder)
-    if fs.get_file_info(root).type != pafs.FileType.Directory:
-        return None
-    names = [i.path for i in fs.get_file_info(pafs.FileSelector(root)) if i.type == pafs.FileType.File
-             and i.base_name[:1] in "_." and i.base_name.lower().endswith(".sql")]
-    if not names:
-        return None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, _ = pafs.FileSystem.from_uri(folder)
+        own, root = pafs.FileSystem.from_uri(folder)
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                with own.open_input_stream(path) as stream:
+            for name in batch.column(0).to_pylist():
+                with own.open_input_stream(f"{root.rstrip('/')}/{name}") as stream:
                     text = stream.read().decode("utf-8", "replace")
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (path.rsplit("/", 1)[-1], text, path)],
-                                                 names=["file_name", "text", "sourceFile"])
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([text])], names=["file_name", "text"])
+
+    return (spark.createDataFrame([(n,) for n in names], "name string").repartition(len(names))
+            .mapInArrow(read, "file_name string, text string"))
+
+
+def _in_name_order(df: DataFrame) -> DataFrame:
+    """Ordered by whole file names, by UTF-16 units as the runner sorts them."""
+    return df.orderBy(F.encode("file_name", "UTF-16BE"))
+
+
+def _script_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file_name, text, sourceFile) of every ``*.sql`` file, unordered; ``sourceFile`` is the folder as it was given
+    and the plain file name."""
+    schema = "file_name string, text string, sourceFile string"
+    names = [n for n in names_in(spark, folder) if n.lower().endswith(".sql")]
+    if not names:
+        return spark.createDataFrame([], schema)
+    parts = []
+    if any(n[:1] not in "_." for n in names):
+        # _metadata.file_name is URI-encoded (a blank is %20); '+' is protected
+        # from form decoding first.
+        name = F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), "\\+", "%2B"))
+        parts.append(spark.read.text(folder, wholetext=True).select(name.alias("file_name"), F.col("value").alias("text"))
+                     .filter(F.lower("file_name").endswith(".sql")))
+    hidden = [n for n in names if n[:1] in "_."]
+    if hidden:
+        parts.append(_hidden_scripts(spark, folder, hidden))
+    found = functools.reduce(DataFrame.unionByName, parts)
+    return found.withColumn("sourceFile", F.concat(F.lit(folder.rstrip("/") + "/"), "file_name"))
 
-    return (spark.createDataFrame([(n,) for n in names], "path string").repartition(len(names))
-            .mapInArrow(read, "file_name string, text string, sourceFile string"))
+
+def _report_name() -> Column:
+    return F.regexp_replace("file_name", "(?i)\\.sql$", "").alias("name")
 
 
 def script_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``*.sql`` file (any case, also names that begin with ``_`` or
     ``.``) of ``folder`` as (name, text, sourceFile), in the order of the whole
     file names; a missing folder gives an empty frame."""
-    found = None
-    try:
-        # _metadata.file_name is URI-encoded (a blank is %20); '+' is protected
-        # from form decoding first.
-        name = F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), "\\+", "%2B"))
-        found = spark.read.text(folder, wholetext=True).select(
-            name.alias("file_name"), F.col("value").alias("text"), F.col("_metadata.file_path").alias("sourceFile"))
-    except AnalysisException:
-        pass                                                  # no folder, or nothing in it that Spark lists
-    hidden = _hidden_scripts(spark, folder)
-    if hidden is not None:
-        found = hidden if found is None else found.unionByName(hidden)
-    if found is None:
-        return spark.createDataFrame([], "name string, text string, sourceFile string")
-    return (found.filter(F.lower("file_name").endswith(".sql")).orderBy("file_name")
-            .select(F.regexp_replace("file_name", "(?i)\\.sql$", "").alias("name"), "text", "sourceFile"))
+    return _in_name_order(_script_files(spark, folder)).select(_report_name(), "text", "sourceFile")
 
 
 def definitions_from_folder(spark: SparkSession, folder: str) -> DataFrame:
     """S5 + T3: one definition per script that yields at least one query, in file-name order.
 
     Scripts are told apart by their file (``m.sql`` and ``m.SQL`` are two)."""
-    scripts = script_folder(spark, folder)
-    q = extract_queries(scripts, id_col="sourceFile")
-    agg = q.groupBy(F.col("script_id").alias("sourceFile")).agg(
-        F.sort_array(F.collect_list(F.struct("query_no", "query"))).alias("_qs"))
-    file_name = F.element_at(F.split("sourceFile", "/"), -1)
-    return (agg.join(scripts.select("name", "sourceFile"), "sourceFile").orderBy(file_name)
-            .select("name", F.transform("_qs", lambda x: x["query"]).alias("query"), "sourceFile"))
+    files = _script_files(spark, folder).withColumn("_file", F.struct("file_name", "sourceFile"))
+    q = extract_queries(files, id_col="_file")
+    agg = q.groupBy("script_id").agg(F.sort_array(F.collect_list(F.struct("query_no", "query"))).alias("_qs"))
+    return _in_name_order(agg.select("script_id.*", "_qs")).select(
+        _report_name(), F.transform("_qs", lambda x: x["query"]).alias("query"), "sourceFile")
 
 
 def sibling_folder(path: str, name: str = "SQL") -> str:

@@ -12,7 +12,7 @@ from careledger.functions.columns import hour_boundaries, ratio_pct
 from careledger.functions.predicates import (
     active_on, in_window_by_date, in_window_half_open, in_window_raw,
 )
-from careledger.operators.census import daily_census_rows, daily_census_rows_nested
+from careledger.operators.census import daily_census, daily_census_rows, date_spine
 from careledger.params import RunParams
 from careledger.plans import kpis
 from careledger.reports import placeholder_if_empty, stack_results
@@ -65,8 +65,12 @@ def test_census_expansion_equals_nested_loop(spark, make_catalog, fixture_catalo
     cat = make_catalog(episodes=eps)
     for e in (cat.episodes, fixture_catalog.episodes):
         a = daily_census_rows(e, P.start, P.end).select("CensusDate", "epi_id")
-        b = daily_census_rows_nested(spark, e, P.start, P.end).select("CensusDate", "epi_id")
+        spine = F.broadcast(date_spine(spark, P.start, P.end))
+        b = spine.join(e, active_on(F.col("epi_SocDate"), F.col("epi_DischargeDate"), F.col("CensusDate"))).select("CensusDate", "epi_id")
         assert sorted(a.collect()) == sorted(b.collect())
+        counted = b.join(e, "epi_id").groupBy("CensusDate", "epi_slid").agg(F.countDistinct("epi_paid").alias("n"))
+        steps = daily_census(e, ["epi_slid"], "epi_paid", P.start, P.end)
+        assert sorted(map(tuple, steps.collect())) == sorted(map(tuple, counted.collect()))
 
 
 def test_hour_boundaries_not_elapsed(spark):
