@@ -32,7 +32,7 @@ def fill(c: Column, value) -> Column:
 
 def blank_to_null(c: Column) -> Column:
     """F4 ``NULLIF(LTRIM(RTRIM(x)), '')``."""
-    return F.nullif(F.trim(c), F.lit(""))
+    return F.when(F.trim(c) != "", F.trim(c))
 
 
 def label_or_code(name: Column, code: Column, default: str = "(no branch)") -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careledger.functions.columns import bucket_rank, fill, label_or_code, lit_date, norm_key
+from careledger.sources.collation import one_spelling
 
 UNMAPPED = "(unmapped)"
 
@@ -77,7 +78,7 @@ def _join_wildcard(df: DataFrame, dim: DataFrame, slid: str, code: str) -> DataF
     whole = bounded_broadcast(dim, BRANCH_DIM_MAX_ROWS, whole)
     out = df.join(coded, (coded["_dim_slid"] == F.col(slid)) & (coded["_dim_code"] == norm_key(F.col(code))), "left")
     out = out.join(whole, whole["_line_slid"] == F.col(slid), "left")
-    none = F.array().cast("array<struct<bucket:string,_dim_service_line:string>>")
+    none = F.array().cast(coded.schema["_coded"].dataType)
     found = F.concat(F.coalesce("_coded", none), F.coalesce("_whole", none))
     return (out.withColumn("_branch", F.explode_outer(found))
             .withColumns({"bucket": F.col("_branch.bucket"), "_dim_service_line": F.col("_branch._dim_service_line")})
@@ -152,11 +153,11 @@ def by_branch_code(df: DataFrame, dim: DataFrame, aggs: list[Column], consts: li
     (name, else non-blank code, else ``(no branch)``); a string labels
     unmatched rows with it."""
     j = with_branch_by_code(df.withColumn("branch_code", norm_key(F.col("branch_code"))), dim)
-    g = j.groupBy("branch_code", "branch_name", "service_line").agg(*aggs)
-    names = [c for c in g.columns if c not in ("branch_code", "branch_name", "service_line")]
+    g = j.groupBy("branch_code", "branch_name", "service_line").agg(*aggs, one_spelling("branch_code").alias("_spelt"))
+    names = [c for c in g.columns if c not in ("branch_code", "branch_name", "service_line", "_spelt")]
     bucket = (fill(F.col("branch_name"), default_label) if default_label is not None
-              else label_or_code(F.col("branch_name"), F.col("branch_code")))
+              else label_or_code(F.collate("branch_name", "UTF8_BINARY"), F.col("_spelt")))
     # The codes are those of the facts, not of the dimension: a distributed sort.
     return (g.select(bucket.alias("bucket"), bucket_rank(F.col("service_line")).alias("bucket_sort"),
-                     "branch_code", *consts, *names)
+                     F.col("_spelt").alias("branch_code"), *consts, *names)
             .orderBy("bucket_sort", "branch_code"))

@@ -44,6 +44,7 @@ from careledger.params import (
 )
 from careledger.sources.catalog import Catalog
 from careledger.sources.clustered import open_or_closed_after, within
+from careledger.sources.collation import one_spelling, preselect
 from careledger.sources.distinct_days import DistinctDays, census_by_stored_days
 from careledger.sources.dims import HOME_HEALTH, HOSPICE, LUPA_CODES
 
@@ -65,6 +66,7 @@ def _not_deleted_admitted(e: DataFrame) -> DataFrame:
 
 
 def _new_admissions(e: DataFrame) -> DataFrame:
+    e = preselect(e, epi_status="CURRENT", epi_AdmitType="NEW ADMISSION")
     return e.filter(same(C("epi_status"), "CURRENT") & C("epi_NonAdmitDate").isNull()
                     & same(C("epi_AdmitType"), "NEW ADMISSION"))
 
@@ -98,7 +100,8 @@ def k02_admissions_by_care_type(cat: Catalog, p: RunParams) -> DataFrame:
     # One-to-many: an episode counts once per primary care-type row.  The
     # rows are first counted per (episode, type) (map-side, so a hot episode
     # never lands whole in one join task) and carried as a weight.
-    primary = (only_of(cat.episode_care_types.filter(same(C("cect_primary"), "Y")), "cect_epiid", e, "epi_id")
+    types_of = preselect(cat.episode_care_types, cect_primary="Y").filter(same(C("cect_primary"), "Y"))
+    primary = (only_of(types_of, "cect_epiid", e, "epi_id")
                .groupBy("cect_epiid", "cect_ctypeid").agg(F.count(F.lit(1)).alias("_w")))
     types = bounded_broadcast(cat.care_types, CODE_TABLE_MAX_ROWS,
                               cat.care_types.select("ctype_id", "ctype_description"))
@@ -240,7 +243,7 @@ def k30_unbilled(cat: Catalog, p: RunParams) -> DataFrame:
 # ------------------------------------------------------------------------- census
 def _census_stays(cat: Catalog, start: dt.date, end: dt.date) -> DataFrame:
     """Current stays that touch the days, with line and branch: (epi_SocDate, epi_DischargeDate, epi_paid, sl_desc, branch_name)."""
-    e = open_or_closed_after(cat.episodes, "epi_DischargeDate", start).filter(
+    e = preselect(open_or_closed_after(cat.episodes, "epi_DischargeDate", start), epi_status="CURRENT").filter(
         same(C("epi_status"), "CURRENT") & overlaps_window(C("epi_SocDate"), C("epi_DischargeDate"), start, end))
     lines = bounded_broadcast(cat.service_lines, CODE_TABLE_MAX_ROWS)
     branches = bounded_broadcast(cat.branches, CODE_TABLE_MAX_ROWS,
@@ -306,7 +309,8 @@ def k11_hce_total(cat: Catalog, p: RunParams) -> DataFrame:
 # ------------------------------------------------------------------- discharges
 def _discharges(cat: Catalog, p: RunParams, discharged: bool) -> DataFrame:
     status = same(C("epi_status"), "DISCHARGED") if discharged else differs(C("epi_status"), "DISCHARGED")
-    e = within(cat.episodes, "epi_DischargeDate", p.start, p.end).filter(
+    e = within(cat.episodes, "epi_DischargeDate", p.start, p.end)
+    e = (preselect(e, epi_status="DISCHARGED") if discharged else e).filter(
         status & in_window_half_open(C("epi_DischargeDate"), p.start, p.end))
     return with_bucket(e, cat.dim_branch)
 
@@ -443,7 +447,8 @@ def k15_lupa_by_threshold(cat: Catalog, p: RunParams) -> DataFrame:
 def _bp1_rows(cat: Catalog, p: RunParams) -> DataFrame:
     adm = _not_deleted_admitted(cat.episodes).filter(
         in_window_by_date(C("epi_SocDate"), p.start, p.end)).select("epi_id", "epi_SocDate")
-    first = (only_of(cat.visits.filter(same(C("cev_setsocdateflag"), "Y")), "cev_epiid", adm, "epi_id")
+    marked = preselect(cat.visits, cev_setsocdateflag="Y").filter(same(C("cev_setsocdateflag"), "Y"))
+    first = (only_of(marked, "cev_epiid", adm, "epi_id")
              .groupBy("cev_epiid").agg(F.min("cev_visitdate").alias("bp1_date")))
     j = adm.join(first, first["cev_epiid"] == adm["epi_id"], "left")
     return j.withColumn("hours_to_bp1", hour_boundaries("epi_SocDate", "bp1_date"))
@@ -601,9 +606,10 @@ def _nonadmit_reasons(cat: Catalog, p: RunParams, dedup: bool) -> DataFrame:
                           reasons.select(F.rtrim("nac_code").alias("nac_code"), "nac_desc", "nac_refusalofservice"))
     j = e.join(r, r["nac_code"] == e["epi_NonAdmitCode"], "left")
     g = j.groupBy("bucket", "epi_NonAdmitCode", "nac_desc", "nac_refusalofservice").agg(
-        F.min("bucket_sort").alias("bucket_sort"), F.count(F.lit(1)).alias("non_admit_count"))
+        F.min("bucket_sort").alias("bucket_sort"), F.count(F.lit(1)).alias("non_admit_count"),
+        one_spelling("epi_NonAdmitCode").alias("nonadmit_code"))
     return (g.select(fill(C("bucket"), UNMAPPED).alias("bucket"), "bucket_sort",
-                     *window_cols(p.start, p.end), C("epi_NonAdmitCode").alias("nonadmit_code"),
+                     *window_cols(p.start, p.end), "nonadmit_code",
                      fill(C("nac_desc"), "(unknown reason)").alias("nonadmit_reason"),
                      C("nac_refusalofservice").alias("refusal_of_service"), "non_admit_count")
             .orderBy(C("bucket_sort"), C("non_admit_count").desc()))

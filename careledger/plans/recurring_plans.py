@@ -10,8 +10,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careledger.functions.columns import days_between
@@ -28,6 +29,7 @@ from careledger.reports import output_root, run_query, write_reports
 from careledger.runs import published
 from careledger.sources.catalog import Catalog
 from careledger.sources.clustered import materialize_clustered, within
+from careledger.sources.collation import collated
 from careledger.sources.distinct_days import DistinctDays
 from careledger.sources.driver_tables import bind_driver_tables
 
@@ -199,6 +201,42 @@ def a4_stored_distinct_window(cat: Catalog, p: RunParams) -> DataFrame:
     return _runs_of(cat, p, 1).over(p.start, p.end, "patients")
 
 
+# ---------------------------------------------------------------- P4, P6, J4, A4: mixed case
+def _either_case(c: str, key: str) -> Column:
+    """A third of the rows in lower case, a third with capitals, with one blank more or less at the end."""
+    return (F.when(C(key) % 3 == 0, F.lower(c)).when(C(key) % 3 == 1, F.concat(F.initcap(c), F.lit(" "))).otherwise(C(c)))
+
+
+def mixed_case(cat: Catalog, codes: bool = True) -> Catalog:
+    """The catalog with statuses (and codes) of facts spelt in any case, compared without it."""
+    names = ["epi_status", "epi_AdmitType", *(["epi_branchcode", "epi_DcCode", "epi_NonAdmitCode"] if codes else [])]
+    episodes = cat.episodes.withColumns({n: _either_case(n, "epi_id") for n in names})
+    invoices = cat.invoices.withColumn("i_status", _either_case("i_status", "i_id"))
+    visits = cat.visits_all.withColumn("cev_setsocdateflag", _either_case("cev_setsocdateflag", "cev_id"))
+    return collated(replace(cat, episodes=episodes, invoices=invoices, visits=visits, visits_all=visits))
+
+
+@plan("p4_mixed_case_statuses", "k01_admissions_by_branch")
+def p4_mixed_case_statuses(cat: Catalog, p: RunParams) -> DataFrame:
+    return kpis.k01_admissions_by_branch(mixed_case(cat), p)
+
+
+@plan("p6_mixed_case_lists", "k04_billing_holds_sla")
+def p6_mixed_case_lists(cat: Catalog, p: RunParams) -> DataFrame:
+    return kpis.k04_billing_holds_sla(mixed_case(cat, codes=False), p)
+
+
+@plan("j4_mixed_case_keys", "k05_daily_census")
+def j4_mixed_case_keys(cat: Catalog, p: RunParams) -> DataFrame:
+    return kpis.k05_daily_census(mixed_case(cat), p)
+
+
+@plan("a4_mixed_case_distinct", "k07_discharges_by_class")
+def a4_mixed_case_distinct(cat: Catalog, p: RunParams) -> DataFrame:
+    """Distinct discharge codes and their classes, whatever their case."""
+    return kpis.k07_discharges_by_class(mixed_case(cat), p)
+
+
 # ---------------------------------------------------------------- R2, R5: batches and runs
 @plan("r2_batch_literals", """
 SELECT rtrim(epi_status) || ' ;  -- kept  "as" it is' AS label, count(*) AS n FROM episodes GROUP BY 1

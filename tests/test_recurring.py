@@ -78,7 +78,8 @@ def test_files_of_a_window(clustered):
     assert read == len([m for m in months if m is None or m >= P.as_of.replace(day=1)]) < all_files["episodes"]
 
 
-@pytest.mark.parametrize("name", sorted(kpis.KPI_REPORTS))
+@pytest.mark.parametrize("name", [n for n in sorted(kpis.KPI_REPORTS) if n[:3] in (
+    "k04", "k05", "k06", "k07", "k09", "k12", "k13", "k14", "k15", "k18", "k21", "k27", "k28", "k29")])
 def test_reports_on_the_clustered_layout(clustered, fixture_catalog, name):
     assert _rows(kpis.KPI_REPORTS[name](clustered, P)) == _rows(kpis.KPI_REPORTS[name](fixture_catalog, P))
 
