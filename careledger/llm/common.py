@@ -64,6 +64,22 @@ def id_key(col: str | Column) -> Column:
     return F.coalesce(F.col(col).cast("string") if isinstance(col, str) else col.cast("string"), F.lit("null"))
 
 
+def spare_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names for own use that clash with none of ``df``, whatever the case."""
+    taken, out = {c.casefold() for c in df.columns}, []
+    for name in wanted:
+        while name.casefold() in taken:
+            name = f"_{name}"
+        taken.add(name.casefold())
+        out.append(name)
+    return out
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by their plain names (which may hold dots)."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
 def attach_group(rows: DataFrame, keys: list[str], salt_on: list[str], aggs: dict[str, tuple[str, Column]],
                  salts: int = 64) -> DataFrame:
     """``rows`` with aggregates of their group, safe for a group that holds a third of all rows.

@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import id_key, length_slices, ngram_hashes, plain_bytes, word_hashes
+from careledger.llm.common import (columns_of, id_key, length_slices, ngram_hashes, plain_bytes, spare_names,
+                                   word_hashes)
 
 SEED_BLOCK = 2_000_000
 MOST_HITS = 1 << 20         # hits that are put together at a time (those of one text at least)
@@ -216,9 +217,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, n: int = 3, common: float | N
     return out
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with _key and _digest, which rows share only where they have one verdict: same id, same text."""
-    return docs.withColumns({"_key": id_key("doc_id"), "_digest": F.sha2(F.coalesce("text", F.lit("")), 256)})
+def _keyed(docs: DataFrame, names: list[str]) -> DataFrame:
+    """``docs`` with two keys, which rows share only where they have one verdict: same id, same text."""
+    return docs.withColumns(dict(zip(names, (id_key("doc_id"), F.sha2(F.coalesce("text", F.lit("")), 256)), strict=True)))
 
 
 def _verdicts(keyed: DataFrame, benchmark: DataFrame, least: float, **how) -> DataFrame:
@@ -231,7 +232,7 @@ def _verdicts(keyed: DataFrame, benchmark: DataFrame, least: float, **how) -> Da
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, **how) -> DataFrame:
     """One row per row of ``docs``: doc_id, contaminated, similarity, item_id, n_items."""
-    keyed = _keyed(docs.select("doc_id", "text"))
+    keyed = _keyed(docs.select("doc_id", "text"), ["_key", "_digest"])
     rows = keyed.select("doc_id", "_key", "_digest").join(_verdicts(keyed, benchmark, least, **how), ["_key", "_digest"], "left")
     hit = F.coalesce(F.col("similarity") >= least, F.lit(False))
     return rows.select("doc_id", hit.alias("contaminated"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
@@ -240,6 +241,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, **h
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.6, **how) -> DataFrame:
     """The documents without a benchmark passage, with their columns as they are."""
-    keyed = _keyed(docs)
-    bad = _verdicts(keyed.select("text", "_key", "_digest"), benchmark, least, **how).where(F.col("similarity") >= least)
-    return keyed.join(bad.select("_key", "_digest"), ["_key", "_digest"], "left_anti").select(*docs.columns)
+    names = ["_key", "_digest"]
+    bad = _verdicts(_keyed(docs.select("doc_id", "text"), names), benchmark, least, **how).where(F.col("similarity") >= least)
+    own = spare_names(docs, *names)
+    bad = bad.select(*[F.col(n).alias(o) for n, o in zip(names, own, strict=True)])
+    return _keyed(docs, own).join(bad, own, "left_anti").select(*columns_of(docs))

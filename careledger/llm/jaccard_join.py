@@ -27,8 +27,8 @@ merges the short inverted lists, the long ones are probed by binary search.
 Defined results: words are runs other than blanks and \\t\\n\\v\\f\\r, ASCII letters
 in lower case.  With fewer words than ``width`` the whole sequence is the one
 shingle; a null text or one without words has an empty set, links with nothing
-and is its own component.  Rows that repeat an id share its component.  A row
-without an id links with nothing and has no component.  An empty table gives an
+and is its own component.  Rows with words that repeat an id share its component.
+A row without an id links with nothing and has no component.  An empty table gives an
 empty result; other columns are not looked at.
 """
 
@@ -45,8 +45,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import (attach_group, id_key, length_slices, ngram_hashes, salted_lookup, stored,
-                                   word_hashes)
+from careledger.llm.common import (attach_group, columns_of, id_key, length_slices, ngram_hashes, salted_lookup,
+                                   spare_names, stored, word_hashes)
 from careledger.llm.components import components
 
 BLOCK = 256                 # candidates that one query meets at a time
@@ -427,7 +427,22 @@ def jaccard_components(docs: DataFrame, width: int = 5, least: int = 75, id_col:
 
 def keep_one_of_near(docs: DataFrame, width: int = 5, least: int = 75) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, rows without an id and rows without
-    words, with their columns as they are."""
-    gone = (jaccard_components(docs, width, least).where("component_id < doc_id")
-            .select(id_key("doc_id").alias("_key")).distinct())
-    return docs.withColumn("_key", id_key("doc_id")).join(gone, "_key", "left_anti").select(*docs.columns)
+    words, with their columns as they are.
+
+    Rows are judged one by one: where different texts share an id, each (id, text) is numbered in the order of the
+    ids, and the numbers are joined instead."""
+    own = spare_names(docs, "key", "digest")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    slim = docs.select(F.col("doc_id").cast("long").alias("id"), digest.alias("digest")).where("id IS NOT NULL").distinct()
+    if slim.groupBy("id").count().where("count > 1").isEmpty():
+        gone = jaccard_components(docs.select("doc_id", "text"), width, least).where("component_id < doc_id")
+        return (docs.withColumn(own[0], id_key("doc_id"))
+                .join(gone.select(id_key("doc_id").alias(own[0])).distinct(), own[0], "left_anti").select(*columns_of(docs)))
+    numbers = stored(slim.repartitionByRange("id", "digest").sortWithinPartitions("id", "digest")
+                     .withColumn("number", F.monotonically_increasing_id()), "jaccard-numbers")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), digest.alias("digest"), "text").join(numbers, ["id", "digest"])
+    found = jaccard_components(rows.select(F.col("number").alias("doc_id"), "text"), width, least)
+    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("number")).distinct().join(numbers, "number")
+    keyed = docs.withColumns(dict(zip(own, (id_key("doc_id"), digest), strict=True)))
+    return (keyed.join(gone.select(id_key("id").alias(own[0]), F.col("digest").alias(own[1])), own, "left_anti")
+            .select(*columns_of(docs)))

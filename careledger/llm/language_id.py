@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import length_slices, stored
+from careledger.llm.common import columns_of, length_slices, spare_names, stored
 
 BUCKETS = 1 << 15
 MOST_COLUMNS = 64           # languages up to which sums are columns; beyond, they are rows
@@ -230,7 +230,8 @@ def page_rows(pages: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is found, with their columns as they are."""
     # Rows are judged one by one: only those that agree in all that a verdict is made of share a key.
-    keyed = docs.withColumn("_key", F.sha2(F.to_json(F.struct("doc_id", "text", "lang", "source")), 256))
-    judged = identify(document_rows(keyed.withColumn("doc_id", F.col("_key"))))
-    kept = judged.where("kept").select(F.col("id").alias("_key")).distinct()
-    return keyed.join(kept, "_key", "left_semi").select(*docs.columns)
+    key, = spare_names(docs, "key")
+    own = F.sha2(F.to_json(F.struct("doc_id", "text", "lang", "source")), 256)
+    judged = identify(document_rows(docs.select(own.alias("doc_id"), "text", "lang", "source")))
+    kept = judged.where("kept").select(F.col("id").alias(key)).distinct()
+    return docs.withColumn(key, own).join(kept, key, "left_semi").select(*columns_of(docs))

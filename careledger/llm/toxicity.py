@@ -183,6 +183,7 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 def fit(docs: DataFrame, labels: DataFrame, z_least: float = 3.0) -> Model:
     """Learn word scores, extreme-value law and calibration (collects the features of labelled rows with a |z| of
     ``z_least`` at least, and ``MAX_LABELLED`` rows of three numbers)."""
+    docs = docs.select("doc_id", "text")
     sample = F.broadcast(labelled(labels))                    # at most MAX_LABELLED rows of two numbers
     rows = docs.join(sample, docs.doc_id == sample.id, "left").select("text", "toxic")
     counts = stored(feature_counts(rows).where((F.col("n_toxic") + F.col("n_clean") > 0) | (F.col("feature") == TOTAL)),
@@ -272,6 +273,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    docs = docs.select("doc_id", "text")
     scored = score_toxicity(docs, fit(docs, labels))
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",

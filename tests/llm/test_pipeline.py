@@ -49,7 +49,7 @@ def test_order_of_stages(pipeline):
 def test_run_and_registry(spark):
     import __spark_entry__ as entry
     queries = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries if q.startswith("op")
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in queries if q.startswith("op")
                                                  and q[2:].split("_")[0].isdigit()}
     out = queries["pipeline"](spark, SMALL)
     assert out.columns == ["doc_id", "ids"] and 0 < out.count() <= 200
