@@ -1,21 +1,29 @@
-"""Operator 7, benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Operator 7, benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-1. Every run of ``n`` words of a test item is a seed, however many documents hold it.
-2. Documents are searched for the seeds.  Hits of one item whose diagonals lie
+1. Every run of ``n`` words of a test item is a seed; how many documents hold each is
+   counted over all documents.  The rarer half of an item's seeds, those of each
+   stretch of it apart, are its rare seeds.
+2. Seeds join the documents' runs of words.  Hits of one item whose diagonals lie
    together make a passage: the document words that the item could span around
    them, cut out of the whole text.
-3. A Smith-Waterman local alignment over words (match 2, mismatch -1, gap -1)
+3. A passage that a rare seed points at is aligned.  One that only common seeds
+   point at (any text has some "as well as") is aligned if it holds enough of the
+   item's words to reach ``least``: an alignment of similarity s matches at least
+   s of the item's words, so nothing is lost by leaving out the others.
+4. A Smith-Waterman local alignment over words (match 2, mismatch -1, gap -1)
    scores each passage against its item, many passages at a time; the share of the
    item's perfect score is the similarity, so edits, dropped and inserted words
-   cost little and paraphrased or edited copies are found.
+   cost little and paraphrased or edited copies are found.  A task passes on the
+   pairs that reach ``least``, and of other rows the best one.
 
-The benchmark is the bounded side: its seeds are broadcast in blocks of at most
-``SEED_BLOCK`` hashes, and a larger benchmark takes several passes.
+The benchmark is the bounded side: its seeds are joined where the documents are, in
+blocks of at most ``SEED_BLOCK`` hashes, and a larger benchmark takes several passes.
 
 Defined results: words are compared without case and punctuation.  A null or
 empty text has no match (similarity 0); items of fewer than ``n`` words are one
 seed, null or empty items none; a copy that shares no run of ``n`` words with its
-item has no seed and is not aligned.  Of equal similarities the smallest item_id is
+item has no seed and is not aligned.  A row without a copy has the similarity of its
+best aligned passage, 0 without any.  Of equal similarities the smallest item_id is
 reported.  Repeated rows are judged one by one; empty tables give an empty
 result or no match; other columns are not looked at.
 """
@@ -29,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import (columns_of, id_key, length_slices, ngram_hashes, plain_bytes, spare_names,
-                                   word_hashes)
+from careledger.llm.common import (columns_of, id_key, length_slices, mixed, ngram_hashes, plain_bytes,
+                                   spare_names, word_hashes)
 
 SEED_BLOCK = 2_000_000
 MOST_HITS = 1 << 20         # hits that are put together at a time (those of one text at least)
@@ -125,6 +133,9 @@ def align_many(text: np.ndarray, low: np.ndarray, high: np.ndarray, pool: np.nda
     return out
 
 
+STRETCHES = 3               # of an item, each with rare seeds of its own
+
+
 class _Items:
     """Items of a block of the benchmark: their words, and which seeds stand where in which item."""
 
@@ -141,25 +152,71 @@ class _Items:
         self.place = np.concatenate([np.arange(m) for m in many])[order]
         self.owners = np.bincount(seed, minlength=len(self.seeds))
         self.first = np.cumsum(self.owners) - self.owners
+        self.many = np.array(many, np.int64)
+        self.rare = np.ones(len(self.item), bool)
+        self.seed = np.repeat(np.arange(len(self.seeds)), self.owners)
+
+    def know(self, documents: np.ndarray) -> None:
+        """Mark the rare seeds by the number of documents that hold each."""
+        stretch = self.item * STRETCHES + np.minimum(self.place * STRETCHES // np.maximum(self.many[self.item], 1), STRETCHES - 1)
+        order = np.lexsort((self.place, documents[self.seed], stretch))
+        size = np.bincount(stretch, minlength=len(self.ids) * STRETCHES)
+        rank = np.arange(len(order)) - np.repeat(np.cumsum(size) - size, size)
+        self.rare[order] = rank < -(-np.repeat(size, size) // 2)
+
+    def reachable(self, words: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, least: float) -> np.ndarray:
+        """Whether each passage ``words[low:high]`` holds enough of its item's words for a similarity of ``least``."""
+        out, width, done = np.zeros(len(item), bool), high - low, 0
+        load = np.concatenate([[0], np.cumsum(self.length[item] + width)])
+        while done < len(item):
+            stop = max(int(np.searchsorted(load, load[done] + MOST_HITS, side="right")) - 1, done + 1)
+            i, n, span = item[done:stop], self.length[item[done:stop]], width[done:stop]
+            pair = mixed(np.arange(1, len(i) + 1, dtype=np.uint64))
+            own = np.repeat(pair, n) ^ self.pool[np.repeat(self.begin[i] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            there = np.repeat(pair, span) ^ words[np.repeat(low[done:stop] - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))]
+            held = np.bincount(np.repeat(np.arange(len(i)), n), np.isin(own, there), len(i))
+            out[done:stop] = held >= least * n - 1e-9
+            done = stop
+        return out
 
     def passages(self, which: np.ndarray, where: np.ndarray, row: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple:
-        """(row, item, low, high) of the passages that hits point at, by row and item."""
+        """(row, item, low, high, by a rare seed) of the passages that hits point at, by row and item."""
         many = self.owners[which]
         hit = np.repeat(np.arange(len(which)), many)
         at = np.repeat(self.first[which] - (np.cumsum(many) - many), many) + np.arange(len(hit))
-        row, item, start = row[hit], self.item[at], where[hit] - self.place[at]
+        row, item, start, rare = row[hit], self.item[at], where[hit] - self.place[at], self.rare[at]
         order = np.lexsort((start, item, row))
-        row, item, start = row[order], item[order], start[order]
+        row, item, start, rare = row[order], item[order], start[order], rare[order]
         apart = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > self.slack[item[1:]])
         first = np.flatnonzero(np.concatenate([[True], apart]))
         last = np.append(first[1:], len(row)) - 1
+        rare = np.logical_or.reduceat(rare, first)
         row, item, low, high = row[first], item[first], start[first], start[last]
         low = np.maximum(begins[row], low - self.slack[item])
-        return row, item, low, np.minimum(ends[row], high + self.length[item] + self.slack[item])
+        return row, item, low, np.minimum(ends[row], high + self.length[item] + self.slack[item]), rare
+
+
+def _seed_documents(docs: DataFrame, items: _Items, widths: list[int]) -> np.ndarray:
+    """In how many rows each seed occurs: one number a seed of the block, counted over all rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maybe, total = _maybe(items.seeds), np.zeros(len(items.seeds), np.int64)
+        for batch in batches:
+            for a, b in length_slices(batch.column(0)):
+                texts = words_of(batch.column(0).slice(a, b - a).to_pylist())
+                which, where, ends = _hits(texts, items.seeds, maybe, widths)
+                row = np.searchsorted(ends, where, side="right")
+                total += np.bincount(np.unique(row * len(total) + which) % len(total), minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["seed", "n"])
+
+    out = np.zeros(len(items.seeds), np.int64)
+    for r in docs.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():
+        out[r.seed] = r.n
+    return out
 
 
-def _similar(docs: DataFrame, items: _Items, widths: list[int], keep: list[str]) -> DataFrame:
-    """(keep..., item_id, similarity): each row with every item that it shares a seed with."""
+def _similar(docs: DataFrame, items: _Items, widths: list[int], keep: list[str], least: float) -> DataFrame:
+    """(keep..., item_id, similarity): each row with the items that it may hold, or with the one most like it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maybe = _maybe(items.seeds)
         for batch in batches:
@@ -183,35 +240,46 @@ def _similar(docs: DataFrame, items: _Items, widths: list[int], keep: list[str])
                         stop = int(np.searchsorted(row, row[done], side="right"))
                     some = slice(done, stop)
                     done = stop
-                    at, item, low, high = items.passages(which[some], where[some], row[some], begins, ends)
+                    at, item, low, high, rare = items.passages(which[some], where[some], row[some], begins, ends)
+                    rare[~rare] = items.reachable(words, item[~rare], low[~rare], high[~rare], least)
+                    at, item, low, high = at[rare], item[rare], low[rare], high[rare]
+                    if not len(at):
+                        continue
                     score = align_many(words, low, high, items.pool, items.begin[item], items.length[item])
                     first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (item[1:] != item[:-1])]))
-                    best = np.maximum.reduceat(score, first) / (MATCH * items.length[item[first]])
-                    took = part.take(pa.array(at[first]))
-                    yield pa.RecordBatch.from_arrays([*took.columns[1:], pa.array(items.ids[item[first]]), pa.array(best)],
+                    at, item = at[first], item[first]
+                    best = np.maximum.reduceat(score, first) / (MATCH * items.length[item])
+                    # The pairs that reach ``least``, and the first of a row's best ones.
+                    order = np.lexsort((items.ids[item], -best, at))
+                    stays = np.concatenate([[True], at[order][1:] != at[order][:-1]]) | (best[order] >= least)
+                    at, item, best = at[order][stays], item[order][stays], best[order][stays]
+                    took = part.take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([*took.columns[1:], pa.array(items.ids[item]), pa.array(best)],
                                                      names=[*keep, "item_id", "similarity"])
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
     return docs.select("text", *keep).mapInArrow(run, kinds + "item_id long, similarity double")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, n: int = 3, common: float | None = None,
+def matches(docs: DataFrame, benchmark: DataFrame, n: int = 3, least: float = 0.6,
             keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """(keep..., item_id, similarity) of every row and item that share a seed.
-
-    ``common`` is only taken for callers that still name it: no seed is too common."""
+    """(keep..., item_id, similarity) of every row and item with a similarity of ``least`` that share a seed; rows
+    without such an item come with the aligned one that is most like them (in each block of the benchmark)."""
     keep = list(keep)
     items = item_seeds(benchmark, n)
     widths = sorted({min(n, len(w)) for _, w, _ in items})
     out = None
-    block: list = []
+    block, seeds = [], 0
     for k, item in enumerate(items):
         block.append(item)
-        if k + 1 < len(items) and sum(len(s) for _, _, s in block) < SEED_BLOCK:
+        seeds += len(item[2])
+        if k + 1 < len(items) and seeds < SEED_BLOCK:
             continue
-        part = _similar(docs, _Items(block), widths, keep)
+        known = _Items(block)
+        known.know(_seed_documents(docs, known, widths))
+        part = _similar(docs, known, widths, keep, least)
         out = part if out is None else out.unionByName(part)
-        block = []
+        block, seeds = [], 0
     if out is None:
         return docs.select(*keep, F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity")).limit(0)
     return out
@@ -224,7 +292,7 @@ def _keyed(docs: DataFrame, names: list[str]) -> DataFrame:
 
 def _verdicts(keyed: DataFrame, benchmark: DataFrame, least: float, **how) -> DataFrame:
     """(_key, _digest, similarity, item_id, n_items) of the rows that share a seed with an item."""
-    return matches(keyed, benchmark, keep=("_key", "_digest"), **how).groupBy("_key", "_digest").agg(
+    return matches(keyed, benchmark, least=least, keep=("_key", "_digest"), **how).groupBy("_key", "_digest").agg(
         F.max("similarity").alias("similarity"),
         F.max_by("item_id", F.struct("similarity", -F.col("item_id"))).alias("item_id"),
         F.count_distinct(F.when(F.col("similarity") >= least, F.col("item_id"))).alias("n_items"))

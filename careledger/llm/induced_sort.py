@@ -5,8 +5,8 @@ S-type (LMS) suffixes gives, in one scan upwards, the order of all L-type
 suffixes, and those in one scan downwards the order of all S-type suffixes.  The
 scans run over a monotone priority queue: one first-in-first-out run per first
 symbol, whose tuples (position, common prefix with the tuple before) wait in
-memory up to a budget and on disk beyond it, so a text may be far larger than
-memory.  The common prefix of two induced suffixes is one more than the smallest
+memory up to a budget and on disk beyond it.  The text may be a memory map; types,
+names of LMS substrings and their positions are arrays in memory.  The common prefix of two induced suffixes is one more than the smallest
 value between the suffixes that they were induced from.
 
 LMS suffixes are ordered by recursion: LMS substrings get names, and the text of
@@ -177,6 +177,8 @@ def sorted_suffixes(text: np.ndarray, depth: int, folder: str | None = None,
     ``text``: uint16 symbols (an array or a memory map) that end in a unique smallest symbol.
     """
     symbols = int(text.max()) + 1
+    if len(text) > np.iinfo(np.int32).max:
+        raise ValueError("positions of a shard are 32-bit numbers: cut it into smaller ones")
     small = _types(text)
     is_lms = small.copy()
     is_lms[0] = False

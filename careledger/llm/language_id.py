@@ -2,8 +2,7 @@
 
 Four pieces of evidence meet in one posterior per document:
 
-* text: byte trigrams (hashed into a fixed number of buckets) under one
-  multinomial per language, learnt from the declared languages of all rows, and
+* text: byte trigrams, each counted by itself, under one multinomial per language, learnt from the declared languages of all rows, and
   under a uniform one for "no language" (``und``);
 * declared markup language: a smoothed table P(declared | language), estimated
   from the text posteriors by grouped aggregation;
@@ -14,7 +13,7 @@ Four pieces of evidence meet in one posterior per document:
 A row is rejected when ``und`` wins or the winner's posterior stays below
 ``least``.  Every declared value is a language, however many there are.  Group sums
 use salted parts, so one host may hold a third of all rows; only the language tables
-(the trigram buckets that each language has, languages x languages) reach the driver.
+(the trigrams that each language has, languages x languages) reach the driver.
 
 Defined results: a text without letters, an empty or a null text is ``und`` and
 rejected, whatever else is declared.  A null declared language is no evidence
@@ -35,10 +34,11 @@ from pyspark.sql import functions as F
 
 from careledger.llm.common import columns_of, length_slices, spare_names, stored
 
-BUCKETS = 1 << 15
+GRAMS = 1 << 24             # trigrams of bytes
+LEAST_KINDS = 1 << 15       # trigrams that a text in no language draws from at least, however small the corpus
 MOST_COLUMNS = 64           # languages up to which sums are columns; beyond, they are rows
 MOST_BROADCAST = 1000       # languages up to which P(declared | language) is broadcast
-HELD = 1 << 20              # (language, bucket) counts that a task holds before it writes them
+HELD = 1 << 20              # (language, trigram) counts that a task holds before it writes them
 UND = "und"
 
 #: Bytes that are no part of words count as blanks.
@@ -46,17 +46,16 @@ _BLANK = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
 def _grams(text: str | None) -> np.ndarray:
-    """Bucket of every byte trigram of the text in lower case; runs of blanks count once."""
+    """Every byte trigram of the text in lower case; runs of blanks count once."""
     raw = b" ".join((text or "").lower().encode("utf-8").translate(_BLANK).split())
     if not raw:
         return np.empty(0, np.int64)
-    x = np.frombuffer(b" " + raw + b" ", np.uint8).astype(np.uint32)
-    key = (x[:-2] << np.uint32(16)) | (x[1:-1] << np.uint32(8)) | x[2:]
-    return ((key * np.uint32(2654435761)) >> np.uint32(32 - 15)).astype(np.int64)
+    x = np.frombuffer(b" " + raw + b" ", np.uint8).astype(np.int64)
+    return (x[:-2] << 16) | (x[1:-1] << 8) | x[2:]
 
 
 def gram_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
-    """(language, bucket, n) over all rows (text, declared) with a declared language of the list."""
+    """(language, gram, n) over all rows (text, declared) with a declared language of the list."""
     number = {x: i for i, x in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,13 +65,13 @@ def gram_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
         def write() -> pa.RecordBatch:
             keys, which = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
             n = np.bincount(which, np.concatenate([n for _, n in held])).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(keys // BUCKETS), pa.array(keys % BUCKETS), pa.array(n)],
-                                              names=["language", "bucket", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(keys // GRAMS), pa.array(keys % GRAMS), pa.array(n)],
+                                              names=["language", "gram", "n"])
 
         for batch in batches:
             for a, b in length_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
-                keys = [_grams(text) + number[lang] * BUCKETS for text, lang in zip(
+                keys = [_grams(text) + number[lang] * GRAMS for text, lang in zip(
                     part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if lang in number]
                 if keys:
                     held.append(np.unique(np.concatenate(keys), return_counts=True))
@@ -83,33 +82,37 @@ def gram_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
         if held:
             yield write()
 
-    return (rows.select("text", "declared").mapInArrow(run, "language long, bucket long, n long")
-            .groupBy("language", "bucket").agg(F.sum("n").alias("n")))
+    return (rows.select("text", "declared").mapInArrow(run, "language long, gram long, n long")
+            .groupBy("language", "gram").agg(F.sum("n").alias("n")))
 
 
 class TextModel:
-    """Log-probabilities of buckets by language, the last one ``und``: what a bucket without counts has, and
-    what the counted ones have more."""
+    """Log-probabilities of trigrams by language, the last one ``und`` (all trigrams alike): what a
+    trigram without counts has, and what the counted ones have more."""
 
     def __init__(self, got, n: int, smooth: float):
-        bucket, language, count = (got[c].to_numpy(np.int64) for c in ("bucket", "language", "n"))
-        total = np.bincount(language, count, n) + smooth * BUCKETS
-        self.base = np.append(np.log(smooth / total), -np.log(BUCKETS))
-        order = np.argsort(bucket, kind="stable")
-        self.language, self.more = language[order].astype(np.int32), np.log((count[order] + smooth) / smooth)
-        self.many = np.bincount(bucket, minlength=BUCKETS)
+        gram, language, count = (got[c].to_numpy(np.int64) for c in ("gram", "language", "n"))
+        order = np.argsort(gram, kind="stable")
+        self.grams, self.many = np.unique(gram, return_counts=True)
         self.first = np.cumsum(self.many) - self.many
+        kinds = max(len(self.grams), LEAST_KINDS)
+        total = np.bincount(language, count, n) + smooth * kinds
+        self.base = np.append(np.log(smooth / total), -np.log(kinds))
+        self.language, self.more = language[order].astype(np.int32), np.log((count[order] + smooth) / smooth)
 
     def likelihood(self, grams: np.ndarray) -> np.ndarray:
         """Log-likelihood of a text under every language."""
-        grams = grams[self.many[grams] > 0] if len(self.more) else grams[:0]
-        many = self.many[grams]
-        at = np.repeat(self.first[grams] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        if not len(self.grams):
+            return np.zeros(len(self.base))
+        spot = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        spot = spot[self.grams[spot] == grams]
+        many = self.many[spot]
+        at = np.repeat(self.first[spot] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
         return np.bincount(self.language[at], self.more[at], len(self.base))
 
 
 def text_model(rows: DataFrame, languages: list[str], smooth: float = 0.5) -> TextModel:
-    """The model of all rows with a declared language (collects the buckets that each language has)."""
+    """The model of all rows with a declared language (collects the trigrams that each language has)."""
     return TextModel(gram_counts(rows, languages).toPandas(), len(languages), smooth)
 
 

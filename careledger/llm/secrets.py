@@ -26,8 +26,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careledger.llm.common import id_key
-
 #: A clause is a set of trigrams that all must occur; a query is a list of clauses of which one must hold.
 Query = list[frozenset[str]]
 
@@ -44,7 +42,8 @@ class Rule:
 BASE_RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
     Rule("access", r"AKIA[A-Z0-9]+", 16),
-    Rule("hex", r"[0-9a-f]+", 32),
+    # Runs of 32 or more: shorter ones would be matched and dropped, which gives the same spans.
+    Rule("hex", r"[0-9a-f]{32,}", 32),
 )
 #: Kinds that this scan adds.
 MORE_RULES = (
@@ -117,14 +116,19 @@ def trigram_query(regex: str) -> Query:
     return sorted((c for c in clauses if not any(d < c for d in clauses)), key=sorted)
 
 
+def _row_key(id_col: str, text_col: str) -> Column:
+    """The id; rows without one are told apart by their text, so they are no hot key."""
+    return F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null "), F.hex(F.xxhash64(text_col))))
+
+
 def candidates(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str) -> DataFrame:
     """(key, rules): for each document the rules whose trigram query its postings satisfy."""
     clauses = [(r.kind, i, t, len(c)) for r in rules for i, c in enumerate(trigram_query(r.regex)) for t in sorted(c)]
     if not clauses:
-        return docs.select(id_key(id_col).alias("key"), F.array().cast("array<string>").alias("rules")).limit(0)
+        return docs.select(_row_key(id_col, text_col).alias("key"), F.array().cast("array<string>").alias("rules")).limit(0)
     lower = F.lower(F.col(text_col))
     asked = sorted({t for _, _, t, _ in clauses})
-    postings = docs.select(id_key(id_col).alias("key"), lower.alias("low")).select(
+    postings = docs.select(_row_key(id_col, text_col).alias("key"), lower.alias("low")).select(
         "key", F.explode(F.array_compact(F.array(
             *[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in asked]))).alias("trigram"))
     wanted = docs.sparkSession.createDataFrame(clauses, "rule string, clause int, trigram string, size int")
@@ -146,7 +150,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     """One row per row of ``docs``: id and ``spans``, an array of (start, no, kind, end) in text order."""
     full = [r for r in rules if not trigram_query(r.regex)]
     found = candidates(docs, tuple(r for r in rules if r not in full), id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("id"), id_key(id_col).alias("key"),
+    rows = docs.select(F.col(id_col).alias("id"), _row_key(id_col, text_col).alias("key"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.join(found, "key", "left")
     # A rule that no candidate list names costs nothing; the others look at the whole text.

@@ -44,7 +44,9 @@ GRAM = 16
 PIECE = 1 << 16             # bytes whose anchors are searched at a time
 SLICE = 1 << 20             # bytes of text that a task unpacks at a time
 SHARD_BYTES = 2 << 20       # input bytes a shard stands for
+TASK_BYTES = 64 << 20       # input bytes a task stands for: its shards are sorted in turn
 MOST_BITS = 30
+QUEUE_TUPLES = 1 << 22      # tuples (8 bytes) of the sorter's queues that a task holds; more wait on disk
 REMEMBERED = 200_000        # digests of whole texts that a task remembers
 HELD = 16 << 20             # bytes of stretches, and of anchors, that a task holds before it writes them
 
@@ -106,8 +108,10 @@ def _grouped(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
         yield (int(bucket[a]), *(c[a:b] for c in columns))
 
 
-def repeated_anchors(texts: DataFrame, width: int, shards: int, bits: int) -> np.ndarray:
-    """Bitmap over the leading ``bits`` bits of the hashes of anchors that occur more than once."""
+def repeated_anchors(texts: DataFrame, width: int, shards: int, bits: int, tasks: int) -> np.ndarray:
+    """Bitmap over the leading ``bits`` bits of the hashes of anchors that occur more than once.
+
+    ``tasks`` partitions take the shards in turn; the bits are written to the shared folder and read by one job."""
     shard_bits = shards.bit_length() - 1
     size = max(1, (1 << bits) // shards // 8)
 
@@ -136,25 +140,33 @@ def repeated_anchors(texts: DataFrame, width: int, shards: int, bits: int) -> np
             yield write()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once: dict[int, list] = {}
-        more: dict[int, list] = {}
-        for batch in batches:
-            for shard, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                once.setdefault(shard, []).append(np.asarray(a.values).view(np.uint32))
-                more.setdefault(shard, []).append(np.asarray(b.values).view(np.uint32))
-        for shard in once:
-            h, n = np.unique(np.concatenate(once[shard]), return_counts=True)
-            again = np.concatenate([h[n > 1], *more[shard]])
+        now, once, more = None, [], []
+
+        def row() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(once), return_counts=True)
+            again = np.concatenate([h[n > 1], *more])
             spot = (again >> np.uint32(32 + shard_bits - bits)).astype(np.int64)
             flags = np.zeros(size * 8, bool)
             flags[spot] = True
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()),
-                                              pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["shard", "bits"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()),
+                                               pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["shard", "bits"])
 
-    counted = (texts.mapInArrow(gather, "shard int, once array<int>, more array<int>")
-               .repartition(shards, "shard").mapInArrow(count, "shard int, bits binary"))
+        for batch in batches:                                 # rows come by shard
+            for shard, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                if shard != now:
+                    if now is not None:
+                        yield row()
+                    now, once, more = shard, [], []
+                once.append(np.asarray(a.values).view(np.uint32))
+                more.append(np.asarray(b.values).view(np.uint32))
+        if now is not None:
+            yield row()
+
+    counted = stored(texts.mapInArrow(gather, "shard int, once array<int>, more array<int>")
+                     .repartition(tasks, "shard").sortWithinPartitions("shard").mapInArrow(count, "shard int, bits binary"),
+                     "suffix-anchors")
     out = np.zeros(size * shards, np.uint8)
-    for r in counted.toLocalIterator():                       # 2 ** bits / 8 bytes in all
+    for r in counted.collect():                               # 2 ** bits / 8 bytes in all: 128 MB at most
         out[r.shard * size:(r.shard + 1) * size] = np.frombuffer(r.bits, np.uint8)
     return out
 
@@ -264,7 +276,7 @@ def _covered(strings: list[bytes], low: np.ndarray, width: int, folder: str | No
         small = np.minimum.reduceat(owner[run], first)
         least[run] = np.repeat(small, np.diff(np.append(first, len(run))))
 
-    for at, prefix in sorted_suffixes(text, width, folder):
+    for at, prefix in sorted_suffixes(text, width, folder, QUEUE_TUPLES):
         whole = at < len(owner)
         whole[whole] = left[at[whole]] >= width
         at, new = at[whole], prefix[whole] < width
@@ -289,8 +301,8 @@ def _covered(strings: list[bytes], low: np.ndarray, width: int, folder: str | No
     return least, begins
 
 
-def repeated_ranges(found: DataFrame, width: int, shards: int) -> DataFrame:
-    """(id, fp, start, stop): byte ranges that repeat, not yet united."""
+def repeated_ranges(found: DataFrame, width: int, tasks: int) -> DataFrame:
+    """(id, fp, start, stop): byte ranges that repeat, not yet united.  ``tasks`` partitions take the shards in turn."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = None
         for batch in batches:
@@ -305,7 +317,7 @@ def repeated_ranges(found: DataFrame, width: int, shards: int) -> DataFrame:
         if shard is not None:
             yield from shard.ranges()
 
-    return (found.repartition(shards, "shard").sortWithinPartitions("shard")
+    return (found.repartition(tasks, "shard").sortWithinPartitions("shard")
             .mapInArrow(run, "id long, fp long, start long, stop long"))
 
 
@@ -405,8 +417,9 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 << max(0, math.ceil(math.log2(max(1, size / SHARD_BYTES))))
     bits = min(MOST_BITS, max(16, shards.bit_length() + 2, math.ceil(math.log2(max(1, size)) - 2)))
-    bitmap = spark.sparkContext.broadcast(repeated_anchors(named.select("text"), width, shards, bits))
-    ranges = repeated_ranges(repeated_stretches(named, bitmap, width, shards, bits), width, shards)
+    tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / TASK_BYTES)))
+    bitmap = spark.sparkContext.broadcast(repeated_anchors(named.select("text"), width, shards, bits, tasks))
+    ranges = repeated_ranges(repeated_stretches(named, bitmap, width, shards, bits), width, tasks)
     spans = stored(ranges, "suffix-ranges").groupBy("id", "fp").agg(
         F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("ranges"))
     keyed = rows.withColumn("key", id_key("id"))

@@ -52,10 +52,10 @@ def test_finds_copies_and_edits(make_docs, spark, words, bench):
 
 
 def test_every_item_keeps_seeds_when_its_words_are_common(make_docs, spark, words):
-    """An item that most documents hold has no rare seed; its rarest ones are used."""
+    """An item that most documents hold has rare seeds all the same: its rarest ones."""
     item = words("common", 25)
     rows = [(i, words(i, 20) + " " + item) for i in range(60)] + [(100, words(999, 50))]
-    got = dec.decontaminate(make_docs(rows), spark.createDataFrame([(1, item)], "item_id long, text string"), common=0.0)
+    got = dec.decontaminate(make_docs(rows), spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert {r.doc_id for r in got.collect() if r.contaminated} == set(range(60))
 
 
@@ -104,6 +104,68 @@ def test_benchmark_in_blocks(make_docs, spark, words, bench, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in range(12)}
 
 
+def brute_all_pairs(rows, items, least=0.6, n=3):
+    """(doc_id, item_id, similarity) of all rows and items that share ``n`` words in a row, by aligning whole texts."""
+    def grams(w):
+        return {tuple(w[k:k + min(n, len(w))]) for k in range(len(w) - min(n, len(w)) + 1)}
+
+    tokens = {}
+    of = lambda t: [tokens.setdefault(w, len(tokens)) for w in dec.plain_bytes(t).split()]
+    out = []
+    for i, text in rows:
+        a = of(text)
+        for j, item in items:
+            b = of(item)
+            if j is None or not b or not any(g in grams(b) for g in (tuple(a[k:k + min(n, len(b))]) for k in range(len(a)))):
+                continue
+            s = dec.align(np.array(b), np.array(a)) / (2 * len(b))
+            if s >= least:
+                out.append((i, j, s))
+    return out
+
+
+def test_all_pairs_of_edited_copies(make_docs, spark, words):
+    """Copies with any share of dropped, changed and added words among clean texts: nothing is missed or added."""
+    rng = random.Random(12)
+    items = [(j, words(("it", j), rng.randint(4, 40))) for j in range(25)] + [(90, "as well as"), (91, "as well as the other one")]
+    rows = []
+    for i in range(220):
+        j, item = rng.choice(items)
+        rate = rng.choice([0, 0.1, 0.2, 0.3, 0.5])
+        edited = []
+        for w in item.split():
+            x = rng.random()
+            edited += [] if x < rate / 3 else ["changed"] if x < rate * 2 / 3 else [w, "more"] if x < rate else [w]
+        rows.append((i, " ".join([words(("before", i), rng.randint(0, 30)), "as well as", *edited, words(("after", i), rng.randint(0, 30))])))
+    got = dec.matches(make_docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {(r.doc_id, r.item_id): r.similarity for r in got if r.similarity >= 0.6}
+    want = {(i, j): s for i, j, s in brute_all_pairs(rows, items)}
+    assert found.keys() == want.keys()
+    assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_common_phrases_make_no_pairs(make_docs, spark, words):
+    """1,000 documents and 100 items that share only "as well as": one row a document at most, and no copy."""
+    items = [(j, f"{words(('i', j), 14)} as well as {words(('k', j), 14)}") for j in range(100)]
+    rows = [(i, f"{words(('d', i), 20)} as well as {words(('e', i), 20)}") for i in range(1000)]
+    rows += [(2000, rows[5][1] + " " + items[7][1])]
+    got = dec.matches(make_docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(got) <= len(rows)
+    assert [(r.doc_id, r.item_id) for r in got if r.similarity >= 0.6] == [(2000, 7)]
+    report = dec.decontaminate(make_docs(rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id for r in report.collect() if r.contaminated} == {2000}
+
+
+def test_benchmark_items_of_the_given_tables(spark):
+    """All pairs of the smallest tables."""
+    small = "/root/testdata/sf0.001"
+    docs, bench = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
+    rows, items = [(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()]
+    want = {i for i, _, _ in brute_all_pairs(rows, items)}
+    got = dec.decontaminate(docs, bench).collect()
+    assert want and {r.doc_id for r in got if r.contaminated} == want
+
+
 def test_empty_tables(make_docs, spark, bench):
     table = spark.createDataFrame(bench, "item_id long, text string")
     assert dec.decontaminate(make_docs([]), table).count() == 0

@@ -1,6 +1,6 @@
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -26,23 +26,33 @@ def frame(spark, data):
     return spark.createDataFrame(data, "id long, text string, declared string, host string").repartition(4)
 
 
+def trigrams(text):
+    """Every three bytes of the letters in lower case, with one blank between words and at the ends."""
+    raw = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in (text or "").lower().encode())
+    raw = b" ".join(raw.split())
+    return [(b" " + raw + b" ")[k:k + 3] for k in range(len(raw))] if raw else []
+
+
 def brute(data, least=0.5, strength=20.0, temper=0.33, smooth=0.5):
     """The same posterior in plain Python."""
     said = sorted({d.lower() for _, _, d, _ in data if d} - {"und"})
     n = len(said) + 1
-    grams = [lid._grams(t) for _, t, _, _ in data]
-    counts = np.zeros((len(said), lid.BUCKETS))
+    grams = [trigrams(t) for _, t, _, _ in data]
+    counts = [Counter() for _ in said]
     for (_, _, d, _), g in zip(data, grams):
         if d and d.lower() in said:
-            np.add.at(counts[said.index(d.lower())], g, 1)
-    logs = np.log((counts + smooth) / (counts.sum(1, keepdims=True) + smooth * lid.BUCKETS))
-    model = np.vstack([logs, np.full(lid.BUCKETS, -math.log(lid.BUCKETS))]).T
+            counts[said.index(d.lower())].update(g)
+    kinds = max(len(set().union(*counts)), lid.LEAST_KINDS)
+    sizes = [sum(c.values()) + smooth * kinds for c in counts]
+
+    def likelihood(g):
+        return np.array([sum(math.log((c[x] + smooth) / s) for x in g) for c, s in zip(counts, sizes)] + [-math.log(kinds) * len(g)])
 
     def softmax(x):
         e = np.exp(np.array(x) - max(x))
         return e / e.sum()
 
-    ll = [model[g].sum(0) * temper for g in grams]
+    ll = [likelihood(g) * temper for g in grams]
     p = [softmax(x) for x in ll]
     hosts, suffixes, table = defaultdict(lambda: np.zeros(n)), defaultdict(lambda: np.zeros(n)), np.full((n, n), 0.5)
     suffix = lambda h: (h or "").rsplit(".", 1)[-1] if "." in (h or "") else ""
@@ -145,6 +155,13 @@ def test_sums_as_rows_are_those_as_columns(spark, monkeypatch):
         assert (r.lang, r.kept) == (want[r.id][0], want[r.id][2]) and abs(r.prob - want[r.id][1]) < 1e-9
 
 
+def test_trigrams_are_told_apart():
+    """No two trigrams share a count, also those of non-Latin scripts."""
+    text = "日本語 العربية ไทย русский język the"
+    assert sorted(lid._grams(text).tolist()) == sorted(int.from_bytes(g, "big") for g in trigrams(text))
+    assert len(set(lid._grams(text).tolist())) == len(set(trigrams(text)))
+
+
 def test_more_than_two_hundred_languages(spark):
     """Each of 230 declared values has a model, also those that few rows declare."""
     rng = random.Random(9)

@@ -64,5 +64,16 @@ def test_queries_of_simple_regexes():
     assert secrets.trigram_query("(abc)?") == []
 
 
+def test_rows_without_an_id_are_told_apart(make_docs):
+    """Rows without an id share no key; each is scanned for what it holds."""
+    rows = [(None, f"plain text {i}") for i in range(200)] + [(None, "token=abcdefgh"), (None, "AKIAABCDEFGHIJKL"), (None, None), (None, "")]
+    docs = make_docs(rows)
+    got = secrets.secret_report(docs).collect()
+    assert len(got) == len(rows)
+    assert (sum(r.n_assign for r in got), sum(r.n_access for r in got)) == (1, 1)
+    found = secrets.candidates(docs, secrets.RULES[:2], "doc_id", "text").collect()
+    assert sorted(r.rules for r in found) == [["access"], ["assign"]]
+
+
 def test_empty_table(make_docs):
     assert secrets.secret_report(make_docs([])).count() == 0

@@ -39,6 +39,44 @@ def test_hot_text_is_split_and_sample_does_not_matter(make_docs, words, monkeypa
     assert spots[-1] - spots[0] == len(spots) - 1
 
 
+def test_ranges_are_found_by_binary_search(spark):
+    cuts = [(-5, None, 0), (-5, 3, 1), (0, None, 7), (0, 2, 0), (0, 2, 9), (8, 8, 8)]
+    rows = [(k, i, r) for k in (-6, -5, 0, 8, 9) for i in (None, 1, 2, 3, 8) for r in (0, 1, 7, 8, 9)]
+    df = spark.createDataFrame(rows, "k long, id long, row long")
+    for many in range(len(cuts) + 1):
+        got = {(x.k, x.id, x.row): x.r for x in df.select("*", sharding._range_of(cuts[:many]).alias("r")).collect()}
+        want = {x: sum(sharding._ordered(c) <= sharding._ordered(x) for c in cuts[:many]) for x in rows}
+        assert got == want
+
+
+def test_overfull_ranges_are_cut_until_none_is_left(spark, make_docs, words, monkeypatch):
+    """One text without ids on most rows: neither text nor id can cut it, the rows' numbers do."""
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 20)
+    rows = [(None, "the same text")] * 900 + [(7, "the same text")] * 300 + [(i, words(i, 12)) for i in range(100)]
+    docs = make_docs(rows, 4)
+    check(rows, sharding.shard_documents(docs, 6).collect(), 6)
+    from pyspark.sql import functions as F
+    keys = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("k"), F.octet_length("text").cast("long").alias("size"),
+                       F.monotonically_increasing_id().alias("row"))
+    total = keys.agg(F.sum("size")).first()[0]
+    cuts = sharding.range_cuts(keys, 6, len(rows), total)
+    sizes = keys.groupBy(sharding._range_of(cuts).alias("r")).count().collect()
+    ranges = max(12, -(-len(rows) // 20))
+    assert max(r["count"] for r in sizes) <= 2 * max(20, len(rows) / ranges)
+
+
+def test_many_ranges_cost_like_few(spark, make_docs, words, monkeypatch):
+    import time
+    docs = make_docs([(i, words(i, 8)) for i in range(1500)], 4)
+    took = {}
+    for range_rows in (50, 3, 50, 3):
+        monkeypatch.setattr(sharding, "RANGE_ROWS", range_rows)
+        start = time.time()
+        sharding.shard_documents(docs, 8).collect()
+        took[range_rows] = time.time() - start
+    assert took[3] < 3 * took[50] + 2
+
+
 def test_empty_table(make_docs):
     assert sharding.shard_documents(make_docs([]), 4).count() == 0
 

@@ -69,6 +69,34 @@ def test_other_width_and_empty_table(make_docs, words):
         suffix_dedup.remove_repeats(make_docs([]), 5)
 
 
+def _jobs(spark, work):
+    """How many Spark jobs ``work`` starts."""
+    name = f"jobs-{random.random()}"
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_jobs_do_not_grow_with_shards(spark, make_docs, words, monkeypatch):
+    rows = [(i, words(i % 30, 60)) for i in range(60)]
+    jobs = []
+    for shard_bytes in (1 << 20, 300):
+        monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", shard_bytes)
+        jobs.append(_jobs(spark, lambda: suffix_dedup.remove_repeats(make_docs(rows)).collect()))
+    assert jobs[0] == jobs[1]
+    check(make_docs, rows)
+
+
+def test_many_shards_in_few_partitions(make_docs, words, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 200)
+    monkeypatch.setattr(suffix_dedup, "TASK_BYTES", 1 << 30)
+    passage = words("shared", 30)
+    check(make_docs, [(i, f"{words(('a', i), 12)} {passage} {words(('b', i), 12)}") for i in range(50)])
+
+
 @pytest.mark.parametrize("block,budget", [(1 << 20, 1 << 20), (4, 10)])
 def test_induced_sort_orders_suffixes_and_counts_prefixes(monkeypatch, tmp_path, block, budget):
     """With tiny blocks and budgets the queues go to disk; the result is the same."""
