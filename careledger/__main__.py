@@ -17,8 +17,10 @@ import sys
 from pyspark.sql import SparkSession
 
 from careledger.params import RunParams
-from careledger.reports import output_root, run_kpi_reports, run_reports
+from careledger.reports import output_root, run_kpi_reports, run_reports, stamp_for
+from careledger.runs import retire
 from careledger.session import apply_cluster_conf, ensure_checkpoint_dir
+from careledger.sources.collation import collated
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -32,6 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--definitions", help="JSON report definitions (R6)")
     ap.add_argument("--folder", help="folder of *.sql scripts (R6 fallback)")
     ap.add_argument("--out", help="output folder (default: <spark.checkpoint.dir>/reports)")
+    ap.add_argument("--any-case", action="store_true", help="compare strings without case, as SQL Server usually does")
+    ap.add_argument("--keep", type=int, help="runs of the same stamp that stay, the new one included (default: all)")
     ap.add_argument("--cluster-conf", action="store_true", help="apply the large-cluster SQL settings")
     args = ap.parse_args(argv)
 
@@ -52,6 +56,8 @@ def main(argv: list[str] | None = None) -> int:
         dim17 = spark.read.parquet(args.branch_dim_17) if args.branch_dim_17 else None
         cat = Catalog.from_parquet(spark, args.tables, dim, dim17)
 
+    if args.any_case:
+        cat = collated(cat)
     out = args.out or output_root(spark)
     if args.definitions or args.folder:
         cat.register_views()
@@ -60,6 +66,8 @@ def main(argv: list[str] | None = None) -> int:
         paths = run_kpi_reports(cat, params, out_dir=out)
     for name, path in paths.items():
         print(f"{name}\t{path}")
+    if args.keep:
+        retire(spark, out, stamp_for(spark, params.end), args.keep)
     return 0
 
 

@@ -60,6 +60,22 @@ def test_a_run_of_definitions_fails_as_a_whole(spark, fixture_catalog, tmp_path)
     assert [r.a for r in runs.read_report(spark, out, STAMP, "A").collect()] == [1]
 
 
+def test_command_line_keeps_some_runs(spark, tmp_path, capsys):
+    from careledger.__main__ import main
+    from tests.conftest import SF_SMALL
+    folder = tmp_path / "sql"
+    folder.mkdir()
+    (folder / "one.sql").write_text("SELECT count(*) AS n FROM episodes WHERE epi_status = 'current'")
+    args = ["--fixture", SF_SMALL, "--as-of", "1998-06-15", "--out", str(tmp_path / "out"), "--folder", str(folder)]
+    assert main(args) == 0 and main([*args, "--any-case"]) == 0
+    paths = [line.split("\t")[1] for line in capsys.readouterr().out.strip().splitlines()]
+    # Without case the status is found.
+    assert [spark.read.parquet(p).first()["n"] > 0 for p in paths] == [False, True]
+    assert main([*args, "--any-case", "--keep", "1"]) == 0
+    assert len([n for n in os.listdir(tmp_path / "out" / STAMP) if n.startswith("run-")]) == 1
+    assert runs.read_report(spark, str(tmp_path / "out"), STAMP, "one").count() == 1
+
+
 def test_lost_and_concurrent_publishers(spark, tmp_path):
     one = spark.range(3)
     write_reports({"A": one}, str(tmp_path), STAMP)
