@@ -46,6 +46,7 @@ TURNS_A_SHARD = 20_000
 MOST_SHARDS = 4096
 DRAWS = 20                  # sampled paths for each shard
 SPLITTER_CHARS = 1 << 20    # paths over this size are no splitters
+SAMPLE_CHARS = 64 << 20     # of sampled paths on the driver
 SKELETON_BYTES = 64 << 20
 CHUNK = 32_768
 NODE, PARTIAL, ENDS = 0, 1, 2
@@ -112,14 +113,14 @@ class Skeleton:
 
 
 def skeleton_of(paths: DataFrame) -> Skeleton:
-    """Splitters from a weighted sample of the paths: ``DRAWS`` a shard, so bounded, and the same in every run."""
-    turns = F.size("sizes")
-    total = paths.agg(F.sum(F.greatest(turns, F.lit(1)))).first()[0] or 0
-    shards = min(MOST_SHARDS, -(-total // TURNS_A_SHARD))
+    """Splitters from a weighted sample of the paths: ``DRAWS`` a shard and about ``SAMPLE_CHARS`` of them at most, so
+    bounded, and the same in every run."""
+    weight = F.greatest(F.size("sizes"), F.lit(1)).cast("double")
+    total, chars = paths.agg(F.sum(weight).cast("long"), F.sum(weight * F.length("path"))).first()
+    shards = min(MOST_SHARDS, -(-(total or 0) // TURNS_A_SHARD))
     if shards < 2:
         return Skeleton([])
-    rate = min(1.0, DRAWS * shards / total)
-    weight = F.greatest(turns, F.lit(1)).cast("double")
+    rate = min(1.0, DRAWS * shards / total, SAMPLE_CHARS / max(chars, 1.0))
     chance = F.pmod(F.xxhash64("conv_id", F.lit("splitter")), F.lit(1 << 40)) / float(1 << 40)
     drawn = sorted((r["path"], r["conv_id"], max(r["w"], 1 / rate)) for r in
                    paths.where((chance < weight * rate) & (F.length("path") <= SPLITTER_CHARS))

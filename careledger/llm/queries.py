@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from careledger.llm import (alignment, bpe, decontamination, exact_dedup, jaccard_join, language_id, lm_scoring,
                             prefix_trie, secrets, sharding, suffix_dedup, toxicity, warc)
 from careledger.llm.common import read_table, ship_code
+from careledger.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,20 +109,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_conversation_trie": op13_conversation_trie,
     "llm_page_language_id": llm_page_language_id,
 }
-
-ORACLES: dict[str, str] = {
-    "op1_warc": r"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
-     q AS (SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest,
-                  min(page_id) OVER (PARTITION BY body) AS head FROM p)
-SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 100 AND page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND page_id <> head THEN head END AS refers_to
-FROM q""",
-    "op3_exact_dedup": r"""
-WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
-                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
-     best AS (SELECT norm, count(*) AS group_size, arg_min(doc_id, (-chars, doc_id)) AS keep_id FROM t GROUP BY norm)
-SELECT t.doc_id, best.keep_id, best.group_size, t.doc_id = best.keep_id AS kept, sha256(t.norm) AS text_sha256
-FROM t JOIN best ON t.norm = best.norm""",
-}

@@ -93,6 +93,15 @@ def test_skeleton_that_is_too_large_loses_splitters(spark, monkeypatch):
     check(spark, made(4, 80))
 
 
+def test_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "TURNS_A_SHARD", 1)
+    monkeypatch.setattr(prefix_trie, "SAMPLE_CHARS", 500)
+    monkeypatch.setattr(prefix_trie, "DRAWS", 1000)
+    paths = prefix_trie.rebuilt(spark.createDataFrame(made(6, 200), SCHEMA))
+    assert len(prefix_trie.skeleton_of(paths).splitters) < 40
+    check(spark, made(6, 200))
+
+
 def test_empty_table_and_clashing_columns(spark, monkeypatch):
     monkeypatch.setattr(prefix_trie, "TURNS_A_SHARD", 10)
     assert prefix_trie.prefix_trie(spark.createDataFrame([], SCHEMA)).collect() == []

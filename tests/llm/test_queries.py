@@ -11,7 +11,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     found = con.execute(queries.ORACLES[name])
     names = [d[0] for d in found.description]
