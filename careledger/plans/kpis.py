@@ -380,9 +380,15 @@ def k13_los_active(cat: Catalog, p: RunParams) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- LUPA
-def _ended_periods(cat: Catalog, p: RunParams) -> DataFrame:
+def _window_periods(cat: Catalog, p: RunParams) -> DataFrame:
     """Periods ended, not deleted, with the end date in the window (P8 on a DATE)."""
-    pp = within(cat.pdgm_period, "pp_endDate", p.start, p.end).filter(open_period() & C("pp_endDate").between(lit_date(p.start), lit_date(p.end)))
+    return within(cat.pdgm_period, "pp_endDate", p.start, p.end).filter(
+        open_period() & C("pp_endDate").between(lit_date(p.start), lit_date(p.end)))
+
+
+def _ended_periods(cat: Catalog, p: RunParams) -> DataFrame:
+    """The window's periods with their episodes."""
+    pp = _window_periods(cat, p)
     fs = cat.episode_fs.select("cefs_id", "cefs_epiid")
     return pp.join(fs, fs["cefs_id"] == pp["pp_cefsId"], "inner")
 
@@ -405,7 +411,8 @@ def k14_lupa_by_reimbursement(cat: Catalog, p: RunParams) -> DataFrame:
     return by_bucket(per, _lupa_aggs(), window_cols(p.start, p.end))
 
 
-def period_visit_counts(cat: Catalog, periods: DataFrame, end: dt.date, with_zero: bool = True) -> DataFrame:
+def period_visit_counts(cat: Catalog, periods: DataFrame, end: dt.date, with_zero: bool = True,
+                        starts: DataFrame | None = None) -> DataFrame:
     """J8 + J9: billable, undeleted visits of the episode inside each period (none ends after ``end``).
 
     The visit scan gets both bounds of the periods (``end`` as a literal, the
@@ -413,8 +420,9 @@ def period_visit_counts(cat: Catalog, periods: DataFrame, end: dt.date, with_zer
     are shuffled, counted by episode and day.  Periods and days then meet by
     episode and time bin (``count_in_ranges``), so an episode with many visits is
     spread over its bins.  ``with_zero`` attaches the periods without visits
-    (count 0); a caller that left-joins the counts itself skips that join."""
-    least = periods.agg(F.min("pp_startDate").cast("timestamp_ntz").alias("least")).scalar()
+    (count 0); a caller that left-joins the counts itself skips that join.
+    ``starts`` are rows that begin no later than the periods and cost less to read."""
+    least = (periods if starts is None else starts).agg(F.min("pp_startDate").cast("timestamp_ntz").alias("least")).scalar()
     v = within(cat.visits_all, "cev_visitdate", None, end).filter(
         (C("cev_deleted") == 0) & (C("cev_billable") == 1)
         & (C("cev_visitdate") < ts(end + dt.timedelta(days=1))) & (C("cev_visitdate") >= least))
@@ -431,7 +439,8 @@ def period_visit_counts(cat: Catalog, periods: DataFrame, end: dt.date, with_zer
 
 def k15_lupa_by_threshold(cat: Catalog, p: RunParams) -> DataFrame:
     periods = _ended_periods(cat, p)
-    counts = period_visit_counts(cat, periods, p.end, with_zero=False).withColumnRenamed("pp_id", "_pv_id")
+    counts = period_visit_counts(cat, periods, p.end, with_zero=False,
+                                 starts=_window_periods(cat, p)).withColumnRenamed("pp_id", "_pv_id")
     hipps = bounded_broadcast(cat.pdgm_hipps, CODE_TABLE_MAX_ROWS,
                               cat.pdgm_hipps.select(F.rtrim("ph_hipps").alias("ph_hipps"), "ph_lupaThreshold"))
     per = (_periods_with_bucket(cat, periods)
