@@ -34,6 +34,7 @@ class Output:
     rows: int
     placeholder: bool
     path: str
+    format: str = "parquet"
 
 
 class Run:
@@ -56,7 +57,7 @@ class Run:
 
     def publish(self, fmt: str) -> None:
         files.remove(self.spark, f"{self.root}/{self.id}/_parts")
-        reports = [{k: v for k, v in asdict(o).items() if k != "path"} for o in self.outputs]
+        reports = [{k: v for k, v in asdict(o).items() if k not in ("path", "format")} for o in self.outputs]
         text = json.dumps({"run": self.id, "format": fmt, "reports": reports}, ensure_ascii=False)
         number = max(_numbers(self.spark, self.root), default=0) + 1
         while not files.create_once(self.spark, f"{self.root}/{MANIFESTS}/{number:09d}.json", text):
@@ -84,13 +85,15 @@ def published(spark: SparkSession, out_dir: str, stamp: str) -> dict[str, Output
     for number in sorted(_numbers(spark, root), reverse=True):
         found = _manifest(spark, root, number)
         if found is not None:
-            return {r["report"]: Output(**r, path=f"{root}/{found['run']}/{r['output']}") for r in found["reports"]}
+            return {r["report"]: Output(**r, path=f"{root}/{found['run']}/{r['output']}", format=found["format"])
+                    for r in found["reports"]}
     return {}
 
 
-def read_report(spark: SparkSession, out_dir: str, stamp: str, report: str, fmt: str = "parquet") -> DataFrame:
+def read_report(spark: SparkSession, out_dir: str, stamp: str, report: str) -> DataFrame:
     """One report of the current run."""
-    return spark.read.format(fmt).load(published(spark, out_dir, stamp)[report].path)
+    found = published(spark, out_dir, stamp)[report]
+    return spark.read.format(found.format).load(found.path)
 
 
 def retire(spark: SparkSession, out_dir: str, stamp: str, keep: int = 2) -> list[str]:

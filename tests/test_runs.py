@@ -96,6 +96,9 @@ def test_lost_and_concurrent_publishers(spark, tmp_path):
     assert len(gone) == 2 and run.id in gone and runs.read_report(spark, str(tmp_path), STAMP, "A").count() == 2
     with pytest.raises(ValueError):
         runs.retire(spark, str(tmp_path), STAMP, keep=0)
+    write_reports({"J": spark.range(2), "None": spark.range(0)}, str(tmp_path), STAMP, fmt="json")
+    assert sorted(r.id for r in runs.read_report(spark, str(tmp_path), STAMP, "J").collect()) == [0, 1]
+    assert [tuple(r) for r in runs.read_report(spark, str(tmp_path), STAMP, "None").collect()] == [("No rows returned",)]
     assert runs.published(spark, str(tmp_path), "never") == {}
 
 
