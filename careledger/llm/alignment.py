@@ -299,10 +299,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], pair: Pair, block_bytes: int) ->
         key = np.concatenate([p[0] for p in parts])
         different = np.unique(key)
         places = np.searchsorted(different, key).astype(np.int32)
-        blob = B.pack(np.concatenate(facts), np.concatenate([p[2] for p in parts]).astype(np.int32), places,
+        blob = B.pack(pa.concat_arrays(block.ids), np.concatenate(facts),
+                      np.concatenate([p[2] for p in parts]).astype(np.int32), places,
                       np.concatenate([p[1] for p in parts]).astype(np.int32))
-        yield from B.entry_batches(next(numbers), pa.array(different), np.bincount(places, minlength=len(different)),
-                                   pa.concat_arrays(block.ids), 0, blob)
+        yield from B.entry_batches(next(numbers), pa.array(different), np.bincount(places, minlength=len(different)), 0, blob)
 
     for ids, texts, size in _slices(batches):
         x = align(encoder, texts)
@@ -327,7 +327,7 @@ def alignment_report(docs: DataFrame, pair: Pair, block_bytes: int = B.BLOCK_BYT
     """One row per row of ``docs`` (doc_id, text): doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     blocks = stored(docs.select("doc_id", "text").mapInArrow(
         functools.partial(_blocks, pair=pair, block_bytes=block_bytes),
-        B.block_schema(docs.schema["doc_id"].dataType, T.LongType())), "alignment-blocks")
+        B.block_schema(T.LongType())), "alignment-blocks")
     wide = len(Encoder(pair).b_bytes.width)
     counts = stored(B.entries(blocks).groupBy("key").agg(F.sum("n").alias("c")), "alignment-counts")
     left = F.expr(f"key div {wide}").alias("a")

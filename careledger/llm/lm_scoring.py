@@ -3,8 +3,9 @@
 A word (with the blank before it) can be cut into pieces of an existing
 vocabulary in many ways.  All of them count: pieces are drawn independently,
 with weights that start from the vocabulary's own scores, and a forward
-recursion in log space over the lattice of a word's bytes sums over all its
-segmentations.  Byte pieces make every word reachable; pieces that stand for
+recursion over the lattice of a word's bytes sums over all its segmentations,
+for words of similar length side by side.  Its sums are plain numbers; words
+whose probability is below ``LEAST`` or that are long take it again in log space.  Byte pieces make every word reachable; pieces that stand for
 the same bytes are one unit.
 
 Learning, from the training documents only:
@@ -38,16 +39,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from careledger.llm import blocks as B
-from careledger.llm.common import id_key, stored
+from careledger.llm.common import id_key, length_slices, stored
 
 END = 1e-3              # base probability of the end
 PRIOR = 1e4             # how many units the vocabulary's scores weigh
 BATCH = 1 << 17         # bytes of words in one lattice
+WORDS = 1 << 16         # words that are sorted by length at a time
+SHORT = 128             # bytes of a word whose probability is tried as a plain number
+LEAST = 1e-290          # and the least such number: what underflows on the way to it is 1e-18 of it
 STRETCH = 1 << 16       # bytes of a long word that are looked at together
 TEXT_STRETCH = 1 << 20
 LOG10 = float(np.log(10))
@@ -140,6 +145,7 @@ class Lattice:
 
     def __init__(self, units: tuple[bytes, ...], probabilities: np.ndarray, stop: float):
         self.trie, self.logs, self.stop = trie(units), np.log(probabilities), float(np.log(stop))
+        self.by_node = np.where(self.trie.unit >= 0, probabilities[self.trie.unit], 0.0)
 
     def _forward(self, alpha: np.ndarray, depth: np.ndarray, arcs: tuple[np.ndarray, ...]) -> None:
         """Fill ``alpha``: at a position, the log of the sum over all ways from the word's first byte to it."""
@@ -159,8 +165,62 @@ class Lattice:
         first = ends - sizes + 1
         return x, first, ends, np.arange(len(x)) - np.repeat(first, sizes)
 
-    def marginals(self, words: list[bytes]) -> np.ndarray:
+    def _ways(self, x: np.ndarray, sizes: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list[tuple]]:
+        """(probability of all ways to each position, arcs as (start, end, words, nodes)) for words that are columns
+        of ``x``, the longest first.  What ends a column has no child in the trie."""
+        children, row, flat = self.trie.children.reshape(-1), self.trie.row, x.reshape(-1)
+        alpha = np.zeros((len(x) + 1, x.shape[1]))
+        alpha[0] = 1
+        arcs: list[tuple] = []
+        for i in range(len(x)):
+            word = np.arange(np.searchsorted(-sizes, -i))               # those with a byte at i
+            node, before = np.zeros(len(word), np.int32), alpha[i, :len(word)]
+            for j in range(i, len(x)):
+                node = children[(row[node].astype(np.int64) << 8) + flat[word + j * x.shape[1]]]
+                alive = np.flatnonzero(node)
+                if not len(alive):
+                    break
+                if len(alive) < len(word):
+                    word, node, before = word[alive], node[alive], before[alive]
+                alpha[j + 1, word] += before * self.by_node[node]
+                if keep:
+                    arcs.append((i, j + 1, word, node))
+        return alpha, arcs
+
+    def _columns(self, words: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(places, matrix of bytes, sizes) of words up to ``most`` bytes behind a blank, ``BATCH`` bytes at a time."""
+        if not len(words):
+            return
+        _, offsets, data = words.cast(pa.binary()).buffers()
+        starts = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+        data, sizes = np.frombuffer(data or b"", np.uint8), np.diff(starts)
+        order = np.argsort(-sizes, kind="stable")
+        at = int(np.searchsorted(-sizes[order], -most))
+        while at < len(order):
+            height = int(sizes[order[at]]) + 1
+            part = order[at:at + max(BATCH // height, 1)]
+            x, size = np.full((height, len(part)), 10, np.uint8), sizes[part]
+            x[0] = 32
+            for i in range(1, height):
+                n = np.searchsorted(-size, -i, "right")
+                x[i, :n] = data[starts[part[:n]] + i - 1]
+            yield part, x, size + 1
+            at += len(part)
+
+    def marginals(self, words: list[bytes] | pa.Array) -> np.ndarray:
         """log of the probability of each word, over all its segmentations."""
+        words = words if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+        out = np.zeros(len(words))
+        for part, x, sizes in self._columns(words, min(SHORT, STRETCH)):
+            out[part] = self._ways(x, sizes)[0][sizes, np.arange(len(part))]
+        rest = np.flatnonzero(out < LEAST)
+        out[rest] = 1
+        out = np.log(out)
+        out[rest] = self._marginals(words.take(pa.array(rest)).to_pylist())
+        return out + self.stop
+
+    def _marginals(self, words: list[bytes]) -> np.ndarray:
+        """The same in logs and without the stop, for words whose probability no plain number holds."""
         out = np.empty(len(words))
         for part in _parts(words):
             if len(part) == 1 and len(words[part[0]]) > STRETCH:
@@ -171,7 +231,7 @@ class Lattice:
             alpha[first] = 0
             self._forward(alpha, depth, self.trie.arcs(x, np.flatnonzero(x != 10)))
             out[part] = alpha[ends]
-        return out + self.stop
+        return out
 
     def _long(self, word: bytes) -> float:
         """The same for a word of any length: stretch by stretch, with what reaches into the next."""
@@ -187,9 +247,30 @@ class Lattice:
             known = alpha[-min(reach, len(alpha)):]
         return float(known[-1])
 
-    def expected(self, words: list[bytes]) -> np.ndarray:
+    def expected(self, words: list[bytes] | pa.Array) -> np.ndarray:
         """Expected count of each unit over all segmentations of the words.  Words over ``STRETCH`` bytes are
         counted by stretches."""
+        words = words if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+        done, by_node = np.zeros(len(words), bool), np.zeros(len(self.by_node))
+        for part, x, sizes in self._columns(words, min(SHORT, STRETCH)):
+            alpha, arcs = self._ways(x, sizes, keep=True)
+            total = alpha[sizes, np.arange(len(part))]
+            done[part] = total >= LEAST
+            beta = np.zeros_like(alpha)             # already by the whole; 0 for words that are left to logs
+            beta[sizes, np.arange(len(part))] = np.divide(1, total, out=np.zeros(len(part)), where=done[part])
+            shares = []
+            for i, j, word, node in reversed(arcs):
+                after = self.by_node[node] * beta[j, word]
+                beta[i, word] += after
+                shares.append(after * alpha[i, word])
+            if arcs:
+                by_node += np.bincount(np.concatenate([a[3] for a in reversed(arcs)]), np.concatenate(shares), len(by_node))
+        ends = self.trie.unit >= 0
+        out = np.bincount(self.trie.unit[ends], by_node[ends], len(self.logs))
+        return out + self._expected(words.filter(pa.array(~done)).to_pylist())
+
+    def _expected(self, words: list[bytes]) -> np.ndarray:
+        """The same in logs."""
         out = np.zeros(len(self.logs))
         cut = [w[a:a + STRETCH] for w in words for a in range(0, max(len(w), 1), STRETCH)]
         for part in _parts(cut):
@@ -223,55 +304,72 @@ def _parts(words: list[bytes]) -> Iterator[list[int]]:
         yield part
 
 
-class _Places(dict):
-    """A word's place in its block, given when it is first seen."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = place = len(self)
-        return place
-
-
-def words_of(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, a stretch of it at a time."""
-    text, at = text.lower(), 0                 # bytes: A-Z alone
-    while at < len(text):
+def _grouped(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches whose first column holds words, joined to ``WORDS`` rows or ``most`` bytes."""
+    some, rows, size = [], 0, 0
+    for batch in batches:
+        some.append(batch)
+        rows, size = rows + len(batch), size + batch.nbytes
+        if rows >= WORDS or size >= most:
+            yield pa.concat_batches(some)
+            some, rows, size = [], 0, 0
+    if rows:
+        yield pa.concat_batches(some)
+
+
+def stretches(text: str) -> Iterator[str]:
+    """A long text, cut at blanks of the contract."""
+    raw, at = text.encode("utf-8"), 0
+    while at < len(raw):
         end = at + TEXT_STRETCH
-        while end < len(text) and text[end] not in b" \t\n\x0b\x0c\r":
+        while end < len(raw) and raw[end] not in b" \t\n\x0b\x0c\r":
             end += 1
-        yield text[at:end].split()             # bytes: at blanks of the contract
+        yield raw[at:end].decode("utf-8")
         at = end
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts one after the other, A-Z lowered, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))     # at blanks of the contract
+    words = lists.flatten()
+    real = np.asarray(pc.binary_length(words)) > 0                                 # blanks at an end leave an empty one
+    ends = np.concatenate([[0], np.cumsum(real)])[np.asarray(lists.offsets)]
+    return words.filter(pa.array(real)), np.diff(ends)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
     """(id, text, held) to blocks: words with their count in training documents, documents by places."""
-    numbers, block, places, parts, sizes, held = B.block_numbers(), B.Block(), _Places(), [], [], []
+    numbers, block, parts, sizes, held = B.block_numbers(), B.Block(), [], [], []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        flat = np.concatenate([*parts, np.empty(0, np.int32)])
-        size, out = np.array(sizes, np.int64), np.array(held, bool)
+        coded = pa.concat_arrays(parts).dictionary_encode()
+        flat, places = np.asarray(coded.indices), coded.dictionary
+        size, out = np.concatenate(sizes), np.concatenate(held)
         train = np.bincount(flat[np.repeat(~out, size)], minlength=len(places))
         pairs = np.sort(np.repeat(np.arange(len(size)), size) << 32 | flat)
         first = np.flatnonzero(np.diff(pairs, prepend=-1))
         docs = pairs[first] >> 32
-        blob = B.pack(out, size, np.bincount(docs, minlength=len(size)).astype(np.int32),
+        blob = B.pack(pa.concat_arrays(block.ids), out, size, np.bincount(docs, minlength=len(size)).astype(np.int32),
                       (pairs[first] & 0xFFFFFFFF).astype(np.int32),
                       np.diff(np.append(first, len(pairs))).astype(np.int32))
-        yield from B.entry_batches(next(numbers), pa.array(list(places), pa.binary()), train,
-                                   pa.concat_arrays(block.ids), int((~out).sum()), blob)
+        yield from B.entry_batches(next(numbers), places.cast(pa.binary()), train, int((~out).sum()), blob)
 
     for batch in batches:
-        for i, text in enumerate(batch.column(1)):
-            raw = (text.as_py() or "").encode("utf-8")
-            count = 0
-            for words in words_of(raw):
-                parts.append(np.fromiter(map(places.__getitem__, words), np.int32, len(words)))
-                count += len(words)
-            sizes.append(count)
-            held.append(batch.column(2)[i].as_py())
-            block.add(batch.column(0).slice(i, 1), len(raw) + 64)
-            if block.bytes >= block_bytes:
+        for start, end in length_slices(batch.column(1), min(TEXT_STRETCH, block_bytes)):
+            rows = batch.slice(start, end - start)
+            size = (pc.sum(pc.binary_length(rows.column(1))).as_py() or 0) + 64 * len(rows)
+            if block.docs and block.bytes + size > block_bytes:
                 yield from flush()
-                block, places, parts, sizes, held = B.Block(), _Places(), [], [], []
+                block, parts, sizes, held = B.Block(), [], [], []
+            if len(rows) == 1 and size > TEXT_STRETCH:
+                words, counts = words_of(pa.array(stretches(rows.column(1)[0].as_py()), rows.column(1).type))
+                counts = counts.sum(keepdims=True)
+            else:
+                words, counts = words_of(rows.column(1))
+            parts.append(words)
+            sizes.append(counts)
+            held.append(rows.column(2).to_numpy(zero_copy_only=False))
+            block.add(rows.column(0), size)
     if block.docs:
         yield from flush()
 
@@ -285,10 +383,9 @@ def _unit_weights(counts: DataFrame, units: tuple[bytes, ...], prior: np.ndarray
     for _ in range(rounds):
         def expect(batches: Iterator[pa.RecordBatch], now=now, stop=stop) -> Iterator[pa.RecordBatch]:
             lattice, total, n = Lattice(units, now, stop), np.zeros(len(units)), 0
-            for batch in batches:
-                keys = batch.column(0).to_pylist()
-                total += lattice.expected(keys)
-                n += len(keys)
+            for batch in _grouped(batches):
+                total += lattice.expected(batch.column(0))
+                n += len(batch)
             some = np.flatnonzero(total)
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], n))],
@@ -313,8 +410,8 @@ def score_documents(docs: DataFrame, path: str, held_out: int = 0, folds: int =
     score, lattice_score.  Documents with crc32(doc_id as text) mod ``folds`` = ``held_out`` are not learnt from."""
     fold = F.pmod(F.crc32(id_key("doc_id").cast("binary")), F.lit(folds))
     rows = docs.select(F.col("doc_id").alias("id"), "text", (fold == held_out).alias("held"))
-    blocks = stored(rows.mapInArrow(functools.partial(_blocks, block_bytes=block_bytes), B.block_schema(
-        docs.schema["doc_id"].dataType, T.BinaryType())), "lm-blocks")
+    blocks = stored(rows.mapInArrow(functools.partial(_blocks, block_bytes=block_bytes), B.block_schema(T.BinaryType())),
+                    "lm-blocks")
     counts = stored(B.entries(blocks).groupBy("key").agg(F.sum("n").alias("c")), "lm-counts")
     sums = counts.agg(F.sum("c").alias("n"), *(F.count_if(F.expr(e)).alias(a) for e, a in
                                                (("c > 0", "v"), ("c = 1", "n1"), ("c = 2", "n2")))).first()
@@ -328,16 +425,11 @@ def score_documents(docs: DataFrame, path: str, held_out: int = 0, folds: int =
 
     def word_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(units, weights, stop)
-        for batch in batches:
-            c = np.asarray(batch.column(1))
-            spelt = lattice.marginals(batch.column(0).to_pylist()) + np.log(1 - END)
-            whole = np.maximum(c - discount, 0) / max(total, 1)
-            with np.errstate(divide="ignore"):
-                score = np.logaddexp(np.log(whole), np.log(share) + spelt)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spelt / LOG10),
-                                              pa.array(score / LOG10)], names=["key", "c", "spelt", "score"])
-
-    table = counts.mapInArrow(word_scores, "key binary, c long, spelt double, score double")
+        for batch in _grouped(batches):
+            spelt = lattice.marginals(batch.column(0)) + np.log(1 - END)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spelt)], names=["key", "c", "spelt"])
+
+    table = counts.mapInArrow(word_scores, "key binary, c long, spelt double")
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
         *(T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")),
@@ -346,14 +438,16 @@ def score_documents(docs: DataFrame, path: str, held_out: int = 0, folds: int =
     end_score = float(np.log10(max(ends - discount, 0) / max(total, 1) + share * END))
 
     def finish(values: list[np.ndarray], ids: pa.Array, blob: tuple[np.ndarray, ...]) -> dict[str, pa.Array]:
-        (c, spelt, score), (held, size, different, places, times) = values, blob
+        (c, spelt), (held, size, different, places, times) = values, blob
+        with np.errstate(divide="ignore"):
+            score = np.logaddexp(np.log(np.maximum(c - discount, 0) / max(total, 1)), np.log(share) + spelt)
         owner = np.repeat(np.arange(len(size)), different)
         add = lambda x: np.bincount(owner, x[places] * times, len(size))
         return {"doc_id": ids, "held_out": pa.array(held), "n_tokens": pa.array(size + 1),
                 "n_known": pa.array(add((c > 0).astype(float)).astype(np.int64) + int(ends > 0)),
                 "train_tokens": pa.array(np.full(len(size), total, np.int64)),
                 "base_score": pa.array(add(np.log10(c + 0.1) - floor) + (np.log10(ends + 0.1) - floor)),
-                "score": pa.array(add(score) + end_score),
-                "lattice_score": pa.array(add(spelt) + np.log10(END))}
+                "score": pa.array(add(score / LOG10) + end_score),
+                "lattice_score": pa.array(add(spelt / LOG10) + np.log10(END))}
 
-    return B.answer(blocks, table, ["c", "spelt", "score"], finish, schema)
+    return B.answer(blocks, table, ["c", "spelt"], finish, schema)

@@ -147,3 +147,46 @@ def test_pack():
     import numpy as np
     a, b = blocks.unpack(blocks.pack(np.arange(5), np.array([], bool)))
     assert a.tolist() == [0, 1, 2, 3, 4] and b.tolist() == []
+
+
+def test_short_words_need_no_logs(lattice, monkeypatch):
+    """Plain numbers where they hold the probability, logs for the rest, with equal sums."""
+    model, units = lattice
+    rare = min((u for u in units if len(u) == 1), key=units.get)
+    short, odd = [b"a", b"hello", "é😀".encode(), b"theonin" * 3, b"\x00\xff"], [rare * 100, b"theantion" * 40]
+    want = [brute_lattice(w, units, 0.25) for w in short + odd]
+    assert want[-2] < math.log(lm_scoring.LEAST)
+    apart = model._expected(short + odd)
+    assert model.marginals(odd + short) == pytest.approx(want[-2:] + want[:-2])
+    assert model.expected(odd + short) == pytest.approx(apart, abs=1e-12)
+    monkeypatch.setattr(lm_scoring.Lattice, "_forward", lambda *_: pytest.fail("taken by logs"))
+    assert model.marginals(short) == pytest.approx(want[:-2])
+    assert model.expected(short).sum() > 0
+
+
+def test_words_at_blanks_of_the_contract(monkeypatch):
+    import pyarrow as pa
+    texts = [*(f"A{chr(c)}b{chr(c)}" for c in [*range(1, 200), 0x2003, 0x3000, 0xFEFF]), None, "", " \t", "É  Z\n"]
+    words, counts = lm_scoring.words_of(pa.array(texts, pa.string()))
+    split = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)})) for t in texts]
+    assert words.to_pylist() == [w for ws in split for w in ws] and counts.tolist() == [len(ws) for ws in split]
+    monkeypatch.setattr(lm_scoring, "TEXT_STRETCH", 7)
+    text = "é one\x0btwo  threefourfive\n" * 5 + "x" * 30
+    cut = list(lm_scoring.stretches(text))
+    assert len(cut) > 5 and "".join(cut) == text
+    assert lm_scoring.words_of(pa.array(cut))[0].to_pylist() == text.split()
+
+
+def test_text_longer_than_a_stretch(make_docs):
+    rows = [(1, "one Two\vthree é\n" * 90_000), (2, "one"), (3, None), (50, "two four")]
+    compared(lm_scoring.score_documents(make_docs(rows), PATH).collect(), brute(rows, 2, by_hand=False))
+
+
+def test_rows_reach_python_without_lists_sorted_by_one_number(make_docs):
+    """A null list costs as much as the batch has rows, and a second sort column a comparison of rows."""
+    plan = lm_scoring.score_documents(make_docs([(1, "one"), (2, "two")]), PATH)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "MapInArrow":
+        plan = plan.children().head()
+    sort = plan.children().head()
+    assert sort.nodeName() == "Sort" and sort.order().size() == 1
+    assert "ArrayType" not in sort.schema().toString()
