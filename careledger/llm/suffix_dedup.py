@@ -3,15 +3,16 @@
 Every byte that a ``width``-byte string covers goes, if that string also starts in
 a document with a smaller id.
 
-1. Anchors route equal strings to one place: of the hashes of all ``GRAM``-byte
-   strings inside a window of ``width`` bytes the smallest is the window's anchor,
+1. Anchors route equal strings to one place: of the hashes of all grams (strings
+   of ``gram_of(width)`` bytes) inside a window of ``width`` bytes the smallest is the window's anchor,
    so equal windows have equal anchors.  Anchor hashes are counted by shuffle;
    those that occur once anywhere are of no use.  What occurs more often is kept
    as a bitmap of at most ``MOST_BITS`` bits (false hits only cost work).
 2. A stretch is a run of windows with one anchor.  Stretches whose anchor may
    repeat go to the anchor's shard.
 3. Stretches of an anchor that are all the same repeat as a whole.  Where they
-   differ, a shard concatenates the different ones and sorts all their suffixes
+   differ, windows whose hash occurs once are out and what is left falls into pieces, of
+   which the same holds.  A shard concatenates the different pieces of an anchor and sorts all their suffixes
    by external induced sorting (``induced_sort``), whose long queues wait on disk;
    the shard's text, arrays and members are in memory.  Suffixes that share ``width`` bytes stand together,
    their common prefixes say where such a group ends, and the smallest id of a
@@ -40,10 +41,10 @@ from pyspark.sql import functions as F
 from careledger.llm.common import id_key, length_slices, mixed, stored
 from careledger.llm.induced_sort import sorted_suffixes
 
-GRAM = 16
+GRAM = 16                   # bytes of a gram, at least
 PIECE = 1 << 16             # bytes whose anchors are searched at a time
 SLICE = 1 << 20             # bytes of text that a task unpacks at a time
-SHARD_BYTES = 2 << 20       # input bytes a shard stands for
+SHARD_BYTES = 4 << 20       # input bytes a shard stands for
 TASK_BYTES = 64 << 20       # input bytes a task stands for: its shards are sorted in turn
 MOST_BITS = 30
 QUEUE_TUPLES = 1 << 22      # tuples (8 bytes) of the sorter's queues that a task holds; more wait on disk
@@ -66,10 +67,17 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[:len(x) - (width - span)], x[width - span:]) if width > span else x
 
 
-def _gram_hashes(whole: bytes) -> np.ndarray:
+def gram_of(width: int) -> int:
+    """Bytes of a gram: about half a window, in words of eight bytes.  Shorter ones repeat by chance the more the
+    larger the corpus is, and each repeat costs work; longer ones lead fewer windows."""
+    return max(GRAM, width // 16 * 8)
+
+
+def _gram_hashes(whole: bytes, gram: int) -> np.ndarray:
     x = np.ndarray((len(whole) - 7,), np.dtype("<u8"), whole, 0, (1,))    # the eight bytes from every position on
     mix = x * np.uint64(0x9E3779B97F4A7C15)
-    mix = (mix[:-8] ^ (mix[8:] >> np.uint64(29))) * np.uint64(0xD1342543DE82EF95) + mix[8:]
+    for further in (*[8] * (gram // 8 - 1), *[gram % 8] * (gram % 8 > 0)):
+        mix = (mix[:-further] ^ (mix[further:] >> np.uint64(29))) * np.uint64(0xD1342543DE82EF95) + mix[further:]
     return ((mix ^ (mix >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)) | np.uint64(1)
 
 
@@ -81,7 +89,8 @@ def stretches(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, n
     whole = b"".join(parts)
     if len(whole) < width:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    low = _slide(_gram_hashes(whole), width - GRAM + 1, np.minimum)
+    gram = gram_of(width)
+    low = _slide(_gram_hashes(whole, gram), width - gram + 1, np.minimum)
     starts = np.cumsum(sizes) - sizes
     for start in starts[1:].tolist():                         # windows across the end of a part do not count
         low[max(0, start - width + 1):start] = 0
@@ -187,6 +196,19 @@ def _shard_of(h: np.ndarray, shard_bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else np.zeros(len(h), np.int64)
 
 
+def _spans(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of all spans one after the other; some spans at a time, as an index takes eight times their bytes."""
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    cuts = [0, *(np.searchsorted(ends, np.arange(SLICE, len(out), SLICE)) + 1).tolist(), len(size)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if a < b:
+            low = int(ends[a] - size[a])
+            index = np.repeat(begin[a:b] - (ends[a:b] - size[a:b]), size[a:b])
+            out[low:low + len(index)] = flat[index + np.arange(low, low + len(index))]
+    return out
+
+
 _STRETCHES = "shard int, id array<bigint>, fp array<bigint>, at array<int>, size array<int>, text binary"
 
 
@@ -200,36 +222,46 @@ def repeated_stretches(docs: DataFrame, bitmap, width: int, shards: int, bits: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = bitmap.value
         first: dict[bytes, int] = {}
-        out: dict[int, list] = {}
+        out: list[tuple[np.ndarray, ...]] = []                # shard, id, fp, offset, size of stretches
+        raws: list[np.ndarray] = []                           # and their bytes
         held = 0
 
         def write() -> pa.RecordBatch:
-            columns = [[*zip(*entries)] for entries in out.values()]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-            return pa.RecordBatch.from_arrays([
-                pa.array(list(out), pa.int32()), *(pa.array([c[k] for c in columns], pa.list_(x)) for k, x in enumerate(kinds)),
-                pa.array([pa.compress(b"".join(c[4]), "zstd", asbytes=True) for c in columns], pa.binary())],
-                names=["shard", "id", "fp", "at", "size", "text"])
+            shard, *columns = (np.concatenate(c) for c in zip(*out))
+            size = np.maximum(columns[3], 0)
+            begin = np.cumsum(size) - size
+            order = np.argsort(shard, kind="stable")
+            shard, size, begin = shard[order], size[order], begin[order]
+            text, raw = _spans(np.concatenate([*raws, np.empty(0, np.uint8)]), begin, size), []
+            cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
+            ends = np.append(np.cumsum(size) - size, size.sum())[cuts].tolist()
+            for a, b in zip(ends[:-1], ends[1:]):
+                raw.append(pa.compress(text[a:b].tobytes(), "zstd", asbytes=True))
+            lists = (pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(c[order], kind)) for c, kind in zip(
+                columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]], pa.int32()), *lists, pa.array(raw, pa.binary())],
+                                              names=["shard", "id", "fp", "at", "size", "text"])
 
         for batch in batches:
             for part in _slices(batch, 0):
-                owners, pieces, texts = [], [], []
+                owners, pieces, copies = [], [], []
                 for text, doc, fp in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     raw = (text or "").encode("utf-8")
                     if len(raw) < width:
                         continue
                     digest = hashlib.sha256(raw).digest()
                     if digest in first and first[digest] < doc:
-                        out.setdefault(doc % shards, []).append((doc, fp, len(raw), -1, b""))
-                        held += 64
+                        copies.append((doc % shards, doc, fp, len(raw), -1))
                         continue
                     if len(first) >= REMEMBERED:              # forgotten copies only cost work
                         first.clear()
                     first.setdefault(digest, doc)
-                    texts.append(raw)
                     for offset, piece in _pieces(raw, width):
-                        owners.append((doc, fp, len(texts) - 1, offset))
+                        owners.append((doc, fp, offset))
                         pieces.append(piece)
+                if copies:
+                    out.append(tuple(np.array(copies, np.int64).T))
+                    held += 64 * len(copies)
                 done = 0
                 for some in _bounded(pieces):
                     at, count, h = stretches(some, width)
@@ -238,17 +270,15 @@ def repeated_stretches(docs: DataFrame, bitmap, width: int, shards: int, bits: i
                     at, count, h = at[hit > 0], count[hit > 0], h[hit > 0]
                     begins = np.concatenate([[0], np.cumsum([len(p) for p in some])])
                     which = np.searchsorted(begins, at, side="right") - 1
-                    for k, a, n, s in zip(which.tolist(), (at - begins[which]).tolist(), (count + width - 1).tolist(),
-                                          _shard_of(h, shard_bits).tolist(), strict=True):
-                        doc, fp, t, offset = owners[done + k]
-                        a += offset
-                        out.setdefault(s, []).append((doc, fp, a, n, texts[t][a:a + n]))
-                        held += n
+                    doc, fp, offset = np.array(owners[done:done + len(some)], np.int64).T
+                    out.append((_shard_of(h, shard_bits), doc[which], fp[which], offset[which] + at - begins[which], count + width - 1))
+                    raws.append(_spans(np.frombuffer(b"".join(some), np.uint8), at, count + width - 1))
+                    held += len(raws[-1]) + 40 * len(at)
                     done += len(some)
                     if held >= HELD:
                         yield write()
-                        out, held = {}, 0
-        if out:
+                        out, raws, held = [], [], 0
+        if held:
             yield write()
 
     return docs.select("text", "id", "fp").mapInArrow(run, _STRETCHES)
@@ -354,9 +384,10 @@ class _Shard:
         np.minimum.at(low, which, ids)
         # Strings of one anchor (the smallest of their grams); alone with it a string repeats as a whole or not at all.
         begins = np.cumsum(sizes) - sizes
-        grams = np.append(_gram_hashes(b"".join(strings)), np.zeros(GRAM - 1, np.uint64))
-        grams[(begins[1:, None] - np.arange(1, GRAM)).ravel()] = np.iinfo(np.uint64).max
-        grams[-(GRAM - 1):] = np.iinfo(np.uint64).max
+        gram = gram_of(self.width)
+        grams = np.append(_gram_hashes(b"".join(strings), gram), np.zeros(gram - 1, np.uint64))
+        grams[(begins[1:, None] - np.arange(1, gram)).ravel()] = np.iinfo(np.uint64).max
+        grams[-(gram - 1):] = np.iinfo(np.uint64).max
         _, anchor, count = np.unique(np.minimum.reduceat(grams, begins), return_inverse=True, return_counts=True)
         alone = count[anchor] == 1
         # Runs of windows of a string with one smallest id: (string, first window, end, id).
@@ -364,7 +395,7 @@ class _Shard:
         runs = [(run, np.zeros(len(run), np.int64), sizes[run] - self.width + 1, low[run])]
         several = np.flatnonzero(~alone)
         if len(several):
-            runs.append(self._runs(several, [strings[k] for k in several.tolist()], sizes[several], low[several]))
+            runs.extend(self._several(several, [strings[k] for k in several.tolist()], sizes[several], low[several], anchor[several]))
         owner, first, end, least = (np.concatenate(c) for c in zip(*runs, strict=True))
         order = np.lexsort((first, owner))
         owner, first, end, least = owner[order], first[order], end[order], least[order]
@@ -377,6 +408,49 @@ class _Shard:
         if len(member):
             yield _ranges(ids[member], fps[member], ats[member] + first[at], ats[member] + end[at] + self.width - 1)
 
+    def _several(self, names: np.ndarray, strings: list[bytes], sizes: np.ndarray, low: np.ndarray,
+                 anchor: np.ndarray) -> Iterator[tuple]:
+        """Runs of the different strings of anchors.
+
+        A window whose hash occurs once is in one string only.  The runs of the others are the pieces to sort; many
+        strings around one passage have few different ones, and a piece that is alone with its anchor needs no order."""
+        whole = b"".join(strings)
+        begins, many = np.cumsum(sizes) - sizes, sizes - self.width + 1
+        owner = np.repeat(np.arange(len(names)), many)
+        step = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+        hashes = _gram_hashes(whole, self.width)[begins[owner] + step]
+        order = np.argsort(hashes)
+        same = hashes[order[1:]] == hashes[order[:-1]]
+        again = np.empty(len(order), bool)
+        again[order] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (again[1:] != again[:-1])]))
+        first, end = step[new], step[np.append(new[1:], len(owner)) - 1] + 1
+        owner, again = owner[new], again[new]
+        yield names[owner[~again]], first[~again], end[~again], low[owner[~again]]
+        owner, first, end = owner[again], first[again], end[again]
+        at = begins[owner] + first
+        numbers: dict[bytes, int] = {}
+        piece = np.array([numbers.setdefault(whole[a:b], len(numbers)) for a, b in zip(
+            at.tolist(), (at + (end - first) + self.width - 1).tolist(), strict=True)], np.int64)
+        least, group = np.full(len(numbers), np.iinfo(np.int64).max), np.empty(len(numbers), np.int64)
+        np.minimum.at(least, piece, low[owner])
+        group[piece] = anchor[owner]
+        rest = np.flatnonzero(np.bincount(group, minlength=1)[group] > 1)
+        sole = np.ones(len(numbers), bool)
+        sole[rest] = False
+        sole = sole[piece]
+        yield names[owner[sole]], first[sole], end[sole], least[piece[sole]]
+        if len(rest):
+            pieces = list(numbers)
+            pieces = [pieces[k] for k in rest.tolist()]
+            found, start, stop, value = self._runs(rest, pieces, np.fromiter(map(len, pieces), np.int64, len(pieces)), least[rest])
+            owner, first, piece = owner[~sole], first[~sole], piece[~sole]
+            begin = np.searchsorted(found, piece)
+            many = np.searchsorted(found, piece, side="right") - begin
+            place = np.repeat(np.arange(len(piece)), many)
+            at = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(len(place))
+            yield names[owner[place]], first[place] + start[at], first[place] + stop[at], value[at]
+
     def _runs(self, names: np.ndarray, strings: list[bytes], sizes: np.ndarray, low: np.ndarray) -> tuple:
         least, begins = _covered(strings, low, self.width, None)
         many = sizes - self.width + 1

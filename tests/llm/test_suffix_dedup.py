@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from careledger.llm import induced_sort, suffix_dedup
@@ -97,6 +98,82 @@ def test_many_shards_in_few_partitions(make_docs, words, monkeypatch):
     check(make_docs, [(i, f"{words(('a', i), 12)} {passage} {words(('b', i), 12)}") for i in range(50)])
 
 
+def test_short_phrases_do_not_make_stretches_meet(words):
+    """Texts that share phrases of 16 to 18 bytes and no 50-byte string have no anchor in common."""
+    phrases = [words(("phrase", i), 12)[:16 + i % 3] for i in range(40)]
+    seen, met = set(), 0
+    for i in range(30):
+        raw = "".join(f"{words((i, p), 8)}{p}" for p in phrases).encode()
+        anchors = set(suffix_dedup.stretches([raw], 50)[2].tolist())
+        met += len(anchors & seen)
+        seen |= anchors
+    assert met == 0
+
+
+def by_shard(rows, width=50):
+    """What ``brute`` gives, from one shard that holds all stretches of the rows."""
+    shard = suffix_dedup._Shard(0, width)
+    for doc, text in rows:
+        raw = text.encode()
+        at, count, _ = suffix_dedup.stretches([raw], width)
+        size = count + width - 1
+        cut = b"".join(raw[a:a + n] for a, n in zip(at.tolist(), size.tolist()))
+        lists = (pa.array([c], pa.list_(k))[0] for c, k in (
+            ([doc] * len(at), pa.int64()), ([0] * len(at), pa.int64()), (at, pa.int32()), (size, pa.int32())))
+        assert shard.add(*lists, pa.array([pa.compress(cut, "zstd", asbytes=True)], pa.binary())[0]) is None
+    gone = {doc: bytearray(len(text.encode())) for doc, text in rows}
+    for batch in shard.ranges():
+        for r in batch.to_pylist():
+            gone[r["id"]][r["start"]:r["stop"]] = b"\1" * (r["stop"] - r["start"])
+    out = []
+    for doc, text in rows:
+        raw, g = text.encode(), gone[doc]
+        kept = bytes(b for b, x in zip(raw, g) if not x)
+        out.append((doc, len(raw), sum(g), sum(1 for i, x in enumerate(g) if x and (i == 0 or not g[i - 1])),
+                    hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.fixture
+def sorted_bytes(monkeypatch):
+    """The sizes of the texts whose suffixes are sorted."""
+    sizes, covered = [], suffix_dedup._covered
+    monkeypatch.setattr(suffix_dedup, "_covered", lambda strings, *a: sizes.append(sum(map(len, strings))) or covered(strings, *a))
+    return sizes
+
+
+def test_texts_around_one_passage_are_not_sorted_one_by_one(words, sorted_bytes):
+    passage = words("shared", 40)
+    rows = [(i, f"{words(('a', i), 9)}{chr(0x4E00 + i)}{passage}{chr(0x4E00 + i)}{words(('b', i), 9)}") for i in range(60)]
+    random.Random(4).shuffle(rows)
+    assert by_shard(rows) == brute(rows)
+    assert sum(sorted_bytes) <= 2 * len(passage)
+
+
+@pytest.mark.parametrize("width", [20, 50, 67])
+def test_overlaps_of_every_length_are_sorted(words, sorted_bytes, width):
+    rng = random.Random(width)
+    passages = [words(("p", i), 60) for i in range(3)] + ["z" * 200, "ab" * 90, "abc" * 70 + words("q", 20)]
+    rows = []
+    for i in range(120):
+        p = rng.choice(passages)
+        a = rng.randint(0, 60)
+        rows.append((i, words(("own", i), rng.randint(0, 8)) + p[a:a + rng.randint(width, 120)] + words(("end", i), rng.randint(0, 8))))
+    rng.shuffle(rows)
+    assert by_shard(rows, width) == brute(rows, width)
+    assert sum(sorted_bytes) > 0
+
+
+def test_spans_are_taken_in_order_whatever_their_sizes(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SLICE", 10)
+    rng = np.random.default_rng(3)
+    flat = rng.integers(0, 256, 500).astype(np.uint8)
+    for count in (0, 1, 40):
+        begin, size = rng.integers(0, 400, count), rng.integers(0, 40, count)
+        want = [flat[a:a + n] for a, n in zip(begin, size)]
+        assert suffix_dedup._spans(flat, begin, size).tolist() == np.concatenate([np.empty(0, np.uint8), *want]).tolist()
+
+
 @pytest.mark.parametrize("block,budget", [(1 << 20, 1 << 20), (4, 10)])
 def test_induced_sort_orders_suffixes_and_counts_prefixes(monkeypatch, tmp_path, block, budget):
     """With tiny blocks and budgets the queues go to disk; the result is the same."""
